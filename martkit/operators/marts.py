@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martkit.operators.rollup import ROWS, Rollup, as_rollup, cnt_col, sum_col
-from martkit.operators.sizing import BroadcastPolicy, dimension
+from martkit.operators.sizing import BroadcastPolicy, decide_many, dimension
 
 Policy = BroadcastPolicy | bool | None
 
@@ -88,10 +88,11 @@ def visit_counts(
     dest_name = dest_name or dest
     label_name = label_name or carrier_label
     r = as_rollup(fact, [origin, carrier, dest], distribute_by=distribute_by)
-    p = dimension(places.select(F.col(place_key).alias("__pk")), broadcast_places if broadcast_places is not None else broadcast)
-    c = dimension(
-        carriers.select(F.col(carrier_key).alias("__ck"), F.col(carrier_label).alias("__cl")), broadcast
-    )
+    p = places.select(F.col(place_key).alias("__pk"))
+    c = carriers.select(F.col(carrier_key).alias("__ck"), F.col(carrier_label).alias("__cl"))
+    p_bc, c_bc = decide_many([(p, broadcast_places if broadcast_places is not None else broadcast), (c, broadcast)])
+    p = F.broadcast(p) if p_bc else p
+    c = F.broadcast(c) if c_bc else c
     joined = r.join(p, r[origin] == p["__pk"], "inner").join(c, r[carrier] == c["__ck"], "inner")
     out = joined.groupBy(F.col(dest).alias(dest_name), F.col("__cl").alias(label_name)).agg(
         F.sum(ROWS).alias(count_name)

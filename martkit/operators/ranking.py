@@ -4,8 +4,15 @@
 group to one task, so a group holding a third of the data sorts a third of the
 data on one core.
 
+``method="histogram"`` first collapses the rows to distinct (group, value)
+pairs with their row counts (combined map-side), ranks those with a window,
+and joins the ranks back.  A window then holds the *distinct values* of one
+group, not its rows.  When the ranked value is itself a row count (as for
+visit counts), a group whose counts add up to N has at most sqrt(2N) distinct
+values, so even a group with a third of all rows stays small.
+
 ``method="distributed"`` (the default) computes the same numbers without ever
-holding a whole group:
+holding a whole group, whatever the values:
 
 1. collapse the input to its distinct (group, value) pairs with their row
    counts (map-side combined, so duplicates never travel);
@@ -52,15 +59,28 @@ def rank_within(
     if method == "window":
         w = Window.partitionBy(*parts).orderBy(_order(order_by, descending))
         return df.withColumn(name, F.rank().over(w).cast("bigint"))
-    if method != "distributed":
+    if method == "histogram":
+        ranks = _histogram_ranks(df, parts, order_by, descending)
+    elif method == "distributed":
+        ranks = _value_ranks(df, parts, order_by, descending, ranges)
+    else:
         raise ValueError(f"unknown method {method!r}")
-    ranks = _value_ranks(df, parts, order_by, descending, ranges)
     ranks = dimension(ranks, broadcast)
     keys = parts + [order_by]
     cond = reduce(lambda a, b: a & b, [df[k].eqNullSafe(ranks[f"__r_{i}"]) for i, k in enumerate(keys)])
     return df.join(ranks, cond, "inner").select(*[df[c] for c in df.columns], F.col("__rank").alias(name))
 
 
+def _histogram_ranks(df: DataFrame, parts: list[str], value: str, descending: bool) -> DataFrame:
+    hist = df.groupBy(*parts, value).agg(F.count(F.lit(1)).alias("__n"))
+    w = Window.partitionBy(*parts).orderBy(_order(value, descending)).rowsBetween(Window.unboundedPreceding, -1)
+    keys = parts + [value]
+    return hist.select(
+        *[F.col(k).alias(f"__r_{i}") for i, k in enumerate(keys)],
+        (F.coalesce(F.sum("__n").over(w), F.lit(0)) + 1).cast("bigint").alias("__rank"),
+    )
+
+
 def _value_ranks(
     df: DataFrame, parts: list[str], value: str, descending: bool, ranges: int | None
 ) -> DataFrame:

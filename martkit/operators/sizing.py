@@ -9,6 +9,7 @@ still switch to a broadcast at run time from the real shuffle size.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,17 +53,27 @@ def _width(df: DataFrame, field: T.StructField) -> Column:
     return F.coalesce(F.octet_length(col), F.lit(0))
 
 
-def measure(df: DataFrame, max_rows: int) -> tuple[int, int]:
-    """(rows, bytes) of ``df``, counting no further than ``max_rows + 1`` rows."""
+def _bounded_size(df: DataFrame, max_rows: int, index: int) -> DataFrame:
     width = F.lit(ROW_OVERHEAD)
     for field in df.schema.fields:
         width = width + _width(df, field)
-    row = (
-        df.limit(max_rows + 1)
-        .agg(F.count(F.lit(1)).alias("rows"), F.sum(width).alias("bytes"))
-        .first()
+    return df.limit(max_rows + 1).agg(
+        F.lit(index).alias("i"), F.count(F.lit(1)).alias("rows"), F.sum(width).alias("bytes")
     )
-    return int(row["rows"]), int(row["bytes"] or 0)
+
+
+def measure_many(dfs: list[DataFrame], max_rows: int) -> list[tuple[int, int]]:
+    """(rows, bytes) of each frame, counting no further than ``max_rows + 1``
+    rows of each; one job for all of them, one small row per frame returned."""
+    if not dfs:
+        return []
+    parts = [_bounded_size(df, max_rows, i) for i, df in enumerate(dfs)]
+    found = {r["i"]: (int(r["rows"]), int(r["bytes"] or 0)) for r in reduce(DataFrame.unionByName, parts).collect()}
+    return [found[i] for i in range(len(dfs))]
+
+
+def measure(df: DataFrame, max_rows: int) -> tuple[int, int]:
+    return measure_many([df], max_rows)[0]
 
 
 def fits_broadcast(df: DataFrame, policy: BroadcastPolicy = AUTO) -> bool:
@@ -70,16 +81,28 @@ def fits_broadcast(df: DataFrame, policy: BroadcastPolicy = AUTO) -> bool:
     return rows <= policy.max_rows and size <= policy.max_bytes
 
 
+def decide_many(items: list[tuple[DataFrame, BroadcastPolicy | bool | None]]) -> list[bool]:
+    """``decide`` for several frames, measuring all "auto" ones in one job."""
+    out: list[bool | None] = []
+    pending: list[tuple[int, DataFrame, BroadcastPolicy]] = []
+    for i, (df, policy) in enumerate(items):
+        if isinstance(policy, bool):
+            out.append(policy)
+            continue
+        policy = policy or AUTO
+        out.append(None if policy.mode == "auto" else policy.mode == "always")
+        if policy.mode == "auto":
+            pending.append((i, df, policy))
+    if pending:
+        bound = max(p.max_rows for _, _, p in pending)
+        for (i, _, policy), (rows, size) in zip(pending, measure_many([d for _, d, _ in pending], bound)):
+            out[i] = rows <= policy.max_rows and size <= policy.max_bytes
+    return [bool(x) for x in out]
+
+
 def decide(df: DataFrame, policy: BroadcastPolicy | bool | None) -> bool:
     """Whether to hint ``df`` for broadcast under ``policy``."""
-    if isinstance(policy, bool):
-        return policy
-    policy = policy or AUTO
-    if policy.mode == "always":
-        return True
-    if policy.mode == "never":
-        return False
-    return fits_broadcast(df, policy)
+    return decide_many([(df, policy)])[0]
 
 
 def dimension(df: DataFrame, policy: BroadcastPolicy | bool | None = None) -> DataFrame:

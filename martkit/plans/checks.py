@@ -70,7 +70,7 @@ def q_visit_counts(spark, sf_dir, order=True):
     return conform(out, VISITS)
 
 
-def q_rank_within(spark, sf_dir, method="distributed"):
+def q_rank_within(spark, sf_dir, method="histogram"):
     visits = q_visit_counts(spark, sf_dir, order=False)
     ranked = rank_within(visits, "DESTINATION_AIRPORT", "Count_visit_per_airline", method=method)
     return conform(ranked, MART_SCHEMAS["airline_in_airport"])
@@ -80,6 +80,10 @@ def q_rank_within_window(spark, sf_dir):
     return q_rank_within(spark, sf_dir, method="window")
 
 
+def q_rank_within_ranges(spark, sf_dir):
+    return q_rank_within(spark, sf_dir, method="distributed")
+
+
 def _flight_roles(fact: DataFrame) -> DataFrame:
     return fact.select(
         F.col("carrier").alias("AIRLINE"), F.col("dest").alias("DESTINATION_AIRPORT"), "flag"
@@ -137,6 +141,7 @@ MART_SQL["rank_within"] = f"""SELECT *, CAST(rank() OVER (PARTITION BY DESTINATI
        ORDER BY Count_visit_per_airline DESC) AS BIGINT) AS ranking
 FROM ({MART_SQL['visit_counts']})"""
 MART_SQL["rank_within_window"] = MART_SQL["rank_within"]
+MART_SQL["rank_within_ranges"] = MART_SQL["rank_within"]
 
 
 # --- quality, keys, dates ------------------------------------------------------
@@ -417,6 +422,7 @@ QUERIES: dict[str, Query] = {
     "visit_counts": q_visit_counts,
     "rank_within": q_rank_within,
     "rank_within_window": q_rank_within_window,
+    "rank_within_ranges": q_rank_within_ranges,
     "flagged_counts": q_flagged_counts,
     "flagged_top": q_flagged_top,
     "orphan_counts": q_orphan_counts,

@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 from martkit.operators.marts import dim_average, flagged_counts, orphan_counts, visit_counts
 from martkit.operators.ranking import rank_within
 from martkit.operators.rollup import Rollup, rollup
-from martkit.operators.sizing import BroadcastPolicy, decide
+from martkit.operators.sizing import BroadcastPolicy, decide_many
 from martkit.session import materialize
 from martkit.sources.contracts import MART_SCHEMAS, conform
 from martkit.sources.files import read_csv, write_parquet
@@ -75,7 +75,7 @@ def build_marts(
     cancel_limit: int | None = None,
     shared: bool = True,
     broadcast: BroadcastPolicy | bool | None = None,
-    rank_method: str = "distributed",
+    rank_method: str = "histogram",
 ) -> dict[str, DataFrame]:
     """The four marts, conformed to their contracts.
 
@@ -83,14 +83,18 @@ def build_marts(
     With ``shared`` the fact is scanned once: it is rolled up to
     (carrier, origin, dest, flag) with row counts and measure sums, written to
     the checkpoint folder, and all four marts are finished from those rows.
+    The visits are ranked with ``rank_method="histogram"``: the ranked value is
+    a row count, so one destination has at most sqrt(2 * its rows) distinct
+    values and no window holds more than that.
     """
     r = roles
     source: DataFrame | Rollup = fact
     if shared:
         summary = rollup(fact, [r.carrier, r.origin, r.dest, r.flag], [r.measure])
         source = Rollup(materialize(summary.df, "fact_rollup"), summary.keys, summary.measures)
-    carriers_bc = decide(carriers.select(r.carrier_key, r.carrier_label), broadcast)
-    places_bc = decide(places.select(r.place_key), broadcast)
+    carriers_bc, places_bc = decide_many(
+        [(carriers.select(r.carrier_key, r.carrier_label), broadcast), (places.select(r.place_key), broadcast)]
+    )
 
     avg = dim_average(
         source, carriers, r.carrier, r.carrier_key, r.carrier_label, r.measure,

@@ -24,13 +24,17 @@ def extract_incremental(
     header: bool = True,
     partition_by: Sequence[str] | None = None,
     max_files_per_trigger: int | None = None,
+    recursive: bool = True,
 ) -> None:
     """Append all not-yet-ingested CSV files under ``landing`` to Parquet ``target``.
 
     Returns when the files present at the start have been committed.
-    ``max_files_per_trigger`` bounds the size of each micro-batch.
+    ``max_files_per_trigger`` bounds the size of each micro-batch; ``recursive``
+    picks up files in sub-folders (one per landing, say).
     """
     reader = spark.readStream.schema(schema).option("header", header)
+    if recursive:
+        reader = reader.option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     writer = (
