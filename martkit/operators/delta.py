@@ -44,11 +44,13 @@ def delta_matched(
 ) -> DataFrame:
     """(key, source digest) of source rows whose key is in the target.
 
-    An inner join: a key stored several times in the target repeats the row.
+    A semi-join: each source row appears once, however many times its key is
+    stored in the target (an inner join would emit every source x target pair
+    of a key, which a key holding many rows turns into a blow-up).
     """
     keys = _keys(key)
     tk = _target_keys(tgt, keys)
-    return src.join(tk, _key_match(src, tk, keys), "inner").select(*[src[k] for k in keys], src[hash_col])
+    return src.join(tk, _key_match(src, tk, keys), "left_semi").select(*[src[k] for k in keys], src[hash_col])
 
 
 def delta_updates(

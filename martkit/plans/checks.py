@@ -282,10 +282,11 @@ DELTA_SQL = {
     "delta_inserts": f"""WITH {DELTA_CTES}
 SELECT * FROM src WHERE NOT EXISTS (SELECT 1 FROM tgt WHERE tgt.s_suppkey = src.s_suppkey)""",
     "delta_matched": f"""WITH {DELTA_CTES}
-SELECT s.s_suppkey, s.hash_id FROM src s JOIN tgt t ON s.s_suppkey = t.s_suppkey""",
+SELECT s.s_suppkey, s.hash_id FROM src s WHERE EXISTS (SELECT 1 FROM tgt t WHERE t.s_suppkey = s.s_suppkey)""",
     "delta_updates": f"""WITH {DELTA_CTES}
-SELECT m.s_suppkey, m.hash_id FROM (SELECT s.s_suppkey, s.hash_id FROM src s JOIN tgt t ON s.s_suppkey = t.s_suppkey) m
-WHERE NOT EXISTS (SELECT 1 FROM tgt WHERE tgt.hash_id = m.hash_id)""",
+SELECT s.s_suppkey, s.hash_id FROM src s
+WHERE EXISTS (SELECT 1 FROM tgt t WHERE t.s_suppkey = s.s_suppkey)
+  AND NOT EXISTS (SELECT 1 FROM tgt WHERE tgt.hash_id = s.hash_id)""",
     "classify_delta": f"""WITH {DELTA_CTES}
 SELECT src.*, CASE WHEN NOT EXISTS (SELECT 1 FROM tgt WHERE tgt.s_suppkey = src.s_suppkey) THEN 'insert'
                    WHEN EXISTS (SELECT 1 FROM tgt WHERE tgt.hash_id = src.hash_id) THEN 'unchanged'
@@ -402,18 +403,20 @@ UNION ALL SELECT 'customer' AS dataset, c_custkey AS key, c_name AS name FROM cu
 
 
 def q_incremental_extract(spark, sf_dir):
-    """Two landings of supplier rows (even keys, then odd keys) picked up by two
-    runs of the incremental extract; each file is ingested exactly once."""
+    """The whole supplier table lands twice (two deliveries); the incremental
+    extract runs after each landing and once more with nothing new.  Each
+    landed file is ingested exactly once, so the target holds every row twice."""
     s = read_parquet(spark, f"{sf_dir}/supplier.parquet")
     root = scratch_path(spark, "incremental")
     landing, target, ckpt = f"{root}/landing", f"{root}/target", f"{root}/_checkpoint"
-    for i, part in enumerate((s.filter(F.col("s_suppkey") % 2 == 0), s.filter(F.col("s_suppkey") % 2 == 1))):
-        write_csv(part, f"{landing}/batch={i}", mode="append")
+    for delivery in ("first", "second"):
+        write_csv(s, f"{landing}/{delivery}")
         extract_incremental(spark, landing, s.schema, target, ckpt)
+    extract_incremental(spark, landing, s.schema, target, ckpt)
     return read_parquet(spark, target).select(*s.columns)
 
 
-STREAM_SQL = {"incremental_extract": "SELECT * FROM supplier"}
+STREAM_SQL = {"incremental_extract": "SELECT * FROM supplier UNION ALL SELECT * FROM supplier"}
 
 
 QUERIES: dict[str, Query] = {
