@@ -10,7 +10,8 @@ DATE_PATTERN = "yyyyMMdd"
 
 
 def pad_part(col: str | Column) -> Column:
-    """Text of a month or day, left-padded with '0' when it has one character.
+    """C4-C6 (`pad_key`): text of a month or day, left-padded with '0' when it
+    has one character.
 
     The length guard matters: ``lpad`` alone would cut a longer value (123 -> 12).
     Each part is cast to text first, so the result stays a string under ANSI mode.
@@ -25,7 +26,7 @@ def date_text(year: str | Column, month: str | Column, day: str | Column) -> Col
 
 
 def compose_date(df: DataFrame, year: str, month: str, day: str, name: str = "DATE") -> DataFrame:
-    """Append ``name`` as a DATE made from the three parts.
+    """D1 (C3, C7): append ``name`` as a DATE made from the three parts.
 
     A NULL part, an impossible date (Feb 30) or a malformed part gives NULL, in
     and out of ANSI mode.

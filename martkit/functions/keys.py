@@ -29,7 +29,8 @@ def row_hash_column(
     null_token: str | None = None,
     separator: str = HASH_SEPARATOR,
 ) -> Column:
-    """SHA-256 (lower-case hex) of the columns' texts joined by ``separator``.
+    """H1 (C1, C2, P7): SHA-256 (lower-case hex) of the columns' texts joined by
+    ``separator``.
 
     By default NULLs are skipped, as ``concat_ws`` does, so ``(a, NULL, b)`` and
     ``(a, b, NULL)`` share a digest.  A ``null_token`` stands in for NULL and

@@ -33,7 +33,7 @@ def _key_match(src: DataFrame, tk: DataFrame, keys: list[str]) -> Column:
 
 
 def delta_inserts(src: DataFrame, tgt: DataFrame, key: str | Sequence[str]) -> DataFrame:
-    """Source rows whose key is absent from the target (a left anti-join)."""
+    """Source rows whose key is absent from the target (a left anti-join)."""
     keys = _keys(key)
     tk = _target_keys(tgt, keys)
     return src.join(tk, _key_match(src, tk, keys), "left_anti")
@@ -42,7 +42,7 @@ def delta_inserts(src: DataFrame, tgt: DataFrame, key: str | Sequence[str]) -> D
 def delta_matched(
     src: DataFrame, tgt: DataFrame, key: str | Sequence[str], hash_col: str = "hash_id"
 ) -> DataFrame:
-    """(key, source digest) of source rows whose key is in the target.
+    """(key, source digest) of source rows whose key is in the target.
 
     A semi-join: each source row appears once, however many times its key is
     stored in the target (an inner join would emit every source x target pair
@@ -56,7 +56,7 @@ def delta_matched(
 def delta_updates(
     src: DataFrame, tgt: DataFrame, key: str | Sequence[str], hash_col: str = "hash_id"
 ) -> DataFrame:
-    """Matched rows whose digest is not among the target's digests."""
+    """Matched rows whose digest is not among the target's digests."""
     matched = delta_matched(src, tgt, key, hash_col)
     th = tgt.select(F.col(hash_col).alias("__t_hash"))
     return matched.join(th, matched[hash_col] == th["__t_hash"], "left_anti")
@@ -69,7 +69,7 @@ def classify_delta(
     hash_col: str = "hash_id",
     action: str = "action",
 ) -> DataFrame:
-    """Every source row with ``action`` = insert | update | unchanged.
+    """Every source row with ``action`` = insert | update | unchanged.
 
     insert: key not in the target; unchanged: key in the target and digest among
     the target's digests; update: otherwise.  Target-only rows are not reported.
@@ -93,7 +93,7 @@ def classify_delta(
 def upsert_snapshot(
     src: DataFrame, tgt: DataFrame, key: str | Sequence[str], hash_col: str = "hash_id"
 ) -> DataFrame:
-    """The target after applying the source: inserted and updated source rows,
+    """The target after applying the source: inserted and updated source rows,
     plus every target row whose key the source did not change.
 
     Columns and order are the target's.  Write it to a new location and swap;
@@ -114,7 +114,7 @@ def apply_inserts(
     key: str | Sequence[str],
     write: Callable[[DataFrame], None],
 ) -> DataFrame:
-    """Append the insert set through ``write`` and return it.
+    """Append the insert set through ``write`` and return it.
 
     The set is written once to the session's checkpoint folder before the write:
     the target is read lazily, and without that cut an append would change what

@@ -35,7 +35,8 @@ def dim_average(
     broadcast: Policy = None,
     distribute_by: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Mean of ``measure`` per (fact key, dimension label), inner join on the key.
+    """M1 (J1, A1/A2, A7, O1, P2): mean of ``measure`` per (fact key, dimension
+    label), inner join on the key.
 
     Grouping is by code *and* label, so two codes sharing a label stay two rows.
     NULL measures are skipped; a key with only NULLs has a NULL mean (sorted
@@ -78,8 +79,8 @@ def visit_counts(
     broadcast_places: Policy = None,
     distribute_by: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Rows per (destination, carrier label) among rows whose *origin* is a
-    listed place.
+    """M2 (J2, A3, O2, P3): rows per (destination, carrier label) among rows
+    whose *origin* is a listed place.
 
     Both lookups are inner joins, not semi-joins: a place or carrier code listed
     twice counts its rows twice.  Carriers sharing a label merge into one group.
@@ -114,8 +115,8 @@ def flagged_counts(
     limit: int | None = None,
     distribute_by: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Non-null ``count_of`` (default: the first key) per ``keys`` among rows
-    where ``flag == value``.
+    """M4 / M5 (P1, F1, A4, O3, O4): non-null ``count_of`` (default: the first
+    key) per ``keys`` among rows where ``flag == value``.
 
     The comparison follows Spark's coercion (an int, double or boolean flag
     matches the text "1"; the text "1.0" does not) and is pushed into the scan.
@@ -150,7 +151,8 @@ def orphan_counts(
     broadcast: Policy = None,
     distribute_by: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Fact rows per ``fact_key`` value that is not in ``dim`` (a left anti-join).
+    """M6 (J3, P4, A5): fact rows per ``fact_key`` value that is not in ``dim``
+    (a left anti-join).
 
     A NULL key matches nothing, so NULL-key rows are reported as one group.
     """

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Per column: (column_name, nulls, has_nulls), in column order.
+    """Q1 (A6, F2): per column (column_name, nulls, has_nulls), in column order.
 
     One aggregate pass over ``df`` for all columns (partial counts per task,
     one tiny merge), instead of one job per column.  NaN is not NULL.
@@ -37,7 +37,8 @@ def _digest_counts(df: DataFrame, columns: Sequence[str], name: str) -> DataFram
 def readback_check(
     expected: DataFrame, actual: DataFrame, columns: Sequence[str] | None = None
 ) -> DataFrame:
-    """Compare two tables as multisets of rows over ``columns``.
+    """V1 (S10 made a real check): compare two tables as multisets of rows over
+    ``columns``.
 
     One row: expected_rows, actual_rows, missing_rows (in ``expected`` but not in
     ``actual``, counting duplicates), extra_rows (the reverse) and ``matches``.

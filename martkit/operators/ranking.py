@@ -54,7 +54,7 @@ def rank_within(
     ranges: int | None = None,
     broadcast: BroadcastPolicy | bool | None = False,
 ) -> DataFrame:
-    """``df`` plus ``name`` (bigint) = rank of ``order_by`` inside ``partition_by``."""
+    """``df`` plus ``name`` (bigint) = rank of ``order_by`` inside ``partition_by``."""
     parts = [partition_by] if isinstance(partition_by, str) else list(partition_by)
     if method == "window":
         w = Window.partitionBy(*parts).orderBy(_order(order_by, descending))

@@ -58,7 +58,7 @@ def extract(
     targets: Mapping[str, str],
     schemas: Mapping[str, StructType] | None = None,
 ) -> dict[str, str]:
-    """Each CSV ``sources[name]`` to Parquet at ``targets[name]``."""
+    """Each CSV ``sources[name]`` to Parquet at ``targets[name]``."""
     schemas = schemas or {}
     for name, path in sources.items():
         write_parquet(read_csv(spark, path, schema=schemas.get(name)), targets[name])
@@ -77,7 +77,7 @@ def build_marts(
     broadcast: BroadcastPolicy | bool | None = None,
     rank_method: str = "histogram",
 ) -> dict[str, DataFrame]:
-    """The four marts, conformed to their contracts.
+    """The four marts, conformed to their contracts.
 
     ``avg_scale=2`` and ``cancel_limit=100`` give the rounded / top-100 variant.
     With ``shared`` the fact is scanned once: it is rolled up to
@@ -144,7 +144,7 @@ def transform(
 
 
 def load(spark: SparkSession, staged: Mapping[str, str], sink: Sink) -> list[str]:
-    """Write each staged mart to ``sink`` under its table name."""
+    """Write each staged mart to ``sink`` under its table name."""
     for name, path in staged.items():
         sink(spark.read.parquet(path), name)
     return list(staged)
@@ -159,7 +159,7 @@ def run(
     schemas: Mapping[str, StructType] | None = None,
     **options,
 ) -> dict[str, str]:
-    """Extract, transform and load in one application; returns the staged marts."""
+    """Extract, transform and load in one application; returns the staged marts."""
     root = staging_root.rstrip("/")
     inputs = extract(spark, sources, {n: f"{root}/raw/{n}" for n in sources}, schemas)
     staged = transform(spark, inputs, f"{root}/marts", roles, **options)

@@ -34,7 +34,7 @@ MART_SCHEMAS: dict[str, StructType] = {
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
-    """Project ``df`` onto ``schema``: declared order, declared types.
+    """Project ``df`` onto ``schema``: declared order, declared types.
 
     A missing column is an error; extra columns are dropped.  The casts are
     plain projections, so they stay inside whole-stage codegen.

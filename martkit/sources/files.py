@@ -16,7 +16,7 @@ def read_csv(
     sampling_ratio: float | None = None,
     **options: str,
 ) -> DataFrame:
-    """CSV scan with a header row.
+    """CSV scan with a header row.
 
     Without ``schema`` the types are inferred, which costs one extra pass over
     the input; on large inputs pass ``schema`` (or a ``sampling_ratio``) so the
@@ -35,7 +35,7 @@ def read_csv(
 
 
 def read_parquet(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """Parquet scan; column pruning and filter pushdown come from Catalyst."""
+    """Parquet scan; column pruning and filter pushdown come from Catalyst."""
     paths = [path] if isinstance(path, str) else list(path)
     return spark.read.parquet(*paths)
 
@@ -46,7 +46,7 @@ def write_parquet(
     mode: str = "overwrite",
     partition_by: Sequence[str] | None = None,
 ) -> None:
-    """Parquet sink.  ``partition_by`` lays out folders for partition pruning."""
+    """S3: Parquet sink.  ``partition_by`` lays out folders for partition pruning."""
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -64,7 +64,7 @@ def copy_datasets(
     dst_root: str,
     mode: str = "overwrite",
 ) -> list[str]:
-    """Copy Parquet datasets ``src_root/<name>`` to ``dst_root/<name>``.
+    """Copy Parquet datasets ``src_root/<name>`` to ``dst_root/<name>``.
 
     Each copy is a distributed read and write; nothing passes the driver.  The
     roots may be any Hadoop file-system URI (``s3a://``, ``gs://``, ``hdfs://``,

@@ -55,7 +55,7 @@ def read_jdbc(
     columns: Sequence[str] | None = None,
     **partitioning,
 ) -> DataFrame:
-    """JDBC scan; a ``columns`` projection is pushed into the database query."""
+    """JDBC scan; a ``columns`` projection is pushed into the database query."""
     df = spark.read.format("jdbc").options(**jdbc_options(url, table, properties, **partitioning)).load()
     return df.select(*columns) if columns else df
 
@@ -68,7 +68,7 @@ def write_jdbc(
     mode: str = "overwrite",
     **tuning,
 ) -> None:
-    """JDBC sink (``overwrite`` per mart, ``append`` for incremental inserts).
+    """JDBC sink (``overwrite`` per mart, ``append`` for incremental inserts).
 
     Errors propagate: a failed load must fail the job.
     """

@@ -1,4 +1,4 @@
-"""Any Spark table format as a sink or source (a warehouse connector, Parquet, ...).
+"""Any Spark table format as a sink or source (a warehouse connector, Parquet, ...).
 
 The format name is a parameter, so the same code writes to a warehouse
 connector on a cluster that has one and to a file format in tests.
