@@ -13,9 +13,14 @@ HASH_SEPARATOR = "||"
 HASH_BITS = 256
 
 
+def column(name: str) -> Column:
+    """A top-level column by its exact name (dots and spaces included)."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def _as_text(df: DataFrame, name: str) -> Column:
     dtype = df.schema[name].dataType
-    col = F.col(name)
+    col = column(name)
     if isinstance(dtype, StringType):
         return col
     if isinstance(dtype, ArrayType) and isinstance(dtype.elementType, StringType):

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from martkit.functions.keys import column
+
 
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Q1 (A6, F2): per column (column_name, nulls, has_nulls), in column order.
@@ -15,7 +17,9 @@ def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     one tiny merge), instead of one job per column.  NaN is not NULL.
     """
     names = list(columns) if columns is not None else list(df.columns)
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"__n{i}") for i, c in enumerate(names)])
+    if not names:
+        return df.sparkSession.createDataFrame([], "column_name string, nulls bigint, has_nulls boolean")
+    counts = df.agg(*[F.count_if(column(c).isNull()).alias(f"__n{i}") for i, c in enumerate(names)])
     entries = F.array(
         *[
             F.struct(F.lit(i).alias("pos"), F.lit(c).alias("column_name"), F.col(f"__n{i}").alias("nulls"))
@@ -30,7 +34,7 @@ def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
 
 def _digest_counts(df: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
     # to_json keeps NULLs and separators unambiguous: (a, NULL) != (NULL, a)
-    digest = F.sha2(F.to_json(F.struct(*[F.col(c) for c in columns])), 256)
+    digest = F.sha2(F.to_json(F.struct(*[column(c) for c in columns])), 256)
     return df.select(digest.alias("__h")).groupBy("__h").agg(F.count(F.lit(1)).alias(name))
 
 

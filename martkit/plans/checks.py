@@ -39,6 +39,10 @@ VISITS = StructType(MART_SCHEMAS["airline_in_airport"].fields[:3])
 NULL_TOKEN = "\\N"
 
 
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return load_tables(spark, sf_dir, [name])[name]
+
+
 def _star(spark: SparkSession, sf_dir: str):
     t = load_tables(spark, sf_dir, STAR)
     return shipments(t), carriers(t), places(t)
@@ -148,7 +152,7 @@ MART_SQL["rank_within_ranges"] = MART_SQL["rank_within"]
 
 
 def _orders_with_nulls(spark, sf_dir):
-    o = read_parquet(spark, f"{sf_dir}/orders.parquet")
+    o = _table(spark, sf_dir, "orders")
     return o.select(
         "o_orderkey", "o_custkey",
         F.nullif(F.col("o_orderstatus"), F.lit("P")).alias("o_orderstatus"),
@@ -172,11 +176,11 @@ NULL_PROFILE_SQL = "WITH t AS (SELECT o_orderkey, o_custkey, nullif(o_orderstatu
 
 
 def q_row_hash(spark, sf_dir):
-    return row_hash(read_parquet(spark, f"{sf_dir}/supplier.parquet"))
+    return row_hash(_table(spark, sf_dir, "supplier"))
 
 
 def _customer_with_nulls(spark, sf_dir):
-    c = read_parquet(spark, f"{sf_dir}/customer.parquet")
+    c = _table(spark, sf_dir, "customer")
     return c.select(
         "c_custkey", "c_name",
         F.nullif(F.col("c_mktsegment"), F.lit("BUILDING")).alias("c_mktsegment"),
@@ -188,7 +192,22 @@ def q_row_hash_null_safe(spark, sf_dir):
     return row_hash(_customer_with_nulls(spark, sf_dir), null_token=NULL_TOKEN)
 
 
+def q_row_hash_documents(spark, sf_dir):
+    """Digests over whole document texts (up to tens of thousands of words each)."""
+    return row_hash(_table(spark, sf_dir, "documents"))
+
+
+def q_orphan_documents(spark, sf_dir):
+    """The orphan report on a naturally incomplete pair: documents without labels."""
+    docs = _table(spark, sf_dir, "documents")
+    labels = _table(spark, sf_dir, "labels")
+    return orphan_counts(docs, labels, "doc_id", "doc_id", name="unlabeled_rows")
+
+
 KEY_SQL = {
+    "row_hash_documents": "SELECT *, sha256(concat_ws('||', doc_id, text, lang, source, n_chars)) AS hash_id FROM documents",
+    "orphan_documents": """SELECT d.doc_id, count(*) AS unlabeled_rows FROM documents d
+WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id) GROUP BY d.doc_id""",
     "row_hash": "SELECT *, sha256(concat_ws('||', s_suppkey, s_name, s_nationkey, s_acctbal)) AS hash_id FROM supplier",
     "row_hash_null_safe": """WITH t AS (SELECT c_custkey, c_name, nullif(c_mktsegment, 'BUILDING') AS c_mktsegment, c_nationkey FROM customer)
 SELECT *, sha256(concat_ws('||', coalesce(CAST(c_custkey AS VARCHAR), '\\N'), coalesce(c_name, '\\N'),
@@ -197,7 +216,7 @@ SELECT *, sha256(concat_ws('||', coalesce(CAST(c_custkey AS VARCHAR), '\\N'), co
 
 
 def _order_parts(spark, sf_dir):
-    o = read_parquet(spark, f"{sf_dir}/orders.parquet")
+    o = _table(spark, sf_dir, "orders")
     return o.select(
         "o_orderkey",
         F.year("o_orderdate").alias("YEAR"),
@@ -233,7 +252,7 @@ def delta_pair(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """Source = supplier (key, name, nation) hashed.  Target = the table as it
     was stored earlier: without the keys divisible by 10 (not loaded yet) and
     with '*' appended to the names of keys divisible by 7 (since changed)."""
-    s = read_parquet(spark, f"{sf_dir}/supplier.parquet").select("s_suppkey", "s_name", "s_nationkey")
+    s = _table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     stored = s.filter(F.col("s_suppkey") % 10 != 0).withColumn(
         "s_name",
         F.when(F.col("s_suppkey") % 7 == 0, F.concat("s_name", F.lit("*"))).otherwise(F.col("s_name")),
@@ -319,7 +338,7 @@ def q_parquet_roundtrip(spark, sf_dir):
 
 def q_csv_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "supplier_csv")
-    write_csv(read_parquet(spark, f"{sf_dir}/supplier.parquet"), path)
+    write_csv(_table(spark, sf_dir, "supplier"), path)
     return read_csv(spark, path)  # types inferred, as the extract step does
 
 
@@ -336,7 +355,7 @@ def q_copy_datasets(spark, sf_dir):
 def q_table_readback(spark, sf_dir):
     """Write through the format-parameterised sink, read back, compare."""
     cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
-    expected = read_parquet(spark, f"{sf_dir}/orders.parquet").select(cols)
+    expected = _table(spark, sf_dir, "orders").select(cols)
     path = scratch_path(spark, "orders_table")
     write_table(expected, "parquet", path=path)
     return readback_check(expected, read_table(spark, "parquet", path=path))
@@ -406,7 +425,7 @@ def q_incremental_extract(spark, sf_dir):
     """The whole supplier table lands twice (two deliveries); the incremental
     extract runs after each landing and once more with nothing new.  Each
     landed file is ingested exactly once, so the target holds every row twice."""
-    s = read_parquet(spark, f"{sf_dir}/supplier.parquet")
+    s = _table(spark, sf_dir, "supplier")
     root = scratch_path(spark, "incremental")
     landing, target, ckpt = f"{root}/landing", f"{root}/target", f"{root}/_checkpoint"
     for delivery in ("first", "second"):
@@ -432,6 +451,8 @@ QUERIES: dict[str, Query] = {
     "null_profile": q_null_profile,
     "row_hash": q_row_hash,
     "row_hash_null_safe": q_row_hash_null_safe,
+    "row_hash_documents": q_row_hash_documents,
+    "orphan_documents": q_orphan_documents,
     "compose_date": q_compose_date,
     "pad_key": q_pad_key,
     "delta_inserts": q_delta_inserts,

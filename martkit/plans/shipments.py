@@ -26,9 +26,22 @@ CANCELLED = "R"
 LISTED_REGIONS_BELOW = 4
 
 
-def load_tables(spark: SparkSession, sf_dir: str, names=None) -> dict[str, DataFrame]:
+# Base tables are defined once per session and reused by every query, as
+# catalog tables would be: the file listing and footer are read once.  A table
+# rewritten in place needs ``refresh=True``.
+_OPENED: dict[tuple[int, str], DataFrame] = {}
+
+
+def load_tables(spark: SparkSession, sf_dir: str, names=None, refresh: bool = False) -> dict[str, DataFrame]:
     root = sf_dir.rstrip("/")
-    return {n: spark.read.parquet(f"{root}/{n}.parquet") for n in (names or TABLES)}
+    out = {}
+    for n in names or TABLES:
+        path = f"{root}/{n}.parquet"
+        df = _OPENED.get((id(spark), path))
+        if refresh or df is None or df.sparkSession is not spark:
+            df = _OPENED[(id(spark), path)] = spark.read.parquet(path)
+        out[n] = df
+    return out
 
 
 def shipments(t: dict[str, DataFrame]) -> DataFrame:

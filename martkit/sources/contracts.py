@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+
+from martkit.functions.keys import column
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 
@@ -42,4 +44,4 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     missing = [f.name for f in schema.fields if f.name not in df.columns]
     if missing:
         raise ValueError(f"columns missing for the contract: {missing}")
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return df.select(*[column(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])

@@ -51,3 +51,8 @@ def test_compose_date_text_parts(spark):
 def test_pad_part_keeps_long_values(spark):
     df = spark.createDataFrame([(1,), (12,), (123,), (None,)], "m int")
     assert [r[0] for r in df.select(pad_part("m")).collect()] == ["01", "12", "123", None]
+
+
+def test_row_hash_odd_column_names(spark):
+    df = spark.createDataFrame([("x", 1)], "`a.b` string, `c d` int")
+    assert row_hash(df).collect()[0].hash_id == hashlib.sha256(b"x||1").hexdigest()

@@ -37,3 +37,13 @@ def test_readback_check_empty(spark):
     e = spark.createDataFrame([], "x string")
     r = readback_check(e, e).collect()[0]
     assert (r.expected_rows, r.actual_rows, r.matches) == (0, 0, True)
+
+
+def test_odd_column_names(spark):
+    df = spark.createDataFrame([(None, 1)], "`a.b` string, `c d` int")
+    assert [tuple(r) for r in null_profile(df).collect()] == [("a.b", 1, True), ("c d", 0, False)]
+    assert readback_check(df, df).collect()[0].matches
+
+
+def test_null_profile_no_columns(spark):
+    assert null_profile(spark.range(3).select()).count() == 0
