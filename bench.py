@@ -13,6 +13,7 @@ import json
 import os
 import sys
 import time
+from functools import partial
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -53,8 +54,7 @@ def transform_job():
         jobs.Roles(carrier="carrier", origin="origin", dest="dest", measure="distance", flag="flag",
                    flag_value=CANCELLED, carrier_key="s_suppkey", carrier_label="s_name", place_key="n_nationkey"),
     )
-    for df in marts.values():
-        execute(df)
+    jobs.run_all({name: partial(execute, df) for name, df in marts.items()})
 
 
 # --- the reference's plan shapes -------------------------------------------------

@@ -42,11 +42,16 @@ def dim_average(
     NULL measures are skipped; a key with only NULLs has a NULL mean (sorted
     last).  ``scale`` rounds half-up.  Output: (label_name, value_name), sorted by
     the mean descending, label ascending as tie-break.
+
+    ``broadcast`` defaults to no hint: the rolled-up fact is already
+    hash-partitioned by ``fact_key``, so a shuffle join moves only the
+    dimension, and the planner (or AQE, from real sizes) broadcasts it when small.
     """
     label_name = label_name or label
     value_name = value_name or f"avg_{measure}"
     r = as_rollup(fact, [fact_key], [measure], distribute_by)
-    d = dimension(dim.select(F.col(dim_key).alias("__dk"), F.col(label).alias("__label")), broadcast)
+    d = dim.select(F.col(dim_key).alias("__dk"), F.col(label).alias("__label"))
+    d = dimension(d, False if broadcast is None else broadcast)
     joined = r.join(d, r[fact_key] == d["__dk"], "inner")
     grouped = joined.groupBy(fact_key, "__label").agg(
         F.sum(sum_col(measure)).alias("__s"), F.sum(cnt_col(measure)).alias("__c")
@@ -85,6 +90,10 @@ def visit_counts(
     Both lookups are inner joins, not semi-joins: a place or carrier code listed
     twice counts its rows twice.  Carriers sharing a label merge into one group.
     Output: (dest_name, label_name, count_name), sorted by destination, label.
+
+    The rolled-up fact is partitioned by all three keys, while the joins are on
+    origin and on carrier, so here a broadcast saves two exchanges: both
+    dimensions are measured in one bounded job and hinted when they fit.
     """
     dest_name = dest_name or dest
     label_name = label_name or carrier_label
@@ -155,8 +164,10 @@ def orphan_counts(
     (a left anti-join).
 
     A NULL key matches nothing, so NULL-key rows are reported as one group.
+    As in ``dim_average``, the rolled-up fact is already partitioned by the key,
+    so without a hint only the dimension moves.
     """
     r = as_rollup(fact, [fact_key], distribute_by=distribute_by)
-    d = dimension(dim.select(F.col(dim_key).alias("__dk")), broadcast)
+    d = dimension(dim.select(F.col(dim_key).alias("__dk")), False if broadcast is None else broadcast)
     orphans = r.join(d, r[fact_key] == d["__dk"], "left_anti")
     return orphans.groupBy(fact_key).agg(F.sum(ROWS).alias(name))

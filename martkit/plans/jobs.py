@@ -7,7 +7,9 @@ Errors propagate: a failed read, mart or write fails the run.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -92,13 +94,15 @@ def build_marts(
     if shared:
         summary = rollup(fact, [r.carrier, r.origin, r.dest, r.flag], [r.measure])
         source = Rollup(materialize(summary.df, "fact_rollup"), summary.keys, summary.measures)
+    # measured once, used by the visit counts (the other marts join on the
+    # rollup's own partitioning key and need no hint)
     carriers_bc, places_bc = decide_many(
         [(carriers.select(r.carrier_key, r.carrier_label), broadcast), (places.select(r.place_key), broadcast)]
     )
 
     avg = dim_average(
         source, carriers, r.carrier, r.carrier_key, r.carrier_label, r.measure,
-        scale=avg_scale, label_name="AIRLINE_Name", value_name="avg_DISTANCE", broadcast=carriers_bc,
+        scale=avg_scale, label_name="AIRLINE_Name", value_name="avg_DISTANCE",
     )
     visits = visit_counts(
         source, places, carriers,
@@ -114,7 +118,7 @@ def build_marts(
     cancels = flagged_counts(source, r.flag, r.flag_value, [r.carrier, r.dest], limit=cancel_limit).select(
         F.col(r.carrier).alias("AIRLINE"), F.col(r.dest).alias("DESTINATION_AIRPORT"), "count_airlines_cancel"
     )
-    orphans = orphan_counts(source, places, r.dest, r.place_key, broadcast=places_bc).select(
+    orphans = orphan_counts(source, places, r.dest, r.place_key).select(
         F.col(r.dest).alias("DESTINATION_AIRPORT"), "Count_airports"
     )
     return {
@@ -125,28 +129,43 @@ def build_marts(
     }
 
 
+def run_all(actions: Mapping[str, Callable[[], None]], parallel: bool = True) -> None:
+    """Run independent Spark actions, concurrently when ``parallel``.
+
+    Each action is its own job; submitted from separate threads they share the
+    executors instead of queueing one after another (small jobs leave most
+    cores idle).  The first failure is raised after all actions have ended.
+    """
+    if not parallel or len(actions) < 2:
+        for action in actions.values():
+            action()
+        return
+    with ThreadPoolExecutor(max_workers=len(actions)) as pool:
+        futures = [pool.submit(action) for action in actions.values()]
+    for future in futures:
+        future.result()
+
+
 def transform(
     spark: SparkSession,
     inputs: Mapping[str, str],
     staging_root: str,
     roles: Roles = Roles(),
+    parallel: bool = True,
     **options,
 ) -> dict[str, str]:
-    """Read the three staged inputs, write the four marts as Parquet."""
+    """E2 as a job: read the three staged inputs, write the four marts as Parquet."""
     fact, carriers, places = (spark.read.parquet(inputs[n]) for n in INPUTS)
     marts = build_marts(fact, carriers, places, roles, **options)
     root = staging_root.rstrip("/")
-    written = {}
-    for name, df in marts.items():
-        written[name] = f"{root}/{STAGED_AS[name]}"
-        write_parquet(df, written[name])
+    written = {name: f"{root}/{STAGED_AS[name]}" for name in marts}
+    run_all({name: partial(write_parquet, df, written[name]) for name, df in marts.items()}, parallel)
     return written
 
 
-def load(spark: SparkSession, staged: Mapping[str, str], sink: Sink) -> list[str]:
+def load(spark: SparkSession, staged: Mapping[str, str], sink: Sink, parallel: bool = True) -> list[str]:
     """Write each staged mart to ``sink`` under its table name."""
-    for name, path in staged.items():
-        sink(spark.read.parquet(path), name)
+    run_all({name: partial(sink, spark.read.parquet(path), name) for name, path in staged.items()}, parallel)
     return list(staged)
 
 

@@ -98,3 +98,20 @@ def test_invariants_at_sf001(spark):
     orphans = checks.q_orphan_counts(spark, sf).agg(F.sum("Count_airports")).collect()[0][0]
     matched = fact.join(places(t), fact["dest"] == F.col("n_nationkey"), "left_semi").count()
     assert matched + orphans == fact.count()
+
+
+def test_run_all_raises_after_all_actions(spark):
+    import pytest
+
+    done = []
+
+    def ok(i):
+        spark.range(10).count()
+        done.append(i)
+
+    def bad():
+        raise RuntimeError("load failed")
+
+    with pytest.raises(RuntimeError, match="load failed"):
+        jobs.run_all({"a": lambda: ok(1), "b": bad, "c": lambda: ok(2)})
+    assert sorted(done) == [1, 2]

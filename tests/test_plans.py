@@ -44,8 +44,24 @@ def test_dimension_join_runs_on_rolled_up_rows(spark):
     assert "BroadcastHashJoin" not in text
     join_at = text.index("Join")
     assert "partial_sum(m" in text[join_at:]  # map-side combine below the join
-    hinted = plan(dim_average(fact, dim, "k", "k2", "name", "m"), "simple")
-    assert "BroadcastHashJoin" in hinted
+    hinted = plan(dim_average(fact, dim, "k", "k2", "name", "m", broadcast=None), "simple")
+    assert "BroadcastHashJoin" in hinted  # small: the planner broadcasts it
+
+
+def test_shuffle_join_moves_only_the_dimension(spark):
+    """With no broadcast, the join reuses the rollup's partitioning on the key."""
+    fact = spark.range(1000).select((F.col("id") % 7).alias("k"), F.col("id").cast("double").alias("m"))
+    dim = spark.range(7).select(F.col("id").alias("k2"), F.col("id").cast("string").alias("name"))
+    prior = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = plan(dim_average(fact, dim, "k", "k2", "name", "m", order=False), "simple")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prior)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "SortMergeJoin" in text
+    assert text.count("Exchange hashpartitioning") == 2  # the rollup's and the dimension's
 
 
 def test_null_profile_single_aggregate(spark):
