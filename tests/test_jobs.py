@@ -115,3 +115,18 @@ def test_run_all_raises_after_all_actions(spark):
     with pytest.raises(RuntimeError, match="load failed"):
         jobs.run_all({"a": lambda: ok(1), "b": bad, "c": lambda: ok(2)})
     assert sorted(done) == [1, 2]
+
+
+def test_cli_run_and_copy(spark, tmp_path):
+    from martkit.plans import cli
+
+    root = str(tmp_path)
+    src = _sources(spark, root)
+    args = ["run", "--staging", f"{root}/stage", "--sink", f"parquet:{root}/wh", "--avg-scale", "2"]
+    for name, path in src.items():
+        args += ["--source", f"{name}={path}"]
+    staged = cli.main(args, spark=spark)
+    assert read_parquet(spark, f"{root}/wh/avg_flight").count() == 3
+    copied = cli.main(["copy", "--src-root", f"{root}/wh", "--dst-root", f"{root}/copy", "avg_flight"], spark=spark)
+    assert copied == {"copied": [f"{root}/copy/avg_flight"]}
+    assert set(staged) == {"avg_flight", "airline_in_airport", "flights_cancellation", "airport_notin_thelist"}
