@@ -64,16 +64,21 @@ def q_dim_average_rounded(spark, sf_dir):
     return q_dim_average(spark, sf_dir, scale=2)
 
 
-def q_visit_counts(spark, sf_dir, order=True):
+def q_visit_counts(spark, sf_dir, order=True, distribute_by=None):
     fact, car, pl = _star(spark, sf_dir)
     out = visit_counts(
         fact, pl, car, origin="origin", dest="dest", carrier="carrier",
         place_key="n_nationkey", carrier_key="s_suppkey", carrier_label="s_name",
-        dest_name="DESTINATION_AIRPORT", label_name="AIRLINE", order=order,
+        dest_name="DESTINATION_AIRPORT", label_name="AIRLINE", order=order, distribute_by=distribute_by,
     )
     return conform(out, VISITS)
 
 
+def q_visit_counts_distributed(spark, sf_dir):
+    """Raw rows hash-partitioned by destination before grouping."""
+    return q_visit_counts(spark, sf_dir, distribute_by=["dest"])
+
+
 def q_rank_within(spark, sf_dir, method="histogram"):
     visits = q_visit_counts(spark, sf_dir, order=False)
     ranked = rank_within(visits, "DESTINATION_AIRPORT", "Count_visit_per_airline", method=method)
@@ -94,22 +99,38 @@ def _flight_roles(fact: DataFrame) -> DataFrame:
     )
 
 
-def q_flagged_counts(spark, sf_dir, limit=None):
+def q_flagged_counts(spark, sf_dir, limit=None, distribute_by=None):
     fact, _, _ = _star(spark, sf_dir)
-    out = flagged_counts(_flight_roles(fact), "flag", CANCELLED, ["AIRLINE", "DESTINATION_AIRPORT"], limit=limit)
+    out = flagged_counts(
+        _flight_roles(fact), "flag", CANCELLED, ["AIRLINE", "DESTINATION_AIRPORT"],
+        limit=limit, distribute_by=distribute_by,
+    )
     return conform(out, MART_SCHEMAS["flights_cancellation"])
 
 
+def q_flagged_counts_distributed(spark, sf_dir):
+    """Raw rows hash-partitioned by both group keys before grouping."""
+    return q_flagged_counts(spark, sf_dir, distribute_by=["AIRLINE", "DESTINATION_AIRPORT"])
+
+
 def q_flagged_top(spark, sf_dir):
     return q_flagged_counts(spark, sf_dir, limit=100)
 
 
-def q_orphan_counts(spark, sf_dir):
+def q_orphan_counts(spark, sf_dir, distribute_by=None):
     fact, _, pl = _star(spark, sf_dir)
-    out = orphan_counts(fact.withColumnRenamed("dest", "DESTINATION_AIRPORT"), pl, "DESTINATION_AIRPORT", "n_nationkey")
+    out = orphan_counts(
+        fact.withColumnRenamed("dest", "DESTINATION_AIRPORT"), pl, "DESTINATION_AIRPORT", "n_nationkey",
+        distribute_by=distribute_by,
+    )
     return conform(out, MART_SCHEMAS["airport_notin_thelist"])
 
 
+def q_orphan_counts_distributed(spark, sf_dir):
+    """Raw rows hash-partitioned by the key column before grouping."""
+    return q_orphan_counts(spark, sf_dir, distribute_by=["DESTINATION_AIRPORT"])
+
+
 MART_SQL = {
     "dim_average": f"""WITH {SQL_CTES}
 SELECT c.s_name AS AIRLINE_Name, CAST(avg(f.distance) AS DOUBLE) AS avg_DISTANCE
@@ -145,6 +166,9 @@ MART_SQL["rank_within"] = f"""SELECT *, CAST(rank() OVER (PARTITION BY DESTINATI
        ORDER BY Count_visit_per_airline DESC) AS BIGINT) AS ranking
 FROM ({MART_SQL['visit_counts']})"""
 MART_SQL["rank_within_window"] = MART_SQL["rank_within"]
+MART_SQL["visit_counts_distributed"] = MART_SQL["visit_counts"]
+MART_SQL["flagged_counts_distributed"] = MART_SQL["flagged_counts"]
+MART_SQL["orphan_counts_distributed"] = MART_SQL["orphan_counts"]
 MART_SQL["rank_within_ranges"] = MART_SQL["rank_within"]
 
 
@@ -448,6 +472,9 @@ QUERIES: dict[str, Query] = {
     "flagged_counts": q_flagged_counts,
     "flagged_top": q_flagged_top,
     "orphan_counts": q_orphan_counts,
+    "visit_counts_distributed": q_visit_counts_distributed,
+    "flagged_counts_distributed": q_flagged_counts_distributed,
+    "orphan_counts_distributed": q_orphan_counts_distributed,
     "null_profile": q_null_profile,
     "row_hash": q_row_hash,
     "row_hash_null_safe": q_row_hash_null_safe,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -71,9 +72,14 @@ def copy_datasets(
     ``file:``) for which the cluster has a connector.
     """
     src, dst = src_root.rstrip("/"), dst_root.rstrip("/")
-    written = []
-    for name in names:
-        target = f"{dst}/{name}"
-        spark.read.parquet(f"{src}/{name}").write.mode(mode).parquet(target)
-        written.append(target)
-    return written
+    names = list(names)
+
+    def copy(name: str) -> None:
+        spark.read.parquet(f"{src}/{name}").write.mode(mode).parquet(f"{dst}/{name}")
+
+    # independent copies run as concurrent jobs; the first failure is raised
+    with ThreadPoolExecutor(max_workers=max(1, min(len(names), 8))) as pool:
+        futures = [pool.submit(copy, n) for n in names]
+    for f in futures:
+        f.result()
+    return [f"{dst}/{n}" for n in names]
