@@ -25,6 +25,7 @@ from martkit.operators.delta import (
 from martkit.operators.marts import dim_average, flagged_counts, orphan_counts, visit_counts
 from martkit.operators.quality import null_profile, readback_check
 from martkit.operators.ranking import rank_within
+from martkit.operators.sizing import decide_many
 from martkit.plans import jobs
 from martkit.plans.shipments import CANCELLED, SQL_CTES, carriers, load_tables, places, shipments
 from martkit.session import scratch_path
@@ -64,12 +65,13 @@ def q_dim_average_rounded(spark, sf_dir):
     return q_dim_average(spark, sf_dir, scale=2)
 
 
-def q_visit_counts(spark, sf_dir, order=True, distribute_by=None):
+def q_visit_counts(spark, sf_dir, order=True, distribute_by=None, broadcast=None, broadcast_places=None):
     fact, car, pl = _star(spark, sf_dir)
     out = visit_counts(
         fact, pl, car, origin="origin", dest="dest", carrier="carrier",
         place_key="n_nationkey", carrier_key="s_suppkey", carrier_label="s_name",
         dest_name="DESTINATION_AIRPORT", label_name="AIRLINE", order=order, distribute_by=distribute_by,
+        broadcast=broadcast, broadcast_places=broadcast_places,
     )
     return conform(out, VISITS)
 
@@ -79,12 +81,25 @@ def q_visit_counts_distributed(spark, sf_dir):
     return q_visit_counts(spark, sf_dir, distribute_by=["dest"])
 
 
-def q_rank_within(spark, sf_dir, method="histogram"):
-    visits = q_visit_counts(spark, sf_dir, order=False)
+def q_rank_within(spark, sf_dir, method=None):
+    """The flagship mart, planned as ``jobs.build_marts`` plans it: the carriers
+    are measured once, and that measurement both places the broadcast hint and
+    bounds the rows a destination's window can hold."""
+    if method is None:
+        _, car, pl = _star(spark, sf_dir)
+        car_bc, pl_bc = decide_many([(car.select("s_suppkey", "s_name"), None), (pl.select("n_nationkey"), None)])
+        visits = q_visit_counts(spark, sf_dir, order=False, broadcast=car_bc, broadcast_places=pl_bc)
+        method = jobs.visits_rank_method(car_bc)
+    else:
+        visits = q_visit_counts(spark, sf_dir, order=False)
     ranked = rank_within(visits, "DESTINATION_AIRPORT", "Count_visit_per_airline", method=method)
     return conform(ranked, MART_SCHEMAS["airline_in_airport"])
 
 
+def q_rank_within_histogram(spark, sf_dir):
+    return q_rank_within(spark, sf_dir, method="histogram")
+
+
 def q_rank_within_window(spark, sf_dir):
     return q_rank_within(spark, sf_dir, method="window")
 
@@ -166,6 +181,7 @@ MART_SQL["rank_within"] = f"""SELECT *, CAST(rank() OVER (PARTITION BY DESTINATI
        ORDER BY Count_visit_per_airline DESC) AS BIGINT) AS ranking
 FROM ({MART_SQL['visit_counts']})"""
 MART_SQL["rank_within_window"] = MART_SQL["rank_within"]
+MART_SQL["rank_within_histogram"] = MART_SQL["rank_within"]
 MART_SQL["visit_counts_distributed"] = MART_SQL["visit_counts"]
 MART_SQL["flagged_counts_distributed"] = MART_SQL["flagged_counts"]
 MART_SQL["orphan_counts_distributed"] = MART_SQL["orphan_counts"]
@@ -468,6 +484,7 @@ QUERIES: dict[str, Query] = {
     "visit_counts": q_visit_counts,
     "rank_within": q_rank_within,
     "rank_within_window": q_rank_within_window,
+    "rank_within_histogram": q_rank_within_histogram,
     "rank_within_ranges": q_rank_within_ranges,
     "flagged_counts": q_flagged_counts,
     "flagged_top": q_flagged_top,
