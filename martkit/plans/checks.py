@@ -32,7 +32,7 @@ from martkit.session import scratch_path
 from martkit.sources.contracts import MART_SCHEMAS, conform
 from martkit.sources.files import copy_datasets, read_csv, read_parquet, write_csv, write_parquet
 from martkit.sources.tables import read_table, write_table
-from martkit.streaming.incremental import extract_incremental
+from martkit.streaming.incremental import extract_incremental, load_incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
 STAR = ["lineitem", "supplier", "orders", "customer", "nation"]
@@ -475,7 +475,24 @@ def q_incremental_extract(spark, sf_dir):
     return read_parquet(spark, target).select(*s.columns)
 
 
-STREAM_SQL = {"incremental_extract": "SELECT * FROM supplier UNION ALL SELECT * FROM supplier"}
+def q_incremental_load(spark, sf_dir):
+    """The incremental load as a stream: the whole supplier table lands, then
+    the same rows land again.  The second landing inserts nothing, so the
+    target holds each supplier once, with its row hash."""
+    s = _table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    root = scratch_path(spark, "incremental_load")
+    landing, target, ckpt = f"{root}/landing", f"{root}/target", f"{root}/_checkpoint"
+    for delivery in ("first", "second"):
+        write_csv(s, f"{landing}/{delivery}")
+        load_incremental(spark, landing, s.schema, target, ckpt, "s_suppkey")
+    return read_parquet(spark, target)
+
+
+STREAM_SQL = {
+    "incremental_extract": "SELECT * FROM supplier UNION ALL SELECT * FROM supplier",
+    "incremental_load": """SELECT s_suppkey, s_name, s_nationkey,
+       sha256(concat_ws('||', s_suppkey, s_name, s_nationkey)) AS hash_id FROM supplier""",
+}
 
 
 QUERIES: dict[str, Query] = {
@@ -511,6 +528,7 @@ QUERIES: dict[str, Query] = {
     "table_readback": q_table_readback,
     "full_run": q_full_run,
     "incremental_extract": q_incremental_extract,
+    "incremental_load": q_incremental_load,
 }
 
 ORACLE_SQL: dict[str, str] = {

@@ -130,3 +130,21 @@ def test_cli_run_and_copy(spark, tmp_path):
     copied = cli.main(["copy", "--src-root", f"{root}/wh", "--dst-root", f"{root}/copy", "avg_flight"], spark=spark)
     assert copied == {"copied": [f"{root}/copy/avg_flight"]}
     assert set(staged) == {"avg_flight", "airline_in_airport", "flights_cancellation", "airport_notin_thelist"}
+
+
+def test_incremental_load_inserts_new_keys_once(spark, tmp_path):
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    from martkit.streaming.incremental import load_incremental
+
+    schema = StructType([StructField("IATA_CODE", StringType()), StructField("AIRLINE", StringType())])
+    landing, target, ckpt = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ck")
+    write_csv(spark.createDataFrame([("AA", "American"), ("UA", "United")], schema), f"{landing}/day1")
+    load_incremental(spark, landing, schema, target, ckpt, "IATA_CODE")
+    # day 2: one new key, one changed row (not applied: inserts only), one repeat
+    write_csv(spark.createDataFrame([("DL", "Delta"), ("UA", "United 2"), ("AA", "American")], schema), f"{landing}/day2")
+    load_incremental(spark, landing, schema, target, ckpt, "IATA_CODE")
+    load_incremental(spark, landing, schema, target, ckpt, "IATA_CODE")  # nothing new
+    got = sorted((r.IATA_CODE, r.AIRLINE) for r in read_parquet(spark, target).collect())
+    assert got == [("AA", "American"), ("DL", "Delta"), ("UA", "United")]
+    assert "hash_id" in read_parquet(spark, target).columns
