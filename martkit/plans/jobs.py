@@ -161,14 +161,23 @@ def transform(
     staging_root: str,
     roles: Roles = Roles(),
     parallel: bool = True,
+    partition_by: Mapping[str, list[str]] | None = None,
     **options,
 ) -> dict[str, str]:
-    """E2 as a job: read the three staged inputs, write the four marts as Parquet."""
+    """E2 as a job: read the three staged inputs, write the four marts as Parquet.
+
+    ``partition_by`` maps a mart to the columns its folders are laid out by, so
+    readers filtering on them prune whole folders.
+    """
     fact, carriers, places = (spark.read.parquet(inputs[n]) for n in INPUTS)
     marts = build_marts(fact, carriers, places, roles, **options)
     root = staging_root.rstrip("/")
     written = {name: f"{root}/{STAGED_AS[name]}" for name in marts}
-    run_all({name: partial(write_parquet, df, written[name]) for name, df in marts.items()}, parallel)
+    layout = partition_by or {}
+    run_all(
+        {name: partial(write_parquet, df, written[name], partition_by=layout.get(name)) for name, df in marts.items()},
+        parallel,
+    )
     return written
 
 
@@ -198,9 +207,11 @@ def run(
 # Sinks -------------------------------------------------------------------
 
 
-def parquet_sink(root: str) -> Sink:
+def parquet_sink(root: str, partition_by: Mapping[str, list[str]] | None = None) -> Sink:
+    layout = partition_by or {}
+
     def write(df: DataFrame, table: str) -> None:
-        write_parquet(df, f"{root.rstrip('/')}/{table}")
+        write_parquet(df, f"{root.rstrip('/')}/{table}", partition_by=layout.get(table))
 
     return write
 

@@ -148,3 +148,16 @@ def test_incremental_load_inserts_new_keys_once(spark, tmp_path):
     got = sorted((r.IATA_CODE, r.AIRLINE) for r in read_parquet(spark, target).collect())
     assert got == [("AA", "American"), ("DL", "Delta"), ("UA", "United")]
     assert "hash_id" in read_parquet(spark, target).columns
+
+
+def test_transform_partitioned_layout(spark, tmp_path):
+    import os
+
+    root = str(tmp_path)
+    src = _sources(spark, root)
+    inputs = jobs.extract(spark, src, {n: f"{root}/raw/{n}" for n in src})
+    staged = jobs.transform(spark, inputs, f"{root}/marts", partition_by={"flights_cancellation": ["DESTINATION_AIRPORT"]})
+    folders = sorted(d for d in os.listdir(staged["flights_cancellation"]) if d.startswith("DESTINATION_AIRPORT="))
+    assert folders == ["DESTINATION_AIRPORT=JFK", "DESTINATION_AIRPORT=LAX", "DESTINATION_AIRPORT=XXX"]
+    back = read_parquet(spark, staged["flights_cancellation"]).filter("DESTINATION_AIRPORT = 'LAX'")
+    assert [(r.AIRLINE, r.count_airlines_cancel) for r in back.collect()] == [("AA", 1)]
