@@ -23,7 +23,7 @@ from martkit.operators.marts import dim_average, flagged_counts, orphan_counts,
 from martkit.operators.ranking import rank_within  # noqa: E402
 from martkit.plans import checks, jobs  # noqa: E402
 from martkit.plans.shipments import CANCELLED, carriers, load_tables, places, shipments  # noqa: E402
-from martkit.session import build_session  # noqa: E402
+from martkit.session import build_session, materialize  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
@@ -101,6 +101,63 @@ def ref_null_profile():
         df.filter(F.col(c).isNull()).count()
 
 
+# --- hot key: shuffle volume and the largest task, read from the event log ------
+
+
+def skew_report(cpus: int) -> dict:
+    """Every row whose return flag is 'N' (about half of all rows) is sent to
+    destination 0, then the ranked visits mart runs in both shapes.  Per shape,
+    from the event log: rows read from shuffles in total, and the most rows
+    read by one task."""
+    import glob
+    import tempfile
+
+    events = tempfile.mkdtemp(prefix="martkit-bench-events-")  # local benchmark only
+    s = build_session(
+        master=f"local[{cpus}]", app_name="martkit-skew", shuffle_partitions=max(8, cpus),
+        conf={
+            "spark.eventLog.enabled": "true", "spark.eventLog.dir": events, "spark.eventLog.compress": "false",
+            # keep hash partitions as they are, so a task's share shows the skew
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        },
+    )
+    s.sparkContext.setLogLevel("ERROR")
+    t = load_tables(s, SF_DIR, checks.STAR)
+    # the fact is written once, outside the measured jobs, so only the marts' own shuffles count
+    fact = materialize(
+        shipments(t).withColumn("dest", F.when(F.col("flag") == "N", F.lit(0)).otherwise(F.col("dest"))), "skewed_fact"
+    )
+    total, hot = fact.agg(F.count(F.lit(1)), F.count_if(F.col("dest") == 0)).first()
+    kw = dict(origin="origin", dest="dest", carrier="carrier", place_key="n_nationkey",
+              carrier_key="s_suppkey", carrier_label="s_name", order=False)
+
+    s.sparkContext.setJobGroup("ours", "martkit plan")
+    v = visit_counts(fact, places(t), carriers(t), **kw)
+    execute(rank_within(v, "dest", "Count_visit_per_airline", method="histogram"))
+    s.sparkContext.setJobGroup("reference_shape", "repartition by destination, window rank")
+    v = visit_counts(fact, places(t), carriers(t), distribute_by=["dest"], broadcast=True, **kw)
+    execute(rank_within(v, "dest", "Count_visit_per_airline", method="window"))
+    s.stop()
+
+    stage_group, per_group = {}, {}
+    for path in sorted(glob.glob(f"{events}/*/events_*")) + sorted(glob.glob(f"{events}/*.inprogress")):
+        with open(path) as fh:
+            for line in fh:
+                e = json.loads(line)
+                if e["Event"] == "SparkListenerJobStart":
+                    group = (e.get("Properties") or {}).get("spark.jobGroup.id")
+                    for sid in e["Stage IDs"]:
+                        stage_group[sid] = group
+                elif e["Event"] == "SparkListenerTaskEnd":
+                    group = stage_group.get(e["Stage ID"])
+                    read = (e.get("Task Metrics") or {}).get("Shuffle Read Metrics", {}).get("Total Records Read", 0)
+                    if group:
+                        g = per_group.setdefault(group, {"shuffled_rows": 0, "largest_task_rows": 0})
+                        g["shuffled_rows"] += read
+                        g["largest_task_rows"] = max(g["largest_task_rows"], read)
+    return {"fact_rows": total, "hot_destination_rows": hot, **per_group}
+
+
 HEADLINE = [
     "dim_average", "dim_average_rounded", "visit_counts", "rank_within", "flagged_counts",
     "flagged_top", "orphan_counts", "null_profile", "row_hash", "compose_date",
@@ -133,6 +190,11 @@ if __name__ == "__main__":
         "null_profile": timed(ref_null_profile),
         "transform_job": timed(ref_transform),
     }
+    spark.stop()
+    try:
+        skew = skew_report(CPUS)
+    except Exception as err:  # the timings above stand on their own
+        skew = {"error": str(err)[:200]}
     print(json.dumps({
         "metric": "total_query_time",
         "value": round(sum(times.values()), 3),
@@ -142,5 +204,5 @@ if __name__ == "__main__":
         "cpus": CPUS,
         "stat": f"min of {RUNS} runs, noop sink",
         "reference_form": {"ours": ours, "reference_shape": reference},
+        "hot_key": skew,
     }))
-    spark.stop()
