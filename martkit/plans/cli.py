@@ -62,6 +62,11 @@ def parser() -> argparse.ArgumentParser:
     rn = sub.add_parser("run", help="extract, transform and load")
     rn.add_argument("--source", action="append", required=True, help="name=csv_path")
     rn.add_argument("--staging", required=True)
+    for s in (ex, rn):
+        s.add_argument(
+            "--schema", action="append", default=[],
+            help="name=DDL, e.g. 'df_airline=IATA_CODE string, AIRLINE string'; skips the inference pass",
+        )
     cp = sub.add_parser("copy", help="copy Parquet datasets between roots")
     cp.add_argument("--src-root", required=True)
     cp.add_argument("--dst-root", required=True)
@@ -81,14 +86,16 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
     opts = {}
     if args.command in ("transform", "run"):
         opts = {"avg_scale": args.avg_scale, "cancel_limit": args.cancel_limit}
+    schemas = _pairs(getattr(args, "schema", None))
     if args.command == "extract":
-        return jobs.extract(spark, _pairs(args.source), _pairs(args.target))
+        return jobs.extract(spark, _pairs(args.source), _pairs(args.target), schemas)
     if args.command == "transform":
         return jobs.transform(spark, _pairs(args.input), args.staging, **opts)
     if args.command == "load":
         return {"loaded": jobs.load(spark, _pairs(args.mart), _sink(args.sink, args.jdbc_properties))}
     if args.command == "run":
-        return jobs.run(spark, _pairs(args.source), args.staging, _sink(args.sink, args.jdbc_properties), **opts)
+        sink = _sink(args.sink, args.jdbc_properties)
+        return jobs.run(spark, _pairs(args.source), args.staging, sink, schemas=schemas, **opts)
     return {"copied": copy_datasets(spark, args.names, args.src_root, args.dst_root)}
 
 

@@ -58,7 +58,7 @@ def extract(
     spark: SparkSession,
     sources: Mapping[str, str],
     targets: Mapping[str, str],
-    schemas: Mapping[str, StructType] | None = None,
+    schemas: Mapping[str, StructType | str] | None = None,
 ) -> dict[str, str]:
     """Each CSV ``sources[name]`` to Parquet at ``targets[name]``."""
     schemas = schemas or {}
@@ -193,7 +193,7 @@ def run(
     staging_root: str,
     sink: Sink,
     roles: Roles = Roles(),
-    schemas: Mapping[str, StructType] | None = None,
+    schemas: Mapping[str, StructType | str] | None = None,
     **options,
 ) -> dict[str, str]:
     """Extract, transform and load in one application; returns the staged marts."""

@@ -161,3 +161,17 @@ def test_transform_partitioned_layout(spark, tmp_path):
     assert folders == ["DESTINATION_AIRPORT=JFK", "DESTINATION_AIRPORT=LAX", "DESTINATION_AIRPORT=XXX"]
     back = read_parquet(spark, staged["flights_cancellation"]).filter("DESTINATION_AIRPORT = 'LAX'")
     assert [(r.AIRLINE, r.count_airlines_cancel) for r in back.collect()] == [("AA", 1)]
+
+
+def test_cli_extract_with_declared_schema(spark, tmp_path):
+    from martkit.plans import cli
+
+    root = str(tmp_path)
+    src = _sources(spark, root)
+    out = cli.main(
+        ["extract", "--source", f"df_airline={src['df_airline']}", "--target", f"df_airline={root}/raw",
+         "--schema", "df_airline=IATA_CODE string, AIRLINE string"],
+        spark=spark,
+    )
+    assert out == {"df_airline": f"{root}/raw"}
+    assert read_parquet(spark, f"{root}/raw").dtypes == [("IATA_CODE", "string"), ("AIRLINE", "string")]
