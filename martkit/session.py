@@ -20,6 +20,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # coalesce to the advisory size rather than to the core count: on a large
+    # cluster this avoids thousands of tiny reduce tasks after a filter
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.filterPushdown": "true",
@@ -34,8 +37,9 @@ def build_session(
 ) -> SparkSession:
     """Get or create a session with the defaults above.
 
-    ``shuffle_partitions`` should be sized to the data (about one partition per
-    128 MB of shuffle input); AQE coalesces the small ones afterwards.
+    ``shuffle_partitions`` should be sized to the data (``shuffle_partitions_for``:
+    about one partition per 128 MB of shuffle input); AQE coalesces the small
+    ones afterwards.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -51,6 +55,20 @@ def build_session(
     return spark
 
 
+ADVISORY_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def shuffle_partitions_for(shuffle_bytes: int, min_partitions: int = 8) -> int:
+    """Initial shuffle partition count for an expected shuffle volume: one
+    partition per 128 MB, so no reduce task has to spill a multi-GB partition.
+    AQE merges the partitions of smaller shuffles back to the same size.
+
+    For example, 100 TB of fact rows pre-aggregated to ~2 TB of shuffle data
+    gives about 16,000 partitions.
+    """
+    return max(min_partitions, -(-int(shuffle_bytes) // ADVISORY_PARTITION_BYTES))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder, reading it from the session.
 

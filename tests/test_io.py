@@ -85,3 +85,11 @@ def test_size_check(spark):
     assert decide(small, BroadcastPolicy(max_bytes=100)) is False
     assert decide(small, BroadcastPolicy(mode="never")) is False
     assert decide_many([(small, None), (spark.range(50), BroadcastPolicy(max_rows=10)), (small, True)]) == [True, False, True]
+
+
+def test_shuffle_partitions_for():
+    from martkit.session import shuffle_partitions_for
+
+    assert shuffle_partitions_for(0) == 8
+    assert shuffle_partitions_for(2 * 1024**4) == 16384
+    assert shuffle_partitions_for(128 * 1024**2 + 1, min_partitions=1) == 2
