@@ -93,3 +93,15 @@ def test_shuffle_partitions_for():
     assert shuffle_partitions_for(0) == 8
     assert shuffle_partitions_for(2 * 1024**4) == 16384
     assert shuffle_partitions_for(128 * 1024**2 + 1, min_partitions=1) == 2
+
+
+def test_failed_jdbc_load_raises(spark, tmp_path):
+    """No database is started: the URL names no driver, and the error must
+    reach the caller instead of being swallowed."""
+    from martkit.plans import jobs
+
+    staged = str(tmp_path / "mart")
+    spark.createDataFrame([("a", 1)], "k string, v int").write.parquet(staged)
+    sink = jobs.jdbc_sink("jdbc:nodriver://nowhere/db", {"user": "u"})
+    with pytest.raises(Exception, match="(?i)driver"):
+        jobs.load(spark, {"avg_flight": staged}, sink)
