@@ -7,9 +7,9 @@ Spark SQL (Catalyst, AQE, whole-stage codegen).  Sub-packages:
 - ``functions`` column builders (row hash, date composition)
 - ``operators`` mart aggregates, distributed ranking, quality reports, delta load
 - ``plans``     whole jobs (extract, transform, load, full run) and check queries
-- ``streaming`` incremental extract with Structured Streaming
+- ``streaming`` incremental extract and insert load with Structured Streaming
 """
 
-from martkit.session import build_session, scratch_path
+from martkit.session import build_session, materialize, scratch_path, shuffle_partitions_for
 
-__all__ = ["build_session", "scratch_path"]
+__all__ = ["build_session", "materialize", "scratch_path", "shuffle_partitions_for"]

@@ -12,13 +12,15 @@ from martkit.operators.marts import dim_average, flagged_counts, orphan_counts,
 from martkit.operators.quality import null_profile, readback_check
 from martkit.operators.ranking import rank_within
 from martkit.operators.rollup import Rollup, rollup
-from martkit.operators.sizing import BroadcastPolicy, dimension, fits_broadcast
+from martkit.operators.sizing import BroadcastPolicy, decide, decide_many, dimension, fits_broadcast
 
 __all__ = [
     "BroadcastPolicy",
     "Rollup",
     "apply_inserts",
     "classify_delta",
+    "decide",
+    "decide_many",
     "delta_inserts",
     "delta_matched",
     "delta_updates",
