@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from martkit.functions.keys import column
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType

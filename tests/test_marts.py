@@ -5,7 +5,6 @@ import io
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from martkit.operators.marts import dim_average, flagged_counts, orphan_counts, visit_counts
 from martkit.operators.ranking import rank_within
