@@ -105,3 +105,14 @@ def test_failed_jdbc_load_raises(spark, tmp_path):
     sink = jobs.jdbc_sink("jdbc:nodriver://nowhere/db", {"user": "u"})
     with pytest.raises(Exception, match="(?i)driver"):
         jobs.load(spark, {"avg_flight": staged}, sink)
+
+
+def test_table_sink_passes_dataset_table_id(spark):
+    """The warehouse sink's call shape (format + "table" option, overwrite),
+    run with the built-in noop format since no connector jar is present."""
+    from martkit.plans import jobs
+    from martkit.sources.tables import table_id
+
+    assert table_id("warehouse_prod", "avg_flight") == "warehouse_prod.avg_flight"
+    sink = jobs.table_sink("noop", "warehouse_prod", {"writeMethod": "direct"})
+    sink(spark.createDataFrame([("a", 1.0)], "AIRLINE_Name string, avg_DISTANCE double"), "avg_flight")
