@@ -274,12 +274,22 @@ def q_pad_key(spark, sf_dir):
     return p.select("o_orderkey", pad_part("MONTH").alias("month_text"), pad_part("DAY").alias("day_text"))
 
 
+def q_dated_row_hash(spark, sf_dir):
+    """The incremental load's preparation: add DATE from its parts, then hash
+    every column in order, DATE included."""
+    return row_hash(compose_date(_order_parts(spark, sf_dir), "YEAR", "MONTH", "DAY"))
+
+
 def _pad_sql(part: str) -> str:
     t = f"CAST({part}(o_orderdate) AS VARCHAR)"
     return f"CASE WHEN length({t}) = 1 THEN lpad({t}, 2, '0') ELSE {t} END"
 
 
 DATE_SQL = {
+    "dated_row_hash": """WITH p AS (SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS "YEAR",
+       CAST(month(o_orderdate) AS INTEGER) AS "MONTH", CAST(day(o_orderdate) AS INTEGER) AS "DAY",
+       CAST(o_orderdate AS DATE) AS "DATE" FROM orders)
+SELECT *, sha256(concat_ws('||', o_orderkey, "YEAR", "MONTH", "DAY", CAST("DATE" AS VARCHAR))) AS hash_id FROM p""",
     "compose_date": 'SELECT o_orderkey, CAST(o_orderdate AS DATE) AS "DATE" FROM orders',
     "pad_key": f"SELECT o_orderkey, {_pad_sql('month')} AS month_text, {_pad_sql('day')} AS day_text FROM orders",
 }
@@ -516,6 +526,7 @@ QUERIES: dict[str, Query] = {
     "orphan_documents": q_orphan_documents,
     "compose_date": q_compose_date,
     "pad_key": q_pad_key,
+    "dated_row_hash": q_dated_row_hash,
     "delta_inserts": q_delta_inserts,
     "delta_matched": q_delta_matched,
     "delta_updates": q_delta_updates,

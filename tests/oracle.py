@@ -37,13 +37,25 @@ def digest(columns, rows):
     return hashlib.sha256("\n".join(lines).encode()).hexdigest()
 
 
+# DuckDB type names as Spark's
+TYPES = {
+    "BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double",
+    "BOOLEAN": "boolean", "DATE": "date", "TIMESTAMP": "timestamp_ntz",
+}
+
+
 def compare(spark_df, con, sql):
     s_cols = spark_df.columns
+    s_types = dict(spark_df.dtypes)
     s_rows = [tuple(r) for r in spark_df.collect()]
+    rel = con.sql(sql)
+    d_types = {c: TYPES.get(str(t).split("(")[0], str(t)) for c, t in zip(rel.columns, rel.types)}
     res = con.execute(sql)
     d_cols = [c[0] for c in res.description]
     d_rows = res.fetchall()
     return {
+        "types_match": s_types == d_types,
+        "types": (s_types, d_types),
         "rows": (len(s_rows), len(d_rows)),
         "columns_match": sorted(s_cols) == sorted(d_cols),
         "columns": (s_cols, d_cols),

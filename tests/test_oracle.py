@@ -23,6 +23,7 @@ def test_query_matches_oracle(spark, con, name):
         return
     r = compare(df, con, ORACLES[name])
     assert r["columns_match"], r["columns"]
+    assert r["types_match"], r["types"]
     assert r["rows"][0] == r["rows"][1], r["rows"]
     assert r["values_match"], (sorted(r["spark_rows"])[:5], sorted(r["duck_rows"])[:5])
 
