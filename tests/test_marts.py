@@ -163,3 +163,16 @@ def test_marts_plan_pushes_filter_and_prunes(spark):
     plan = buf.getvalue()
     assert "PushedFilters: [IsNotNull(l_returnflag), EqualTo(l_returnflag,R)" in plan
     assert "ReadSchema: struct<l_orderkey:bigint,l_suppkey:bigint,l_returnflag:string>" in plan
+
+
+def test_flagged_counts_non_numeric_literal_on_int_flag(spark):
+    df = spark.createDataFrame([("AA", 1, "SFO")], "AIRLINE string, CANCELLED int, DESTINATION_AIRPORT string")
+    prior = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        spark.conf.set("spark.sql.ansi.enabled", "false")
+        assert flagged_counts(df, "CANCELLED", "X", ["AIRLINE", "DESTINATION_AIRPORT"]).count() == 0
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+        with pytest.raises(Exception):
+            flagged_counts(df, "CANCELLED", "X", ["AIRLINE", "DESTINATION_AIRPORT"]).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", prior)
