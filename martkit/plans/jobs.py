@@ -59,12 +59,17 @@ def extract(
     sources: Mapping[str, str],
     targets: Mapping[str, str],
     schemas: Mapping[str, StructType | str] | None = None,
+    parallel: bool = True,
 ) -> dict[str, str]:
-    """Each CSV ``sources[name]`` to Parquet at ``targets[name]``."""
+    """Each CSV ``sources[name]`` to Parquet at ``targets[name]``, the
+    datasets as concurrent jobs."""
     schemas = schemas or {}
-    for name, path in sources.items():
-        write_parquet(read_csv(spark, path, schema=schemas.get(name)), targets[name])
-    return dict(targets)
+
+    def one(name: str) -> None:
+        write_parquet(read_csv(spark, sources[name], schema=schemas.get(name)), targets[name])
+
+    run_all({name: partial(one, name) for name in sources}, parallel)
+    return {name: targets[name] for name in sources}
 
 
 def build_marts(
