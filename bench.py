@@ -30,6 +30,14 @@ CPUS = int(os.environ.get("BENCH_CPUS", "8"))
 RUNS = 3
 
 
+def _scale_factor(path: str):
+    name = os.path.basename(path).removeprefix("sf")
+    try:
+        return float(name)
+    except ValueError:
+        return name
+
+
 def execute(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
@@ -219,7 +227,7 @@ if __name__ == "__main__":
         "value": round(sum(times.values()), 3),
         "unit": "sec",
         "queries": times,
-        "sf": os.path.basename(SF_DIR).removeprefix("sf"),
+        "sf": _scale_factor(SF_DIR),
         "cpus": CPUS,
         "stat": f"min of {RUNS} runs, noop sink",
         "reference_form": {"ours": ours, "reference_shape": reference},
