@@ -7,6 +7,7 @@ through a sink write to a fresh folder under the session's checkpoint folder.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -411,9 +412,21 @@ def q_table_readback(spark, sf_dir):
     return readback_check(expected, read_table(spark, "parquet", path=path))
 
 
-def q_full_run(spark, sf_dir):
-    """Extract (CSV) -> transform -> load (Parquet sink), then compare each
-    loaded table with its staged mart."""
+_RUNS: dict[tuple[int, str], tuple[str, dict[str, str]]] = {}
+_RUNS_LOCK = threading.Lock()
+
+
+def _full_run(spark, sf_dir) -> tuple[str, dict[str, str]]:
+    """One extract -> transform -> load run per session and scale factor,
+    shared by the checks below: (sink root, staged mart paths)."""
+    with _RUNS_LOCK:
+        done = _RUNS.get((id(spark), sf_dir))
+        if done is None:
+            done = _RUNS[(id(spark), sf_dir)] = _run_pipeline(spark, sf_dir)
+        return done
+
+
+def _run_pipeline(spark, sf_dir):
     fact, car, pl = _star(spark, sf_dir)
     root = scratch_path(spark, "full_run")
     sources = {}
@@ -433,6 +446,13 @@ def q_full_run(spark, sf_dir):
     staged = jobs.run(
         spark, sources, f"{root}/staging", jobs.parquet_sink(sink_root), jobs.Roles(flag_value=CANCELLED)
     )
+    return sink_root, staged
+
+
+def q_full_run(spark, sf_dir):
+    """Extract (CSV) -> transform -> load (Parquet sink), then compare each
+    loaded table with its staged mart."""
+    sink_root, staged = _full_run(spark, sf_dir)
     checks = [
         readback_check(read_parquet(spark, path), read_parquet(spark, f"{sink_root}/{name}"))
         .select(F.lit(name).alias("mart"), "*")
@@ -444,11 +464,24 @@ def q_full_run(spark, sf_dir):
     return out
 
 
+def _loaded(mart: str) -> Query:
+    def query(spark, sf_dir):
+        sink_root, _ = _full_run(spark, sf_dir)
+        return read_parquet(spark, f"{sink_root}/{mart}")
+
+    query.__doc__ = f"The {mart} mart as loaded by the full run (CSV in, Parquet warehouse out)."
+    return query
+
+
 def _count_sql(name: str) -> str:
     return f"(SELECT count(*) FROM ({MART_SQL[name]}))"
 
 
 SOURCE_SQL = {
+    "loaded_avg_flight": MART_SQL["dim_average"],
+    "loaded_airline_in_airport": MART_SQL["rank_within"],
+    "loaded_flights_cancellation": MART_SQL["flagged_counts"],
+    "loaded_airport_notin_thelist": MART_SQL["orphan_counts"],
     "parquet_roundtrip": MART_SQL["rank_within"],
     "csv_roundtrip": "SELECT CAST(s_suppkey AS INTEGER) AS s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier",
     "copy_datasets": """SELECT 'supplier' AS dataset, s_suppkey AS key, s_name AS name FROM supplier
@@ -538,6 +571,10 @@ QUERIES: dict[str, Query] = {
     "copy_datasets": q_copy_datasets,
     "table_readback": q_table_readback,
     "full_run": q_full_run,
+    "loaded_avg_flight": _loaded("avg_flight"),
+    "loaded_airline_in_airport": _loaded("airline_in_airport"),
+    "loaded_flights_cancellation": _loaded("flights_cancellation"),
+    "loaded_airport_notin_thelist": _loaded("airport_notin_thelist"),
     "incremental_extract": q_incremental_extract,
     "incremental_load": q_incremental_load,
 }
