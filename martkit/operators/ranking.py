@@ -87,8 +87,10 @@ def _value_ranks(
     """One row per distinct (parts, value) with its rank, as ``__r_i`` columns + ``__rank``."""
     order = _order(value, descending)
     hist = df.groupBy(*parts, value).agg(F.count(F.lit(1)).alias("__n"))
-    n_ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cut = hist.repartitionByRange(n_ranges, *[F.col(p) for p in parts], order).withColumn(
+    # Without an explicit count, AQE sizes the ranges to the advisory partition
+    # size and merges only neighbouring ranges, so range numbers stay in order.
+    by = [*[F.col(p) for p in parts], order]
+    cut = (hist.repartitionByRange(ranges, *by) if ranges else hist.repartitionByRange(*by)).withColumn(
         "__b", F.spark_partition_id()
     )
     before = Window.unboundedPreceding
