@@ -71,3 +71,20 @@ def test_apply_inserts_is_not_changed_by_its_own_append(spark, tmp_path):
     inserted = apply_inserts(src, tgt, "IATA_CODE", append)
     assert inserted.count() == 40  # still 40 after the append
     assert spark.read.parquet(target).count() == 100
+
+
+def test_replayed_insert_batch_inserts_nothing_twice(spark, tmp_path):
+    """A batch applied again after a failure (the stream replays it) finds its
+    keys already in the target and appends nothing."""
+    target = str(tmp_path / "airlines")
+    row_hash(spark.createDataFrame([("AA", "American")], SCHEMA)).write.parquet(target)
+    batch = row_hash(spark.createDataFrame([("AA", "American"), ("UA", "United")], SCHEMA))
+
+    def append(df):
+        df.write.mode("append").parquet(target)
+
+    first = apply_inserts(batch, spark.read.parquet(target), "IATA_CODE", append)
+    replay = apply_inserts(batch, spark.read.parquet(target), "IATA_CODE", append)
+    assert [r.IATA_CODE for r in first.collect()] == ["UA"]
+    assert replay.count() == 0
+    assert sorted(r.IATA_CODE for r in spark.read.parquet(target).collect()) == ["AA", "UA"]
