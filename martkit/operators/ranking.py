@@ -24,7 +24,10 @@ holding a whole group, whatever the values:
 4. join the ranks back to the input rows on (group, value).
 
 Ties never straddle two ranges, because a (group, value) pair is one row when
-the ranges are cut.
+the ranges are cut.  The numbered pairs are written once to the checkpoint
+folder: both uses of the range numbers must see the same cut, whether or not
+Spark reuses the exchange, and a recomputation after a lost executor re-reads
+the numbers instead of cutting again.
 """
 
 from __future__ import annotations
@@ -36,6 +39,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martkit.operators.sizing import BroadcastPolicy, dimension
+from martkit.session import materialize
 
 
 def _order(col: str, descending: bool) -> Column:
@@ -90,9 +94,13 @@ def _value_ranks(
     # Without an explicit count, AQE sizes the ranges to the advisory partition
     # size and merges only neighbouring ranges, so range numbers stay in order.
     by = [*[F.col(p) for p in parts], order]
-    cut = (hist.repartitionByRange(ranges, *by) if ranges else hist.repartitionByRange(*by)).withColumn(
+    numbered = (hist.repartitionByRange(ranges, *by) if ranges else hist.repartitionByRange(*by)).withColumn(
         "__b", F.spark_partition_id()
     )
+    # The numbering feeds two branches (range totals and in-range prefixes).
+    # Evaluated twice, each would sample its own range bounds, so it is written
+    # once to the checkpoint folder and both branches read the same numbers.
+    cut = materialize(numbered, "rank_ranges")
     before = Window.unboundedPreceding
     # rows of the same group in earlier ranges
     totals = cut.groupBy(*parts, "__b").agg(F.sum("__n").alias("__bn"))

@@ -176,3 +176,20 @@ def test_flagged_counts_non_numeric_literal_on_int_flag(spark):
             flagged_counts(df, "CANCELLED", "X", ["AIRLINE", "DESTINATION_AIRPORT"]).collect()
     finally:
         spark.conf.set("spark.sql.ansi.enabled", prior)
+
+
+def test_distributed_rank_without_exchange_reuse(spark):
+    """The range numbering must not depend on Spark reusing the range exchange."""
+    rnd = random.Random(1)
+    rows = [("hot" if i % 3 == 0 else f"g{rnd.randint(0, 30)}", rnd.randint(0, 5000), i) for i in range(20000)]
+    df = spark.createDataFrame(rows, "p string, v int, id int").repartition(13)
+    expected = sorted(tuple(r) for r in rank_within(df, "p", "v", method="window").collect())
+    saved = {k: spark.conf.get(k) for k in ("spark.sql.exchange.reuse", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.exchange.reuse", "false")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        got = sorted(tuple(r) for r in rank_within(df, "p", "v", method="distributed", ranges=16).collect())
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
+    assert got == expected
