@@ -93,7 +93,7 @@ def visit_counts(
 
     The rolled-up fact is partitioned by all three keys, while the joins are on
     origin and on carrier, so here a broadcast saves two exchanges: both
-    dimensions are measured in one bounded job and hinted when they fit.
+    dimensions are measured in one map-side counting job and hinted when they fit.
     """
     dest_name = dest_name or dest
     label_name = label_name or carrier_label

@@ -1,14 +1,15 @@
 """Size-checked broadcast of dimension tables.
 
 A broadcast hint is only placed on a side whose size has been measured: one
-bounded job counts at most ``max_rows + 1`` rows and their bytes.  A side over
-either bound gets no hint; the planner then uses a shuffle join, and AQE may
-still switch to a broadcast at run time from the real shuffle size.
-
-Cost: each task of the check stops after ``max_rows + 1`` rows, so a small
-dimension is read once, and a dimension far beyond the bound costs at most one
-pass over its projected columns (the one or two columns the join needs), far
-less than the fact it is joined to.  All dimensions of one operator share one job.
+job counts its rows and bytes.  A side over either bound gets no hint; the
+planner then uses a shuffle join, and AQE may still switch to a broadcast at
+run time from the real shuffle size.
+
+Cost: one pass over the projected columns (the one or two the join needs),
+counted map-side, so only one small row per task is shuffled.  (A
+``limit(n)`` would stop reading early, but its global limit gathers up to n
+rows from every task into a single task.)  All dimensions of one operator
+share one job.
 """
 
 from __future__ import annotations
@@ -58,26 +59,25 @@ def _width(df: DataFrame, field: T.StructField) -> Column:
     return F.coalesce(F.octet_length(col), F.lit(0))
 
 
-def _bounded_size(df: DataFrame, max_rows: int, index: int) -> DataFrame:
+def _size(df: DataFrame, index: int) -> DataFrame:
     width = F.lit(ROW_OVERHEAD)
     for field in df.schema.fields:
         width = width + _width(df, field)
-    return df.limit(max_rows + 1).agg(
-        F.lit(index).alias("i"), F.count(F.lit(1)).alias("rows"), F.sum(width).alias("bytes")
-    )
+    return df.agg(F.lit(index).alias("i"), F.count(F.lit(1)).alias("rows"), F.sum(width).alias("bytes"))
 
 
-def measure_many(dfs: list[DataFrame], max_rows: int) -> list[tuple[int, int]]:
-    """(rows, bytes) of each frame, counting no further than ``max_rows + 1``
-    rows of each; one job for all of them, one small row per frame returned."""
+def measure_many(dfs: list[DataFrame], max_rows: int | None = None) -> list[tuple[int, int]]:
+    """(rows, bytes) of each frame; one job for all of them, one small row per
+    frame returned to the driver.  ``max_rows`` is accepted for callers that
+    state their bound; the count is exact either way."""
     if not dfs:
         return []
-    parts = [_bounded_size(df, max_rows, i) for i, df in enumerate(dfs)]
+    parts = [_size(df, i) for i, df in enumerate(dfs)]
     found = {r["i"]: (int(r["rows"]), int(r["bytes"] or 0)) for r in reduce(DataFrame.unionByName, parts).collect()}
     return [found[i] for i in range(len(dfs))]
 
 
-def measure(df: DataFrame, max_rows: int) -> tuple[int, int]:
+def measure(df: DataFrame, max_rows: int | None = None) -> tuple[int, int]:
     return measure_many([df], max_rows)[0]
 
 
