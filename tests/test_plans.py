@@ -68,3 +68,10 @@ def test_null_profile_single_aggregate(spark):
     df = spark.range(100).select(*[(F.when(F.col("id") % (i + 2) == 0, None).otherwise(F.col("id"))).alias(f"c{i}") for i in range(12)])
     text = plan(null_profile(df), "simple")
     assert text.count("HashAggregate") == 2  # one partial, one final, for all 12 columns
+
+
+def test_top_100_is_take_ordered(spark):
+    """The top-100 keeps at most 100 rows per task before the final merge."""
+    text = plan(checks.q_flagged_top(spark, SF), "simple")
+    assert "TakeOrderedAndProject(limit=100" in text
+    assert "GlobalLimit" not in text
