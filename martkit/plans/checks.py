@@ -451,6 +451,15 @@ def _run_pipeline(spark, sf_dir, variant):
     return sink_root, staged
 
 
+def q_readback_check(spark, sf_dir):
+    """The flagship mart written through the format-parameterised
+    sink, read back, and compared row for row with what was written."""
+    mart = q_rank_within(spark, sf_dir)
+    path = scratch_path(spark, "airline_in_airport_table")
+    write_table(mart, "parquet", path=path)
+    return readback_check(mart, read_table(spark, "parquet", path=path))
+
+
 def q_full_run(spark, sf_dir):
     """Extract (CSV) -> transform -> load (Parquet sink), then compare each
     loaded table with its staged mart."""
@@ -492,6 +501,8 @@ SOURCE_SQL = {
 UNION ALL SELECT 'customer' AS dataset, c_custkey AS key, c_name AS name FROM customer""",
     "table_readback": """SELECT count(*) AS expected_rows, count(*) AS actual_rows, CAST(0 AS BIGINT) AS missing_rows,
        CAST(0 AS BIGINT) AS extra_rows, true AS matches FROM orders""",
+    "readback_check": f"""SELECT {_count_sql('rank_within')} AS expected_rows, {_count_sql('rank_within')} AS actual_rows,
+       CAST(0 AS BIGINT) AS missing_rows, CAST(0 AS BIGINT) AS extra_rows, true AS matches""",
     "full_run": "\nUNION ALL\n".join(
         f"SELECT '{mart}' AS mart, {_count_sql(q)} AS expected_rows, {_count_sql(q)} AS actual_rows, "
         "CAST(0 AS BIGINT) AS missing_rows, CAST(0 AS BIGINT) AS extra_rows, true AS matches"
@@ -574,6 +585,7 @@ QUERIES: dict[str, Query] = {
     "csv_roundtrip": q_csv_roundtrip,
     "copy_datasets": q_copy_datasets,
     "table_readback": q_table_readback,
+    "readback_check": q_readback_check,
     "full_run": q_full_run,
     "loaded_avg_flight": _loaded("avg_flight"),
     "loaded_airline_in_airport": _loaded("airline_in_airport"),
