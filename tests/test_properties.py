@@ -103,3 +103,36 @@ def test_rank_matches_brute_force(spark, data, descending):
     for method, kw in (("window", {}), ("histogram", {}), ("distributed", {"ranges": 3})):
         got = {r.i: r.ranking for r in rank_within(df, "g", "v", method=method, descending=descending, **kw).collect()}
         assert got == expected, method
+
+
+delta_rows = st.lists(st.tuples(st.sampled_from(["k1", "k2", "k3", "k4", None]), st.sampled_from(["a", "b"])), max_size=12)
+
+
+@SETTINGS
+@given(src=delta_rows, tgt=delta_rows)
+def test_delta_matches_brute_force(spark, src, tgt):
+    from martkit.functions.keys import row_hash
+    from martkit.operators.delta import classify_delta, delta_inserts, delta_matched, delta_updates, upsert_snapshot
+
+    schema = "k string, v string"
+    s = row_hash(spark.createDataFrame(src, schema))
+    t = row_hash(spark.createDataFrame(tgt, schema))
+    t_keys = {k for k, _ in tgt if k is not None}
+    t_rows = set(tgt)  # the digest covers the key, so "digest in target" == "row in target"
+
+    def action(k, v):
+        if k is None or k not in t_keys:
+            return "insert"
+        return "unchanged" if (k, v) in t_rows else "update"
+
+    def pairs(df, *cols):
+        return brute_sorted([tuple(r[c] for c in cols) for r in df.collect()])
+
+    assert pairs(classify_delta(s, t, "k"), "k", "v", "action") == brute_sorted([(k, v, action(k, v)) for k, v in src])
+    assert pairs(delta_inserts(s, t, "k"), "k", "v") == brute_sorted([r for r in src if action(*r) == "insert"])
+    assert pairs(delta_matched(s, t, "k"), "k") == brute_sorted([(k,) for k, _ in src if k is not None and k in t_keys])
+    assert pairs(delta_updates(s, t, "k"), "k") == brute_sorted([(k,) for k, v in src if action(k, v) == "update"])
+    changed = [r for r in src if action(*r) != "unchanged"]
+    changed_keys = {k for k, _ in changed}
+    expected = [r for r in tgt if r[0] not in changed_keys or r[0] is None] + changed
+    assert pairs(upsert_snapshot(s, t, "k"), "k", "v") == brute_sorted(expected)
