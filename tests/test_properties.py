@@ -136,3 +136,20 @@ def test_delta_matches_brute_force(spark, src, tgt):
     changed_keys = {k for k, _ in changed}
     expected = [r for r in tgt if r[0] not in changed_keys or r[0] is None] + changed
     assert pairs(upsert_snapshot(s, t, "k"), "k", "v") == brute_sorted(expected)
+
+
+@SETTINGS
+@given(exp=delta_rows, act=delta_rows)
+def test_readback_matches_brute_force(spark, exp, act):
+    from collections import Counter
+
+    from martkit.operators.quality import readback_check
+
+    schema = "k string, v string"
+    r = readback_check(spark.createDataFrame(exp, schema), spark.createDataFrame(act, schema)).collect()[0]
+    ce, ca = Counter(exp), Counter(act)
+    missing = sum((ce - ca).values())
+    extra = sum((ca - ce).values())
+    assert (r.expected_rows, r.actual_rows, r.missing_rows, r.extra_rows, r.matches) == (
+        len(exp), len(act), missing, extra, missing == 0 and extra == 0,
+    )
