@@ -28,9 +28,11 @@ from martkit.sources.tables import read_table, table_id, write_table
 Sink = Callable[[DataFrame, str], None]
 
 
+# The defaults below are the flight data's own column names and
+# its cancelled-flag value.
 @dataclass(frozen=True)
 class Roles:
-    """Which columns play which part.  Defaults: the flight data's own names."""
+    """Which columns play which part."""
 
     carrier: str = "AIRLINE"
     origin: str = "ORIGIN_AIRPORT"
