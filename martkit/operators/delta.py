@@ -25,7 +25,9 @@ def _keys(key: str | Sequence[str]) -> list[str]:
 
 
 def _target_keys(tgt: DataFrame, keys: list[str]) -> DataFrame:
-    return tgt.select(*[F.col(k).alias(f"__t_{k}") for k in keys])
+    """The target's distinct keys.  Deduplicated map-side, so a key stored many
+    times is one row when the join partitions are built."""
+    return tgt.select(*[F.col(k).alias(f"__t_{k}") for k in keys]).distinct()
 
 
 def _key_match(src: DataFrame, tk: DataFrame, keys: list[str]) -> Column:
@@ -58,7 +60,7 @@ def delta_updates(
 ) -> DataFrame:
     """Matched rows whose digest is not among the target's digests."""
     matched = delta_matched(src, tgt, key, hash_col)
-    th = tgt.select(F.col(hash_col).alias("__t_hash"))
+    th = tgt.select(F.col(hash_col).alias("__t_hash")).distinct()
     return matched.join(th, matched[hash_col] == th["__t_hash"], "left_anti")
 
 
@@ -77,7 +79,7 @@ def classify_delta(
     map-side), so each source row meets at most one row in each left join.
     """
     keys = _keys(key)
-    tk = _target_keys(tgt, keys).distinct().withColumn("__has_key", F.lit(True))
+    tk = _target_keys(tgt, keys).withColumn("__has_key", F.lit(True))
     th = tgt.select(F.col(hash_col).alias("__t_hash")).distinct().withColumn("__has_hash", F.lit(True))
     flagged = src.join(tk, _key_match(src, tk, keys), "left").join(
         th, src[hash_col] == th["__t_hash"], "left"
