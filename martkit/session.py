@@ -76,7 +76,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     is local (tests); on a cluster a missing setting is an error, because a
     machine-local folder would not survive the loss of an executor.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect session has no SparkContext
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder") from None
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
