@@ -135,11 +135,13 @@ def flagged_counts(
     """
     keys = list(keys)
     count_of = count_of or keys[0]
+    # the rollup keeps count_of as a key so its NULLs can be told apart
+    rolled = keys + ([count_of] if count_of not in keys else [])
     condition = F.col(flag) == F.lit(value)
     if isinstance(fact, Rollup):
-        r = as_rollup(fact.filter(condition), keys + [flag])
+        r = as_rollup(fact.filter(condition), rolled + [flag])
     else:
-        r = as_rollup(fact.filter(condition), keys, distribute_by=distribute_by)
+        r = as_rollup(fact.filter(condition), rolled, distribute_by=distribute_by)
     counted = F.when(F.col(count_of).isNotNull(), F.col(ROWS)).otherwise(F.lit(0))
     out = r.groupBy(*keys).agg(F.sum(counted).cast("bigint").alias(name))
     if order_by is None:

@@ -5,6 +5,7 @@ import io
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from martkit.operators.marts import dim_average, flagged_counts, orphan_counts, visit_counts
 from martkit.operators.ranking import rank_within
@@ -193,3 +194,13 @@ def test_distributed_rank_without_exchange_reuse(spark):
         for k, v in saved.items():
             spark.conf.set(k, v)
     assert got == expected
+
+
+def test_flagged_counts_of_a_non_key_column(spark):
+    df = spark.createDataFrame(
+        [("AA", "SFO", 1, "x"), ("AA", "SFO", 1, None), ("AA", "SFO", 0, "y"), ("BB", "SFO", 1, "z")],
+        "AIRLINE string, DEST string, CANCELLED int, NOTE string",
+    )
+    got = sorted(map(tuple, flagged_counts(df, "CANCELLED", "1", ["AIRLINE", "DEST"], count_of="NOTE", name="n").collect()))
+    want = sorted(map(tuple, df.filter("CANCELLED = 1").groupBy("AIRLINE", "DEST").agg(F.count("NOTE").alias("n")).collect()))
+    assert got == want == [("AA", "SFO", 1), ("BB", "SFO", 1)]
