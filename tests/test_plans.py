@@ -75,3 +75,25 @@ def test_top_100_is_take_ordered(spark):
     text = plan(checks.q_flagged_top(spark, SF), "simple")
     assert "TakeOrderedAndProject(limit=100" in text
     assert "GlobalLimit" not in text
+
+
+def test_visit_counts_broadcasts_only_measured_dimensions(spark):
+    from martkit.operators.marts import visit_counts
+    from martkit.operators.sizing import BroadcastPolicy
+
+    fact = spark.range(2000).select(
+        (F.col("id") % 11).alias("carrier"), (F.col("id") % 5).alias("origin"), (F.col("id") % 7).alias("dest")
+    )
+    carriers_df = spark.range(11).select(F.col("id").alias("code"), F.col("id").cast("string").alias("name"))
+    places_df = spark.range(5).select(F.col("id").alias("code"))
+    kw = dict(origin="origin", dest="dest", carrier="carrier", place_key="code", carrier_key="code",
+              carrier_label="name", order=False)
+    prior = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # only our hint may broadcast
+    try:
+        within = plan(visit_counts(fact, places_df, carriers_df, **kw), "simple")
+        beyond = plan(visit_counts(fact, places_df, carriers_df, broadcast=BroadcastPolicy(max_rows=3), **kw), "simple")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prior)
+    assert within.count("BroadcastHashJoin") == 2
+    assert beyond.count("SortMergeJoin") == 2 and "BroadcastHashJoin" not in beyond
