@@ -170,6 +170,7 @@ def orphan_counts(
     so without a hint only the dimension moves.
     """
     r = as_rollup(fact, [fact_key], distribute_by=distribute_by)
-    d = dimension(dim.select(F.col(dim_key).alias("__dk")), False if broadcast is None else broadcast)
+    # an anti-join needs each listed key once; duplicates are combined map-side
+    d = dimension(dim.select(F.col(dim_key).alias("__dk")).distinct(), False if broadcast is None else broadcast)
     orphans = r.join(d, r[fact_key] == d["__dk"], "left_anti")
     return orphans.groupBy(fact_key).agg(F.sum(ROWS).alias(name))
