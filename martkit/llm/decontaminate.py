@@ -32,7 +32,8 @@ from martkit.llm.common import alnum_words, byte_values, stage, table
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 BLOCK_BYTES = 32 * 1024 * 1024
-MATCHES = "n_words long, spans array<struct<first:long,last:long>>, items array<string>"
+SPANS = "array<struct<first:long,last:long>>"
+MATCHES = f"n_words long, spans {SPANS}, items array<string>"
 _AUTOMATA: dict = {}
 
 
@@ -132,7 +133,6 @@ def _matcher(items: list, window: int):
     return match
 
 
-@arrow_udf("array<struct<first:long,last:long>>")
 def _union_spans(a: pa.Array, b: pa.Array) -> pa.Array:
     rows = []
     for x, y in zip(a.to_pylist(), b.to_pylist(), strict=True):
@@ -157,7 +157,7 @@ def benchmark_matches(
         out = stage(out, "matches").select("*", match.alias("_next"))
         out = out.withColumn(into, F.struct(
             F.col(f"{into}.n_words").alias("n_words"),
-            _union_spans(F.col(f"{into}.spans"), F.col("_next.spans")).alias("spans"),
+            arrow_udf(_union_spans, SPANS)(F.col(f"{into}.spans"), F.col("_next.spans")).alias("spans"),
             F.array_sort(F.array_union(f"{into}.items", "_next.items")).alias("items"),
         )).drop("_next")
     return out
@@ -167,8 +167,7 @@ def hit_words(match):
     return F.aggregate(match["spans"], F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"] + 1)
 
 
-@arrow_udf("array<struct<start:long,stop:long>>")
-def character_spans(texts: pa.Array, spans: pa.Array) -> pa.Array:
+def _character_spans(texts: pa.Array, spans: pa.Array) -> pa.Array:
     """Word spans as character offsets (stop excluded) of the original text."""
     rows = []
     for raw, places in zip(byte_values(texts), spans.to_pylist(), strict=True):
@@ -187,7 +186,8 @@ def contamination_spans(docs: DataFrame, benchmark: DataFrame, key: str = "doc_i
     """One row per hit passage: key, first and last word, start and stop character."""
     matched = benchmark_matches(docs.select(key, text), benchmark, text, **options)
     hit = matched.where(F.size("match.spans") > 0)
-    place = F.arrays_zip(F.col("match.spans"), character_spans(F.col(text), F.col("match.spans")).alias("at"))
+    characters = arrow_udf(_character_spans, "array<struct<start:long,stop:long>>")
+    place = F.arrays_zip(F.col("match.spans").alias("spans"), characters(F.col(text), F.col("match.spans")).alias("at"))
     return hit.select(key, F.explode(place).alias("p")).select(key, "p.spans.*", "p.at.*")
 
 
