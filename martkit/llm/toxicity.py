@@ -41,7 +41,7 @@ class Settings:
     bits: int = 20  # 2**bits buckets of n-grams
     shrink: float = 5.0  # texts a ratio must outweigh before it departs from 0
     min_z: float = 3.0  # ratios within so many standard errors of 0 get no weight
-    fit_rows: int = 8000  # texts of each class for the fit, at most
+    fit_rows: int = 1500  # texts of each class for the fit, at most
     l2: float = 1e-4
     steps: int = 300
     rate: float = 0.05
@@ -128,8 +128,9 @@ def fit_sample(labelled: DataFrame, ratios: np.ndarray, s: Settings):
 def fit(lists: list[np.ndarray], toxic: np.ndarray, ratios: np.ndarray, s: Settings) -> tuple[np.ndarray, float]:
     """Logistic regression on ratio-scaled features by adaptive gradient steps."""
     used, columns = np.unique(np.concatenate([*lists, np.zeros(0, np.int32)]), return_inverse=True)
-    rows = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-    scaled = ratios[used].astype(np.float64)
+    columns = columns.astype(np.int32)
+    rows = np.repeat(np.arange(len(lists), dtype=np.int32), [len(x) for x in lists])
+    scaled = ratios[used].astype(np.float32)
     values = scaled[columns]
     y = toxic.astype(np.float64)
     share = min(max(y.mean(), 1 / len(y)), 1 - 1 / len(y))
