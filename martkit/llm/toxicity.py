@@ -88,11 +88,12 @@ def class_counts(labelled: DataFrame, s: Settings) -> tuple[np.ndarray, np.ndarr
         .groupBy("bucket")
         .agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
         .where("toxic + other > 1 OR bucket = " + str(size))
-        .toPandas()
+        .toArrow()
     )
     sums = np.zeros((2, size + 1), dtype=np.int64)
-    sums[0][rows["bucket"]] = rows["toxic"]
-    sums[1][rows["bucket"]] = rows["other"]
+    bucket, sums_toxic, sums_other = (rows[c].to_numpy() for c in ("bucket", "toxic", "other"))
+    sums[0][bucket] = sums_toxic
+    sums[1][bucket] = sums_other
     return sums[0][:size], sums[1][:size], int(sums[0][size]), int(sums[1][size])
 
 
