@@ -14,22 +14,19 @@ def read_csv(
     path: str | Sequence[str],
     schema: StructType | str | None = None,
     header: bool = True,
-    sampling_ratio: float | None = None,
     **options: str,
 ) -> DataFrame:
     """CSV scan with a header row.
 
     Without ``schema`` the types are inferred, which costs one extra pass over
-    the input; on large inputs pass ``schema`` (or a ``sampling_ratio``) so the
-    scan is read once.
+    the input; on large inputs pass ``schema`` so the scan is
+    read once; a value that does not fit its declared type then raises.
     """
     reader = spark.read.option("header", header)
     if schema is not None:
-        reader = reader.schema(schema)
+        reader = reader.schema(schema).option("mode", "FAILFAST")
     else:
         reader = reader.option("inferSchema", True)
-        if sampling_ratio is not None:
-            reader = reader.option("samplingRatio", sampling_ratio)
     for key, value in options.items():
         reader = reader.option(key, value)
     return reader.csv(path)

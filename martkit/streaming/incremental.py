@@ -78,7 +78,9 @@ def load_incremental(
     def current_target(like):
         try:
             return spark.read.parquet(target)
-        except AnalysisException:  # nothing loaded yet
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise  # a target that is there but cannot be read is no empty target
             return spark.createDataFrame([], like.schema)
 
     def load_batch(batch, _batch_id):
