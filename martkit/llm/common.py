@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martkit.session import materialize, scratch_path  # noqa: F401  (re-exported)
+from martkit.session import scratch_path
 
 # bytes.split() with no argument cuts at exactly space and \x09-\x0D.
 ALNUM_SEPARATORS = bytes(
@@ -53,6 +53,7 @@ def held_out(id_column, modulus: int, remainder: int):
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared checkpoint folder and read it back; the
     shuffle files of what came before can then be cleaned."""
-    out = materialize(df, name)
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
     gc.collect()
-    return out
+    return df.sparkSession.read.parquet(path)

@@ -8,9 +8,13 @@ sets meet on equal fragments (for each interval of set sizes one more fragment
 than differences allowed).  For the pairs that meet, the common shingles are
 counted fragment by fragment and summed per pair.
 
-A fragment's group links each member to its smallest member and to its
-neighbours in order of key, never all pairs; see the README for what that can
-miss inside a group whose members do not reach each other through such pairs.
+A group of sets that meet is not expanded into pairs.  Each member is compared
+with the smallest; then, round by round, groups whose members are still in
+different components compare a growing share of their members, at the end all,
+with the members of other components.  Pairs inside a component need no
+comparison, so no link that would join two components is lost.  A fragment that
+is empty in both sets tells nothing; sets with an empty fragment also meet on
+the first shingles of the order, by the prefix length of the threshold.
 
 Defined cases: null or wordless texts have empty sets and no links; null keys
 are left out of the links; repeated rows are one class; empty tables give no rows.
@@ -70,7 +74,10 @@ def signatures(s: np.ndarray, threshold: float) -> list[int]:
         filled = np.flatnonzero(sums)
         tagged = (sums[filled] ^ (filled.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))) * ROLL + np.uint64(number)
         out += tagged.view(np.int64).tolist()
-    return out
+        if len(filled) < parts:
+            prefix = s[: len(s) - math.ceil(threshold * len(s) - 1e-9) + 1]
+            out += ((prefix ^ (prefix >> np.uint64(27))) * ROLL + np.uint64(1)).view(np.int64).tolist()
+    return list(dict.fromkeys(out))
 
 
 def links(sets: DataFrame, threshold: float) -> DataFrame:
@@ -79,13 +86,32 @@ def links(sets: DataFrame, threshold: float) -> DataFrame:
         lambda col: pa.array([signatures(np.frombuffer(b, "<u8"), threshold) for b in byte_values(col)], pa.list_(pa.int64())),
         "array<long>",
     )
-    met = sets.where("n > 0").select("c", F.explode(marks("s")).alias("m"))
+    met = sets.where("n > 0").select("c", "n", F.explode(marks("s")).alias("m"))
     groups = met.groupBy("m").agg(F.min("c").alias("a"), F.count("*").alias("k")).where("k > 1")
     held = stage(met.join(groups, "m"), "met")
-    hub = held.select("a", F.col("c").alias("b"))
-    near = Window.partitionBy("m").orderBy("c")
-    chain = held.where("k < 1000").select(F.lag("c").over(near).alias("a"), F.col("c").alias("b"))
-    pairs = stage(hub.unionByName(chain).where("a < b").distinct(), "pairs")
+    first = held.where("a < c").select("a", F.col("c").alias("b")).distinct()
+    found = stage(verified(first, sets, threshold), "links")
+    share = 1
+    while True:
+        now = held.join(components(found), "c", "left").withColumn("root", F.coalesce("root", "c"))
+        split = now.groupBy("m").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("m")
+        open_ = stage(now.join(split, "m").select("m", "c", "n", "k", "root"), "open")
+        largest = open_.agg(F.max("k")).first()[0]
+        if largest is None:
+            return found
+        chosen = open_.where(F.pmod(F.xxhash64("c", "m"), "k") < share).select("m", F.col("c").alias("b"), F.col("n").alias("o"), F.col("root").alias("r"))
+        near = (F.col("root") != F.col("r")) & (F.least("n", "o") >= F.greatest("n", "o") * (threshold - 1e-9))
+        pairs = chosen.join(open_, "m").where(near).select(F.least("b", "c").alias("a"), F.greatest("b", "c").alias("b")).distinct()
+        found = stage(found.unionByName(verified(pairs, sets, threshold)).distinct(), "links")
+        if share >= largest:
+            return found
+        share *= 16
+
+
+def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (a, b) that reach the threshold: common shingles are counted
+    fragment by fragment and summed."""
+    pairs = stage(pairs, "pairs")
 
     def cut(side: str) -> DataFrame:
         fragment = arrow_udf(

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from martkit.llm.common import byte_values, held_out, space_words, stage, table
+from martkit.llm.common import byte_values, held_out, stage, table
 
 ORDER = 4
 BLOCK_BYTES = 8 << 20
@@ -45,7 +45,7 @@ SYMBOL_BITS = 9
 
 def blocks(docs: DataFrame, key: str, text: str, train: Column, block_bytes: int) -> DataFrame:
     """(k, x, trained, block): consecutive texts, at most ``block_bytes`` or one text."""
-    plain = docs.select(F.col(key).alias("k"), F.encode(F.coalesce(F.col(text), F.lit("")), "utf-8").alias("x"), train.alias("trained"))
+    plain = docs.select(F.col(key).alias("k"), F.encode(F.coalesce(F.col(text), F.lit("")), "utf-8").alias("x"), F.coalesce(train, F.lit(False)).alias("trained"))
     schema = StructType([*plain.schema.fields, StructField("block", LongType())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -63,21 +63,38 @@ def blocks(docs: DataFrame, key: str, text: str, train: Column, block_bytes: int
     return stage(plain.mapInArrow(cut, schema), "blocks")
 
 
-def longest_grams(texts: list[bytes], order: int) -> np.ndarray:
-    """For each byte of each text and its end: its context of ``order`` bytes
-    (zeros before the text), last byte lowest, and the symbol."""
+def compact(codes: np.ndarray, bound: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes, all below ``bound``, and the number of each code among them."""
+    if bound > max(1 << 20, 4 * len(codes)):
+        return np.unique(codes, return_inverse=True)
+    seen = np.zeros(bound, dtype=bool)
+    seen[codes] = True
+    values = np.flatnonzero(seen)
+    number = np.zeros(bound, dtype=np.int32)
+    number[values] = np.arange(len(values), dtype=np.int32)
+    return values, number[codes]
+
+
+def longest_grams(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct grams, and the gram of each byte and end of the texts in turn.
+    A gram is the context of ``order`` bytes (zeros before the text), last byte
+    lowest, and the symbol.  Contexts are numbered one byte longer at a time."""
     pad = bytes(order)
-    codes = np.frombuffer(b"".join(pad + t + b"\0" for t in texts), dtype=np.uint8).astype(np.int64)
+    codes = np.frombuffer(b"".join(pad + t + b"\0" for t in texts), dtype=np.uint8)
     lengths = np.array([len(t) for t in texts], dtype=np.int64) + order + 1
     stops = np.cumsum(lengths)
-    context = np.zeros(len(codes), dtype=np.int64)
-    for back in range(1, order + 1):
-        context[back:] |= codes[:-back] << (8 * (back - 1))
-    codes[stops - 1] = END
     predicted = np.ones(len(codes), dtype=bool)
     for i in range(order):
         predicted[stops - lengths + i] = False
-    return (context[predicted] << SYMBOL_BITS) | codes[predicted]
+    at = np.flatnonzero(predicted).astype(np.int32 if len(codes) < 1 << 31 else np.int64)
+    ids, contexts = np.zeros(len(at), dtype=np.int32), np.zeros(1, dtype=np.int64)
+    for back in range(1, order + 1):
+        values, ids = compact(ids.astype(np.int64) * 256 + codes[at - back], len(contexts) * 256)
+        contexts = contexts[values // 256] | (values % 256 << (8 * (back - 1)))
+    symbols = codes.astype(np.int16)
+    symbols[stops - 1] = END
+    values, ids = compact(ids.astype(np.int64) * (END + 1) + symbols[at], len(contexts) * (END + 1))
+    return (contexts[values // (END + 1)] << SYMBOL_BITS) | values % (END + 1), ids
 
 
 def shortened(grams: np.ndarray, length: int, order: int) -> np.ndarray:
@@ -106,19 +123,22 @@ def gather(order: int):
                 part = batch.filter(pa.array(held == block))
                 texts = [raw.lower() for raw in byte_values(part.column("x"))]
                 trained = part.column("trained").to_pylist()
-                visited = np.unique(longest_grams(texts, order))
-                taught = [t for t, yes in zip(texts, trained, strict=True) if yes]
-                grams, times = np.unique(longest_grams(taught, order), return_counts=True) if taught else (visited[:0],) * 2
+                visited, ids = longest_grams(texts, order)
+                use = np.repeat(np.array(trained, dtype=bool), [len(t) + 1 for t in texts])
+                times = np.bincount(ids[use], minlength=len(visited))
+                del ids, use
                 for length in range(order + 1):
-                    short, where = np.unique(shortened(grams, length, order), return_inverse=True)
-                    yield _rows(GRAM, block, short, np.bincount(where, times, len(short)).astype(np.int64))
-                    nodes = np.unique(shortened(visited, length, order) >> SYMBOL_BITS)
+                    short, where = np.unique(shortened(visited, length, order), return_inverse=True)
+                    n = np.bincount(where, times, len(short)).astype(np.int64)
+                    yield _rows(GRAM, block, short[n > 0], n[n > 0])
+                    nodes = np.unique(short >> SYMBOL_BITS)
                     yield _rows(NODE, block, nodes, np.zeros(len(nodes), np.int64))
-                words: Counter = Counter({b"": 0})
-                for t, yes in zip(texts, trained, strict=True):
-                    for w, n in Counter(space_words(t)).items():
-                        words[word_key(w)] += n if yes else 0
-                    words[b""] += bool(yes)
+                words = Counter(b" ".join(t for t, yes in zip(texts, trained, strict=True) if yes).split())
+                for w in set(b" ".join(t for t, yes in zip(texts, trained, strict=True) if not yes).split()):
+                    words.setdefault(w, 0)
+                for w in [w for w in words if len(w) >= 32]:
+                    words[word_key(w)] = words.pop(w)
+                words[b""] = sum(trained)  # the end
                 size = len(words)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([WORD] * size, pa.int32()), pa.array([block] * size, pa.int64()), pa.nulls(size, pa.int64()),
@@ -199,19 +219,20 @@ def score_block(order: int, n: int, v: int):
         rows = (node << SYMBOL_BITS) | flat.field("sym").to_numpy(zero_copy_only=False).astype(np.int64)
         rows, keep = np.unique(rows, return_index=True)
         counts = flat.field("n").to_numpy(zero_copy_only=False).astype(np.int64)[keep]
-        grams, where = np.unique(longest_grams(raws, order), return_inverse=True)
+        grams, where = longest_grams(raws, order)
         each = log_probabilities(grams, rows, counts, order)[where]
         starts = np.cumsum([0, *(len(t) + 1 for t in raws[:-1])])
         total = np.add.reduceat(each, starts)
         told = answers.filter(pa.compute.is_valid(answers.column("w")))
         known = dict(zip(told.column("w").to_pylist(), told.column("c").to_pylist(), strict=True))
+        logs = {w: math.log10((c + 1) / floor) for w, c in known.items()}
+        unknown = math.log10(1 / floor)
         n_tokens, n_known, base = [], [], []
         for raw in raws:
-            words = Counter(space_words(raw))
-            times = [(known.get(word_key(w), 0), m) for w, m in words.items()] + [(known.get(b"", 0), 1)]
-            n_tokens.append(sum(m for _, m in times))
-            n_known.append(sum(m for c, m in times if c))
-            base.append(math.fsum(m * math.log10((c + 1) / floor) for c, m in times))
+            words = [logs.get(w if len(w) < 32 else word_key(w), unknown) for w in raw.split()] + [logs.get(b"", unknown)]
+            n_tokens.append(len(words))
+            n_known.append(len(words) - words.count(unknown))  # a known one's is larger
+            base.append(math.fsum(words))
         return pa.table({
             "k": texts.column("k"), "trained": texts.column("trained"), "n_tokens": pa.array(n_tokens, pa.int64()),
             "n_known": pa.array(n_known, pa.int64()), "base_score": pa.array(base, pa.float64()), "score": pa.array(total, pa.float64()),

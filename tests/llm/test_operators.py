@@ -99,3 +99,38 @@ def test_empty_tables(spark, name):
     assert license_scan(empty).count() == 0
     assert pack_texts(empty, default_tokenizer()).count() == 0
     assert quality_report(empty).count() == 0
+
+
+@pytest.mark.parametrize(("words", "threshold"), [(1, 0.9), (1, 0.8), (2, 0.8)])
+def test_near_duplicates_keep_every_chain(spark, words, threshold):
+    """Chains of small steps whose ends are far apart, and small sets."""
+    r = random.Random(words * 10 + int(10 * threshold))
+    texts = []
+    for size in (5, 9, 10, 12, 20, 40):
+        for _ in range(3):
+            now = [f"w{r.randrange(10**6)}" for _ in range(size)]
+            for _ in range(14):
+                texts.append(" ".join(now))
+                now = list(now)
+                for _ in range(r.randrange(1, 1 + max(1, size // 10))):
+                    now[r.randrange(len(now))] = f"w{r.randrange(10**6)}"
+    r.shuffle(texts)
+    sets = []
+    for t in texts:
+        w = t.split()
+        sets.append({tuple(w[i : i + words]) for i in range(len(w) - words + 1)})
+    root = list(range(len(sets)))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(sets)):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= round(100 * threshold) * len(sets[i] | sets[j]):
+                a, b = sorted((top(i), top(j)))
+                root[b] = a
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = near_duplicates(docs, words=words, threshold=threshold).collect()
+    assert {x.doc_id: x.component_id for x in got} == {i: top(i) for i in range(len(sets))}
