@@ -80,17 +80,13 @@ def signatures(s: np.ndarray, threshold: float) -> list[int]:
     return list(dict.fromkeys(out))
 
 
-def links(sets: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (a, b) of classes that reach the threshold; sets: (c, s, n)."""
-    marks = arrow_udf(
-        lambda col: pa.array([signatures(np.frombuffer(b, "<u8"), threshold) for b in byte_values(col)], pa.list_(pa.int64())),
-        "array<long>",
-    )
-    met = sets.where("n > 0").select("c", "n", F.explode(marks("s")).alias("m"))
+def links(classes: DataFrame, texts: DataFrame, words: int, threshold: float) -> DataFrame:
+    """Pairs (a, b) of classes (c, n, marks) that reach the threshold; texts: (c, x)."""
+    met = classes.select("c", "n", F.explode("marks").alias("m"))
     groups = met.groupBy("m").agg(F.min("c").alias("a"), F.count("*").alias("k")).where("k > 1")
     held = stage(met.join(groups, "m"), "met")
     first = held.where("a < c").select("a", F.col("c").alias("b")).distinct()
-    found = stage(verified(first, sets, threshold), "links")
+    found = stage(verified(first, texts, words, threshold), "links")
     share = 1
     while True:
         now = held.join(components(found), "c", "left").withColumn("root", F.coalesce("root", "c"))
@@ -102,16 +98,20 @@ def links(sets: DataFrame, threshold: float) -> DataFrame:
         chosen = open_.where(F.pmod(F.xxhash64("c", "m"), "k") < share).select("m", F.col("c").alias("b"), F.col("n").alias("o"), F.col("root").alias("r"))
         near = (F.col("root") != F.col("r")) & (F.least("n", "o") >= F.greatest("n", "o") * (threshold - 1e-9))
         pairs = chosen.join(open_, "m").where(near).select(F.least("b", "c").alias("a"), F.greatest("b", "c").alias("b")).distinct()
-        found = stage(found.unionByName(verified(pairs, sets, threshold)).distinct(), "links")
+        found = stage(found.unionByName(verified(pairs, texts, words, threshold)).distinct(), "links")
         if share >= largest:
             return found
         share *= 16
 
 
-def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+def verified(pairs: DataFrame, texts: DataFrame, words: int, threshold: float) -> DataFrame:
     """The pairs (a, b) that reach the threshold: common shingles are counted
-    fragment by fragment and summed."""
+    fragment by fragment and summed.  Only texts in pairs become sets again."""
     pairs = stage(pairs, "pairs")
+    named = pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct()
+    build = arrow_udf(lambda col: pa.array([shingles(b, words).tobytes() for b in byte_values(col)], pa.binary()), "binary")
+    sets = texts.join(named, "c", "left_semi").select("c", build("x").alias("s"))
+    sets = stage(sets.withColumn("n", (F.octet_length("s") / 8).cast("long")).dropDuplicates(["c", "s"]), "sets")
 
     def cut(side: str) -> DataFrame:
         fragment = arrow_udf(
@@ -153,13 +153,20 @@ def components(pairs: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3, threshold: float = 0.9) -> DataFrame:
     """One row per document: key, n_shingles, component_id."""
-    build = arrow_udf(lambda col: pa.array([shingles(b, words).tobytes() for b in byte_values(col)], pa.binary()), "binary")
-    coded = docs.select(F.col(key).alias("k"), build(F.col(text)).alias("s"))
-    coded = coded.withColumn("n", (F.octet_length("s") / 8).cast("long")).withColumn("d", F.sha2("s", 256))
-    coded = stage(coded, "sets")
+
+    @arrow_udf("struct<n:long,d:binary,marks:array<long>>")
+    def code(col: pa.Array) -> pa.Array:
+        out = []
+        for raw in byte_values(col):
+            found = shingles(raw, words)
+            out.append({"n": len(found), "d": hashlib.blake2b(found.tobytes(), digest_size=16).digest(), "marks": signatures(found, threshold)})
+        return pa.array(out, pa.struct([("n", pa.int64()), ("d", pa.binary()), ("marks", pa.list_(pa.int64()))]))
+
+    coded = stage(docs.select(F.col(key).alias("k"), code(F.col(text)).alias("v")).select("k", "v.*"), "coded")
     classes = coded.where("n > 0 AND k IS NOT NULL").groupBy("d").agg(F.min("k").alias("c"))
-    first = coded.join(classes, "d").where("k = c").dropDuplicates(["d"]).select("c", "s", "n")
-    found = components(links(stage(first, "classes"), threshold))
+    first = coded.join(classes, "d").where("k = c").dropDuplicates(["d"]).select("c", "n", "marks")
+    texts = docs.select(F.col(key).alias("c"), F.col(text).alias("x"))
+    found = components(links(first, texts, words, threshold))
     member = coded.select("k", "n", "d").join(classes, "d", "left").join(found, "c", "left")
     return member.select(
         F.col("k").alias(key), F.col("n").alias("n_shingles"),
