@@ -8,7 +8,7 @@ shorter context is used without the symbols just ruled out, down to a uniform
 choice.  A score is the log10 probability of the whole text and its end.
 
 * The trie covers all training texts and lives in a table: rows (context,
-  followers), at most 257 followers each.
+  followers), at most 257 followers each, a count and a symbol in one long.
 * Texts are cut into blocks of bounded bytes.  Each block asks the table for the
   contexts it visits, by an equi-join, and is scored beside its answer in one
   cogroup: memory follows the block, not the corpus; nothing is broadcast and
@@ -216,9 +216,9 @@ def score_block(order: int, n: int, v: int):
         sizes = pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
         flat = lists.flatten()
         node = np.repeat(asked.column("node").to_numpy().astype(np.int64), sizes)
-        rows = (node << SYMBOL_BITS) | flat.field("sym").to_numpy(zero_copy_only=False).astype(np.int64)
-        rows, keep = np.unique(rows, return_index=True)
-        counts = flat.field("n").to_numpy(zero_copy_only=False).astype(np.int64)[keep]
+        follow = flat.to_numpy(zero_copy_only=False).astype(np.int64)
+        rows, keep = np.unique((node << SYMBOL_BITS) | (follow & ((1 << SYMBOL_BITS) - 1)), return_index=True)
+        counts = follow[keep] >> SYMBOL_BITS
         grams, where = longest_grams(raws, order)
         each = log_probabilities(grams, rows, counts, order)[where]
         starts = np.cumsum([0, *(len(t) + 1 for t in raws[:-1])])
@@ -247,7 +247,7 @@ def ppm_scores(docs: DataFrame, train: Column, key: str = "doc_id", text: str =
     held = blocks(docs, key, text, train, block_bytes)
     seen = stage(held.select("x", "trained", "block").mapInArrow(gather(order), SEEN), "seen")
     follow = seen.where(F.col("kind") == GRAM).groupBy("code").agg(F.sum("n").alias("n"))
-    symbol = F.struct(F.col("code").bitwiseAND((1 << SYMBOL_BITS) - 1).cast("int").alias("sym"), "n")
+    symbol = F.shiftleft("n", SYMBOL_BITS).bitwiseOR(F.col("code").bitwiseAND((1 << SYMBOL_BITS) - 1))
     trie = follow.groupBy(F.shiftright("code", SYMBOL_BITS).alias("node")).agg(F.collect_list(symbol).alias("children"))
     visits = seen.where(F.col("kind") == NODE).select("block", F.col("code").alias("node"))
     word = seen.where(F.col("kind") == WORD).select("block", "w", "n")
