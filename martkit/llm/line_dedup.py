@@ -4,20 +4,28 @@ The lines of all documents form sequences of line ids.  Prefix doubling names
 every run of 1, 2, 4, ... lines: the names of a length are the ranks of its
 distinct (name, next name) pairs in a range-partitioned sort, so their order is
 the order of the suffixes.  Only runs found twice stay in play, which the next
-length needs alone.  Suffixes that share a name form a longest-common-prefix
-interval of that length; all but the first place (lowest key, then line) are
-later copies.  A maximal repeated run is the union of two intervals of the
-largest doubling length in it, so deleting the later copies at every doubling
-length deletes it.  A copy counts if it has at least ``min_words`` words at one
-of these lengths: with the default, every repeated run of 50 words or more
-loses at least one half, mostly all of it.
+length needs alone.
+
+A repeated run counts from ``min_words`` words.  Two kinds of window cover
+exactly the lines of all maximal repeated runs of that size: the shortest run
+of ``min_words`` words that starts at a line, and the shortest that ends at it
+(a line of a longer run lies in one that ends at the line, or in the one that
+starts the run).  Equal windows are the longest-common-prefix intervals of
+their length: a window of n lines is named by the names of its first and its
+last 2^j lines, 2^j the largest power not above n.  All but the first place of
+an interval (lowest key, then line) are later copies, and their lines go.  A
+line has at least one word, so a window has at most ``min_words`` lines, and
+doubling ends at that length however long the copied runs are.
 
 Each round is a map-side combined grouping and two equi-joins over the runs
 still in play; every level is written to the shared folder.
 
 Defined cases: null and empty texts and lines without words never match and
-stay; documents with a null key stay as they are; runs never cross documents; rows with equal keys are ordered by their
-text; a text left without lines is empty; empty tables stay empty.
+stay; documents with a null key stay as they are; runs never cross documents
+or lines without words; rows equal in key and text are one document, so each
+loses the same lines; rows equal in key alone are ordered by the hash of their
+text; a text left without lines is empty; empty tables stay empty; other
+columns pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -31,19 +39,40 @@ from martkit.llm.common import stage, table
 MIN_WORDS = 25
 
 
+PLACE = ["k", "t", "at"]
+
+
 def numbered_lines(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(k, t, at, line, words): t tells equal keys apart."""
-    base = docs.select(F.col(key).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("x"))
+    """(k, t, at, id, words) of lines with words; t tells equal keys apart."""
+    base = docs.select(F.col(key).alias("k"), F.col(text).alias("x")).where("k IS NOT NULL AND x IS NOT NULL")
     rows = base.select("k", F.xxhash64("x").alias("t"), F.posexplode(F.split("x", "\n", -1)).alias("at", "line"))
-    return rows.withColumn("words", F.regexp_count("line", F.lit(r"[^\x20\x09-\x0D]+")))
+    words = F.regexp_count("line", F.lit(r"[^\x20\x09-\x0D]+"))
+    rows = rows.select(*PLACE, F.unhex(F.md5("line")).alias("id"), words.alias("words")).where("words > 0")
+    # one exchange serves the grouping here and the windows over a document
+    return rows.repartition("k", "t").groupBy(*PLACE).agg(F.first("id").alias("id"), F.first("words").alias("words"))
+
+
+def smallest_windows(lines: DataFrame, min_words: int) -> DataFrame:
+    """(k, t, at, n): the shortest runs of ``min_words`` words that start or end at a line."""
+    own = Window.partitionBy("k", "t")
+    # words before and up to a line; both grow with every line
+    sums = lines.select(*PLACE, "words", F.sum("words").over(own.orderBy("at")).alias("upto"))
+    sums = sums.withColumn("before", F.col("upto") - F.col("words"))
+    ahead = own.orderBy("before").rangeBetween(0, min_words - 1)
+    behind = own.orderBy("upto").rangeBetween(1 - min_words, 0)
+    ends = F.struct(F.col("at"), F.count("*").over(ahead).alias("n"), (F.max("upto").over(ahead) - F.col("before")).alias("w"), F.max("at").over(ahead).alias("last"))
+    starts = F.struct(F.min("at").over(behind).alias("at"), F.count("*").over(behind).alias("n"), (F.col("upto") - F.min("before").over(behind)).alias("w"), F.col("at").alias("last"))
+    both = sums.select("k", "t", ends.alias("e"), starts.alias("s")).select("k", "t", F.explode(F.array("e", "s")).alias("v"))
+    # a line without words between two others breaks the run
+    whole = both.select("k", "t", "v.*").where((F.col("w") >= min_words) & (F.col("last") - F.col("at") == F.col("n") - 1))
+    return whole.select(*PLACE, F.col("n").cast("int").alias("n")).distinct()
 
 
 def _named(pairs: DataFrame) -> DataFrame:
-    """Names of the values found twice, in their order: (a, b, name, first)."""
-    where = F.struct("k", "t", "at")
-    found = pairs.groupBy("a", "b").agg(F.min(where).alias("first"), F.count("*").alias("n")).where("n > 1")
+    """Names of the values found twice, in their order: (a, b, name)."""
+    found = pairs.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1").select("a", "b")
     ranked = found.repartitionByRange("a", "b").sortWithinPartitions("a", "b")
-    return stage(ranked.select("a", "b", "first", F.monotonically_increasing_id().alias("name")), "names")
+    return stage(ranked.withColumn("name", F.monotonically_increasing_id()), "names")
 
 
 def _shifted(level: DataFrame, by: int) -> DataFrame:
@@ -51,33 +80,26 @@ def _shifted(level: DataFrame, by: int) -> DataFrame:
 
 
 def repeated_runs(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """(k, t, at, n): runs of n lines from line ``at`` that stand earlier too."""
-    lines = stage(numbered_lines(docs, key, text).where("words > 0")
-                  .select("k", "t", "at", F.sha2("line", 256).alias("id"), "words"), "lines")
-    place = ["k", "t", "at"]
-    pairs = lines.select(*place, F.col("id").alias("a"), F.lit(0).alias("b"))
-    levels = []
-    while True:
-        names = _named(pairs)
-        level = pairs.join(names, ["a", "b"]).select(*place, "name", (F.col("first") < F.struct(*place)).alias("later"))
-        level = stage(level, "level")
-        if level.isEmpty():
-            break
-        levels.append(level)
-        pairs = level.select(*place, F.col("name").alias("a")).join(_shifted(level, 1 << (len(levels) - 1)), place)
-    if not levels:
-        return lines.select(*place, F.lit(0).alias("n")).where("false")
-    runs = None
-    for k, level in enumerate(levels):
-        part = level.where("later").select(*place, F.lit(1 << k).alias("n"))
-        runs = part if runs is None else runs.unionByName(part)
-    # words of a run, from sums up to each line of its document
-    upto = Window.partitionBy("k", "t").orderBy("at")
-    sums = lines.select(*place, F.sum("words").over(upto).alias("upto"), "words")
-    start = runs.join(sums, place).withColumn("before", F.col("upto") - F.col("words")).drop("upto", "words")
-    stop = sums.select("k", "t", (F.col("at") + 1).alias("stop"), "upto")
-    whole = start.withColumn("stop", F.col("at") + F.col("n")).join(stop, ["k", "t", "stop"])
-    return whole.where(F.col("upto") - F.col("before") >= min_words).select(*place, "n")
+    """(k, t, at, n): windows of n lines from line ``at`` that stand earlier too;
+    together they are the later copies of all maximal repeated runs."""
+    lines = stage(numbered_lines(docs, key, text), "lines")
+    windows = stage(smallest_windows(lines, min_words), "windows")
+    pairs = lines.select(*PLACE, F.col("id").alias("a"), F.lit(0).alias("b"))
+    found, size = None, 1
+    while size <= min_words:
+        level = stage(pairs.join(_named(pairs), ["a", "b"]).select(*PLACE, "name"), "level")
+        # windows of size to 2 * size - 1 lines, by the names of both their ends
+        own = windows.where(F.col("n").between(size, 2 * size - 1)).withColumn("back", F.col("at") + F.col("n") - size)
+        tails = level.select("k", "t", F.col("at").alias("back"), F.col("name").alias("b"))
+        named = own.join(level.withColumnRenamed("name", "a"), PLACE).join(tails, ["k", "t", "back"])
+        part = named.select(*PLACE, "n", "a", "b")
+        found = part if found is None else found.unionByName(part)
+        pairs = level.select(*PLACE, F.col("name").alias("a")).join(_shifted(level, size), PLACE)
+        size *= 2
+    found = stage(found, "runs")
+    same = ["n", "a", "b"]
+    first = found.groupBy(*same).agg(F.min(F.struct(*PLACE)).alias("first"), F.count("*").alias("times")).where("times > 1")
+    return found.join(first, same).where(F.struct(*PLACE) > F.col("first")).select(*PLACE, "n")
 
 
 def deleted_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
@@ -90,15 +112,16 @@ def deleted_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_
 def drop_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, report: str | None = None) -> DataFrame:
     """``docs`` with the deleted lines taken out of ``text``; with ``report``
     a column of that name counts them."""
-    gone = deleted_lines(docs, key, text, min_words).select(F.col("k").alias("_k"), F.col("t").alias("_t"), F.col("gone").alias("_gone"))
-    own = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
-    keyed = docs.withColumn("_own", own)
-    joined = keyed.join(gone, (keyed[key] == gone["_k"]) & (F.col("_own") == F.col("_t")), "left")
-    left = F.filter(F.split(F.col(text), "\n", -1), lambda _, i: ~F.array_contains(F.col("_gone"), i))
-    out = F.when(F.col("_gone").isNull(), F.col(text)).otherwise(F.array_join(left, "\n"))
-    columns = [out.alias(c) if c == text else F.col(c) for c in docs.columns]
+    gone = deleted_lines(docs, key, text, min_words)
+    # the caller's columns travel inside one struct, so no name can clash
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(key).alias("k"), F.xxhash64(text).alias("t"))
+    joined = keyed.join(gone, ["k", "t"], "left")
+    own = F.col("row").getField(text)
+    left = F.filter(F.split(own, "\n", -1), lambda _, i: ~F.array_contains(F.col("gone"), i))
+    out = F.when(F.col("gone").isNull(), own).otherwise(F.array_join(left, "\n"))
+    columns = [(out if c == text else F.col("row").getField(c)).alias(c) for c in docs.columns]
     if report:
-        columns.append(F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias(report))
+        columns.append(F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias(report))
     return joined.select(*columns)
 
 

@@ -49,15 +49,25 @@ def test_line_dedup_against_brute_force(spark):
     places = [(i, p) for i in docs for p in range(len(docs[i]))]
     gone = {i: set() for i in docs}
     for i, p in places:
-        n = 1
-        while p + n <= len(docs[i]) and all(count(x) for x in docs[i][p : p + n]):
+        for n in range(1, len(docs[i]) - p + 1):
             run = docs[i][p : p + n]
+            if not all(map(count, run)):
+                break
             if sum(map(count, run)) >= 8 and any((j, q) < (i, p) and docs[j][q : q + n] == run for j, q in places):
                 gone[i] |= set(range(p, p + n))
-            n *= 2
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {x.doc_id: x.n for x in drop_repeated_lines(df, min_words=8, report="n").collect()}
-    assert got == {i: len(v) for i, v in gone.items()}
+    kept = {i: t and "\n".join(x for p, x in enumerate(docs[i]) if p not in gone[i]) for i, t in rows}
+    got = drop_repeated_lines(df, min_words=8, report="n").collect()
+    assert {x.doc_id: (x.n, x.text) for x in got} == {i: (len(v), kept[i]) for i, v in gone.items()}
+    assert any(gone.values())
+
+
+def test_line_dedup_of_nulls_repeated_rows_and_clashing_names(spark):
+    run = "\n".join(f"l{i} " + "w " * 9 for i in range(4))
+    rows = [(1, run, 7, "p"), (1, run, 8, "q"), (None, run, 9, "r"), (2, "own\n" + run, None, "s"), (3, None, 1, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, k long, gone string")
+    got = drop_repeated_lines(df).collect()
+    assert sorted(map(tuple, got), key=str) == sorted([*rows[:3], (2, "own", None, "s"), rows[4]], key=str)
 
 
 def test_license_places(spark):
