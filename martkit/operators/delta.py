@@ -5,6 +5,11 @@ Source and target carry a business key and a row digest (see
 ``functions.row_hash``).  Every set is computed from one plan over the source
 and the target as they are *before* any write; ``apply_inserts`` cuts the
 lineage first, so appending to the target cannot change the rows appended.
+
+The sets of D2 to D4 match keys as SQL does: a NULL key equals nothing.  What
+is *applied* to a target (``apply_inserts``, ``upsert_snapshot``) matches NULL
+keys with NULL keys and takes one source row per key, the one with the largest
+digest, so a delivery that is replayed changes nothing.
 """
 
 from __future__ import annotations
@@ -34,6 +39,27 @@ def _key_match(src: DataFrame, tk: DataFrame, keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [src[k] == tk[f"__t_{k}"] for k in keys])
 
 
+def _same_key(left: DataFrame, right: DataFrame, keys: list[str], prefix: str) -> Column:
+    """Null-safe match of ``left``'s keys with ``right``'s prefixed ones."""
+    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[f"{prefix}{k}"]) for k in keys])
+
+
+def one_per_key(src: DataFrame, key: str | Sequence[str], hash_col: str = "hash_id") -> DataFrame:
+    """One row per key (NULL is a key like any other): the one with the largest
+    digest (a row without one counts as the smallest; rows alike in that, and
+    sources without such a column, go by a hash of the row).  ``max_by`` combines
+    map-side, so a key repeated many times never gathers in one task."""
+    keys = _keys(key)
+    rest = [c for c in src.columns if c not in keys]
+    if not rest:
+        return src.distinct()
+    order = [F.xxhash64(*rest)]
+    if hash_col in rest:
+        order.insert(0, F.coalesce(F.col(hash_col).cast("string"), F.lit("")))
+    best = F.max_by(F.struct(*rest), F.struct(*order)).alias("__row")
+    return src.groupBy(*keys).agg(best).select(*[F.col(c) if c in keys else F.col("__row")[c].alias(c) for c in src.columns])
+
+
 def delta_inserts(src: DataFrame, tgt: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Source rows whose key is absent from the target (a left anti-join)."""
     keys = _keys(key)
@@ -98,15 +124,23 @@ def upsert_snapshot(
     """The target after applying the source: inserted and updated source rows,
     plus every target row whose key the source did not change.
 
+    Keys match null-safely, with one source row per key (``one_per_key``).  A
+    source row is applied when no target row of its key has its digest; then all
+    old rows of the key go.  Applying the same source again changes nothing.
+    The first join is on key and digest, so a key holding many target rows is
+    spread over the partitions; in the second the target is the side that
+    adaptive execution may split.
+
     Columns and order are the target's.  Write it to a new location and swap;
     reading and overwriting one path in one job is not safe.
     """
     keys = _keys(key)
-    changes = classify_delta(src, tgt, keys, hash_col, "__action").filter(F.col("__action") != UNCHANGED)
-    changed_keys = changes.select(*[F.col(k).alias(f"__c_{k}") for k in keys]).distinct()
-    kept = tgt.join(
-        changed_keys, reduce(lambda a, b: a & b, [tgt[k] == changed_keys[f"__c_{k}"] for k in keys]), "left_anti"
-    )
+    new = one_per_key(src, keys, hash_col)
+    stored = tgt.select(*[F.col(k).alias(f"__t_{k}") for k in keys], F.col(hash_col).alias("__t_hash")).distinct()
+    same = _same_key(new, stored, keys, "__t_") & new[hash_col].eqNullSafe(stored["__t_hash"])
+    changes = new.join(stored, same, "left_anti")
+    gone = changes.select(*[F.col(k).alias(f"__c_{k}") for k in keys])
+    kept = tgt.join(gone, _same_key(tgt, gone, keys, "__c_"), "left_anti")
     return kept.unionByName(changes.select(*tgt.columns))
 
 
@@ -115,13 +149,19 @@ def apply_inserts(
     tgt: DataFrame,
     key: str | Sequence[str],
     write: Callable[[DataFrame], None],
+    hash_col: str = "hash_id",
 ) -> DataFrame:
     """Append the insert set through ``write`` and return it.
 
     The set is written once to the session's checkpoint folder before the write:
     the target is read lazily, and without that cut an append would change what
-    the insert set contains on any later evaluation.
+    the insert set contains on any later evaluation.  Keys match null-safely and
+    a key repeated in the source is inserted once (``one_per_key``), so applying
+    the same source again appends nothing.
     """
-    inserts = materialize(delta_inserts(src, tgt, key), "delta_inserts")
+    keys = _keys(key)
+    new = one_per_key(src, keys, hash_col)
+    tk = tgt.select(*[F.col(k).alias(f"__t_{k}") for k in keys]).distinct()
+    inserts = materialize(new.join(tk, _same_key(new, tk, keys, "__t_"), "left_anti"), "delta_inserts")
     write(inserts)
     return inserts

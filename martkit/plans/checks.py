@@ -17,6 +17,7 @@ from pyspark.sql.types import StructType
 from martkit.functions.dates import compose_date, pad_part
 from martkit.functions.keys import row_hash
 from martkit.operators.delta import (
+    apply_inserts,
     classify_delta,
     delta_inserts,
     delta_matched,
@@ -26,10 +27,9 @@ from martkit.operators.delta import (
 from martkit.operators.marts import dim_average, flagged_counts, orphan_counts, visit_counts
 from martkit.operators.quality import null_profile, readback_check
 from martkit.operators.ranking import rank_within
-from martkit.operators.sizing import decide_many
 from martkit.plans import jobs
 from martkit.plans.shipments import CANCELLED, SQL_CTES, carriers, load_tables, places, shipments
-from martkit.session import scratch_path
+from martkit.session import materialize, scratch_path
 from martkit.sources.contracts import MART_SCHEMAS, conform
 from martkit.sources.files import copy_datasets, read_csv, read_parquet, write_csv, write_parquet
 from martkit.sources.tables import read_table, write_table
@@ -82,17 +82,10 @@ def q_visit_counts_distributed(spark, sf_dir):
     return q_visit_counts(spark, sf_dir, distribute_by=["dest"])
 
 
-def q_rank_within(spark, sf_dir, method=None):
-    """The flagship mart, planned as ``jobs.build_marts`` plans it: the carriers
-    are measured once, and that measurement both places the broadcast hint and
-    bounds the rows a destination's window can hold."""
-    if method is None:
-        _, car, pl = _star(spark, sf_dir)
-        car_bc, pl_bc = decide_many([(car.select("s_suppkey", "s_name"), None), (pl.select("n_nationkey"), None)])
-        visits = q_visit_counts(spark, sf_dir, order=False, broadcast=car_bc, broadcast_places=pl_bc)
-        method = jobs.visits_rank_method(car_bc)
-    else:
-        visits = q_visit_counts(spark, sf_dir, order=False)
+def q_rank_within(spark, sf_dir, method=jobs.VISITS_RANK_METHOD):
+    """The flagship mart, planned as ``jobs.build_marts`` plans it at every size:
+    the visits are written once, and both the ranks and the joined rows read them."""
+    visits = materialize(q_visit_counts(spark, sf_dir, order=False), "visits")
     ranked = rank_within(visits, "DESTINATION_AIRPORT", "Count_visit_per_airline", method=method)
     return conform(ranked, MART_SCHEMAS["airline_in_airport"])
 
@@ -336,6 +329,32 @@ def q_upsert_snapshot(spark, sf_dir):
     return upsert_snapshot(src, tgt, "s_suppkey")
 
 
+def messy_pair(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Whole suppliers with NULL and repeated keys on both sides: the key is
+    NULL for keys divisible by 11, and the source holds each row once more with
+    '+' after its name."""
+    s = _table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    s = s.withColumn("s_suppkey", F.when(F.col("s_suppkey") % 11 != 0, F.col("s_suppkey")))
+    stored = s.filter("s_suppkey IS NULL OR s_suppkey % 10 <> 0")
+    return row_hash(s.union(s.withColumn("s_name", F.concat("s_name", F.lit("+"))))), row_hash(stored)
+
+
+def q_upsert_null_and_repeated_keys(spark, sf_dir):
+    """Applied twice: the second time must change nothing."""
+    src, tgt = messy_pair(spark, sf_dir)
+    return upsert_snapshot(src, upsert_snapshot(src, tgt, "s_suppkey"), "s_suppkey")
+
+
+def q_apply_inserts_replay(spark, sf_dir):
+    """The stored target after the same delivery was applied twice."""
+    src, tgt = messy_pair(spark, sf_dir)
+    path = scratch_path(spark, "apply_replay")
+    write_parquet(tgt.filter("s_suppkey IS NOT NULL"), path)
+    for _ in range(2):
+        apply_inserts(src, read_parquet(spark, path), "s_suppkey", lambda df: df.write.mode("append").parquet(path))
+    return read_parquet(spark, path)
+
+
 def q_readback_diff(spark, sf_dir):
     src, tgt = delta_pair(spark, sf_dir)
     cols = ["s_suppkey", "s_name", "s_nationkey"]
@@ -348,7 +367,23 @@ stored AS (SELECT s_suppkey, CASE WHEN s_suppkey % 7 = 0 THEN s_name || '*' ELSE
        FROM supplier WHERE s_suppkey % 10 <> 0),
 tgt AS (SELECT *, sha256(concat_ws('||', s_suppkey, s_name, s_nationkey)) AS hash_id FROM stored)"""
 
+MESSY_CTES = """s AS (SELECT CASE WHEN s_suppkey % 11 <> 0 THEN s_suppkey END AS s_suppkey, s_name, s_nationkey FROM supplier),
+both_rows AS (SELECT * FROM s UNION ALL SELECT s_suppkey, s_name || '+', s_nationkey FROM s),
+src AS (SELECT *, sha256(concat_ws('||', s_suppkey, s_name, s_nationkey)) AS hash_id FROM both_rows),
+tgt AS (SELECT *, sha256(concat_ws('||', s_suppkey, s_name, s_nationkey)) AS hash_id FROM s
+        WHERE s_suppkey IS NULL OR s_suppkey % 10 <> 0),
+best AS (SELECT * FROM src QUALIFY row_number() OVER (PARTITION BY s_suppkey ORDER BY hash_id DESC) = 1)"""
+
 DELTA_SQL = {
+    "upsert_null_and_repeated_keys": f"""WITH {MESSY_CTES},
+changed AS (SELECT * FROM best WHERE NOT EXISTS (SELECT 1 FROM tgt
+            WHERE tgt.s_suppkey IS NOT DISTINCT FROM best.s_suppkey AND tgt.hash_id = best.hash_id))
+SELECT * FROM tgt WHERE NOT EXISTS (SELECT 1 FROM changed WHERE changed.s_suppkey IS NOT DISTINCT FROM tgt.s_suppkey)
+UNION ALL SELECT * FROM changed""",
+    "apply_inserts_replay": f"""WITH {MESSY_CTES},
+old AS (SELECT * FROM tgt WHERE s_suppkey IS NOT NULL)
+SELECT * FROM old UNION ALL SELECT * FROM best
+WHERE NOT EXISTS (SELECT 1 FROM old WHERE old.s_suppkey IS NOT DISTINCT FROM best.s_suppkey)""",
     "delta_inserts": f"""WITH {DELTA_CTES}
 SELECT * FROM src WHERE NOT EXISTS (SELECT 1 FROM tgt WHERE tgt.s_suppkey = src.s_suppkey)""",
     "delta_matched": f"""WITH {DELTA_CTES}
@@ -580,6 +615,8 @@ QUERIES: dict[str, Query] = {
     "delta_updates": q_delta_updates,
     "classify_delta": q_classify_delta,
     "upsert_snapshot": q_upsert_snapshot,
+    "upsert_null_and_repeated_keys": q_upsert_null_and_repeated_keys,
+    "apply_inserts_replay": q_apply_inserts_replay,
     "readback_diff": q_readback_diff,
     "parquet_roundtrip": q_parquet_roundtrip,
     "csv_roundtrip": q_csv_roundtrip,

@@ -74,6 +74,10 @@ def extract(
     return {name: targets[name] for name in sources}
 
 
+#: one method at every size; no window holds a whole destination
+VISITS_RANK_METHOD = "histogram"
+
+
 def build_marts(
     fact: DataFrame,
     carriers: DataFrame,
@@ -84,7 +88,7 @@ def build_marts(
     cancel_limit: int | None = None,
     shared: bool = True,
     broadcast: BroadcastPolicy | bool | None = None,
-    rank_method: str | None = None,
+    rank_method: str = VISITS_RANK_METHOD,
 ) -> dict[str, DataFrame]:
     """The four marts, conformed to their contracts.
 
@@ -92,12 +96,9 @@ def build_marts(
     With ``shared`` the fact is scanned once: it is rolled up to
     (carrier, origin, dest, flag) with row counts and measure sums, written to
     the checkpoint folder, and all four marts are finished from those rows.
-    Ranking the visits (``rank_method=None`` picks): a destination has one
-    visits row per carrier label.  When the carriers dimension was measured
-    within the broadcast bound, a plain window per destination is bounded by
-    that measurement.  Otherwise the ``histogram`` method is used: the ranked
-    value is a row count, so one destination has at most sqrt(2 * its rows)
-    distinct values and no window holds more than that.
+    The visits are written once and ranked by the ``histogram`` method at every
+    size: the ranked value is a row count, so one destination has at most
+    sqrt(2 * its rows) distinct values and no window holds more than that.
     """
     r = roles
     source: DataFrame | Rollup = fact
@@ -121,9 +122,9 @@ def build_marts(
         dest_name="DESTINATION_AIRPORT", label_name="AIRLINE",
         order=False, broadcast=carriers_bc, broadcast_places=places_bc,
     )
-    visits = conform(visits, StructType(MART_SCHEMAS["airline_in_airport"].fields[:3]))
-    method = rank_method or visits_rank_method(carriers_bc)
-    ranked = rank_within(visits, "DESTINATION_AIRPORT", "Count_visit_per_airline", method=method).orderBy(
+    # written once: the ranks and the rows they join to read the same visits
+    visits = materialize(conform(visits, StructType(MART_SCHEMAS["airline_in_airport"].fields[:3])), "visits")
+    ranked = rank_within(visits, "DESTINATION_AIRPORT", "Count_visit_per_airline", method=rank_method).orderBy(
         "DESTINATION_AIRPORT", "ranking", "AIRLINE"
     )
     cancels = flagged_counts(source, r.flag, r.flag_value, [r.carrier, r.dest], limit=cancel_limit).select(
@@ -157,11 +158,6 @@ def run_all(actions: Mapping[str, Callable[[], None]], parallel: bool = True) ->
         future.result()
 
 
-def visits_rank_method(carriers_measured_small: bool) -> str:
-    """Window when every destination holds at most the measured carrier rows."""
-    return "window" if carriers_measured_small else "histogram"
-
-
 def transform(
     spark: SparkSession,
     inputs: Mapping[str, str],

@@ -85,7 +85,7 @@ def load_incremental(
 
     def load_batch(batch, _batch_id):
         hashed = row_hash(batch, list(schema.fieldNames()), name=hash_name)
-        apply_inserts(hashed, current_target(hashed), key, lambda df: df.write.mode("append").parquet(target))
+        apply_inserts(hashed, current_target(hashed), key, lambda df: df.write.mode("append").parquet(target), hash_name)
 
     reader = spark.readStream.schema(schema).option("recursiveFileLookup", "true")
     if source_format == "csv":

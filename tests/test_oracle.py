@@ -15,12 +15,13 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry_mod.queries()))
+def test_every_mart_query_has_an_oracle():
+    assert set(entry_mod.QUERIES) <= set(ORACLES)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_oracle(spark, con, name):
     df = entry_mod.queries()[name](spark, SF)
-    if name not in ORACLES:
-        assert df.count() >= 0
-        return
     r = compare(df, con, ORACLES[name])
     assert r["columns_match"], r["columns"]
     assert r["types_match"], r["types"]

@@ -97,3 +97,13 @@ def test_visit_counts_broadcasts_only_measured_dimensions(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prior)
     assert within.count("BroadcastHashJoin") == 2
     assert beyond.count("SortMergeJoin") == 2 and "BroadcastHashJoin" not in beyond
+
+
+def test_flagship_rank_holds_no_destination_in_a_window(spark):
+    """One fact scan, and the only window is over the distinct counts of a destination."""
+    from martkit.plans.checks import q_rank_within
+
+    plan = q_rank_within(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "lineitem" not in plan and "l_orderkey" not in plan  # the visits were written and read back
+    windows = [line for line in plan.splitlines() if line.strip(" :+-").startswith("Window")]
+    assert len(windows) == 1 and "rank(" not in windows[0]
