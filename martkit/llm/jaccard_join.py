@@ -13,8 +13,11 @@ with the smallest; then, round by round, groups whose members are still in
 different components compare a growing share of their members, at the end all,
 with the members of other components.  Pairs inside a component need no
 comparison, so no link that would join two components is lost.  A fragment that
-is empty in both sets tells nothing; sets with an empty fragment also meet on
-the first shingles of the order, by the prefix length of the threshold.
+is empty in both sets tells nothing, so there are some fragments to spare; a set
+with as many empty ones as fragments that must be equal also meets on the first
+shingles of the order, by the prefix length of the threshold.  Marks are
+grouped in ``PASSES`` disjoint shares, one after the other, each written before
+the next, so the disk holds the shuffle of one share only.
 
 Defined cases: null or wordless texts have empty sets and no links; null keys
 are left out of the links; repeated rows are one class; empty tables give no rows.
@@ -34,6 +37,7 @@ from pyspark.sql.functions import arrow_udf
 from martkit.llm.common import byte_values, space_words, stage, table
 
 FRAGMENTS = 8
+PASSES = 4
 ROLL = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -62,9 +66,12 @@ def interval(size: int, threshold: float) -> int:
 def signatures(s: np.ndarray, threshold: float) -> list[int]:
     """Hashes of the set's fragments, for its size interval and the next one."""
     out = []
+    rate = (1 - threshold) / (1 + threshold) * 2
+    empty = math.exp(-threshold * threshold / rate) if rate else 0.0  # share of empty fragments in the smallest sets
     for number in (interval(len(s), threshold), interval(len(s), threshold) + 1):
         largest = threshold ** -(number + 1)  # sets that meet here are smaller
-        parts = int((1 - threshold) / (1 + threshold) * 2 * largest + 1e-6) + 1
+        differ = int(rate * largest + 1e-6)
+        parts = differ + 1 + int(1.5 * empty * differ)
         if not len(s):
             continue
         where = (s >> np.uint64(32)).astype(np.int64) * parts >> 32
@@ -74,7 +81,7 @@ def signatures(s: np.ndarray, threshold: float) -> list[int]:
         filled = np.flatnonzero(sums)
         tagged = (sums[filled] ^ (filled.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))) * ROLL + np.uint64(number)
         out += tagged.view(np.int64).tolist()
-        if len(filled) < parts:
+        if len(filled) <= differ:
             prefix = s[: len(s) - math.ceil(threshold * len(s) - 1e-9) + 1]
             out += ((prefix ^ (prefix >> np.uint64(27))) * ROLL + np.uint64(1)).view(np.int64).tolist()
     return list(dict.fromkeys(out))
@@ -82,9 +89,13 @@ def signatures(s: np.ndarray, threshold: float) -> list[int]:
 
 def links(classes: DataFrame, texts: DataFrame, words: int, threshold: float) -> DataFrame:
     """Pairs (a, b) of classes (c, n, marks) that reach the threshold; texts: (c, x)."""
-    met = classes.select("c", "n", F.explode("marks").alias("m"))
-    groups = met.groupBy("m").agg(F.min("c").alias("a"), F.count("*").alias("k")).where("k > 1")
-    held = stage(met.join(groups, "m"), "met")
+    held = None
+    for number in range(PASSES):
+        own = F.expr(f"filter(marks, m -> pmod(m, {PASSES}) = {number})")
+        met = classes.select("c", "n", F.explode(own).alias("m"))
+        groups = met.groupBy("m").agg(F.min("c").alias("a"), F.count("*").alias("k")).where("k > 1")
+        part = stage(met.join(groups, "m"), "met")
+        held = part if held is None else held.unionByName(part)
     first = held.where("a < c").select("a", F.col("c").alias("b")).distinct()
     found = stage(verified(first, texts, words, threshold), "links")
     share = 1
@@ -165,6 +176,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     coded = stage(docs.select(F.col(key).alias("k"), code(F.col(text)).alias("v")).select("k", "v.*"), "coded")
     classes = coded.where("n > 0 AND k IS NOT NULL").groupBy("d").agg(F.min("k").alias("c"))
     first = coded.join(classes, "d").where("k = c").dropDuplicates(["d"]).select("c", "n", "marks")
+    first = stage(first, "classes")
     texts = docs.select(F.col(key).alias("c"), F.col(text).alias("x"))
     found = components(links(first, texts, words, threshold))
     member = coded.select("k", "n", "d").join(classes, "d", "left").join(found, "c", "left")
