@@ -96,9 +96,10 @@ def build_marts(
     With ``shared`` the fact is scanned once: it is rolled up to
     (carrier, origin, dest, flag) with row counts and measure sums, written to
     the checkpoint folder, and all four marts are finished from those rows.
-    The visits are written once and ranked by the ``histogram`` method at every
-    size: the ranked value is a row count, so one destination has at most
-    sqrt(2 * its rows) distinct values and no window holds more than that.
+    The visits are ranked by the ``histogram`` method at every size, from the
+    rollup (or, unshared, from visits written once): the ranked value is a row
+    count, so one destination has at most sqrt(2 * its rows) distinct values and
+    no window holds more than that.
     """
     r = roles
     source: DataFrame | Rollup = fact
@@ -122,8 +123,9 @@ def build_marts(
         dest_name="DESTINATION_AIRPORT", label_name="AIRLINE",
         order=False, broadcast=carriers_bc, broadcast_places=places_bc,
     )
-    # written once: the ranks and the rows they join to read the same visits
-    visits = materialize(conform(visits, StructType(MART_SCHEMAS["airline_in_airport"].fields[:3])), "visits")
+    visits = conform(visits, StructType(MART_SCHEMAS["airline_in_airport"].fields[:3]))
+    if not shared:  # the ranks and the rows they join to read the same visits, or the written rollup
+        visits = materialize(visits, "visits")
     ranked = rank_within(visits, "DESTINATION_AIRPORT", "Count_visit_per_airline", method=rank_method).orderBy(
         "DESTINATION_AIRPORT", "ranking", "AIRLINE"
     )
