@@ -8,7 +8,9 @@ labelled texts, and a logistic model is fitted on the scaled features.
   pairs of sums; the driver gets two vectors of that fixed size.
 * Fit: on at most ``fit_rows`` texts of each class (those with the smallest
   hash of their key); their selected features reach the driver, where a few
-  dozen gradient steps take seconds.  This bound does not touch the counts.
+  dozen gradient steps take seconds.  This bound does not touch the counts, and
+  the weight of a class is the root of its share of all training rows, so the
+  model's prior is the same at every size.
 * Score: one weight vector of ``buckets`` floats (4 MB) travels to the tasks;
   whole texts are scored with no shuffle.
 
@@ -126,16 +128,16 @@ def fit_sample(labelled: DataFrame, ratios: np.ndarray, s: Settings):
     return lists, np.array([bool(r.toxic) for r in rows])
 
 
-def fit(lists: list[np.ndarray], toxic: np.ndarray, ratios: np.ndarray, s: Settings) -> tuple[np.ndarray, float]:
-    """Logistic regression on ratio-scaled features by adaptive gradient steps."""
+def fit(lists: list[np.ndarray], toxic: np.ndarray, ratios: np.ndarray, share: float, s: Settings) -> tuple[np.ndarray, float]:
+    """Logistic regression on ratio-scaled features by adaptive gradient steps;
+    ``share`` is that of toxic texts in the whole table."""
     used, columns = np.unique(np.concatenate([*lists, np.zeros(0, np.int32)]), return_inverse=True)
     columns = columns.astype(np.int32)
     rows = np.repeat(np.arange(len(lists), dtype=np.int32), [len(x) for x in lists])
     scaled = ratios[used].astype(np.float32)
     values = scaled[columns]
     y = toxic.astype(np.float64)
-    share = min(max(y.mean(), 1 / len(y)), 1 - 1 / len(y))
-    weight = np.where(toxic, share**-0.5, (1 - share) ** -0.5)
+    weight = np.where(toxic, share**0.5 / max(1, toxic.sum()), (1 - share) ** 0.5 / max(1, (~toxic).sum()))
     weight /= weight.sum()
     p = np.zeros(len(used) + 1)  # the last one is the bias
     mean, square = np.zeros_like(p), np.zeros_like(p)
@@ -189,7 +191,7 @@ def train(labelled: DataFrame, settings: Settings | None = None) -> ToxicityMode
         return ToxicityModel(np.zeros(1 << s.bits, np.float32), float(bias), s)
     ratios = log_ratios(toxic, other, n_toxic, n_other, s)
     lists, labels = fit_sample(labelled, ratios, s)
-    weights, bias = fit(lists, labels, ratios, s)
+    weights, bias = fit(lists, labels, ratios, n_toxic / (n_toxic + n_other), s)
     return ToxicityModel(weights, bias, s)
 
 
