@@ -1,11 +1,12 @@
 """License scans by a positional rare-token index (operator 6), DataFrame only.
 
 The index holds every template word with its place.  A word's weight is its
-inverse document frequency over all documents; the rarest word of a template's
-key phrase is its anchor.  Documents that hold an anchor look up the postings
+inverse document frequency over all documents, a word of no document has that
+of one document; the rarest word of a template's key phrase is its anchor.  Documents that hold an anchor look up the postings
 of their licence words; postings that agree on the place where the template
-would begin are one alignment.  Its score is the share of the template's weight
-found there; a label needs its whole key phrase and a score of ``min_score``.
+would begin are one alignment.  A label needs its whole key phrase and no more,
+so it doesn't depend on the other documents; the score is the share of the
+template's weight found there, the words around the key phrase included.
 
 Only licence words of documents with an anchor are joined with the index, a
 fixed table; long documents are cut to words by one expression.
@@ -52,7 +53,7 @@ def _index(spark) -> DataFrame:
     return spark.sql(f"SELECT * FROM VALUES {', '.join(rows)} AS t(template, label, base, place, word, in_key, size, key_size)")
 
 
-def license_scan(docs: DataFrame, key: str = "doc_id", text: str = "text", min_score: float = 0.8) -> DataFrame:
+def license_scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document with labels, places of base phrases and score."""
     spark = docs.sparkSession
     vocabulary = sorted({w for t in TEMPLATES for w in t[1].split()})
@@ -70,7 +71,7 @@ def license_scan(docs: DataFrame, key: str = "doc_id", text: str = "text", min_s
     frequency = each.select("row", "word").distinct().groupBy("word").agg(F.count("*").alias("df"))
     total = cut.count()
     weight = frequency.select("word", F.log(F.lit(total + 1) / F.col("df")).alias("idf"))
-    index = _index(spark).join(weight, "word", "left").withColumn("idf", F.coalesce("idf", F.lit(1e9)))
+    index = _index(spark).join(weight, "word", "left").withColumn("idf", F.coalesce("idf", F.log(F.lit(total + 1.0))))
     anchors = index.where("in_key").groupBy("template").agg(F.max_by("word", F.struct("idf", "word")).alias("word"))
     index = index.join(index.groupBy("template").agg(F.sum("idf").alias("whole")), "template")
     held = each.join(F.broadcast(anchors.select("word").distinct()), "word", "left_semi").select("row").distinct()
@@ -80,7 +81,7 @@ def license_scan(docs: DataFrame, key: str = "doc_id", text: str = "text", min_s
         F.sum(F.col("in_key").cast("int")).alias("key_found"),
     )
     good = aligned.withColumn("score", F.least(F.lit(1.0), F.round(F.col("got") / F.col("whole"), 6))).where(
-        (F.col("key_found") == F.col("key_size")) & (F.col("score") >= min_score)
+        F.col("key_found") == F.col("key_size")
     )
     base = F.when(F.col("base"), F.col("start"))
     found = good.groupBy("row").agg(
