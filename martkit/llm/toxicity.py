@@ -7,8 +7,8 @@ labelled texts, and a logistic model is fitted on the scaled features.
 * Counts: every labelled training text is counted, in tasks, into ``buckets``
   pairs of sums; the driver gets two vectors of that fixed size.
 * Fit: on at most ``fit_rows`` texts of each class (those with the smallest
-  hash of their key); their selected features reach the driver, where a few
-  dozen gradient steps take seconds.  This bound does not touch the counts, and
+  hash of their key); their selected features reach the driver in 4 bytes each,
+  where the gradient steps read them in blocks.  This bound does not touch the counts, and
   the weight of a class is the root of its share of all training rows, so the
   model's prior is the same at every size.
 * Score: one weight vector of ``buckets`` floats (4 MB) travels to the tasks;
@@ -43,7 +43,7 @@ class Settings:
     bits: int = 20  # 2**bits buckets of n-grams
     shrink: float = 5.0  # texts a ratio must outweigh before it departs from 0
     min_z: float = 3.0  # ratios within so many standard errors of 0 get no weight
-    fit_rows: int = 1500  # texts of each class for the fit, at most
+    fit_rows: int = 8000  # texts of each class for the fit, at most
     l2: float = 1e-4
     steps: int = 300
     rate: float = 0.05
@@ -64,6 +64,7 @@ def features(raw: bytes, s: Settings) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, dtype=np.int32)
 
 
+BLOCK = 1 << 20  # features a gradient step handles at once
 SPACES = bytes(32 if b <= 32 else b for b in range(256))
 
 
@@ -123,29 +124,49 @@ def fit_sample(labelled: DataFrame, ratios: np.ndarray, s: Settings):
         found = (np.unique(features(raw, s)) for raw in byte_values(texts))
         return pa.array([b[ratios[b] != 0].astype("<i4").tobytes() for b in found], pa.binary())
 
-    rows = parts[0].unionByName(parts[1]).select(held("text").alias("f"), "toxic").collect()
-    lists = [np.frombuffer(r.f, dtype="<i4") for r in rows]
-    return lists, np.array([bool(r.toxic) for r in rows])
+    rows = parts[0].unionByName(parts[1]).select(held("text").alias("f"), "toxic").toArrow()
+    lists = [np.frombuffer(f.as_buffer(), dtype="<i4") for f in rows.column("f")]
+    return lists, np.array(rows.column("toxic").to_pylist(), dtype=bool)
+
+
+def _blocks(lists: list[np.ndarray], place: np.ndarray) -> list[tuple]:
+    """(rows, sizes, starts, columns): the rows with features, in blocks of about BLOCK."""
+    out, rows, size = [], [], 0
+    for row, buckets in enumerate(lists):
+        if len(buckets):
+            rows.append(row)
+            size += len(buckets)
+        if rows and (size >= BLOCK or row == len(lists) - 1):
+            sizes = np.array([len(lists[r]) for r in rows])
+            out.append((np.array(rows), sizes, np.cumsum(sizes) - sizes, place[np.concatenate([lists[r] for r in rows])]))
+            rows, size = [], 0
+    return out
 
 
 def fit(lists: list[np.ndarray], toxic: np.ndarray, ratios: np.ndarray, share: float, s: Settings) -> tuple[np.ndarray, float]:
     """Logistic regression on ratio-scaled features by adaptive gradient steps;
     ``share`` is that of toxic texts in the whole table."""
-    used, columns = np.unique(np.concatenate([*lists, np.zeros(0, np.int32)]), return_inverse=True)
-    columns = columns.astype(np.int32)
-    rows = np.repeat(np.arange(len(lists), dtype=np.int32), [len(x) for x in lists])
-    scaled = ratios[used].astype(np.float32)
-    values = scaled[columns]
+    held = np.zeros(len(ratios), dtype=bool)
+    for buckets in lists:
+        held[buckets] = True
+    used = np.flatnonzero(held)
+    blocks = _blocks(lists, np.cumsum(held, dtype=np.int32) - np.int32(1))
+    scaled = ratios[used].astype(np.float64)
     y = toxic.astype(np.float64)
     weight = np.where(toxic, share**0.5 / max(1, toxic.sum()), (1 - share) ** 0.5 / max(1, (~toxic).sum()))
     weight /= weight.sum()
     p = np.zeros(len(used) + 1)  # the last one is the bias
     mean, square = np.zeros_like(p), np.zeros_like(p)
     for step in range(1, s.steps + 1):
-        margin = np.bincount(rows, weights=p[:-1][columns] * values, minlength=len(y)) + p[-1]
+        own = p[:-1] * scaled
+        margin = np.full(len(y), p[-1])
+        for rows, sizes, starts, columns in blocks:
+            margin[rows] += np.add.reduceat(own[columns], starts)
         slope = weight * (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - y)
-        gradient = np.bincount(columns, weights=slope[rows] * values, minlength=len(used)) + s.l2 * p[:-1]
-        gradient = np.append(gradient, slope.sum())
+        gradient = np.zeros(len(used))
+        for rows, sizes, _, columns in blocks:
+            gradient += np.bincount(columns, weights=np.repeat(slope[rows], sizes), minlength=len(used))
+        gradient = np.append(gradient * scaled + s.l2 * p[:-1], slope.sum())
         mean = 0.9 * mean + 0.1 * gradient
         square = 0.99 * square + 0.01 * gradient**2
         p -= s.rate * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)

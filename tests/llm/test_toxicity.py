@@ -1,8 +1,10 @@
 """The toxicity fit: its prior at every size, and its memory."""
 
+import tracemalloc
+
 import numpy as np
 
-from martkit.llm.toxicity import Settings, train
+from martkit.llm.toxicity import Settings, fit, train
 
 
 def test_same_scores_on_a_table_repeated_ten_times(spark):
@@ -18,3 +20,35 @@ def test_same_scores_on_a_table_repeated_ten_times(spark):
         logits.append(np.log(scores / (1 - scores)))
     assert abs(logits[0][0] - logits[1][0]) < 0.4 and abs(logits[0][3] - logits[1][3]) < 0.4
     assert logits[1][1] > 0.85 and max(logits[1][[0, 2, 3]]) < 0
+
+
+def test_fit_of_a_full_sample_in_little_memory():
+    r, s = np.random.default_rng(1), Settings(steps=2)
+    assert s.fit_rows == 8000
+    ratios = r.normal(size=1 << s.bits).astype(np.float32)
+    lists = [np.unique(r.integers(0, 1 << s.bits, 600, dtype=np.int32)) for _ in range(2 * s.fit_rows)]
+    tracemalloc.start()
+    fit(lists, np.arange(len(lists)) < s.fit_rows, ratios, 0.1, s)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200e6
+
+
+def test_fit_against_a_dense_one():
+    r, s = np.random.default_rng(2), Settings(bits=6, steps=40)
+    ratios, share = r.normal(size=64).astype(np.float32), 0.2
+    lists = [np.flatnonzero(r.random(64) < 0.2 * (i % 4)).astype(np.int32) for i in range(50)]
+    y = np.arange(50) < 20
+    x = np.zeros((50, 64))
+    for row, buckets in enumerate(lists):
+        x[row, buckets] = ratios[buckets]
+    x = np.hstack([x, np.ones((50, 1))])
+    weight = np.where(y, share**0.5 / 20, (1 - share) ** 0.5 / 30)
+    weight /= weight.sum()
+    p, mean, square = np.zeros(65), np.zeros(65), np.zeros(65)
+    for step in range(1, s.steps + 1):
+        gradient = x.T @ (weight * (1 / (1 + np.exp(-x @ p)) - y)) + s.l2 * np.append(p[:-1], 0)
+        mean, square = 0.9 * mean + 0.1 * gradient, 0.99 * square + 0.01 * gradient**2
+        p -= s.rate * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
+    weights, bias = fit(lists, y, ratios, share, s)
+    assert np.allclose(weights, p[:-1] * ratios, atol=1e-4) and abs(bias - p[-1]) < 1e-4
