@@ -32,10 +32,14 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group stays."""
-    found = near_duplicates(docs, words=SHINGLE_WORDS, threshold=SIMILARITY)
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """The row with the smallest id of each group stays, one without an id only
+    where no other has one.  Rows are told apart by a number of their own, so
+    each goes or stays by its own text; of equal rows one stays."""
+    rows = stage(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    found = near_duplicates(rows, key="_row", words=SHINGLE_WORDS, threshold=SIMILARITY)
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_row")
+    kept = found.join(rows.select("_row", "doc_id"), "_row").groupBy("component_id").agg(F.min(order).alias("first"))
+    return rows.join(kept.select("first._row"), "_row", "left_semi").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
