@@ -1,0 +1,121 @@
+"""The Merkle manifest against a brute-force one built with hashlib."""
+
+import hashlib
+import random
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from martkit.llm import merkle
+from martkit.operators.sizing import BroadcastPolicy
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def H(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def leaf_of(row, lowered=False):
+    doc_id, text, lang, source, n_chars = row
+    if lowered and text is not None:
+        text = "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+    parts = [doc_id, source, lang, n_chars, text]
+    return H("".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in parts))
+
+
+def raise_up(nodes):
+    """(root, for each node the (left, right) of each level)."""
+    proofs, of = [[] for _ in nodes], list(range(len(nodes)))
+    while len(nodes) > 1:
+        for leaf, at in enumerate(of):
+            run = nodes[at - at % 16 : at - at % 16 + 16]
+            proofs[leaf].append(("".join(run[: at % 16]), "".join(run[at % 16 + 1 :])))
+        of = [at // 16 for at in of]
+        nodes = [H("".join(nodes[i : i + 16])) for i in range(0, len(nodes), 16)]
+    return nodes[0], proofs
+
+
+def brute(rows):
+    groups = {}
+    for row in rows:
+        groups.setdefault(row[3], []).append(row)
+    names = sorted(groups, key=lambda s: (s is not None, (s or "").encode()))
+    low = {}
+    for s in names:
+        groups[s].sort(key=lambda r: (r[0] is not None, r[0] or 0, leaf_of(r)))
+        low[s] = raise_up([leaf_of(r) for r in groups[s]])
+    root, high = raise_up([low[s][0] for s in names])
+    out = []
+    for s, above in zip(names, high, strict=True):
+        for row, below in zip(groups[s], low[s][1], strict=True):
+            proof = below + above
+            tampered = row[0] is not None and zlib.crc32(str(row[0]).encode()) % 5 == 0
+            h = leaf_of(row, tampered)
+            for left, right in proof:
+                h = H(left + h + right)
+            digest = H("".join(a + b for a, b in proof))
+            out.append((row[0], leaf_of(row), low[s][0], root, digest, h, h == root))
+    return sorted(out, key=str)
+
+
+def rows_of(sizes, r):
+    rows, at = [], 0
+    for name, size in sizes.items():
+        for _ in range(size):
+            text = r.choice([None, "", "Some Text é", "lower only", "X" * r.randrange(40)])
+            rows.append((at, text, r.choice([None, "en"]), name, r.choice([None, 3])))
+            at += 1
+    r.shuffle(rows)
+    return rows
+
+
+def query(spark, rows, tmp_path, extra=()):
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    for name in extra:
+        df = df.withColumn(name, F.lit("x"))
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    return sorted(map(tuple, merkle.q_op11(spark, str(tmp_path)).collect()), key=str)
+
+
+@pytest.mark.parametrize(
+    "sizes",
+    [
+        {"a": 300, None: 17, "": 16, "é": 1, "z": 33, "Z": 2},
+        {f"s{i}": 1 + (i == 7) * 4 for i in range(19)},  # lone leaves, two levels of groups
+        {"only": 257},
+        {"only": 1},
+        {None: 16},
+    ],
+)
+def test_manifest_against_brute_force(spark, tmp_path, sizes):
+    rows = rows_of(sizes, random.Random(5))
+    assert query(spark, rows, tmp_path) == brute(rows)
+
+
+def test_equal_keys_null_keys_equal_rows_and_clashing_columns(spark, tmp_path):
+    rows = [(1, "A", None, "s", 1)] * 3 + [(1, "B", "en", "s", None), (None, "C", "en", "s", 2), (None, None, None, None, None)] * 2
+    got = query(spark, rows, tmp_path, ["k", "h", "at", "n", "tree", "members", "path", "leaf"])
+    assert got == brute(rows)
+
+
+def test_empty_table(spark, tmp_path):
+    assert query(spark, [], tmp_path) == []
+
+
+def test_long_text(spark, tmp_path):
+    rows = [(i, "Wörd " * 400_000 if i == 3 else "x", "en", "s", i) for i in range(20)]
+    assert query(spark, rows, tmp_path) == brute(rows)
+
+
+def test_without_broadcast_and_verified_elsewhere(spark):
+    """The shuffled jumps give the same proofs; a changed document is found out."""
+    rows = rows_of({"a": 600, "b": 40}, random.Random(2))
+    docs = spark.createDataFrame(rows, SCHEMA)
+    found = merkle.merkle_proofs(docs, policy=BroadcastPolicy("never"))
+    got = {(x.doc_id, x.leaf): x for x in found.withColumn("up", merkle.folded(F.col("leaf"), F.col("proof"))).collect()}
+    assert len(got) == 640 and all(x.up == x.root for x in got.values())
+    assert {(i, leaf, sub, root) for i, leaf, sub, root, *_ in brute(rows)} == {(x.doc_id, x.leaf, x.subroot, x.root) for x in got.values()}
+    other = merkle.merkle_proofs(docs.withColumn("lang", F.when(F.col("doc_id") == 9, "xx").otherwise(F.col("lang"))))
+    assert {x.root for x in other.collect()}.isdisjoint({x.root for x in got.values()})
