@@ -200,7 +200,7 @@ class Shard:
         data = pa.concat_arrays([c.cast(pa.large_binary()) for c in postings.column("data").chunks])
         self.edges = np.frombuffer(data.buffers()[1], dtype=np.int64)[data.offset : data.offset + len(data) + 1]
         self.raw = np.frombuffer(data.buffers()[2], dtype=np.uint8)
-        self.whole: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        self.ranges: dict[tuple[int, int, int], tuple[np.ndarray, np.ndarray]] = {}  # kept for the other queries
         self.single: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         self.unpacked = 0  # blocks
 
@@ -213,10 +213,15 @@ class Shard:
         places = run + np.repeat(self.first[a:b] - run[np.cumsum(sizes) - sizes], sizes)
         return places, impact(numbers[1::2], self.norm[places])
 
-    def list_of(self, term: int) -> tuple[np.ndarray, np.ndarray]:
-        if term not in self.whole:
-            self.whole[term] = self.unpack(*self.lists[term])
-        return self.whole[term]
+    def postings(self, term: int, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
+        """Those of the list in a range of places; no other blocks are unpacked."""
+        if (term, low, high) not in self.ranges:
+            a, b = self.lists[term]
+            start, stop = a + np.searchsorted(self.last[a:b], low), a + np.searchsorted(self.first[a:b], high)
+            places, impacts = self.unpack(start, stop) if start < stop else (np.zeros(0, np.int64),) * 2
+            i, j = np.searchsorted(places, [low, high])
+            self.ranges[term, low, high] = places[i:j], impacts[i:j]
+        return self.ranges[term, low, high]
 
     def block(self, at: int) -> tuple[np.ndarray, np.ndarray]:
         if at not in self.single:
@@ -246,9 +251,8 @@ class Shard:
             high = min(low + span, len(self.norm))
             found = np.zeros(high - low, dtype=np.int64)
             for term, weight, _ in query[pivot:]:
-                where, impacts = self.list_of(term)
-                a, b = np.searchsorted(where, [low, high])
-                found[where[a:b] - low] += weight * impacts[a:b]
+                where, impacts = self.postings(term, low, high)
+                found[where - low] += weight * impacts
             rest = int(reach[pivot - 1]) if pivot else 0
             candidates = np.flatnonzero((found > 0) & (found + rest > least))
             got, candidates = found[candidates], candidates + low
