@@ -217,8 +217,15 @@ class Shard:
         """Those of the list in a range of places; no other blocks are unpacked."""
         if (term, low, high) not in self.ranges:
             a, b = self.lists[term]
-            start, stop = a + np.searchsorted(self.last[a:b], low), a + np.searchsorted(self.first[a:b], high)
-            places, impacts = self.unpack(start, stop) if start < stop else (np.zeros(0, np.int64),) * 2
+            start, stop = a + int(np.searchsorted(self.last[a:b], low)), a + int(np.searchsorted(self.first[a:b], high))
+            parts = []
+            if start < stop:  # the outer blocks may reach into other ranges, so they are kept
+                parts.append(self.block(start))
+                if start + 2 < stop:
+                    parts.append(self.unpack(start + 1, stop - 1))
+                if start + 1 < stop:
+                    parts.append(self.block(stop - 1))
+            places, impacts = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, np.int64),) * 2
             i, j = np.searchsorted(places, [low, high])
             self.ranges[term, low, high] = places[i:j], impacts[i:j]
         return self.ranges[term, low, high]
