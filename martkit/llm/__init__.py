@@ -10,7 +10,7 @@ import pyspark.cloudpickle as cloudpickle
 # cluster needs no copy of the package on its workers' path.
 cloudpickle.register_pickle_by_value(importlib.import_module(__name__))
 
-MODULES = ["quality", "packing", "decontaminate", "warc", "toxicity", "line_dedup", "jaccard_join", "licenses", "ppm", "suffix_dedup", "merkle", "lexical"]
+MODULES = ["quality", "packing", "decontaminate", "warc", "toxicity", "line_dedup", "jaccard_join", "licenses", "ppm", "suffix_dedup", "merkle", "lexical", "secrets"]
 
 
 def _merged(attribute: str) -> dict:
