@@ -9,6 +9,7 @@ from martkit.operators.delta import (
     upsert_snapshot,
 )
 from martkit.operators.marts import dim_average, flagged_counts, orphan_counts, visit_counts
+from martkit.operators.pruning import Pruning, narrow
 from martkit.operators.quality import null_profile, readback_check
 from martkit.operators.ranking import rank_within
 from martkit.operators.rollup import Rollup, rollup
@@ -16,6 +17,7 @@ from martkit.operators.sizing import BroadcastPolicy, decide, decide_many, dimen
 
 __all__ = [
     "BroadcastPolicy",
+    "Pruning",
     "Rollup",
     "apply_inserts",
     "classify_delta",
@@ -28,6 +30,7 @@ __all__ = [
     "dimension",
     "fits_broadcast",
     "flagged_counts",
+    "narrow",
     "null_profile",
     "orphan_counts",
     "rank_within",

@@ -20,6 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from martkit.operators.pruning import AUTO_PRUNE, Pruning, key_stats, narrow, worth_pruning
 from martkit.session import materialize
 
 INSERT, UPDATE, UNCHANGED = "insert", "update", "unchanged"
@@ -29,10 +30,17 @@ def _keys(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
-def _target_keys(tgt: DataFrame, keys: list[str]) -> DataFrame:
-    """The target's distinct keys.  Deduplicated map-side, so a key stored many
-    times is one row when the join partitions are built."""
-    return tgt.select(*[F.col(k).alias(f"__t_{k}") for k in keys]).distinct()
+def _target_keys(tgt: DataFrame, src: DataFrame, keys: list[str], prune: Pruning | None) -> DataFrame:
+    """The target's distinct keys, of a large target only those that may be in
+    the source.  Deduplicated map-side, so a key stored many times is one row
+    when the join partitions are built."""
+    return narrow(tgt.select(*keys), src, keys, prune).select(*[F.col(k).alias(f"__t_{k}") for k in keys]).distinct()
+
+
+def _target_digests(tgt: DataFrame, src: DataFrame, hash_col: str, prune: Pruning | None) -> DataFrame:
+    """The target's distinct digests, of a large target only those that may be in
+    the source."""
+    return narrow(tgt.select(hash_col), src, [hash_col], prune).select(F.col(hash_col).alias("__t_hash")).distinct()
 
 
 def _key_match(src: DataFrame, tk: DataFrame, keys: list[str]) -> Column:
@@ -60,15 +68,25 @@ def one_per_key(src: DataFrame, key: str | Sequence[str], hash_col: str = "hash_
     return src.groupBy(*keys).agg(best).select(*[F.col(c) if c in keys else F.col("__row")[c].alias(c) for c in src.columns])
 
 
-def delta_inserts(src: DataFrame, tgt: DataFrame, key: str | Sequence[str]) -> DataFrame:
-    """Source rows whose key is absent from the target (a left anti-join)."""
+def delta_inserts(
+    src: DataFrame, tgt: DataFrame, key: str | Sequence[str], prune: Pruning | None = AUTO_PRUNE
+) -> DataFrame:
+    """Source rows whose key is absent from the target (a left anti-join).
+
+    Here and below ``prune`` says how a large target is reduced to the source's
+    keys where it is read (``operators.pruning``), so that none of its other rows
+    is shuffled."""
     keys = _keys(key)
-    tk = _target_keys(tgt, keys)
+    tk = _target_keys(tgt, src, keys, prune)
     return src.join(tk, _key_match(src, tk, keys), "left_anti")
 
 
 def delta_matched(
-    src: DataFrame, tgt: DataFrame, key: str | Sequence[str], hash_col: str = "hash_id"
+    src: DataFrame,
+    tgt: DataFrame,
+    key: str | Sequence[str],
+    hash_col: str = "hash_id",
+    prune: Pruning | None = AUTO_PRUNE,
 ) -> DataFrame:
     """(key, source digest) of source rows whose key is in the target.
 
@@ -77,16 +95,20 @@ def delta_matched(
     of a key, which a key holding many rows turns into a blow-up).
     """
     keys = _keys(key)
-    tk = _target_keys(tgt, keys)
+    tk = _target_keys(tgt, src, keys, prune)
     return src.join(tk, _key_match(src, tk, keys), "left_semi").select(*[src[k] for k in keys], src[hash_col])
 
 
 def delta_updates(
-    src: DataFrame, tgt: DataFrame, key: str | Sequence[str], hash_col: str = "hash_id"
+    src: DataFrame,
+    tgt: DataFrame,
+    key: str | Sequence[str],
+    hash_col: str = "hash_id",
+    prune: Pruning | None = AUTO_PRUNE,
 ) -> DataFrame:
     """Matched rows whose digest is not among the target's digests."""
-    matched = delta_matched(src, tgt, key, hash_col)
-    th = tgt.select(F.col(hash_col).alias("__t_hash")).distinct()
+    matched = delta_matched(src, tgt, key, hash_col, prune)
+    th = _target_digests(tgt, src, hash_col, prune)
     return matched.join(th, matched[hash_col] == th["__t_hash"], "left_anti")
 
 
@@ -96,6 +118,7 @@ def classify_delta(
     key: str | Sequence[str],
     hash_col: str = "hash_id",
     action: str = "action",
+    prune: Pruning | None = AUTO_PRUNE,
 ) -> DataFrame:
     """Every source row with ``action`` = insert | update | unchanged.
 
@@ -105,8 +128,8 @@ def classify_delta(
     map-side), so each source row meets at most one row in each left join.
     """
     keys = _keys(key)
-    tk = _target_keys(tgt, keys).withColumn("__has_key", F.lit(True))
-    th = tgt.select(F.col(hash_col).alias("__t_hash")).distinct().withColumn("__has_hash", F.lit(True))
+    tk = _target_keys(tgt, src, keys, prune).withColumn("__has_key", F.lit(True))
+    th = _target_digests(tgt, src, hash_col, prune).withColumn("__has_hash", F.lit(True))
     flagged = src.join(tk, _key_match(src, tk, keys), "left").join(
         th, src[hash_col] == th["__t_hash"], "left"
     )
@@ -119,7 +142,11 @@ def classify_delta(
 
 
 def upsert_snapshot(
-    src: DataFrame, tgt: DataFrame, key: str | Sequence[str], hash_col: str = "hash_id"
+    src: DataFrame,
+    tgt: DataFrame,
+    key: str | Sequence[str],
+    hash_col: str = "hash_id",
+    prune: Pruning | None = AUTO_PRUNE,
 ) -> DataFrame:
     """The target after applying the source: inserted and updated source rows,
     plus every target row whose key the source did not change.
@@ -129,17 +156,22 @@ def upsert_snapshot(
     old rows of the key go.  Applying the same source again changes nothing.
     The first join is on key and digest, so a key holding many target rows is
     spread over the partitions; in the second the target is the side that
-    adaptive execution may split.
+    adaptive execution may split.  Where the source's keys were measured to fit,
+    the keys to remove are broadcast and the target isn't shuffled at all.
 
-    Columns and order are the target's.  Write it to a new location and swap;
-    reading and overwriting one path in one job is not safe.
+    Columns and order are the target's.  To store the result use
+    ``sources.snapshots``; reading and overwriting one path in one job is not safe.
     """
     keys = _keys(key)
     new = one_per_key(src, keys, hash_col)
-    stored = tgt.select(*[F.col(k).alias(f"__t_{k}") for k in keys], F.col(hash_col).alias("__t_hash")).distinct()
+    stats = key_stats(src, keys) if worth_pruning(tgt, prune) else None
+    met = narrow(tgt.select(*keys, hash_col), src, keys, prune, nulls=True, stats=stats)
+    stored = met.select(*[F.col(k).alias(f"__t_{k}") for k in keys], F.col(hash_col).alias("__t_hash")).distinct()
     same = _same_key(new, stored, keys, "__t_") & new[hash_col].eqNullSafe(stored["__t_hash"])
     changes = new.join(stored, same, "left_anti")
     gone = changes.select(*[F.col(k).alias(f"__c_{k}") for k in keys])
+    if stats is not None and stats.fits(prune):
+        gone = F.broadcast(gone)
     kept = tgt.join(gone, _same_key(tgt, gone, keys, "__c_"), "left_anti")
     return kept.unionByName(changes.select(*tgt.columns))
 
@@ -150,6 +182,7 @@ def apply_inserts(
     key: str | Sequence[str],
     write: Callable[[DataFrame], None],
     hash_col: str = "hash_id",
+    prune: Pruning | None = AUTO_PRUNE,
 ) -> DataFrame:
     """Append the insert set through ``write`` and return it.
 
@@ -161,7 +194,8 @@ def apply_inserts(
     """
     keys = _keys(key)
     new = one_per_key(src, keys, hash_col)
-    tk = tgt.select(*[F.col(k).alias(f"__t_{k}") for k in keys]).distinct()
+    met = narrow(tgt.select(*keys), src, keys, prune, nulls=True)
+    tk = met.select(*[F.col(k).alias(f"__t_{k}") for k in keys]).distinct()
     inserts = materialize(new.join(tk, _same_key(new, tk, keys, "__t_"), "left_anti"), "delta_inserts")
     write(inserts)
     return inserts

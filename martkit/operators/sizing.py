@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from martkit.functions.keys import column
+
 _FIXED_WIDTH = {
     T.ByteType: 1,
     T.BooleanType: 1,
@@ -49,21 +51,26 @@ class BroadcastPolicy:
 AUTO = BroadcastPolicy()
 
 
-def _width(df: DataFrame, field: T.StructField) -> Column:
+def _width(field: T.StructField) -> Column:
     for dtype, size in _FIXED_WIDTH.items():
         if isinstance(field.dataType, dtype):
             return F.lit(size)
-    col = F.col(field.name)
+    col = column(field.name)
     if not isinstance(field.dataType, (T.StringType, T.BinaryType)):
         col = col.cast("string")
     return F.coalesce(F.octet_length(col), F.lit(0))
 
 
-def _size(df: DataFrame, index: int) -> DataFrame:
+def row_width(df: DataFrame) -> Column:
+    """Bytes of a row in a hashed broadcast relation, roughly."""
     width = F.lit(ROW_OVERHEAD)
     for field in df.schema.fields:
-        width = width + _width(df, field)
-    return df.agg(F.lit(index).alias("i"), F.count(F.lit(1)).alias("rows"), F.sum(width).alias("bytes"))
+        width = width + _width(field)
+    return width
+
+
+def _size(df: DataFrame, index: int) -> DataFrame:
+    return df.agg(F.lit(index).alias("i"), F.count(F.lit(1)).alias("rows"), F.sum(row_width(df)).alias("bytes"))
 
 
 def measure_many(dfs: list[DataFrame], max_rows: int | None = None) -> list[tuple[int, int]]:

@@ -25,6 +25,7 @@ from martkit.operators.delta import (
     upsert_snapshot,
 )
 from martkit.operators.marts import dim_average, flagged_counts, orphan_counts, visit_counts
+from martkit.operators.pruning import Pruning
 from martkit.operators.quality import null_profile, readback_check
 from martkit.operators.ranking import rank_within
 from martkit.plans import jobs
@@ -355,6 +356,30 @@ def q_apply_inserts_replay(spark, sf_dir):
     return read_parquet(spark, path)
 
 
+#: pruned whatever the target's size; the second never broadcasts the keys themselves
+PRUNED = Pruning(min_target_bytes=0)
+PRUNED_BY_BITS = Pruning(min_target_bytes=0, max_rows=0)
+
+
+def small_source_pair(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Source = all suppliers, every column.  Target = all customers under the
+    same names, and the suppliers in credit as they are: keys without a row,
+    with one and with several, and digests of either kind."""
+    names = ["key", "name", "nationkey", "acctbal"]
+    s = _table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal").toDF(*names)
+    c = _table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal").toDF(*names)
+    return row_hash(s), row_hash(c.unionByName(s.where("acctbal >= 0")))
+
+
+def _pruned(find, prune: Pruning = PRUNED) -> Query:
+    def query(spark, sf_dir):
+        src, tgt = small_source_pair(spark, sf_dir)
+        return find(src, tgt, "key", prune=prune)
+
+    query.__doc__ = f"{find.__name__} with the target reduced to the source's keys where it is read."
+    return query
+
+
 def q_readback_diff(spark, sf_dir):
     src, tgt = delta_pair(spark, sf_dir)
     cols = ["s_suppkey", "s_name", "s_nationkey"]
@@ -367,6 +392,12 @@ stored AS (SELECT s_suppkey, CASE WHEN s_suppkey % 7 = 0 THEN s_name || '*' ELSE
        FROM supplier WHERE s_suppkey % 10 <> 0),
 tgt AS (SELECT *, sha256(concat_ws('||', s_suppkey, s_name, s_nationkey)) AS hash_id FROM stored)"""
 
+SMALL_SOURCE_CTES = """src AS (SELECT s_suppkey AS key, s_name AS name, s_nationkey AS nationkey, s_acctbal AS acctbal,
+       sha256(concat_ws('||', s_suppkey, s_name, s_nationkey, s_acctbal)) AS hash_id FROM supplier),
+tgt AS (SELECT c_custkey AS key, c_name AS name, c_nationkey AS nationkey, c_acctbal AS acctbal,
+       sha256(concat_ws('||', c_custkey, c_name, c_nationkey, c_acctbal)) AS hash_id FROM customer
+       UNION ALL SELECT * FROM src WHERE acctbal >= 0)"""
+
 MESSY_CTES = """s AS (SELECT CASE WHEN s_suppkey % 11 <> 0 THEN s_suppkey END AS s_suppkey, s_name, s_nationkey FROM supplier),
 both_rows AS (SELECT * FROM s UNION ALL SELECT s_suppkey, s_name || '+', s_nationkey FROM s),
 src AS (SELECT *, sha256(concat_ws('||', s_suppkey, s_name, s_nationkey)) AS hash_id FROM both_rows),
@@ -375,6 +406,18 @@ tgt AS (SELECT *, sha256(concat_ws('||', s_suppkey, s_name, s_nationkey)) AS has
 best AS (SELECT * FROM src QUALIFY row_number() OVER (PARTITION BY s_suppkey ORDER BY hash_id DESC) = 1)"""
 
 DELTA_SQL = {
+    "pruned_inserts": f"""WITH {SMALL_SOURCE_CTES}
+SELECT * FROM src WHERE key NOT IN (SELECT key FROM tgt)""",
+    "pruned_matched": f"""WITH {SMALL_SOURCE_CTES}
+SELECT key, hash_id FROM src WHERE key IN (SELECT key FROM tgt)""",
+    "pruned_updates": f"""WITH {SMALL_SOURCE_CTES}
+SELECT key, hash_id FROM src WHERE key IN (SELECT key FROM tgt) AND hash_id NOT IN (SELECT hash_id FROM tgt)""",
+    "pruned_classify": f"""WITH {SMALL_SOURCE_CTES}
+SELECT *, CASE WHEN key NOT IN (SELECT key FROM tgt) THEN 'insert'
+               WHEN hash_id IN (SELECT hash_id FROM tgt) THEN 'unchanged' ELSE 'update' END AS action FROM src""",
+    "pruned_upsert": f"""WITH {SMALL_SOURCE_CTES},
+changed AS (SELECT * FROM src WHERE NOT EXISTS (SELECT 1 FROM tgt WHERE tgt.key = src.key AND tgt.hash_id = src.hash_id))
+SELECT * FROM tgt WHERE key NOT IN (SELECT key FROM changed) UNION ALL SELECT * FROM changed""",
     "upsert_null_and_repeated_keys": f"""WITH {MESSY_CTES},
 changed AS (SELECT * FROM best WHERE NOT EXISTS (SELECT 1 FROM tgt
             WHERE tgt.s_suppkey IS NOT DISTINCT FROM best.s_suppkey AND tgt.hash_id = best.hash_id))
@@ -413,6 +456,9 @@ SELECT (SELECT count(*) FROM e) AS expected_rows, (SELECT count(*) FROM a) AS ac
 }
 
 
+DELTA_SQL["pruned_classify_bits"] = DELTA_SQL["pruned_classify"]
+
+
 # --- sources and sinks (round trips through the checkpoint folder) ------------------
 
 
@@ -617,6 +663,12 @@ QUERIES: dict[str, Query] = {
     "upsert_snapshot": q_upsert_snapshot,
     "upsert_null_and_repeated_keys": q_upsert_null_and_repeated_keys,
     "apply_inserts_replay": q_apply_inserts_replay,
+    "pruned_inserts": _pruned(delta_inserts),
+    "pruned_matched": _pruned(delta_matched),
+    "pruned_updates": _pruned(delta_updates),
+    "pruned_classify": _pruned(classify_delta),
+    "pruned_classify_bits": _pruned(classify_delta, PRUNED_BY_BITS),
+    "pruned_upsert": _pruned(upsert_snapshot),
     "readback_diff": q_readback_diff,
     "parquet_roundtrip": q_parquet_roundtrip,
     "csv_roundtrip": q_csv_roundtrip,
