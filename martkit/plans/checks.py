@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import threading
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +34,7 @@ from martkit.plans.shipments import CANCELLED, SQL_CTES, carriers, load_tables,
 from martkit.session import materialize, scratch_path
 from martkit.sources.contracts import MART_SCHEMAS, conform
 from martkit.sources.files import copy_datasets, read_csv, read_parquet, write_csv, write_parquet
+from martkit.sources.snapshots import read_snapshot, upsert_into, versions, write_snapshot
 from martkit.sources.tables import read_table, write_table
 from martkit.streaming.incremental import extract_incremental, load_incremental
 
@@ -380,6 +382,33 @@ def _pruned(find, prune: Pruning = PRUNED) -> Query:
     return query
 
 
+def _upserted(spark, sf_dir):
+    """The target as a bucketed snapshot table, and the delivery applied to it twice."""
+    src, tgt = small_source_pair(spark, sf_dir)
+    path = scratch_path(spark, "customers_by_key")
+    write_snapshot(tgt, path, keys="key", buckets=16)
+    first = upsert_into(src, path, prune=PRUNED)
+    upsert_into(src, path, prune=PRUNED)
+    return path, first
+
+
+def q_snapshot_upsert(spark, sf_dir):
+    """The table after the same delivery was applied twice."""
+    return read_snapshot(spark, _upserted(spark, sf_dir)[0])
+
+
+def q_snapshot_changes(spark, sf_dir):
+    """The rows that the delivery inserted or updated, as the load reports them."""
+    return _upserted(spark, sf_dir)[1].changes
+
+
+def q_snapshot_versions(spark, sf_dir):
+    """Every committed version: the replay made none."""
+    path, _ = _upserted(spark, sf_dir)
+    held = [read_snapshot(spark, path, v).withColumn("version", F.lit(v)) for v in versions(spark, path)]
+    return reduce(DataFrame.unionByName, held)
+
+
 def q_readback_diff(spark, sf_dir):
     src, tgt = delta_pair(spark, sf_dir)
     cols = ["s_suppkey", "s_name", "s_nationkey"]
@@ -457,6 +486,12 @@ SELECT (SELECT count(*) FROM e) AS expected_rows, (SELECT count(*) FROM a) AS ac
 
 
 DELTA_SQL["pruned_classify_bits"] = DELTA_SQL["pruned_classify"]
+DELTA_SQL["snapshot_upsert"] = DELTA_SQL["pruned_upsert"]
+DELTA_SQL["snapshot_changes"] = f"""WITH {SMALL_SOURCE_CTES}
+SELECT *, CASE WHEN key IN (SELECT key FROM tgt) THEN 'update' ELSE 'insert' END AS action
+FROM src WHERE NOT EXISTS (SELECT 1 FROM tgt WHERE tgt.key = src.key AND tgt.hash_id = src.hash_id)"""
+DELTA_SQL["snapshot_versions"] = f"""WITH {SMALL_SOURCE_CTES}
+SELECT *, 1 AS version FROM tgt UNION ALL SELECT *, 2 AS version FROM ({DELTA_SQL["pruned_upsert"]})"""
 
 
 # --- sources and sinks (round trips through the checkpoint folder) ------------------
@@ -669,6 +704,9 @@ QUERIES: dict[str, Query] = {
     "pruned_classify": _pruned(classify_delta),
     "pruned_classify_bits": _pruned(classify_delta, PRUNED_BY_BITS),
     "pruned_upsert": _pruned(upsert_snapshot),
+    "snapshot_upsert": q_snapshot_upsert,
+    "snapshot_changes": q_snapshot_changes,
+    "snapshot_versions": q_snapshot_versions,
     "readback_diff": q_readback_diff,
     "parquet_roundtrip": q_parquet_roundtrip,
     "csv_roundtrip": q_csv_roundtrip,

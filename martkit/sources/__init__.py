@@ -3,6 +3,7 @@
 from martkit.sources.contracts import MART_SCHEMAS, conform
 from martkit.sources.files import copy_datasets, read_csv, read_parquet, write_csv, write_parquet
 from martkit.sources.jdbc import jdbc_options, read_jdbc, write_jdbc
+from martkit.sources.snapshots import read_snapshot, upsert_into, vacuum, write_snapshot
 from martkit.sources.tables import read_table, write_table
 
 __all__ = [
@@ -13,9 +14,13 @@ __all__ = [
     "read_csv",
     "read_jdbc",
     "read_parquet",
+    "read_snapshot",
     "read_table",
+    "upsert_into",
+    "vacuum",
     "write_csv",
     "write_jdbc",
     "write_parquet",
+    "write_snapshot",
     "write_table",
 ]
