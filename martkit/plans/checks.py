@@ -34,6 +34,7 @@ from martkit.plans.shipments import CANCELLED, SQL_CTES, carriers, load_tables,
 from martkit.session import materialize, scratch_path
 from martkit.sources.contracts import MART_SCHEMAS, conform
 from martkit.sources.files import copy_datasets, read_csv, read_parquet, write_csv, write_parquet
+from martkit.sources.records import RECORD, ingest_csv
 from martkit.sources.snapshots import read_snapshot, upsert_into, versions, write_snapshot
 from martkit.sources.tables import read_table, write_table
 from martkit.streaming.incremental import extract_incremental, load_incremental
@@ -509,6 +510,27 @@ def q_csv_roundtrip(spark, sf_dir):
     return read_csv(spark, path)  # types inferred, as the extract step does
 
 
+def _damaged_suppliers(spark, sf_dir, path: str) -> StructType:
+    """The supplier table as CSV, with a word in place of each negative balance."""
+    s = _table(spark, sf_dir, "supplier")
+    balance = F.when(F.col("s_acctbal") < 0, "none").otherwise(F.col("s_acctbal").cast("string"))
+    write_csv(s.withColumn("s_acctbal", balance), path)
+    return s.schema
+
+
+def _intake(spark, schema: StructType, target: str, quarantine: str) -> DataFrame:
+    """What was loaded and what was kept apart, as one table."""
+    rows = read_parquet(spark, target).select(*schema.names, F.lit(None).cast("string").alias("record"))
+    return rows.unionByName(read_parquet(spark, quarantine).select(*schema.names, F.col(RECORD).alias("record")))
+
+
+def q_csv_quarantine(spark, sf_dir):
+    root = scratch_path(spark, "quarantine")
+    schema = _damaged_suppliers(spark, sf_dir, f"{root}/csv")
+    ingest_csv(spark, f"{root}/csv", schema, f"{root}/rows", f"{root}/bad")
+    return _intake(spark, schema, f"{root}/rows", f"{root}/bad")
+
+
 def q_copy_datasets(spark, sf_dir):
     dst = scratch_path(spark, "copy")
     copy_datasets(spark, ["supplier.parquet", "customer.parquet"], sf_dir, dst)
@@ -649,6 +671,25 @@ def q_incremental_extract(spark, sf_dir):
     return read_parquet(spark, target).select(*s.columns)
 
 
+def q_incremental_extract_quarantine(spark, sf_dir):
+    """The damaged supplier table lands and is extracted; a second run finds nothing new."""
+    root = scratch_path(spark, "incremental_quarantine")
+    schema = _damaged_suppliers(spark, sf_dir, f"{root}/landing/first")
+    for _ in range(2):
+        extract_incremental(spark, f"{root}/landing", schema, f"{root}/rows", f"{root}/_ckpt", quarantine=f"{root}/bad")
+    return _intake(spark, schema, f"{root}/rows", f"{root}/bad")
+
+
+def q_incremental_load_quarantine(spark, sf_dir):
+    """The damaged supplier table lands twice: good rows are loaded once, the bad
+    records of each landing are kept."""
+    root = scratch_path(spark, "load_quarantine")
+    for delivery in ("first", "second"):
+        schema = _damaged_suppliers(spark, sf_dir, f"{root}/landing/{delivery}")
+        load_incremental(spark, f"{root}/landing", schema, f"{root}/rows", f"{root}/_ckpt", "s_suppkey", quarantine=f"{root}/bad")
+    return _intake(spark, schema, f"{root}/rows", f"{root}/bad")
+
+
 def q_incremental_load(spark, sf_dir):
     """The incremental load as a stream: the whole supplier table lands, then
     the same rows land again.  The second landing inserts nothing, so the
@@ -662,7 +703,13 @@ def q_incremental_load(spark, sf_dir):
     return read_parquet(spark, target)
 
 
+INTAKE_SQL = """SELECT s_suppkey, s_name, s_nationkey, CASE WHEN s_acctbal >= 0 THEN s_acctbal END AS s_acctbal,
+       CASE WHEN s_acctbal < 0 THEN concat_ws(',', s_suppkey, s_name, s_nationkey, 'none') END AS record FROM supplier"""
+SOURCE_SQL["csv_quarantine"] = INTAKE_SQL
+
 STREAM_SQL = {
+    "incremental_extract_quarantine": INTAKE_SQL,
+    "incremental_load_quarantine": f"{INTAKE_SQL} UNION ALL SELECT * FROM ({INTAKE_SQL}) WHERE record IS NOT NULL",
     "incremental_extract": "SELECT * FROM supplier UNION ALL SELECT * FROM supplier",
     "incremental_load": """SELECT s_suppkey, s_name, s_nationkey,
        sha256(concat_ws('||', s_suppkey, s_name, s_nationkey)) AS hash_id FROM supplier""",
@@ -710,6 +757,7 @@ QUERIES: dict[str, Query] = {
     "readback_diff": q_readback_diff,
     "parquet_roundtrip": q_parquet_roundtrip,
     "csv_roundtrip": q_csv_roundtrip,
+    "csv_quarantine": q_csv_quarantine,
     "copy_datasets": q_copy_datasets,
     "table_readback": q_table_readback,
     "readback_check": q_readback_check,
@@ -722,6 +770,8 @@ QUERIES: dict[str, Query] = {
     "loaded_variant_flights_cancellation": _loaded("flights_cancellation", variant=True),
     "incremental_extract": q_incremental_extract,
     "incremental_load": q_incremental_load,
+    "incremental_extract_quarantine": q_incremental_extract_quarantine,
+    "incremental_load_quarantine": q_incremental_load_quarantine,
 }
 
 ORACLE_SQL: dict[str, str] = {

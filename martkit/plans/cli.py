@@ -67,6 +67,7 @@ def parser() -> argparse.ArgumentParser:
             "--schema", action="append", default=[],
             help="name=DDL, e.g. 'df_airline=IATA_CODE string, AIRLINE string'; skips the inference pass",
         )
+        s.add_argument("--quarantine", help="folder for bad records of datasets with a --schema; without it they fail the run")
     cp = sub.add_parser("copy", help="copy Parquet datasets between roots")
     cp.add_argument("--src-root", required=True)
     cp.add_argument("--dst-root", required=True)
@@ -88,7 +89,7 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
         opts = {"avg_scale": args.avg_scale, "cancel_limit": args.cancel_limit}
     schemas = _pairs(getattr(args, "schema", None))
     if args.command == "extract":
-        return jobs.extract(spark, _pairs(args.source), _pairs(args.target), schemas)
+        return jobs.extract(spark, _pairs(args.source), _pairs(args.target), schemas, quarantine=args.quarantine)
     if args.command == "transform":
         return jobs.transform(spark, _pairs(args.input), args.staging, **opts)
     if args.command == "load":

@@ -23,6 +23,7 @@ from martkit.session import materialize
 from martkit.sources.contracts import MART_SCHEMAS, conform
 from martkit.sources.files import read_csv, write_parquet
 from martkit.sources.jdbc import write_jdbc
+from martkit.sources.records import Intake, ingest_csv
 from martkit.sources.tables import read_table, table_id, write_table
 
 Sink = Callable[[DataFrame, str], None]
@@ -62,12 +63,21 @@ def extract(
     targets: Mapping[str, str],
     schemas: Mapping[str, StructType | str] | None = None,
     parallel: bool = True,
+    quarantine: str | None = None,
+    report: dict[str, Intake] | None = None,
 ) -> dict[str, str]:
     """Each CSV ``sources[name]`` to Parquet at ``targets[name]``, the
-    datasets as concurrent jobs."""
+    datasets as concurrent jobs.  With a ``quarantine`` folder, bad records of a
+    dataset with a schema go to its sub-folder of that name instead of failing the
+    run, and ``report`` gets the counts."""
     schemas = schemas or {}
 
     def one(name: str) -> None:
+        if quarantine and schemas.get(name) is not None:
+            found = ingest_csv(spark, sources[name], schemas[name], targets[name], f"{quarantine.rstrip('/')}/{name}")
+            if report is not None:
+                report[name] = found
+            return
         write_parquet(read_csv(spark, sources[name], schema=schemas.get(name)), targets[name])
 
     run_all({name: partial(one, name) for name in sources}, parallel)

@@ -3,6 +3,7 @@
 from martkit.sources.contracts import MART_SCHEMAS, conform
 from martkit.sources.files import copy_datasets, read_csv, read_parquet, write_csv, write_parquet
 from martkit.sources.jdbc import jdbc_options, read_jdbc, write_jdbc
+from martkit.sources.records import ingest_csv, split_csv
 from martkit.sources.snapshots import read_snapshot, upsert_into, vacuum, write_snapshot
 from martkit.sources.tables import read_table, write_table
 
@@ -10,12 +11,14 @@ __all__ = [
     "MART_SCHEMAS",
     "conform",
     "copy_datasets",
+    "ingest_csv",
     "jdbc_options",
     "read_csv",
     "read_jdbc",
     "read_parquet",
     "read_snapshot",
     "read_table",
+    "split_csv",
     "upsert_into",
     "vacuum",
     "write_csv",
