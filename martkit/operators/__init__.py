@@ -8,6 +8,7 @@ from martkit.operators.delta import (
     delta_updates,
     upsert_snapshot,
 )
+from martkit.operators.fingerprint import compare_tables, fingerprint, table_digest
 from martkit.operators.marts import dim_average, flagged_counts, orphan_counts, visit_counts
 from martkit.operators.pruning import Pruning, narrow
 from martkit.operators.quality import null_profile, readback_check
@@ -21,6 +22,7 @@ __all__ = [
     "Rollup",
     "apply_inserts",
     "classify_delta",
+    "compare_tables",
     "decide",
     "decide_many",
     "delta_inserts",
@@ -28,6 +30,7 @@ __all__ = [
     "delta_updates",
     "dim_average",
     "dimension",
+    "fingerprint",
     "fits_broadcast",
     "flagged_counts",
     "narrow",
@@ -36,6 +39,7 @@ __all__ = [
     "rank_within",
     "readback_check",
     "rollup",
+    "table_digest",
     "upsert_snapshot",
     "visit_counts",
 ]

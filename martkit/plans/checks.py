@@ -25,6 +25,7 @@ from martkit.operators.delta import (
     delta_updates,
     upsert_snapshot,
 )
+from martkit.operators.fingerprint import compare_tables
 from martkit.operators.marts import dim_average, flagged_counts, orphan_counts, visit_counts
 from martkit.operators.pruning import Pruning
 from martkit.operators.quality import null_profile, readback_check
@@ -598,6 +599,62 @@ def q_readback_check(spark, sf_dir):
     return readback_check(mart, read_table(spark, "parquet", path=path))
 
 
+def _damaged_orders(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """All orders, and a stored copy that lost the open ones, has the urgent ones
+    twice and another total where the priority isn't specified."""
+    o = _table(spark, sf_dir, "orders")
+    total = F.when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    kept = o.where("o_orderstatus <> 'O'").withColumn("o_totalprice", total)
+    path = scratch_path(spark, "damaged_orders")
+    write_parquet(kept.unionByName(kept.where("o_orderpriority = '1-URGENT'")), path)
+    return o, read_parquet(spark, path)
+
+
+def q_compare_damaged(spark, sf_dir):
+    """Rows lost, doubled and changed are counted."""
+    return compare_tables(*_damaged_orders(spark, sf_dir), by=["o_orderkey"]).drop("differing_buckets")
+
+
+def q_compare_columns(spark, sf_dir):
+    """The same rows with one type changed, one column lost and one added."""
+    o = _table(spark, sf_dir, "orders")
+    path = scratch_path(spark, "other_columns")
+    write_parquet(o.withColumn("o_custkey", F.col("o_custkey").cast("int")).drop("o_orderdate").withColumn("loaded", F.lit(1)), path)
+    return compare_tables(o, read_parquet(spark, path))
+
+
+def q_compare_equal(spark, sf_dir):
+    """The flagship mart and what the format sink gives back, in any order."""
+    mart = q_rank_within(spark, sf_dir)
+    path = scratch_path(spark, "equal_mart")
+    write_table(mart.orderBy(F.desc("ranking")), "parquet", path=path)
+    return compare_tables(mart, read_table(spark, "parquet", path=path))
+
+
+def q_load_restarted(spark, sf_dir):
+    """A load into versioned tables that stops at its third mart and is started
+    again: each table, with the number of versions it took."""
+    _, staged = _full_run(spark, sf_dir)
+    root = scratch_path(spark, "restarted")
+    store, names = jobs.snapshot_sink(f"{root}/wh"), list(staged)
+
+    def stops(df, table):
+        if table == names[2]:
+            raise RuntimeError("the sink went away")
+        store(df, table)
+
+    try:
+        jobs.load(spark, staged, jobs.Store(stops, store.read), parallel=False, verify=True, ledger=f"{root}/ledger")
+    except RuntimeError:
+        jobs.load(spark, staged, store, verify=True, ledger=f"{root}/ledger")
+    each = [
+        compare_tables(read_parquet(spark, path), store.read(spark, name)).select(
+            F.lit(name).alias("mart"), F.lit(len(versions(spark, f"{root}/wh/{name}"))).alias("writes"), "actual_rows", "matches")
+        for name, path in staged.items()
+    ]
+    return reduce(DataFrame.unionByName, each)
+
+
 def q_full_run(spark, sf_dir):
     """Extract (CSV) -> transform -> load (Parquet sink), then compare each
     loaded table with its staged mart."""
@@ -706,6 +763,28 @@ def q_incremental_load(spark, sf_dir):
 INTAKE_SQL = """SELECT s_suppkey, s_name, s_nationkey, CASE WHEN s_acctbal >= 0 THEN s_acctbal END AS s_acctbal,
        CASE WHEN s_acctbal < 0 THEN concat_ws(',', s_suppkey, s_name, s_nationkey, 'none') END AS record FROM supplier"""
 SOURCE_SQL["csv_quarantine"] = INTAKE_SQL
+_NO_CHANGES = "'' AS missing_columns, '' AS extra_columns, '' AS changed_types"
+SOURCE_SQL["compare_damaged"] = f"""WITH kept AS (
+  SELECT * REPLACE (CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice)
+  FROM orders WHERE o_orderstatus <> 'O'),
+a AS (SELECT * FROM kept UNION ALL SELECT * FROM kept WHERE o_orderpriority = '1-URGENT')
+SELECT (SELECT count(*) FROM orders) AS expected_rows, (SELECT count(*) FROM a) AS actual_rows,
+       (SELECT count(*) FROM (SELECT * FROM orders EXCEPT ALL SELECT * FROM a)) AS missing_rows,
+       (SELECT count(*) FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM orders)) AS extra_rows, {_NO_CHANGES}, false AS matches"""
+SOURCE_SQL["compare_columns"] = """SELECT count(*) AS expected_rows, count(*) AS actual_rows, CAST(0 AS BIGINT) AS missing_rows,
+       CAST(0 AS BIGINT) AS extra_rows, 'o_orderdate' AS missing_columns, 'loaded' AS extra_columns,
+       'o_custkey: bigint -> int' AS changed_types, 0 AS differing_buckets, false AS matches FROM orders"""
+SOURCE_SQL["compare_equal"] = f"""SELECT count(*) AS expected_rows, count(*) AS actual_rows, CAST(0 AS BIGINT) AS missing_rows,
+       CAST(0 AS BIGINT) AS extra_rows, {_NO_CHANGES}, 0 AS differing_buckets, true AS matches FROM ({MART_SQL["rank_within"]})"""
+SOURCE_SQL["load_restarted"] = "\nUNION ALL\n".join(
+    f"SELECT '{mart}' AS mart, 1 AS writes, {_count_sql(q)} AS actual_rows, true AS matches"
+    for mart, q in (
+        ("avg_flight", "dim_average"),
+        ("airline_in_airport", "rank_within"),
+        ("flights_cancellation", "flagged_counts"),
+        ("airport_notin_thelist", "orphan_counts"),
+    )
+)
 
 STREAM_SQL = {
     "incremental_extract_quarantine": INTAKE_SQL,
@@ -761,6 +840,10 @@ QUERIES: dict[str, Query] = {
     "copy_datasets": q_copy_datasets,
     "table_readback": q_table_readback,
     "readback_check": q_readback_check,
+    "compare_damaged": q_compare_damaged,
+    "compare_columns": q_compare_columns,
+    "compare_equal": q_compare_equal,
+    "load_restarted": q_load_restarted,
     "full_run": q_full_run,
     "loaded_avg_flight": _loaded("avg_flight"),
     "loaded_airline_in_airport": _loaded("airline_in_airport"),

@@ -15,15 +15,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from martkit.operators.fingerprint import compare_tables, table_digest
 from martkit.operators.marts import dim_average, flagged_counts, orphan_counts, visit_counts
 from martkit.operators.ranking import rank_within
 from martkit.operators.rollup import Rollup, rollup
 from martkit.operators.sizing import BroadcastPolicy, decide_many
+from martkit.plans.ledger import Ledger
 from martkit.session import materialize
 from martkit.sources.contracts import MART_SCHEMAS, conform
 from martkit.sources.files import read_csv, write_parquet
-from martkit.sources.jdbc import write_jdbc
+from martkit.sources.jdbc import read_jdbc, write_jdbc
 from martkit.sources.records import Intake, ingest_csv
+from martkit.sources.snapshots import read_snapshot, write_snapshot
 from martkit.sources.tables import read_table, table_id, write_table
 
 Sink = Callable[[DataFrame, str], None]
@@ -196,10 +199,50 @@ def transform(
     return written
 
 
-def load(spark: SparkSession, staged: Mapping[str, str], sink: Sink, parallel: bool = True) -> list[str]:
-    """Write each staged mart to ``sink`` under its table name."""
-    run_all({name: partial(sink, spark.read.parquet(path), name) for name, path in staged.items()}, parallel)
-    return list(staged)
+class LoadMismatch(RuntimeError):
+    """What a sink holds after a load is not what was staged."""
+
+
+def load(
+    spark: SparkSession,
+    staged: Mapping[str, str],
+    sink: Sink,
+    parallel: bool = True,
+    verify: bool = False,
+    ledger: Ledger | str | None = None,
+) -> list[str]:
+    """Write each staged mart to ``sink`` under its table name; returns the
+    names of those written.
+
+    With ``verify`` each table is read back through the sink and compared with
+    its mart (``compare_tables``); a difference raises ``LoadMismatch``.  With a
+    ``ledger`` a mart is recorded, with its digest, once it is stored (and
+    verified), and a run that finds its digest recorded leaves that table as it
+    is: a restarted load goes on at the first unfinished mart.
+    """
+    book = Ledger(spark, ledger) if isinstance(ledger, str) else ledger
+    written: list[str] = []
+
+    def matches(df: DataFrame, name: str) -> bool:
+        found = compare_tables(df, sink.read(spark, name)).first()
+        return bool(found["matches"])
+
+    def one(name: str, path: str) -> None:
+        df = spark.read.parquet(path)
+        digest, rows = table_digest(df) if book else ("", 0)
+        if book:
+            last = book.last(f"load/{name}")
+            if last and last["digest"] == digest and (not verify or matches(df, name)):
+                return
+        sink(df, name)
+        if verify and not matches(df, name):
+            raise LoadMismatch(f"{name} was read back with other rows, columns or types than were written")
+        if book:
+            book.record(f"load/{name}", digest=digest, rows=rows)
+        written.append(name)
+
+    run_all({name: partial(one, name, path) for name, path in staged.items()}, parallel)
+    return [name for name in staged if name in written]
 
 
 def run(
@@ -209,42 +252,80 @@ def run(
     sink: Sink,
     roles: Roles = Roles(),
     schemas: Mapping[str, StructType | str] | None = None,
+    verify: bool = False,
+    ledger: str | None = None,
+    quarantine: str | None = None,
     **options,
 ) -> dict[str, str]:
-    """Extract, transform and load in one application; returns the staged marts."""
+    """Extract, transform and load in one application; returns the staged marts.
+
+    ``ledger`` is a folder for this run (one per run of the schedule): a dataset
+    extracted, the marts staged and each mart loaded are recorded there, and a
+    restart with the same folder does only what is missing."""
     root = staging_root.rstrip("/")
-    inputs = extract(spark, sources, {n: f"{root}/raw/{n}" for n in sources}, schemas)
-    staged = transform(spark, inputs, f"{root}/marts", roles, **options)
-    load(spark, staged, sink)
+    inputs = {n: f"{root}/raw/{n}" for n in sources}
+    staged = {name: f"{root}/marts/{folder}" for name, folder in STAGED_AS.items()}
+    book = Ledger(spark, ledger) if ledger else None
+    todo = [n for n in sources if book is None or book.last(f"extract/{n}") is None]
+    extract(spark, {n: sources[n] for n in todo}, inputs, schemas, quarantine=quarantine)
+    for n in todo if book else []:
+        book.record(f"extract/{n}")
+    staging = partial(transform, spark, inputs, f"{root}/marts", roles, **options)
+    if book:
+        book.once("transform", staging)
+    else:
+        staging()
+    load(spark, staged, sink, verify=verify, ledger=book)
     return staged
 
 
 # Sinks -------------------------------------------------------------------
 
 
-def parquet_sink(root: str, partition_by: Mapping[str, list[str]] | None = None) -> Sink:
-    layout = partition_by or {}
+@dataclass(frozen=True)
+class Store:
+    """A sink that can be read back: call it to write, ``read`` a table by name."""
 
-    def write(df: DataFrame, table: str) -> None:
-        write_parquet(df, f"{root.rstrip('/')}/{table}", partition_by=layout.get(table))
+    write: Callable[[DataFrame, str], object]
+    read: Callable[[SparkSession, str], DataFrame]
+
+    def __call__(self, df: DataFrame, table: str) -> None:
+        self.write(df, table)
 
-    return write
 
+def parquet_sink(root: str, partition_by: Mapping[str, list[str]] | None = None) -> Store:
+    layout, root = partition_by or {}, root.rstrip("/")
 
-def jdbc_sink(url: str, properties: Mapping[str, str], mode: str = "overwrite", **tuning) -> Sink:
     def write(df: DataFrame, table: str) -> None:
-        write_jdbc(df, url, table, properties, mode=mode, **tuning)
+        write_parquet(df, f"{root}/{table}", partition_by=layout.get(table))
 
-    return write
+    def read(spark: SparkSession, table: str) -> DataFrame:
+        # folder names carry no types, so those of a laid-out mart are its contract's
+        reader = spark.read.schema(MART_SCHEMAS[table]) if layout.get(table) and table in MART_SCHEMAS else spark.read
+        return reader.parquet(f"{root}/{table}")
 
+    return Store(write, read)
 
-def table_sink(fmt: str, dataset: str, options: Mapping[str, str] | None = None) -> Sink:
-    """A warehouse-style sink: ``table`` option ``dataset.table``, overwrite."""
 
-    def write(df: DataFrame, table: str) -> None:
-        write_table(df, fmt, {**(options or {}), "table": table_id(dataset, table)})
+def snapshot_sink(root: str) -> Store:
+    """Versioned tables (``sources.snapshots``): a load is seen whole or not at all."""
+    root = root.rstrip("/")
+    return Store(lambda df, table: write_snapshot(df, f"{root}/{table}"), lambda spark, table: read_snapshot(spark, f"{root}/{table}"))
+
 
-    return write
+def jdbc_sink(url: str, properties: Mapping[str, str], mode: str = "overwrite", **tuning) -> Store:
+    return Store(
+        lambda df, table: write_jdbc(df, url, table, properties, mode=mode, **tuning),
+        lambda spark, table: read_jdbc(spark, url, table, properties),
+    )
+
+
+def table_sink(fmt: str, dataset: str, options: Mapping[str, str] | None = None) -> Store:
+    """A warehouse-style sink: ``table`` option ``dataset.table``, overwrite."""
+    return Store(
+        lambda df, table: write_table(df, fmt, {**(options or {}), "table": table_id(dataset, table)}),
+        lambda spark, table: table_source(spark, fmt, dataset, table, options),
+    )
 
 
 def table_source(spark: SparkSession, fmt: str, dataset: str, table: str, options=None) -> DataFrame:

@@ -29,6 +29,11 @@ class Folder:
             return []
         return sorted(s.getPath().getName() for s in self._fs.listStatus(self._at(name)))
 
+    def size(self) -> int:
+        """Bytes of all files at or under the path (a pattern may name several)."""
+        found = self._fs.globStatus(self._at("")) or []
+        return sum(int(self._fs.getContentSummary(s.getPath()).getLength()) for s in found)
+
     def modified(self, name: str) -> float:
         """When the file or folder last changed, in seconds since 1970."""
         return self._fs.getFileStatus(self._at(name)).getModificationTime() / 1000
