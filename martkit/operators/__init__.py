@@ -10,6 +10,7 @@ from martkit.operators.delta import (
 )
 from martkit.operators.fingerprint import compare_tables, fingerprint, table_digest
 from martkit.operators.marts import dim_average, flagged_counts, orphan_counts, visit_counts
+from martkit.operators.positions import with_positions
 from martkit.operators.pruning import Pruning, narrow
 from martkit.operators.quality import null_profile, readback_check
 from martkit.operators.ranking import rank_within
@@ -42,4 +43,5 @@ __all__ = [
     "table_digest",
     "upsert_snapshot",
     "visit_counts",
+    "with_positions",
 ]

@@ -56,7 +56,8 @@ def dim_average(
     grouped = joined.groupBy(fact_key, "__label").agg(
         F.sum(sum_col(measure)).alias("__s"), F.sum(cnt_col(measure)).alias("__c")
     )
-    mean = F.try_divide(F.col("__s"), F.col("__c")).cast("double")
+    # an exact sum of whole numbers is a decimal, whose quotient would be cut to a few digits
+    mean = F.try_divide(F.col("__s").cast("double"), F.col("__c"))
     if scale is not None:
         mean = F.round(mean, scale)
     out = grouped.select(F.col("__label").alias(label_name), mean.alias(value_name))

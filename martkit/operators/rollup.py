@@ -13,9 +13,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ROWS = "__rows"
 
@@ -50,16 +52,54 @@ def rollup(
     """Group ``fact`` by ``keys``: ``__rows`` = count(*), and for each measure
     its sum and non-null count (so a mean can be finished later).
 
+    Sums of whole numbers never overflow: an int or bigint is summed in pieces of
+    ``PIECE_BITS`` bits, each a plain bigint sum that holds 2^41 rows a group, and
+    the pieces are put together as a decimal once per group.
+
     ``distribute_by`` hash-partitions the raw rows first.  That removes the
     aggregate's own exchange but ships every raw row, and a key with few
     values puts whole groups in one task; it is off by default.
     """
     aggs = [F.count(F.lit(1)).alias(ROWS)]
     for m in measures:
-        aggs += [F.sum(m).alias(sum_col(m)), F.count(m).alias(cnt_col(m))]
+        aggs += [*_pieces(fact, m), F.count(m).alias(cnt_col(m))]
     if distribute_by:
         fact = fact.repartition(*distribute_by)
-    return Rollup(fact.groupBy(*keys).agg(*aggs), tuple(keys), tuple(measures))
+    out = fact.groupBy(*keys).agg(*aggs)
+    sums = [c for m in measures for c in (_whole(fact, m).alias(sum_col(m)), F.col(cnt_col(m)))]
+    return Rollup(out.select(*keys, ROWS, *sums), tuple(keys), tuple(measures))
+
+
+PIECE_BITS = 21
+PIECES = {T.LongType: 3, T.IntegerType: 2}
+
+
+def _piece(measure: str, i: int) -> str:
+    return f"__sum{i}_{measure}"
+
+
+def _count_of_pieces(fact: DataFrame, measure: str) -> int:
+    return PIECES.get(type(fact.schema[measure].dataType), 1)
+
+
+def _pieces(fact: DataFrame, measure: str) -> list[Column]:
+    n = _count_of_pieces(fact, measure)
+    if n == 1:
+        return [F.sum(measure).alias(_piece(measure, 0))]
+    value = F.col(measure).cast("bigint")
+    low = F.lit((1 << PIECE_BITS) - 1).cast("bigint")
+    # the highest piece keeps the sign
+    parts = [F.shiftright(value, PIECE_BITS * i) for i in range(n)]
+    return [F.sum(p if i == n - 1 else p.bitwiseAND(low)).alias(_piece(measure, i)) for i, p in enumerate(parts)]
+
+
+def _whole(fact: DataFrame, measure: str) -> Column:
+    n = _count_of_pieces(fact, measure)
+    if n == 1:
+        return F.col(_piece(measure, 0))
+    exact = "decimal(38,0)"
+    terms = [(F.col(_piece(measure, i)).cast("decimal(19,0)") * F.lit(1 << (PIECE_BITS * i)).cast("decimal(19,0)")).cast(exact) for i in range(n)]
+    return reduce(lambda a, b: (a + b).cast(exact), terms)
 
 
 def as_rollup(

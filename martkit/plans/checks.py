@@ -27,6 +27,7 @@ from martkit.operators.delta import (
 )
 from martkit.operators.fingerprint import compare_tables
 from martkit.operators.marts import dim_average, flagged_counts, orphan_counts, visit_counts
+from martkit.operators.positions import with_positions
 from martkit.operators.pruning import Pruning
 from martkit.operators.quality import null_profile, readback_check
 from martkit.operators.ranking import rank_within
@@ -145,6 +146,32 @@ def q_orphan_counts_distributed(spark, sf_dir):
     return q_orphan_counts(spark, sf_dir, distribute_by=["DESTINATION_AIRPORT"])
 
 
+def q_dim_average_large(spark, sf_dir):
+    """M1 over whole numbers next to the largest bigint, whose sum is far beyond it."""
+    fact, car, _ = _star(spark, sf_dir)
+    large = fact.withColumn("distance", F.lit((1 << 63) - 1).cast("bigint") - F.col("distance").cast("bigint"))
+    out = dim_average(
+        large, car, "carrier", "s_suppkey", "s_name", "distance", label_name="AIRLINE_Name", value_name="avg_DISTANCE"
+    )
+    return conform(out, MART_SCHEMAS["avg_flight"])
+
+
+def q_average_positions(spark, sf_dir):
+    """O1: every carrier's place in the order of the means."""
+    return with_positions(q_dim_average(spark, sf_dir), [F.desc("avg_DISTANCE"), "AIRLINE_Name"])
+
+
+def q_visit_positions(spark, sf_dir):
+    """O2: every row's place in the order of the visits mart."""
+    return with_positions(q_visit_counts(spark, sf_dir, order=False), ["DESTINATION_AIRPORT", "AIRLINE"])
+
+
+def q_flagged_positions(spark, sf_dir):
+    """O3: every row's place in the order of the cancellation mart (all rows, not
+    its first 100)."""
+    return with_positions(q_flagged_counts(spark, sf_dir), [F.desc("DESTINATION_AIRPORT"), "AIRLINE"])
+
+
 MART_SQL = {
     "dim_average": f"""WITH {SQL_CTES}
 SELECT c.s_name AS AIRLINE_Name, CAST(avg(f.distance) AS DOUBLE) AS avg_DISTANCE
@@ -176,6 +203,17 @@ FROM shipments f
 WHERE NOT EXISTS (SELECT 1 FROM places p WHERE p.n_nationkey = f.dest)
 GROUP BY f.dest""",
 }
+MART_SQL["dim_average_large"] = f"""WITH {SQL_CTES}
+SELECT c.s_name AS AIRLINE_Name,
+       CAST(sum(CAST(9223372036854775807 - CAST(f.distance AS BIGINT) AS HUGEINT)) AS DOUBLE) / count(*) AS avg_DISTANCE
+FROM shipments f JOIN carriers c ON f.carrier = c.s_suppkey
+GROUP BY f.carrier, c.s_name"""
+for _name, _mart, _order in (
+    ("average_positions", "dim_average", "avg_DISTANCE DESC, AIRLINE_Name"),
+    ("visit_positions", "visit_counts", "DESTINATION_AIRPORT, AIRLINE"),
+    ("flagged_positions", "flagged_counts", "DESTINATION_AIRPORT DESC, AIRLINE"),
+):
+    MART_SQL[_name] = f"SELECT *, row_number() OVER (ORDER BY {_order}) AS position FROM ({MART_SQL[_mart]})"
 MART_SQL["rank_within"] = f"""SELECT *, CAST(rank() OVER (PARTITION BY DESTINATION_AIRPORT
        ORDER BY Count_visit_per_airline DESC) AS BIGINT) AS ranking
 FROM ({MART_SQL['visit_counts']})"""
@@ -798,6 +836,10 @@ STREAM_SQL = {
 QUERIES: dict[str, Query] = {
     "dim_average": q_dim_average,
     "dim_average_rounded": q_dim_average_rounded,
+    "dim_average_large": q_dim_average_large,
+    "average_positions": q_average_positions,
+    "visit_positions": q_visit_positions,
+    "flagged_positions": q_flagged_positions,
     "visit_counts": q_visit_counts,
     "rank_within": q_rank_within,
     "rank_within_window": q_rank_within_window,
