@@ -88,9 +88,9 @@ def transform_job():
 def ref_visits_ranked():
     t = load_tables(spark, SF_DIR, checks.STAR)
     v = visit_counts(
-        shipments(t), places(t), carriers(t), origin="origin", dest="dest", carrier="carrier",
+        shipments(t).repartition("dest"), places(t), carriers(t), origin="origin", dest="dest", carrier="carrier",
         place_key="n_nationkey", carrier_key="s_suppkey", carrier_label="s_name",
-        dest_name="DESTINATION_AIRPORT", label_name="AIRLINE", distribute_by=["dest"], broadcast=True,
+        dest_name="DESTINATION_AIRPORT", label_name="AIRLINE", broadcast=True,
     )
     execute(rank_within(v, "DESTINATION_AIRPORT", "Count_visit_per_airline", method="window"))
 
@@ -98,12 +98,13 @@ def ref_visits_ranked():
 def ref_flagged():
     t = load_tables(spark, SF_DIR, checks.STAR)
     fact = shipments(t).select(F.col("carrier").alias("A"), F.col("dest").alias("D"), "flag")
-    execute(flagged_counts(fact, "flag", CANCELLED, ["A", "D"], distribute_by=["A", "D"]))
+    fact = fact.where(F.col("flag") == CANCELLED).repartition("A", "D")
+    execute(flagged_counts(fact, "flag", CANCELLED, ["A", "D"]))
 
 
 def ref_orphans():
     t = load_tables(spark, SF_DIR, checks.STAR)
-    execute(orphan_counts(shipments(t), places(t), "dest", "n_nationkey", distribute_by=["dest"], broadcast=True))
+    execute(orphan_counts(shipments(t).repartition("dest"), places(t), "dest", "n_nationkey", broadcast=True))
 
 
 def ref_transform():
@@ -112,12 +113,13 @@ def ref_transform():
     fact, car, pl = shipments(t), carriers(t), places(t)
     execute(dim_average(fact, car, "carrier", "s_suppkey", "s_name", "distance", broadcast=True))
     v = visit_counts(
-        fact, pl, car, origin="origin", dest="dest", carrier="carrier", place_key="n_nationkey",
-        carrier_key="s_suppkey", carrier_label="s_name", distribute_by=["dest"], broadcast=True,
+        fact.repartition("dest"), pl, car, origin="origin", dest="dest", carrier="carrier", place_key="n_nationkey",
+        carrier_key="s_suppkey", carrier_label="s_name", broadcast=True,
     )
     execute(rank_within(v, "dest", "Count_visit_per_airline", method="window"))
-    execute(flagged_counts(fact, "flag", CANCELLED, ["carrier", "dest"], distribute_by=["carrier", "dest"]))
-    execute(orphan_counts(fact, pl, "dest", "n_nationkey", distribute_by=["dest"], broadcast=True))
+    cancelled = fact.where(F.col("flag") == CANCELLED).repartition("carrier", "dest")
+    execute(flagged_counts(cancelled, "flag", CANCELLED, ["carrier", "dest"]))
+    execute(orphan_counts(fact.repartition("dest"), pl, "dest", "n_nationkey", broadcast=True))
 
 
 def ref_null_profile():
@@ -162,16 +164,16 @@ def skew_report(cpus: int) -> dict:
             visit_counts(fact, places(t), carriers(t), **kw), "dest", "Count_visit_per_airline", method="histogram"
         ),
         ("visits_ranked", "reference_shape"): lambda: rank_within(
-            visit_counts(fact, places(t), carriers(t), distribute_by=["dest"], broadcast=True, **kw),
+            visit_counts(fact.repartition("dest"), places(t), carriers(t), broadcast=True, **kw),
             "dest", "Count_visit_per_airline", method="window",
         ),
         ("flagged_counts", "ours"): lambda: flagged_counts(fact, "flag", CANCELLED, ["carrier", "dest"]),
         ("flagged_counts", "reference_shape"): lambda: flagged_counts(
-            fact, "flag", CANCELLED, ["carrier", "dest"], distribute_by=["carrier", "dest"]
+            fact.where(F.col("flag") == CANCELLED).repartition("carrier", "dest"), "flag", CANCELLED, ["carrier", "dest"]
         ),
         ("orphan_counts", "ours"): lambda: orphan_counts(fact, places(t), "dest", "n_nationkey"),
         ("orphan_counts", "reference_shape"): lambda: orphan_counts(
-            fact, places(t), "dest", "n_nationkey", distribute_by=["dest"], broadcast=True
+            fact.repartition("dest"), places(t), "dest", "n_nationkey", broadcast=True
         ),
     }
     for (mart, shape), build in runs.items():

@@ -56,20 +56,25 @@ def rollup(
     ``PIECE_BITS`` bits, each a plain bigint sum that holds 2^41 rows a group, and
     the pieces are put together as a decimal once per group.
 
-    ``distribute_by`` hash-partitions the raw rows first.  That removes the
-    aggregate's own exchange but ships every raw row, and a key with few
-    values puts whole groups in one task; it is off by default.
+    ``distribute_by`` deals the rolled-up rows by those columns into partitions
+    of even size.  A value's rows go to ``SPLITS`` cells by a hash of the other
+    keys, and cells are put together or split by their shuffled bytes (a
+    rebalance), so a value that holds a third of all rows makes no large
+    partition.  Raw rows never travel.
     """
     aggs = [F.count(F.lit(1)).alias(ROWS)]
     for m in measures:
         aggs += [*_pieces(fact, m), F.count(m).alias(cnt_col(m))]
-    if distribute_by:
-        fact = fact.repartition(*distribute_by)
     out = fact.groupBy(*keys).agg(*aggs)
     sums = [c for m in measures for c in (_whole(fact, m).alias(sum_col(m)), F.col(cnt_col(m)))]
-    return Rollup(out.select(*keys, ROWS, *sums), tuple(keys), tuple(measures))
+    out = out.select(*keys, ROWS, *sums)
+    if distribute_by:
+        cell = F.pmod(F.xxhash64(*keys), F.lit(SPLITS))
+        out = out.withColumn("__cell", cell).hint("rebalance", *distribute_by, "__cell").drop("__cell")
+    return Rollup(out, tuple(keys), tuple(measures))
 
 
+SPLITS = 64
 PIECE_BITS = 21
 PIECES = {T.LongType: 3, T.IntegerType: 2}
 

@@ -84,7 +84,7 @@ def q_visit_counts(spark, sf_dir, order=True, distribute_by=None, broadcast=None
 
 
 def q_visit_counts_distributed(spark, sf_dir):
-    """Raw rows hash-partitioned by destination before grouping."""
+    """Rolled-up rows dealt by destination before they are joined and grouped."""
     return q_visit_counts(spark, sf_dir, distribute_by=["dest"])
 
 
@@ -124,7 +124,7 @@ def q_flagged_counts(spark, sf_dir, limit=None, distribute_by=None):
 
 
 def q_flagged_counts_distributed(spark, sf_dir):
-    """Raw rows hash-partitioned by both group keys before grouping."""
+    """Rolled-up rows dealt by both group keys before grouping."""
     return q_flagged_counts(spark, sf_dir, distribute_by=["AIRLINE", "DESTINATION_AIRPORT"])
 
 
@@ -142,7 +142,7 @@ def q_orphan_counts(spark, sf_dir, distribute_by=None):
 
 
 def q_orphan_counts_distributed(spark, sf_dir):
-    """Raw rows hash-partitioned by the key column before grouping."""
+    """Rolled-up rows dealt by the key column before they are joined and grouped."""
     return q_orphan_counts(spark, sf_dir, distribute_by=["DESTINATION_AIRPORT"])
 
 

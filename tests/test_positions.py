@@ -65,3 +65,24 @@ def test_bigint_pieces_stay_in_map_side_sums(spark):
     fact = spark.range(100).select((F.col("id") % 3).alias("k"), F.col("id").alias("m"))
     text = plan(rollup(fact, ["k"], ["m"]).df, "simple")
     assert text.count("partial_sum") >= 3 and "decimal" not in text[text.index("Exchange") :]
+
+
+def test_distributed_rollup_splits_a_hot_key(spark):
+    """A third of the rolled-up rows share one key: no partition holds twice the median."""
+    key = F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 50)
+    fact = spark.range(600_000).select(key.alias("dest"), F.col("id").alias("carrier"))
+    names = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.shuffle.partitions")
+    prior = {n: spark.conf.get(n) for n in names}
+    try:
+        spark.conf.set(names[0], "200k")  # far less than there is, as on large data
+        spark.conf.set(names[1], "16")
+        dealt = rollup(fact, ["dest", "carrier"], distribute_by=["dest"]).df
+        sizes = sorted(r.n for r in dealt.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"), F.max("carrier"), F.max("__rows")).collect())
+        assert sum(sizes) == 600_000 and len(sizes) > 4
+        assert sizes[-1] <= 2 * sizes[len(sizes) // 2]
+        text = plan(dealt, "simple")
+        assert "REBALANCE_PARTITIONS_BY_COL" in text
+        assert text.index("REBALANCE") < text.index("partial_count")  # after the map-side combine
+    finally:
+        for n, v in prior.items():
+            spark.conf.set(n, v)
