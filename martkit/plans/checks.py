@@ -580,6 +580,37 @@ def q_copy_datasets(spark, sf_dir):
     return s.unionByName(c)
 
 
+ALL_TABLES = [
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
+    "pages", "benchmark", "labels", "conversations",
+]
+
+
+def q_copy_all_tables(spark, sf_dir):
+    """Every table copied, and copied again without a change; all columns compared."""
+    dst = scratch_path(spark, "copy_all")
+    names = [f"{t}.parquet" for t in ALL_TABLES]
+    for _ in range(2):
+        copy_datasets(spark, names, sf_dir, dst)
+    each = [
+        compare_tables(_table(spark, sf_dir, t), read_parquet(spark, f"{dst}/{t}.parquet")).select(
+            F.lit(t).alias("dataset"), "expected_rows", "actual_rows", "missing_rows", "extra_rows", "matches")
+        for t in ALL_TABLES
+    ]
+    return reduce(DataFrame.unionByName, each)
+
+
+def q_copy_laid_out(spark, sf_dir):
+    """Orders laid out by status and priority, copied; every row with the folder
+    that its copy stands in."""
+    root = scratch_path(spark, "copy_laid_out")
+    write_parquet(_table(spark, sf_dir, "orders"), f"{root}/in/orders", partition_by=["o_orderstatus", "o_orderpriority"])
+    copy_datasets(spark, ["orders"], f"{root}/in", f"{root}/out")
+    folder = F.regexp_extract(F.url_decode(F.col("_metadata.file_path")), r"/orders/(.*)/[^/]*$", 1)
+    copied = read_parquet(spark, f"{root}/out/orders")
+    return copied.withColumn("folder", folder).select(*_table(spark, sf_dir, "orders").columns, "folder")
+
+
 def q_table_readback(spark, sf_dir):
     """Write through the format-parameterised sink, read back, compare."""
     cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
@@ -809,6 +840,13 @@ a AS (SELECT * FROM kept UNION ALL SELECT * FROM kept WHERE o_orderpriority = '1
 SELECT (SELECT count(*) FROM orders) AS expected_rows, (SELECT count(*) FROM a) AS actual_rows,
        (SELECT count(*) FROM (SELECT * FROM orders EXCEPT ALL SELECT * FROM a)) AS missing_rows,
        (SELECT count(*) FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM orders)) AS extra_rows, {_NO_CHANGES}, false AS matches"""
+SOURCE_SQL["copy_all_tables"] = "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS dataset, count(*) AS expected_rows, count(*) AS actual_rows, CAST(0 AS BIGINT) AS missing_rows, "
+    f"CAST(0 AS BIGINT) AS extra_rows, true AS matches FROM {t}"
+    for t in ALL_TABLES
+)
+SOURCE_SQL["copy_laid_out"] = """SELECT *, 'o_orderstatus=' || o_orderstatus || '/o_orderpriority=' || o_orderpriority AS folder
+FROM orders"""
 SOURCE_SQL["compare_columns"] = """SELECT count(*) AS expected_rows, count(*) AS actual_rows, CAST(0 AS BIGINT) AS missing_rows,
        CAST(0 AS BIGINT) AS extra_rows, 'o_orderdate' AS missing_columns, 'loaded' AS extra_columns,
        'o_custkey: bigint -> int' AS changed_types, 0 AS differing_buckets, false AS matches FROM orders"""
@@ -880,6 +918,8 @@ QUERIES: dict[str, Query] = {
     "csv_roundtrip": q_csv_roundtrip,
     "csv_quarantine": q_csv_quarantine,
     "copy_datasets": q_copy_datasets,
+    "copy_all_tables": q_copy_all_tables,
+    "copy_laid_out": q_copy_laid_out,
     "table_readback": q_table_readback,
     "readback_check": q_readback_check,
     "compare_damaged": q_compare_damaged,

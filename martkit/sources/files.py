@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
+
+from martkit.sources.smallfiles import Folder
 
 
 def read_csv(
@@ -55,6 +59,61 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool =
     df.write.mode(mode).option("header", header).csv(path)
 
 
+#: what a copy last took from its source; readers pass over names with an underscore
+COPIED = "_copied.json"
+
+
+def folder_digests(spark: SparkSession, path: str) -> dict[str, str]:
+    """A digest of the files (name, size, time) of each folder of a dataset that
+    holds any; "" is the dataset's own folder."""
+    held: dict[str, list] = {}
+    for name, size, changed in Folder(spark, path).files():
+        folder, _, file = name.rpartition("/")
+        held.setdefault(folder, []).append((file, size, changed))
+    return {f: hashlib.sha256(json.dumps(files).encode("utf-8")).hexdigest() for f, files in held.items()}
+
+
+def partition_columns(folders: Iterable[str]) -> list[str]:
+    """The columns that folder names such as ``a=1/b=2`` lay a dataset out by."""
+    layouts = {tuple(part.partition("=")[0] if "=" in part else "" for part in f.split("/") if part) for f in folders}
+    if not layouts or layouts == {()}:
+        return []
+    if len(layouts) > 1 or "" in next(iter(layouts)):
+        raise ValueError(f"folders are laid out in different ways: {sorted(layouts)}")
+    return list(next(iter(layouts)))
+
+
+def _copy_one(spark: SparkSession, source: str, target: str) -> list[str]:
+    """Copy what changed since the last copy; the folders copied."""
+    now, book = folder_digests(spark, source), Folder(spark, target)
+    before = json.loads(book.read(COPIED) or "{}")
+    layout = partition_columns(now)
+    known = bool(before) and partition_columns(before) == layout
+    changed = [f for f in now if not known or before.get(f) != now[f]]
+    gone = [f for f in before if f not in now] if known else []
+    if not changed and not gone and known:
+        return []
+    frame = spark.read.option("basePath", source) if layout else spark.read
+    if layout:  # folder values as text, so that 01 stays 01
+        own = spark.read.parquet(f"{source}/{changed[0]}" if changed else source)
+        fields = [f for f in own.schema.fields if f.name not in layout]
+        frame = frame.schema(StructType([*fields, *[StructField(c, StringType()) for c in layout]]))
+    if not known or not layout:
+        data = frame.parquet(source)
+        (data.write.partitionBy(*layout) if layout else data.write).mode("overwrite").parquet(target)
+    else:
+        if changed:
+            data = frame.parquet(*[f"{source}/{f}" for f in changed])
+            writer = data.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            writer.partitionBy(*layout).parquet(target)
+        for folder in gone:
+            book.delete(folder)
+    # the note goes last: a copy that was stopped is taken up from the older one
+    book.delete(COPIED)
+    book.create(COPIED, json.dumps(now))
+    return changed
+
+
 def copy_datasets(
     spark: SparkSession,
     names: Iterable[str],
@@ -67,11 +126,19 @@ def copy_datasets(
     Each copy is a distributed read and write; nothing passes the driver.  The
     roots may be any Hadoop file-system URI (``s3a://``, ``gs://``, ``hdfs://``,
     ``file:``) for which the cluster has a connector.
+
+    A dataset laid out in folders keeps them, values as they are written, and a
+    note beside the copy tells what was taken: a second copy rewrites only the
+    folders whose files changed, drops those that went, and leaves a dataset
+    without changes alone.  (Modes other than ``overwrite`` copy all rows.)
     """
     src, dst = src_root.rstrip("/"), dst_root.rstrip("/")
     names = list(names)
 
     def copy(name: str) -> None:
+        if mode == "overwrite":
+            _copy_one(spark, f"{src}/{name}", f"{dst}/{name}")
+            return
         spark.read.parquet(f"{src}/{name}").write.mode(mode).parquet(f"{dst}/{name}")
 
     # independent copies run as concurrent jobs; the first failure is raised

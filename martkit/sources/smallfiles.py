@@ -6,6 +6,7 @@ for the same path, so object stores and remote paths work as they do for tables.
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -34,17 +35,36 @@ class Folder:
         found = self._fs.globStatus(self._at("")) or []
         return sum(int(self._fs.getContentSummary(s.getPath()).getLength()) for s in found)
 
+    def files(self) -> list[tuple[str, int, int]]:
+        """(path below the folder, bytes, time changed) of all data files at any depth;
+        names that begin with _ or . are not data.  Of a file: the file itself."""
+        if not self.exists():
+            return []
+        root = self._fs.makeQualified(self._at("")).toUri().getPath()
+        found, left = [], self._fs.listFiles(self._at(""), True)
+        while left.hasNext():
+            status = left.next()
+            name = status.getPath().toUri().getPath()[len(root) :].lstrip("/")
+            if not any(part[:1] in ("_", ".") for part in name.split("/")):
+                found.append((name, int(status.getLen()), int(status.getModificationTime())))
+        return sorted(found)
+
     def modified(self, name: str) -> float:
         """When the file or folder last changed, in seconds since 1970."""
         return self._fs.getFileStatus(self._at(name)).getModificationTime() / 1000
 
     def read(self, name: str) -> str | None:
-        """The file's text, or None if there is no such file."""
+        """The file's text, or None if there is no such file; empty if its writer
+        was stopped and the file system finds it damaged."""
         if not self.exists(name):
             return None
         stream = self._fs.open(self._at(name))
         try:
             return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        except Py4JJavaError as error:
+            if "ChecksumException" in error.java_exception.getClass().getName():
+                return ""
+            raise
         finally:
             stream.close()
 
