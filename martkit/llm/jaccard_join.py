@@ -6,7 +6,7 @@ into fragments of equal hash ranges.  Two sets that reach the threshold differ
 in so few shingles that, of more fragments than that, at least one is equal:
 sets meet on equal fragments (for each interval of set sizes one more fragment
 than differences allowed).  For the pairs that meet, the common shingles are
-counted fragment by fragment and summed per pair.
+counted fragment by fragment of the order and summed per pair.
 
 A group of sets that meet is not expanded into pairs.  Each member is compared
 with the smallest; then, round by round, groups whose members are still in
@@ -37,19 +37,30 @@ from pyspark.sql.functions import arrow_udf
 from martkit.llm.common import byte_values, space_words, stage, table
 
 FRAGMENTS = 8
+EDGES = np.arange(FRAGMENTS, dtype=np.uint64) << np.uint64(61)  # starts in the order of hashes
 PASSES = 4
 ROLL = np.uint64(0x9E3779B97F4A7C15)
 
 
+class _Words(dict):
+    """Hashes of words, made when first asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = found = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+        return found
+
+
+CACHED_WORDS = 200_000  # emptied between texts, beyond that many
+_WORDS = _Words()
+
+
 def shingles(raw: bytes, n: int) -> np.ndarray:
     words = space_words(raw)
     if not words:
         return np.zeros(0, dtype=np.uint64)
-    known: dict[bytes, int] = {}
-    for w in words:
-        if w not in known:
-            known[w] = int.from_bytes(hashlib.blake2b(w, digest_size=8).digest(), "little")
-    h = np.fromiter((known[w] for w in words), np.uint64, len(words))
+    if len(_WORDS) > CACHED_WORDS:
+        _WORDS.clear()
+    h = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
     size = min(n, len(h))
     out = np.zeros(len(h) - size + 1, dtype=np.uint64)
     for i in range(size):
@@ -115,34 +126,40 @@ def links(classes: DataFrame, texts: DataFrame, words: int, threshold: float) ->
         share *= 16
 
 
+def overlap(s: np.ndarray, t: np.ndarray, needed: int) -> int:
+    """Common shingles of two sorted sets, counted fragment by fragment and
+    summed; less than ``needed`` as soon as what is left can't reach it."""
+    at, to = np.append(np.searchsorted(s, EDGES), len(s)), np.append(np.searchsorted(t, EDGES), len(t))
+    total = 0
+    for f in range(FRAGMENTS):
+        total += len(np.intersect1d(s[at[f] : at[f + 1]], t[to[f] : to[f + 1]], assume_unique=True))
+        if total + min(len(s) - at[f + 1], len(t) - to[f + 1]) < needed:
+            break
+    return total
+
+
 def verified(pairs: DataFrame, texts: DataFrame, words: int, threshold: float) -> DataFrame:
-    """The pairs (a, b) that reach the threshold: common shingles are counted
-    fragment by fragment and summed.  Only texts in pairs become sets again."""
-    pairs = stage(pairs, "pairs")
-    named = pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct()
-    build = arrow_udf(lambda col: pa.array([shingles(b, words).tobytes() for b in byte_values(col)], pa.binary()), "binary")
-    sets = texts.join(named, "c", "left_semi").select("c", build("x").alias("s"))
-    sets = stage(sets.withColumn("n", (F.octet_length("s") / 8).cast("long")).dropDuplicates(["c", "s"]), "sets")
-
-    def cut(side: str) -> DataFrame:
-        fragment = arrow_udf(
-            lambda col: pa.array(
-                [[s[(s >> np.uint64(61)).astype(np.int64) == f].tobytes() for f in range(FRAGMENTS)]
-                 for s in (np.frombuffer(b, "<u8") for b in byte_values(col))], pa.list_(pa.binary())
-            ), "array<binary>",
-        )
-        return sets.select(F.col("c").alias(side), F.col("n").alias(f"n_{side}"), F.posexplode(fragment("s")).alias("f", f"s_{side}"))
-
-    common = arrow_udf(
-        lambda x, y: pa.array(
-            [len(np.intersect1d(np.frombuffer(p, "<u8"), np.frombuffer(q, "<u8"), assume_unique=True))
-             for p, q in zip(byte_values(x), byte_values(y), strict=True)], pa.int64()
-        ), "long",
-    )
-    partial = pairs.join(cut("a"), "a").join(cut("b"), ["b", "f"]).select("a", "b", "n_a", "n_b", common("s_a", "s_b").alias("o"))
-    total = partial.groupBy("a", "b", "n_a", "n_b").agg(F.sum("o").alias("o"))
+    """The pairs (a, b) that reach the threshold.  The second text of a pair is
+    fetched once and travels to the first, which several pairs share; the sets are
+    made where both meet, so no set is written or shuffled."""
     percent = round(100 * threshold)
-    return total.where(F.col("o") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("o")) * percent).select("a", "b")
+
+    def reach(x: pa.Array, y: pa.Array) -> pa.Array:
+        out, last, s = [], None, None
+        for p, q in zip(byte_values(x), byte_values(y), strict=True):
+            if p != last:  # pairs with one first text come in turn
+                last, s = p, shingles(p, words)
+            t = shingles(q, words)
+            both = len(s) + len(t)
+            needed = -(-both * percent // (100 + percent))  # of o, where 100 o >= percent (both - o)
+            out.append(min(len(s), len(t)) >= needed and overlap(s, t, needed) >= needed)
+        return pa.array(out, pa.bool_())
+
+    near = arrow_udf(reach, "boolean")
+    pairs = stage(pairs, "pairs")
+    second = pairs.join(texts.select(F.col("c").alias("b"), F.col("x").alias("y")), "b")
+    both = second.join(texts.select(F.col("c").alias("a"), "x"), "a")
+    return both.where(near("x", "y")).select("a", "b").distinct()
 
 
 def components(pairs: DataFrame) -> DataFrame:
