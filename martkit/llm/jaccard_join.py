@@ -6,7 +6,8 @@ into fragments of equal hash ranges.  Two sets that reach the threshold differ
 in so few shingles that, of more fragments than that, at least one is equal:
 sets meet on equal fragments (for each interval of set sizes one more fragment
 than differences allowed).  For the pairs that meet, the common shingles are
-counted fragment by fragment of the order and summed per pair.
+counted fragment by fragment of the order and summed per pair, once the parities
+of the two sets (a small row of bits each) don't rule the pair out.
 
 A group of sets that meet is not expanded into pairs.  Each member is compared
 with the smallest; then, round by round, groups whose members are still in
@@ -39,6 +40,7 @@ from martkit.llm.common import byte_values, space_words, stage, table
 FRAGMENTS = 8
 EDGES = np.arange(FRAGMENTS, dtype=np.uint64) << np.uint64(61)  # starts in the order of hashes
 PASSES = 4
+PARITY_BITS = 1024
 ROLL = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -98,6 +100,25 @@ def signatures(s: np.ndarray, threshold: float) -> list[int]:
     return list(dict.fromkeys(out))
 
 
+def parity(s: np.ndarray) -> list[int]:
+    """A bit for each of ``PARITY_BITS`` buckets: whether it holds an odd number
+    of shingles.  Two sets differ in at least as many shingles as their bits do."""
+    odd = np.bincount((s % np.uint64(PARITY_BITS)).astype(np.int64), minlength=PARITY_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view("<i8").tolist()
+
+
+def may_link(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (a, b) whose parities allow the threshold; it drops no link: sets
+    that reach it differ in a (1 - t) / (1 + t)th of both sizes at most."""
+    own = lambda side: classes.select(F.col("c").alias(side), F.col("n").alias(f"n_{side}"), F.col("bits").alias(f"bits_{side}"))
+    met = pairs.join(own("a"), "a").join(own("b"), "b")
+    apart = F.aggregate(
+        F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, x: total + x.cast("int")
+    )
+    most = (F.col("n_a") + F.col("n_b")) * ((1 - threshold) / (1 + threshold)) + 1e-6
+    return met.where(apart <= most).select("a", "b")
+
+
 def links(classes: DataFrame, texts: DataFrame, words: int, threshold: float) -> DataFrame:
     """Pairs (a, b) of classes (c, n, marks) that reach the threshold; texts: (c, x)."""
     held = None
@@ -108,7 +129,7 @@ def links(classes: DataFrame, texts: DataFrame, words: int, threshold: float) ->
         part = stage(met.join(groups, "m"), "met")
         held = part if held is None else held.unionByName(part)
     first = held.where("a < c").select("a", F.col("c").alias("b")).distinct()
-    found = stage(verified(first, texts, words, threshold), "links")
+    found = stage(verified(may_link(first, classes, threshold), texts, words, threshold), "links")
     share = 1
     while True:
         now = held.join(components(found), "c", "left").withColumn("root", F.coalesce("root", "c"))
@@ -120,7 +141,7 @@ def links(classes: DataFrame, texts: DataFrame, words: int, threshold: float) ->
         chosen = open_.where(F.pmod(F.xxhash64("c", "m"), "k") < share).select("m", F.col("c").alias("b"), F.col("n").alias("o"), F.col("root").alias("r"))
         near = (F.col("root") != F.col("r")) & (F.least("n", "o") >= F.greatest("n", "o") * (threshold - 1e-9))
         pairs = chosen.join(open_, "m").where(near).select(F.least("b", "c").alias("a"), F.greatest("b", "c").alias("b")).distinct()
-        found = stage(found.unionByName(verified(pairs, texts, words, threshold)).distinct(), "links")
+        found = stage(found.unionByName(verified(may_link(pairs, classes, threshold), texts, words, threshold)).distinct(), "links")
         if share >= largest:
             return found
         share *= 16
@@ -182,17 +203,18 @@ def components(pairs: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3, threshold: float = 0.9) -> DataFrame:
     """One row per document: key, n_shingles, component_id."""
 
-    @arrow_udf("struct<n:long,d:binary,marks:array<long>>")
+    @arrow_udf("struct<n:long,d:binary,marks:array<long>,bits:array<long>>")
     def code(col: pa.Array) -> pa.Array:
         out = []
         for raw in byte_values(col):
             found = shingles(raw, words)
-            out.append({"n": len(found), "d": hashlib.blake2b(found.tobytes(), digest_size=16).digest(), "marks": signatures(found, threshold)})
-        return pa.array(out, pa.struct([("n", pa.int64()), ("d", pa.binary()), ("marks", pa.list_(pa.int64()))]))
+            out.append({"n": len(found), "d": hashlib.blake2b(found.tobytes(), digest_size=16).digest(), "marks": signatures(found, threshold), "bits": parity(found)})
+        longs = pa.list_(pa.int64())
+        return pa.array(out, pa.struct([("n", pa.int64()), ("d", pa.binary()), ("marks", longs), ("bits", longs)]))
 
     coded = stage(docs.select(F.col(key).alias("k"), code(F.col(text)).alias("v")).select("k", "v.*"), "coded")
     classes = coded.where("n > 0 AND k IS NOT NULL").groupBy("d").agg(F.min("k").alias("c"))
-    first = coded.join(classes, "d").where("k = c").dropDuplicates(["d"]).select("c", "n", "marks")
+    first = coded.join(classes, "d").where("k = c").dropDuplicates(["d"]).select("c", "n", "marks", "bits")
     first = stage(first, "classes")
     texts = docs.select(F.col(key).alias("c"), F.col(text).alias("x"))
     found = components(links(first, texts, words, threshold))

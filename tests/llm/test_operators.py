@@ -144,3 +144,19 @@ def test_near_duplicates_keep_every_chain(spark, words, threshold):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = near_duplicates(docs, words=words, threshold=threshold).collect()
     assert {x.doc_id: x.component_id for x in got} == {i: top(i) for i in range(len(sets))}
+
+
+def test_parities_rule_out_no_link(spark):
+    """Bits differ at most as often as shingles do, so linked pairs stay."""
+    from martkit.llm.jaccard_join import may_link, parity
+
+    r = np.random.default_rng(1)
+    sets = [np.unique(r.integers(0, 1 << 63, size, dtype=np.uint64)) for size in (1, 5, 40, 400, 3000)]
+    sets += [np.unique(np.append(s[1:], r.integers(0, 1 << 63, max(1, len(s) // 20), dtype=np.uint64))) for s in sets]
+    rows = [(i, len(s), parity(s)) for i, s in enumerate(sets)]
+    classes = spark.createDataFrame(rows, "c long, n long, bits array<long>")
+    pairs = spark.createDataFrame([(i, j) for i in range(10) for j in range(i + 1, 10)], "a long, b long")
+    kept = {tuple(x) for x in may_link(pairs, classes, 0.8).collect()}
+    common = {(i, j): len(np.intersect1d(sets[i], sets[j])) for i in range(10) for j in range(i + 1, 10)}
+    linked = {p for p, o in common.items() if o >= 0.8 * (len(sets[p[0]]) + len(sets[p[1]]) - o)}
+    assert linked <= kept and (3, 8) in linked and len(kept) < 20
