@@ -119,6 +119,16 @@ def may_link(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFram
     return met.where(apart <= most).select("a", "b")
 
 
+def settled(df: DataFrame, name: str) -> DataFrame:
+    """``stage``, after which the driver drops what it no longer refers to, so that
+    the shuffle files of finished rounds go before the next round writes its own."""
+    out = stage(df, name)
+    jvm = getattr(df.sparkSession, "_jvm", None)
+    if jvm is not None:
+        jvm.System.gc()
+    return out
+
+
 def links(classes: DataFrame, texts: DataFrame, words: int, threshold: float) -> DataFrame:
     """Pairs (a, b) of classes (c, n, marks) that reach the threshold; texts: (c, x)."""
     held = None
@@ -126,10 +136,10 @@ def links(classes: DataFrame, texts: DataFrame, words: int, threshold: float) ->
         own = F.expr(f"filter(marks, m -> pmod(m, {PASSES}) = {number})")
         met = classes.select("c", "n", F.explode(own).alias("m"))
         groups = met.groupBy("m").agg(F.min("c").alias("a"), F.count("*").alias("k")).where("k > 1")
-        part = stage(met.join(groups, "m"), "met")
+        part = settled(met.join(groups, "m"), "met")
         held = part if held is None else held.unionByName(part)
     first = held.where("a < c").select("a", F.col("c").alias("b")).distinct()
-    found = stage(verified(may_link(first, classes, threshold), texts, words, threshold), "links")
+    found = settled(verified(may_link(first, classes, threshold), texts, words, threshold), "links")
     share = 1
     while True:
         now = held.join(components(found), "c", "left").withColumn("root", F.coalesce("root", "c"))
@@ -141,7 +151,7 @@ def links(classes: DataFrame, texts: DataFrame, words: int, threshold: float) ->
         chosen = open_.where(F.pmod(F.xxhash64("c", "m"), "k") < share).select("m", F.col("c").alias("b"), F.col("n").alias("o"), F.col("root").alias("r"))
         near = (F.col("root") != F.col("r")) & (F.least("n", "o") >= F.greatest("n", "o") * (threshold - 1e-9))
         pairs = chosen.join(open_, "m").where(near).select(F.least("b", "c").alias("a"), F.greatest("b", "c").alias("b")).distinct()
-        found = stage(found.unionByName(verified(may_link(pairs, classes, threshold), texts, words, threshold)).distinct(), "links")
+        found = settled(found.unionByName(verified(may_link(pairs, classes, threshold), texts, words, threshold)).distinct(), "links")
         if share >= largest:
             return found
         share *= 16
