@@ -35,11 +35,14 @@ def duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The row with the smallest id of each group stays, one without an id only
     where no other has one.  Rows are told apart by a number of their own, so
     each goes or stays by its own text; of equal rows one stays."""
-    rows = stage(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    found = near_duplicates(rows, key="_row", words=SHINGLE_WORDS, threshold=SIMILARITY)
-    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_row")
-    kept = found.join(rows.select("_row", "doc_id"), "_row").groupBy("component_id").agg(F.min(order).alias("first"))
-    return rows.join(kept.select("first._row"), "_row", "left_semi").select(*docs.columns)
+    row, taken = "_row", {c.lower() for c in docs.columns}
+    while row in taken:  # a caller's column of that name stays as it is
+        row += "_"
+    rows = stage(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    found = near_duplicates(rows, key=row, words=SHINGLE_WORDS, threshold=SIMILARITY)
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", row)
+    kept = found.join(rows.select(row, "doc_id"), row).groupBy("component_id").agg(F.min(order).alias("first"))
+    return rows.join(kept.select(f"first.{row}"), row, "left_semi").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
