@@ -8,7 +8,8 @@ with what is still free, both as shares of the capacity.  When nothing fits, a
 waiting piece is cut to fill the free tokens.  What is left at a task's end is
 cut into sequences whose lengths are powers of two, which need no padding.
 
-A task holds at most ``waiting`` pieces, each under one sequence long.
+A task holds at most ``waiting`` pieces, each under one sequence long, or as many
+short ones as do not fill a sequence.  Plain texts have no limit of segments.
 
 Defined cases: null or empty text is the end id alone; null keys and repeated
 rows are packed like any other row; other columns are not read.  An empty table
@@ -18,6 +19,7 @@ partition in the upper bits, a counter below.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Iterator
@@ -36,23 +38,59 @@ END_ID = 1
 # Before " x" the pre-tokeniser always cuts, whatever stands around it, so the
 # ids of a text are the ids of these units one after the other.
 UNIT = re.compile(r"(?= \w)")
+# Fixed value: the pattern by which byte-level tokenisers of this kind split.
+BYTE_LEVEL_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+# The kind (letter, number, space) of a character up to U+024F is the same in
+# every Unicode table; units with others are left to ``tokenizers``.
+SLOW = re.compile("[^\x00-\u024f]")
 CACHE_UNITS = 700_000
 JOINED_BYTES = 200_000
 _ENCODERS: dict = {}
 
 
+def fast_twin(tokenizer):
+    """A tiktoken encoder that gives the ids of ``tokenizer`` on texts of FAST
+    characters, or None where that is not sure.
+
+    Both split alike and merge by rank, one by pairs, the other by what a pair
+    spells.  They differ only at a token whose own bytes are not merged to it, so
+    every token is tried; ids must follow the order of the merges too.
+    """
+    import tiktoken
+    from tokenizers.pre_tokenizers import ByteLevel
+
+    kept = json.loads(tokenizer.to_str())
+    model, cut = kept["model"], kept["pre_tokenizer"] or {}
+    plain = model["type"] == "BPE" and not any(
+        model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")
+    )
+    if not plain or kept["normalizer"] or cut.get("type") != "ByteLevel" or cut["add_prefix_space"] or not cut.get("use_regex", True):
+        return None
+    vocabulary = model["vocab"]
+    # bytes that print stand for themselves, the others for the characters from 256 on
+    own = [b for b in range(256) if chr(b) in ByteLevel.alphabet()]
+    letters = {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in own)}
+    order = [vocabulary["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
+    if order != sorted(order) or any(len(tokenizer.model.tokenize(t)) != 1 for t in vocabulary):
+        return None
+    ranks = {bytes(letters[c] for c in token): rank for token, rank in vocabulary.items()}
+    return tiktoken.Encoding("twin", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
 class UnitEncoder:
-    """Ids of texts as little-endian unsigned 32-bit bytes.  Units seen before
-    come from a bounded cache; new ones are encoded together by ``tokenizers``
-    and cut apart by the byte lengths of their tokens."""
+    """Ids of texts as little-endian unsigned 32-bit bytes, those that ``tokenizers``
+    gives for the file.  Units seen before come from a bounded cache; new ones are
+    encoded together and cut apart by the byte lengths of their tokens.  A text with
+    the string of an added token is encoded whole."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        # the strings of special tokens are ordinary text in a document
-        self.tokenizer.encode_special_tokens = True
+        self.twin = fast_twin(self.tokenizer)
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(added)) if added else None
         vocabulary = self.tokenizer.get_vocab()
         self.token_bytes = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
         for token, number in vocabulary.items():
@@ -63,39 +101,46 @@ class UnitEncoder:
         # the fast form leaves out offsets, which nothing here reads
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
 
-    def _learn(self, units: list[str]) -> None:
+    def _joined_ids(self, text: str, fast: bool) -> np.ndarray:
+        return self.twin.encode_to_numpy(text, disallowed_special=()).astype("<u4") if fast else self._ids(text)
+
+    def _learn(self, units: list[str], fast: bool) -> None:
         sizes = np.cumsum([len(u.encode()) for u in units])
         at = 0
         while at < len(units):
             done = sizes[at - 1] if at else 0
             to = max(at + 1, int(np.searchsorted(sizes, done + JOINED_BYTES)))
-            ids = self._ids("".join(units[at:to]))
+            ids = self._joined_ids("".join(units[at:to]), fast)
             ends = np.cumsum(self.token_bytes[ids])
             cuts = np.searchsorted(ends, sizes[at:to] - done)
             whole = cuts < len(ends)
             if whole.all() and (ends[cuts] == sizes[at:to] - done).all():
-                start = 0
-                for unit, cut in zip(units[at:to], (cuts + 1).tolist(), strict=True):
-                    self.cache[unit] = ids[start:cut].tobytes()
-                    start = cut
+                raw, stops = ids.tobytes(), (4 * cuts + 4).tolist()
+                starts = [0, *stops[:-1]]
+                self.cache.update(zip(units[at:to], [raw[a:b] for a, b in zip(starts, stops, strict=True)], strict=True))
             else:  # a tokeniser whose ids don't spell the bytes: one by one
                 for unit in units[at:to]:
                     self.cache[unit] = self._ids(unit).tobytes()
             at = to
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        parts = [UNIT.split(text) if text else [] for text in texts]
+        whole = [self.added is not None and self.added.search(text) is not None for text in texts]
+        parts = [UNIT.split(text) if text and not w else [] for text, w in zip(texts, whole, strict=True)]
         inner: set[str] = set()
         for units in parts:
             inner.update(units[1:])
         if len(self.cache) > CACHE_UNITS:
             self.cache.clear()
-        self._learn([u for u in inner if u not in self.cache])
+        fresh = [u for u in inner if u not in self.cache]
+        if self.twin is not None:
+            self._learn([u for u in fresh if not SLOW.search(u)], True)
+            fresh = [u for u in fresh if SLOW.search(u)]
+        self._learn(fresh, False)
         get = self.cache.__getitem__
         out = []
-        for units in parts:
+        for text, units, w in zip(texts, parts, whole, strict=True):
             # the first unit has no space before it, so it is not joined to others
-            first = self._ids(units[0]).tobytes() if units else b""
+            first = self._ids(text if w else units[0]).tobytes() if w or units else b""
             out.append(first + b"".join(map(get, units[1:])))
         return out
 
@@ -141,10 +186,10 @@ class _Packer:
     def __init__(self, limits: Limits, cut: bool, first_id: int):
         self.limits, self.cut, self.next_id = limits, cut, first_id
         self.pieces: list = []  # (key, ids, start, length, prompt, doc_tokens), or None when placed
-        self.size = 4 * limits.waiting
-        self.demand = np.zeros((self.size, 3))
+        # a row for tokens, segments and loss; tokens of a placed piece are infinite, so it fits nowhere
+        self.demand = np.zeros((3, 1024))
         self.capacity = np.array([limits.tokens, limits.segments, limits.loss_tokens], dtype=float)
-        self.n_waiting = 0
+        self.n_waiting = self.tokens_waiting = 0
 
     @staticmethod
     def _loss(start: int, length: int, prompt: int) -> int:
@@ -169,45 +214,49 @@ class _Packer:
             length -= max(0, over)
             self._wait((key, ids[4 * start : 4 * (start + length)], 0, length, max(0, prompt - start), n), start)
             start += length
-        while self.n_waiting > limits.waiting:
+        # pieces that don't yet fill a sequence wait on, so that none is left half empty
+        while self.n_waiting > limits.waiting and (self.tokens_waiting >= limits.tokens or self.n_waiting > limits.segments):
             self._fill(rows)
 
     def _wait(self, piece: tuple, base: int) -> None:
-        if len(self.pieces) == self.size:  # forget the places of placed pieces
+        if len(self.pieces) == self.demand.shape[1]:  # forget the places of placed pieces
             held = [i for i, p in enumerate(self.pieces) if p is not None]
             self.pieces = [self.pieces[i] for i in held]
-            kept = self.demand[held]
-            self.demand[:] = 0
-            self.demand[: len(kept)] = kept
+            kept = self.demand[:, held]
+            self.demand = np.zeros((3, 512 + len(held) + len(held) // 2))
+            self.demand[:, : len(held)] = kept
         key, ids, start, length, prompt, n = piece
-        self.demand[len(self.pieces)] = (length, 1, self._loss(start, length, prompt))
+        self.demand[:, len(self.pieces)] = (length, 1, self._loss(start, length, prompt))
         self.pieces.append((key, ids, start, length, prompt, n, base))
         self.n_waiting += 1
+        self.tokens_waiting += length
 
     def _take(self, i: int, length: int | None = None) -> tuple:
         key, ids, start, own, prompt, n, base = self.pieces[i]
         if length is None or length == own:
             self.pieces[i] = None
-            self.demand[i] = 0
+            self.demand[:, i] = (np.inf, 0, 0)
             self.n_waiting -= 1
+            self.tokens_waiting -= own
             return (key, ids, start, own, prompt, n, base)
+        self.tokens_waiting -= length
         self.pieces[i] = (key, ids, start + length, own - length, prompt, n, base)
-        self.demand[i] = (own - length, 1, self._loss(start + length, own - length, prompt))
+        self.demand[:, i] = (own - length, 1, self._loss(start + length, own - length, prompt))
         return (key, ids, start, length, prompt, n, base)
 
     def _fill(self, rows: list) -> list:
         """Fill and emit one sequence."""
         sequence, free = [], self.capacity.copy()
-        demand = self.demand[: len(self.pieces)]
-        scaled = demand / (self.capacity * self.capacity)
+        tokens, segments, loss = demand = self.demand[:, : len(self.pieces)]
+        shares = 1 / (self.capacity * self.capacity)
         while self.n_waiting and free[1] >= 1 and free[0] >= 1:
-            fits = (demand[:, 1] > 0) & (demand <= free).all(axis=1)
-            if fits.any():
-                i = int(np.argmax(np.where(fits, scaled @ free, -1.0)))
+            fits = np.flatnonzero((tokens <= free[0]) & (loss <= free[2]))
+            if len(fits):
+                i = int(fits[np.argmax((free * shares) @ demand[:, fits])])
                 piece = self._take(i)
             elif self.cut:
                 # the longest piece is cut to what is free, the loss limit included
-                i = int(np.argmax(demand[:, 0]))
+                i = int(np.argmax(np.where(segments > 0, tokens, 0)))
                 _, _, start, own, prompt, _, _ = self.pieces[i]
                 length = min(int(free[0]), own)
                 length -= max(0, self._loss(start, length, prompt) - int(free[2]))
@@ -216,7 +265,6 @@ class _Packer:
                 piece = self._take(i, length)
             else:
                 break
-            scaled[i] = demand[i] / (self.capacity * self.capacity)
             free -= (piece[3], 1, self._loss(piece[2], piece[3], piece[4]))
             sequence.append(piece)
         self._close(rows, sequence)
@@ -232,7 +280,7 @@ class _Packer:
 
     def finish(self, rows: list) -> None:
         while self.n_waiting:
-            waiting = sum(p[3] for p in self.pieces if p is not None)
+            waiting = self.tokens_waiting
             if not self.cut or waiting >= self.limits.tokens or self.n_waiting > self.limits.segments:
                 self._fill(rows)
                 continue
@@ -302,8 +350,10 @@ def _batch(rows: list, schema: pa.Schema) -> pa.RecordBatch:
 
 
 def pack_texts(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", limits: Limits | None = None) -> DataFrame:
-    """Tokenise whole texts and pack them; ``tokenizer`` is a tokenizer file."""
-    return pack(docs, key, text, limits=limits, tokenizer=tokenizer)
+    """Tokenise whole texts and pack them; ``tokenizer`` is a tokenizer file.
+    Without ``limits`` only the tokens of a sequence are limited."""
+    own = limits or Limits(segments=Limits.tokens)
+    return pack(docs, key, text, limits=own, tokenizer=tokenizer)
 
 
 def pieces_digest(pieces: DataFrame, key: str = "doc_id") -> DataFrame:

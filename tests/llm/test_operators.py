@@ -82,8 +82,7 @@ def test_packing_round_trip(spark):
     from tokenizers import Tokenizer
 
     own = Tokenizer.from_file(default_tokenizer())
-    own.encode_special_tokens = True
-    rows = [(1, "some text é\n\n  more  text's"), (2, None), (3, ""), (4, "word " * 3000), (5, "<|endoftext|>")]
+    rows = [(1, "some text é\n\n  more  text's"), (2, None), (3, ""), (4, "word " * 3000), (5, "a <|endoftext|> b")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     pieces = pack_texts(docs, default_tokenizer()).collect()
     for i, text in rows:
