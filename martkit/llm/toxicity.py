@@ -5,9 +5,11 @@ not.  Each is scaled by its naive Bayes log-count ratio between toxic and other
 labelled texts, and a logistic model is fitted on the scaled features.
 
 * Counts: every labelled training text is counted, in tasks, into ``buckets``
-  pairs of sums; the driver gets two vectors of that fixed size.
+  pairs of sums; a task sends on slices of them, in the narrowest whole numbers
+  that hold its own counts, and the driver gets two vectors of fixed size.
 * Fit: on at most ``fit_rows`` texts of each class (those with the smallest
-  hash of their key); their selected features reach the driver in 4 bytes each,
+  hash of their key).  They are chosen among the keys alone, so only their own texts
+  are fetched; their selected features reach the driver in 4 bytes each,
   where the gradient steps read them in blocks.  This bound does not touch the counts, and
   the weight of a class is the root of its share of all training rows, so the
   model's prior is the same at every size.
@@ -32,7 +34,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from martkit.llm.common import byte_values, held_out, table
+from martkit.llm.common import byte_values, held_out, stage, table
+from martkit.operators.pruning import AUTO_PRUNE, key_stats, narrow
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -65,39 +68,54 @@ def features(raw: bytes, s: Settings) -> np.ndarray:
 
 
 BLOCK = 1 << 20  # features a gradient step handles at once
+SENT = pa.schema([("slice", pa.int32()), ("toxic", pa.binary()), ("other", pa.binary()), ("texts", pa.binary())])
 SPACES = bytes(32 if b <= 32 else b for b in range(256))
 
 
+SLICES = 256  # parts of the vector of buckets that travel apart
+
+
+def _narrow(counts: np.ndarray) -> np.ndarray:
+    """The same counts in the smallest type that holds them."""
+    return counts.astype(np.min_scalar_type(int(counts.max(initial=0))))
+
+
 def class_counts(labelled: DataFrame, s: Settings) -> tuple[np.ndarray, np.ndarray, int, int]:
     """Texts of each class that hold each bucket: (toxic, other, totals)."""
     size = 1 << s.bits
+    part = max(1, size // SLICES)
+    whole = "slice int, toxic binary, other binary, texts binary"
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((2, size + 1), dtype=np.int64)
+        sums, texts = np.zeros((2, size), dtype=np.uint32), np.zeros(2, dtype=np.int64)
         for batch in batches:
             for raw, toxic in zip(byte_values(batch.column(0)), batch.column(1).to_pylist(), strict=True):
                 kind = 0 if toxic else 1
                 sums[kind][np.unique(features(raw, s))] += 1
-                sums[kind][size] += 1
-        held = np.flatnonzero(sums.any(axis=0))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(held, pa.int64()), pa.array(sums[0][held]), pa.array(sums[1][held])],
-            ["bucket", "toxic", "other"],
-        )
-
-    rows = (
-        labelled.select("text", "toxic")
-        .mapInArrow(count, "bucket long, toxic long, other long")
-        .groupBy("bucket")
-        .agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
-        .where("toxic + other > 1 OR bucket = " + str(size))
-        .toArrow()
-    )
-    sums = np.zeros((2, size + 1), dtype=np.int64)
-    bucket, sums_toxic, sums_other = (rows[c].to_numpy() for c in ("bucket", "toxic", "other"))
-    sums[0][bucket] = sums_toxic
-    sums[1][bucket] = sums_other
-    return sums[0][:size], sums[1][:size], int(sums[0][size]), int(sums[1][size])
+                texts[kind] += 1
+        for at in range(0, size if texts.any() else 0, part):
+            toxic, other = (_narrow(own[at : at + part]).tobytes() for own in sums)
+            totals = (texts if at == 0 else 0 * texts).tobytes()
+            yield pa.RecordBatch.from_pylist([{"slice": at // part, "toxic": toxic, "other": other, "texts": totals}], SENT)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums, texts, number = np.zeros((2, part), dtype=np.int64), np.zeros(2, dtype=np.int64), 0
+        for batch in batches:
+            for row in batch.to_pylist():
+                number = row["slice"]
+                for kind, sent in enumerate((row["toxic"], row["other"])):
+                    sums[kind] += np.frombuffer(sent, dtype=f"<u{len(sent) // part}")
+                texts += np.frombuffer(row["texts"], dtype="<i8")
+        row = {"slice": number, "toxic": sums[0].tobytes(), "other": sums[1].tobytes(), "texts": texts.tobytes()}
+        yield pa.RecordBatch.from_pylist([row], SENT)
+
+    rows = labelled.select("text", "toxic").mapInArrow(count, whole).groupBy("slice").applyInArrow(add, whole).toArrow()
+    sums, texts = np.zeros((2, size), dtype=np.int64), np.zeros(2, dtype=np.int64)
+    for row in rows.to_pylist():
+        place = slice(row["slice"] * part, (row["slice"] + 1) * part)
+        sums[0][place], sums[1][place] = np.frombuffer(row["toxic"], "<i8"), np.frombuffer(row["other"], "<i8")
+        texts += np.frombuffer(row["texts"], "<i8")
+    return sums[0], sums[1], int(texts[0]), int(texts[1])
 
 
 def log_ratios(toxic: np.ndarray, other: np.ndarray, n_toxic: int, n_other: int, s: Settings) -> np.ndarray:
@@ -108,15 +126,21 @@ def log_ratios(toxic: np.ndarray, other: np.ndarray, n_toxic: int, n_other: int,
     r -= np.log((s.shrink * share) / n_toxic) - np.log((s.shrink * (1 - share)) / n_other)
     plain = np.log((toxic + 0.5) / (n_toxic + 1)) - np.log((other + 0.5) / (n_other + 1))
     error = np.sqrt(1 / (toxic + 0.5) + 1 / (other + 0.5))
-    return np.where(np.abs(plain) >= s.min_z * error, r, 0.0).astype(np.float32)
+    # between classes of very different size a rare bucket's two ratios can differ in sign
+    sure = (np.abs(plain) >= s.min_z * error) & (plain * r > 0)
+    return np.where(sure, r, 0.0).astype(np.float32)
 
 
 def fit_sample(labelled: DataFrame, ratios: np.ndarray, s: Settings):
     """(features by row, offsets, labels) of the bounded sample."""
-    numbered = labelled.withColumn("_o", F.xxhash64("key", "text"))
+    by_key = [F.xxhash64("key"), F.col("key")]
+    kinds = [F.col("toxic") == kind for kind in (True, False)]
+    # keys first: at most fit_rows of each class, whatever the table's size
+    first = [labelled.select("key", "toxic").where(kind).orderBy(*by_key).limit(s.fit_rows) for kind in kinds]
+    keys = stage(first[0].unionByName(first[1]).select("key").distinct(), "fit_keys")
+    chosen = labelled.join(F.broadcast(keys), "key", "left_semi")
     parts = [
-        numbered.where(F.col("toxic") == kind).orderBy("_o").limit(s.fit_rows).select("text", "toxic")
-        for kind in (True, False)
+        chosen.where(kind).orderBy(*by_key, F.xxhash64("text")).limit(s.fit_rows).select("text", "toxic") for kind in kinds
     ]
 
     @arrow_udf("binary")
@@ -217,8 +241,15 @@ def train(labelled: DataFrame, settings: Settings | None = None) -> ToxicityMode
 
 
 def labelled_texts(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Rows (key, text, toxic) of the labelled texts, one for each of their marks.
+    Marks within the measured bound go to the texts; beyond it texts without a mark
+    are left out where they are read, and the others are shuffled."""
     marks = labels.select(F.col(key).alias("key"), (F.col("toxic") == 1).alias("toxic")).where("toxic IS NOT NULL")
-    return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(marks, "key")
+    texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    stats = key_stats(marks, ["key", "toxic"])
+    if stats.fits(AUTO_PRUNE):
+        return texts.join(F.broadcast(marks), "key")
+    return narrow(texts, marks, ["key"]).join(marks, "key")
 
 
 def q_op3(spark, sf_dir):

@@ -4,7 +4,9 @@ import tracemalloc
 
 import numpy as np
 
-from martkit.llm.toxicity import Settings, fit, train
+from martkit.llm import toxicity
+from martkit.llm.toxicity import Settings, class_counts, features, fit, fit_sample, labelled_texts, log_ratios, train
+from martkit.operators.pruning import Pruning
 
 
 def test_same_scores_on_a_table_repeated_ten_times(spark):
@@ -52,3 +54,89 @@ def test_fit_against_a_dense_one():
         p -= s.rate * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
     weights, bias = fit(lists, y, ratios, share, s)
     assert np.allclose(weights, p[:-1] * ratios, atol=1e-4) and abs(bias - p[-1]) < 1e-4
+
+
+ROWS = [(1, "rotten rotten words"), (1, "rotten rotten words"), (2, None), (3, ""), (4, "x"), (None, "rotten"), (5, "plain " * 30_000), (6, "unmarked")]
+MARKS = [(1, 1), (2, 0), (3, 1), (4, None), (5, 0), (None, 1), (1, 0), (9, 1)]
+
+
+def marked(spark):
+    docs = spark.createDataFrame([(i, t, 0.5) for i, t in ROWS], "doc_id long, text string, toxic double")
+    labels = spark.createDataFrame([(i, m, "x") for i, m in MARKS], "doc_id long, toxic int, text string")
+    return docs, labels
+
+
+def wanted():
+    return [(i, t, m == 1) for i, t in ROWS for j, m in MARKS if i is not None and i == j and m is not None]
+
+
+def test_labelled_texts_with_nulls_repeats_and_clashing_names(spark, monkeypatch):
+    for policy in (Pruning(), Pruning(max_rows=1, min_target_bytes=0), Pruning(max_rows=1, filter_bits=2, min_target_bytes=0)):
+        monkeypatch.setattr(toxicity, "AUTO_PRUNE", policy)
+        monkeypatch.setattr(toxicity, "narrow", lambda a, b, k, p=policy: narrow_with(a, b, k, p))
+        got = labelled_texts(*marked(spark)).collect()
+        in_order = lambda x: (x[0], x[1] or "", x[2])
+        assert sorted(map(tuple, got), key=in_order) == sorted(wanted(), key=in_order)
+
+
+def narrow_with(tgt, src, keys, policy):
+    from martkit.operators.pruning import narrow
+
+    return narrow(tgt, src, keys, policy)
+
+
+def test_counts_against_brute_force(spark):
+    r = np.random.default_rng(3)
+    rows = [(int(i), "".join(r.choice(list("ab c"), r.integers(0, 40))), bool(r.random() < 0.1)) for i in range(700)]
+    rows += [(1, None, True), (1, "", False), (2, "long text " * 20_000, False)] + [(3, "ab ab", False)] * 300
+    labelled = spark.createDataFrame(rows, "key long, text string, toxic boolean").repartition(5)
+    for s in (Settings(bits=12), Settings(bits=6)):
+        sums = np.zeros((2, 1 << s.bits), dtype=np.int64)
+        for _, text, toxic in rows:
+            sums[0 if toxic else 1][np.unique(features((text or "").encode(), s))] += 1
+        a, b, n, m = class_counts(labelled, s)
+        assert (a == sums[0]).all() and (b == sums[1]).all()
+        assert (n, m) == (sum(x[2] for x in rows), sum(not x[2] for x in rows))
+        assert sums.max() > 255
+
+
+def test_sample_is_bounded_by_class_and_needs_no_other_text(spark):
+    rows = [(i % 90, f"text {i}", i % 90 < 30) for i in range(900)]
+    labelled = spark.createDataFrame(rows, "key long, text string, toxic boolean").repartition(4)
+    s = Settings(fit_rows=25, bits=10)
+    lists, labels = fit_sample(labelled, np.ones(1 << s.bits, dtype=np.float32), s)
+    assert len(lists) == 50 and labels.sum() == 25
+    again, _ = fit_sample(labelled.repartition(3), np.ones(1 << s.bits, dtype=np.float32), s)
+    assert sorted(map(bytes, lists)) == sorted(map(bytes, again))
+
+
+def test_shipped_settings_keep_their_prior_when_the_table_grows(spark):
+    """Every text many times: ratios stand, and so do the calls at 0.7."""
+    r = np.random.default_rng(9)
+    words = ["".join(r.choice(list("abcdefgh"), 6)) for _ in range(60)]
+    vile = ["rottenscum", "vilestfilth", "scoundrels"]
+    rows = []
+    for i in range(600):
+        text = " ".join(r.choice(words, 30))
+        rows.append((i, f"{text} {vile[i % 3]} {vile[(i + 1) % 3]}" if i % 8 == 0 else text, i % 8 == 0))
+    probes = ["", " ".join(words[:30]), " ".join(words[30:]), f"{' '.join(words[:9])} rottenscum vilestfilth", "scoundrels vilestfilth"]
+    calls = []
+    for times in (1, 6):
+        grown = [(i + 1000 * t, text, mark) for t in range(times) for i, text, mark in rows]
+        model = train(spark.createDataFrame(grown, "key long, text string, toxic boolean"))
+        calls.append([model.score(p.encode()) >= 0.7 for p in probes])
+    assert calls == [[False, False, False, True, True]] * 2
+
+
+def test_no_rows_and_one_class(spark):
+    none = spark.createDataFrame([], "key long, text string, toxic boolean")
+    assert train(none, Settings(bits=10)).score(b"any") == 0.5
+    one = spark.createDataFrame([(1, "a", True), (2, None, True)], "key long, text string, toxic boolean")
+    assert train(one, Settings(bits=10)).score(b"") > 0.99
+
+
+def test_a_bucket_of_one_text_is_left_to_the_z_test():
+    s, toxic, other = Settings(), np.array([1, 0, 40]), np.array([0, 1, 40])
+    assert (log_ratios(toxic, other, 100, 100, s) == 0).all()
+    rare = log_ratios(toxic, other, 100, 100_000, s)
+    assert rare[0] > 0 and rare[1] == 0 and rare[2] > 0
