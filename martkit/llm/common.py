@@ -45,6 +45,14 @@ def space_words(raw: bytes) -> list[bytes]:
     return raw.lower().split()
 
 
+def fresh_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added while ``df`` has a column of that name."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def held_out(id_column, modulus: int, remainder: int):
     """Whether crc32(id as text) mod ``modulus`` is ``remainder`` (null id: false)."""
     return F.coalesce(F.crc32(id_column.cast("string")) % modulus == remainder, F.lit(False))

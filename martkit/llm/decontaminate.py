@@ -14,7 +14,8 @@ of documents, memory in proportion to one block and one batch.
 Defined cases: null or empty texts have no words; an item of fewer words than
 a window is one window, one without words none; equal windows of several items
 count for each; repeated rows are scanned each; null ids stay null; an empty
-benchmark hits nothing.
+benchmark hits nothing; other columns of the documents, whatever their
+names, are not touched (``benchmark_matches`` replaces one named as ``into``).
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from martkit.llm.common import alnum_words, byte_values, stage, table
+from martkit.llm.common import alnum_words, byte_values, fresh_name, stage, table
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 BLOCK_BYTES = 32 * 1024 * 1024
@@ -92,9 +93,8 @@ def _automaton(token: str, items: list, window: int) -> WindowAutomaton:
 
 
 def _blocks(items: DataFrame, item_id: str, text: str, block_bytes: int):
-    """Items as lists within ``block_bytes`` (a larger single item alone), one
-    block on the driver at a time.  The block of an item is set by the running
-    size of ranges of ids, so only sums reach the driver before."""
+    """Items as lists of about half of ``block_bytes``, one block on the driver at a
+    time.  The hash of an item sets its block, so only a sum reaches the driver before."""
     sized = items.select(
         F.col(item_id).cast("string").alias("item"), F.coalesce(F.col(text), F.lit("")).alias("text")
     )
@@ -151,15 +151,16 @@ def benchmark_matches(
     for items in _blocks(benchmark, item_id, item_text, block_bytes):
         match = _matcher(items, window)(F.col(text))
         if out is None:
-            out = docs.select("*", match.alias(into))
+            out = docs.withColumn(into, match)
+            more = fresh_name(out, "_next")
             continue
         # another block: what was found is written, then joined with its finds
-        out = stage(out, "matches").select("*", match.alias("_next"))
+        out = stage(out, "matches").withColumn(more, match)
         out = out.withColumn(into, F.struct(
             F.col(f"{into}.n_words").alias("n_words"),
-            arrow_udf(_union_spans, SPANS)(F.col(f"{into}.spans"), F.col("_next.spans")).alias("spans"),
-            F.array_sort(F.array_union(f"{into}.items", "_next.items")).alias("items"),
-        )).drop("_next")
+            arrow_udf(_union_spans, SPANS)(F.col(f"{into}.spans"), F.col(f"{more}.spans")).alias("spans"),
+            F.array_sort(F.array_union(f"{into}.items", f"{more}.items")).alias("items"),
+        )).drop(more)
     return out
 
 
@@ -184,19 +185,20 @@ def _character_spans(texts: pa.Array, spans: pa.Array) -> pa.Array:
 
 def contamination_spans(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """One row per hit passage: key, first and last word, start and stop character."""
-    matched = benchmark_matches(docs.select(key, text), benchmark, text, **options)
-    hit = matched.where(F.size("match.spans") > 0)
+    own = docs.select(F.col(key).alias("k"), F.col(text).alias("t"))
+    hit = benchmark_matches(own, benchmark, "t", **options).where(F.size("match.spans") > 0)
     characters = arrow_udf(_character_spans, "array<struct<start:long,stop:long>>")
-    place = F.arrays_zip(F.col("match.spans").alias("spans"), characters(F.col(text), F.col("match.spans")).alias("at"))
-    return hit.select(key, F.explode(place).alias("p")).select(key, "p.spans.*", "p.at.*")
+    place = F.arrays_zip(F.col("match.spans").alias("spans"), characters(F.col("t"), F.col("match.spans")).alias("at"))
+    return hit.select(F.col("k").alias(key), F.explode(place).alias("p")).select(key, "p.spans.*", "p.at.*")
 
 
 def contamination_report(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """One row per document: words, hit words, items found."""
     m = F.col("match")
     n_hit = hit_words(m)
-    return benchmark_matches(docs.select(key, text), benchmark, text, **options).select(
-        key, m["n_words"].alias("n_words"), n_hit.alias("n_hit"),
+    own = docs.select(F.col(key).alias("k"), F.col(text).alias("t"))
+    return benchmark_matches(own, benchmark, "t", **options).select(
+        F.col("k").alias(key), m["n_words"].alias("n_words"), n_hit.alias("n_hit"),
         F.size(m["items"]).cast("long").alias("n_items"),
         F.sha2(F.array_join(m["items"], ","), 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"),
@@ -205,8 +207,9 @@ def contamination_report(docs: DataFrame, benchmark: DataFrame, key: str = "doc_
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
     """The documents without a hit word, with their columns."""
-    matched = benchmark_matches(docs, benchmark, text, into="_match", **options)
-    return matched.where(F.size("_match.spans") == 0).drop("_match")
+    into = fresh_name(docs, "_match")
+    matched = benchmark_matches(docs, benchmark, text, into=into, **options)
+    return matched.where(F.size(f"{into}.spans") == 0).drop(into)
 
 
 def q_op5(spark, sf_dir):
