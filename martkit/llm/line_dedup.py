@@ -131,8 +131,12 @@ def drop_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text"
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(key).alias("k"), F.xxhash64(text).alias("t"))
     joined = keyed.join(gone, ["k", "t"], "left")
     own = F.col("row").getField(text)
-    left = F.filter(F.split(own, "\n", -1), lambda _, i: ~F.array_contains(F.col("gone"), i))
-    out = F.when(F.col("gone").isNull(), own).otherwise(F.array_join(left, "\n"))
+    # one pass over a text's lines: kept numbers by a hash set, lines by their numbers;
+    # the outer transform holds the split text, so it is split once
+    kept = lambda own_lines: F.array_except(F.sequence(F.lit(0), F.size(own_lines) - 1), F.col("gone").cast("array<int>"))
+    joined_lines = lambda own_lines: F.array_join(F.transform(kept(own_lines), lambda i: F.get(own_lines, i)), "\n")
+    left = F.transform(F.array(F.split(own, "\n", -1)), joined_lines)[0]
+    out = F.when(F.col("gone").isNull(), own).otherwise(left)
     columns = [(out if c == text else F.col("row").getField(c)).alias(c) for c in docs.columns]
     if report:
         columns.append(F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias(report))

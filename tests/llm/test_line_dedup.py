@@ -44,3 +44,12 @@ def test_runs_over_blank_lines_against_brute_force(spark, min_words):
     got = drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string"), min_words=min_words, report="n").collect()
     assert {x.doc_id: (x.n, x.text) for x in got} == {i: (len(g), kept[i]) for i, g in enumerate(gone)}
     assert any(not count(split[i][p]) for i, g in enumerate(gone) for p in g)
+
+
+def test_long_text_is_taken_apart_in_one_pass(spark):
+    """Deleted lines are looked up by a hash set, not line by line."""
+    lines = [f"line {i} of a long text" for i in range(40_000)]
+    rows = [(1, "\n".join(lines)), (2, "own first line\n" + "\n".join(lines) + "\nown last line"), (3, "\n".join(lines[:30_000:2]))]
+    got = drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string"), report="n").collect()
+    assert {x.doc_id: x.n for x in got} == {1: 0, 2: 40_000, 3: 0}
+    assert {x.doc_id: x.text for x in got}[2] == "own first line\nown last line"
