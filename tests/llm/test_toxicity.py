@@ -5,7 +5,7 @@ import tracemalloc
 import numpy as np
 
 from martkit.llm import toxicity
-from martkit.llm.toxicity import Settings, class_counts, features, fit, fit_sample, labelled_texts, log_ratios, train
+from martkit.llm.toxicity import Settings, class_counts, features, fit, fit_sample, labelled_texts, log_ratios, packed, train, unpacked
 from martkit.operators.pruning import Pruning
 
 
@@ -104,6 +104,7 @@ def test_sample_is_bounded_by_class_and_needs_no_other_text(spark):
     rows = [(i % 90, f"text {i}", i % 90 < 30) for i in range(900)]
     labelled = spark.createDataFrame(rows, "key long, text string, toxic boolean").repartition(4)
     s = Settings(fit_rows=25, bits=10)
+    assert all((unpacked(packed(x)) == x).all() for x in (np.zeros(0, np.int32), np.array([0, 3, (1 << 30) - 1], np.int32)))
     lists, labels = fit_sample(labelled, np.ones(1 << s.bits, dtype=np.float32), s)
     assert len(lists) == 50 and labels.sum() == 25
     again, _ = fit_sample(labelled.repartition(3), np.ones(1 << s.bits, dtype=np.float32), s)
