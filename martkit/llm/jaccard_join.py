@@ -1,7 +1,7 @@
 """N-gram Jaccard join by vertical partitioning (operator 1).
 
-Texts become sets of hashed n-word shingles; equal sets are one class with its
-smallest key.  The global order of the shingles is that of their hashes, cut
+Texts become sets of hashed n-word shingles; equal texts are one class with its
+smallest key, whose set is made once.  The global order of the shingles is that of their hashes, cut
 into fragments of equal hash ranges.  Two sets that reach the threshold differ
 in so few shingles that, of more fragments than that, at least one is equal:
 sets meet on equal fragments (for each interval of set sizes one more fragment
@@ -13,7 +13,10 @@ A group of sets that meet is not expanded into pairs.  Each member is compared
 with the smallest; then, round by round, groups whose members are still in
 different components compare a growing share of their members, at the end all,
 with the members of other components.  Pairs inside a component need no
-comparison, so no link that would join two components is lost.  A fragment that
+comparison, so no link that would join two components is lost; members compared
+in an earlier round are not chosen again.  Groups of more than ``SMALL`` members
+are cut into blocks that meet two by two in the tasks, where sizes and parities
+are compared: a pair becomes a row only if these allow the threshold.  A fragment that
 is empty in both sets tells nothing, so there are some fragments to spare; a set
 with as many empty ones as fragments that must be equal also meets on the first
 shingles of the order, by the prefix length of the threshold.  Marks are
@@ -28,12 +31,14 @@ from __future__ import annotations
 
 import hashlib
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
+from pyspark.sql.types import StructField, StructType
 
 from martkit.llm.common import byte_values, space_words, stage, table
 
@@ -41,6 +46,8 @@ FRAGMENTS = 8
 EDGES = np.arange(FRAGMENTS, dtype=np.uint64) << np.uint64(61)  # starts in the order of hashes
 PASSES = 4
 PARITY_BITS = 1024
+SMALL = 8  # members of a group whose pairs are listed
+BLOCK = 1024  # members of a larger group that meet as many others in a task
 ROLL = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -108,7 +115,7 @@ def parity(s: np.ndarray) -> list[int]:
 
 
 def may_link(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose parities allow the threshold; it drops no link: sets
+    """The pairs (a, b) whose sizes and parities allow the threshold; it drops no link: sets
     that reach it differ in a (1 - t) / (1 + t)th of both sizes at most."""
     own = lambda side: classes.select(F.col("c").alias(side), F.col("n").alias(f"n_{side}"), F.col("bits").alias(f"bits_{side}"))
     met = pairs.join(own("a"), "a").join(own("b"), "b")
@@ -116,7 +123,8 @@ def may_link(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFram
         F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, x: total + x.cast("int")
     )
     most = (F.col("n_a") + F.col("n_b")) * ((1 - threshold) / (1 + threshold)) + 1e-6
-    return met.where(apart <= most).select("a", "b")
+    near = F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * (threshold - 1e-9)
+    return met.where(near & (apart <= most)).select("a", "b")
 
 
 def settled(df: DataFrame, name: str) -> DataFrame:
@@ -140,21 +148,92 @@ def links(classes: DataFrame, texts: DataFrame, words: int, threshold: float) ->
         held = part if held is None else held.unionByName(part)
     first = held.where("a < c").select("a", F.col("c").alias("b")).distinct()
     found = settled(verified(may_link(first, classes, threshold), texts, words, threshold), "links")
-    share = 1
+    before, share = 0, 1
     while True:
-        now = held.join(components(found), "c", "left").withColumn("root", F.coalesce("root", "c"))
+        # the smallest member has been compared with all, as have those of earlier turns
+        now = held.where("c <> a").join(components(found), "c", "left").withColumn("root", F.coalesce("root", "c"))
         split = now.groupBy("m").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("m")
-        open_ = stage(now.join(split, "m").select("m", "c", "n", "k", "root"), "open")
+        turn = F.pmod(F.xxhash64("c", "m"), "k").alias("turn")
+        open_ = stage(now.join(split, "m").select("m", "c", "n", "k", "root", turn).where(F.col("turn") >= before), "open")
         largest = open_.agg(F.max("k")).first()[0]
         if largest is None:
             return found
-        chosen = open_.where(F.pmod(F.xxhash64("c", "m"), "k") < share).select("m", F.col("c").alias("b"), F.col("n").alias("o"), F.col("root").alias("r"))
+        small = open_ if share == 1 else open_.where(F.col("k") <= SMALL)
+        chosen = small.where(F.col("turn") < share).select("m", F.col("c").alias("b"), F.col("n").alias("o"), F.col("root").alias("r"))
         near = (F.col("root") != F.col("r")) & (F.least("n", "o") >= F.greatest("n", "o") * (threshold - 1e-9))
-        pairs = chosen.join(open_, "m").where(near).select(F.least("b", "c").alias("a"), F.greatest("b", "c").alias("b")).distinct()
-        found = settled(found.unionByName(verified(may_link(pairs, classes, threshold), texts, words, threshold)).distinct(), "links")
+        pairs = chosen.join(small, "m").where(near).select(F.least("b", "c").alias("a"), F.greatest("b", "c").alias("b")).distinct()
+        pairs = may_link(pairs, classes, threshold)
+        if share > 1 and largest > SMALL:
+            pairs = pairs.unionByName(met_in_blocks(open_.where(F.col("k") > SMALL), classes, share, threshold)).distinct()
+        found = settled(found.unionByName(verified(pairs, texts, words, threshold)).distinct(), "links")
         if share >= largest:
             return found
-        share *= 16
+        before, share = share, share * 16
+
+
+def allowed(n: np.ndarray, bits: np.ndarray, o: np.ndarray, other: np.ndarray, threshold: float) -> np.ndarray:
+    """Whether the sizes and parities of each set of one side and each of the other
+    allow the threshold."""
+    least, most = np.minimum.outer(n, o), np.maximum.outer(n, o)
+    apart = np.zeros(least.shape, dtype=np.int32)
+    for word, its in zip(bits.T, other.T, strict=True):
+        apart += np.bitwise_count(np.bitwise_xor.outer(word, its))
+    return (least >= most * (threshold - 1e-9)) & (apart <= (least + most) * ((1 - threshold) / (1 + threshold)) + 1e-6)
+
+
+def block_pairs(share: int, threshold: float):
+    """Pairs (a, b) of different components, one chosen in this round, whose sizes
+    and parities allow the threshold; rows come by group and pair of blocks."""
+
+    def meet(rows: pa.Table) -> pa.RecordBatch:
+        own, turn = rows.column("own").to_numpy(), rows.column("turn").to_numpy()
+        n, root = rows.column("n").to_numpy(), rows.column("root").combine_chunks().dictionary_encode().indices.to_numpy()
+        bits = rows.column("bits").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(rows), -1)
+        one, two = rows.column("p")[0].as_py(), rows.column("q")[0].as_py()
+        left, right = np.flatnonzero(own == one), np.flatnonzero(own == two)
+        chosen = turn < share
+        sides = [(left[chosen[left]], right)] + ([(right[chosen[right]], left)] if one != two else [])
+        a, b = [], []
+        for x, y in sides:
+            if len(x) and len(y):
+                good = allowed(n[x], bits[x], n[y], bits[y], threshold) & (root[x][:, None] != root[y][None, :])
+                i, j = np.nonzero(good)
+                a.append(x[i])
+                b.append(y[j])
+        c = rows.column("c").combine_chunks()
+        a, b = (pa.array(np.concatenate([np.zeros(0, np.int64), *side])) for side in (a, b))
+        return pa.RecordBatch.from_arrays([c.take(a), c.take(b)], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # rows of the last pair of blocks, which may go on
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            rows = rows if held is None else pa.concat_tables([held, rows])
+            if not len(rows):
+                continue
+            m, p, q = (rows.column(name).to_numpy() for name in ("m", "p", "q"))
+            starts = np.flatnonzero(np.append(True, (m[1:] != m[:-1]) | (p[1:] != p[:-1]) | (q[1:] != q[:-1])))
+            for at, to in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+                yield meet(rows.slice(at, to - at))
+            held = rows.slice(int(starts[-1]))
+        if held is not None and len(held):
+            yield meet(held)
+
+    return run
+
+
+def met_in_blocks(members: DataFrame, classes: DataFrame, share: int, threshold: float) -> DataFrame:
+    """Pairs (a, b) of the members (m, c, n, k, root, turn) of the same group, cut
+    into blocks: a task holds two blocks at a time, however large the group is."""
+    dealt = members.withColumn("parts", F.ceil(F.col("k") / BLOCK)).withColumn("own", F.pmod(F.xxhash64("m", "c"), "parts"))
+    dealt = dealt.withColumn("with", F.explode(F.expr("sequence(0L, parts - 1)")))
+    keyed = dealt.select("m", F.least("own", "with").alias("p"), F.greatest("own", "with").alias("q"), "own", "c", "n", "root", "turn")
+    keyed = keyed.join(classes.select("c", "bits"), "c")
+    rows = keyed.repartition("m", "p", "q").sortWithinPartitions("m", "p", "q")
+    key = classes.schema["c"].dataType
+    schema = StructType([StructField("a", key), StructField("b", key)])
+    met = rows.mapInArrow(block_pairs(share, threshold), schema)
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 def overlap(s: np.ndarray, t: np.ndarray, needed: int) -> int:
@@ -213,25 +292,27 @@ def components(pairs: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3, threshold: float = 0.9) -> DataFrame:
     """One row per document: key, n_shingles, component_id."""
 
-    @arrow_udf("struct<n:long,d:binary,marks:array<long>,bits:array<long>>")
+    @arrow_udf("struct<n:long,s:binary,marks:array<long>,bits:array<long>>")
     def code(col: pa.Array) -> pa.Array:
         out = []
         for raw in byte_values(col):
             found = shingles(raw, words)
-            out.append({"n": len(found), "d": hashlib.blake2b(found.tobytes(), digest_size=16).digest(), "marks": signatures(found, threshold), "bits": parity(found)})
+            out.append({"n": len(found), "s": hashlib.blake2b(found.tobytes(), digest_size=16).digest(), "marks": signatures(found, threshold), "bits": parity(found)})
         longs = pa.list_(pa.int64())
-        return pa.array(out, pa.struct([("n", pa.int64()), ("d", pa.binary()), ("marks", longs), ("bits", longs)]))
+        return pa.array(out, pa.struct([("n", pa.int64()), ("s", pa.binary()), ("marks", longs), ("bits", longs)]))
 
-    coded = stage(docs.select(F.col(key).alias("k"), code(F.col(text)).alias("v")).select("k", "v.*"), "coded")
-    classes = coded.where("n > 0 AND k IS NOT NULL").groupBy("d").agg(F.min("k").alias("c"))
-    first = coded.join(classes, "d").where("k = c").dropDuplicates(["d"]).select("c", "n", "marks", "bits")
-    first = stage(first, "classes")
+    x = F.coalesce(F.col(text), F.lit(""))
+    own = docs.select(F.col(key).alias("k"), x.alias("x"), F.unhex(F.sha2(x, 256)).alias("d"))
+    each = own.groupBy("d").agg(F.min("k").alias("c"), F.first("x").alias("x"))
+    coded = settled(each.select("d", "c", code("x").alias("v")).select("d", "c", "v.*"), "classes")
     texts = docs.select(F.col(key).alias("c"), F.col(text).alias("x"))
-    found = components(links(first, texts, words, threshold))
-    member = coded.select("k", "n", "d").join(classes, "d", "left").join(found, "c", "left")
+    found = components(links(coded.where("n > 0 AND c IS NOT NULL"), texts, words, threshold))
+    # equal sets are linked, so they have one component; a null key has that of its set
+    kinds = coded.where("n > 0").join(found, "c", "left").groupBy("s").agg(F.min(F.coalesce("root", "c")).alias("root"))
+    member = own.select("k", "d").join(coded.select("d", "n", "s"), "d").join(kinds, "s", "left")
     return member.select(
         F.col("k").alias(key), F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.coalesce("root", "c", "k")).otherwise(F.col("k")).alias("component_id"),
+        F.when(F.col("n") > 0, F.coalesce("root", "k")).otherwise(F.col("k")).alias("component_id"),
     )
 
 

@@ -159,3 +159,48 @@ def test_parities_rule_out_no_link(spark):
     common = {(i, j): len(np.intersect1d(sets[i], sets[j])) for i in range(10) for j in range(i + 1, 10)}
     linked = {p for p, o in common.items() if o >= 0.8 * (len(sets[p[0]]) + len(sets[p[1]]) - o)}
     assert linked <= kept and (3, 8) in linked and len(kept) < 20
+
+
+def test_members_of_large_groups_meet_in_blocks(spark, monkeypatch):
+    """Pairs from blocks are those of a plain comparison, whatever the block size."""
+    from martkit.llm import jaccard_join
+    from martkit.llm.jaccard_join import met_in_blocks, parity
+
+    r = np.random.default_rng(2)
+    base = np.unique(r.integers(0, 1 << 63, 40, dtype=np.uint64))
+    sets = [np.unique(np.append(base[r.integers(0, 9) :], r.integers(0, 1 << 63, r.integers(0, 9), dtype=np.uint64))) for _ in range(30)]
+    members = [(7, i, len(s), 30, i // 10, i) for i, s in enumerate(sets)] + [(8, i, len(s), 30, i, i) for i, s in enumerate(sets[:9])]
+    open_ = spark.createDataFrame(members, "m long, c long, n long, k long, root long, turn long")
+    classes = spark.createDataFrame([(i, len(s), parity(s)) for i, s in enumerate(sets)], "c long, n long, bits array<long>")
+
+    def linked(i, j):
+        both = len(np.intersect1d(sets[i], sets[j]))
+        return both >= 0.9 * (len(sets[i]) + len(sets[j]) - both)
+
+    every = {(i, j) for j in range(30) for i in range(j)}
+    want = {(i, j) for i, j in every if linked(i, j) and (i // 10 != j // 10 or j < 9)}
+    assert want
+    for block in (4, 1024):
+        monkeypatch.setattr(jaccard_join, "BLOCK", block)
+        got = {tuple(x) for x in met_in_blocks(open_, classes, 30, 0.9).collect()}
+        assert want <= got and len(got) < len(every) / 2
+        few = {tuple(x) for x in met_in_blocks(open_, classes, 3, 0.9).collect()}
+        assert few == {(i, j) for i, j in got if i < 3}
+
+
+def test_large_group_of_near_copies_makes_no_row_per_pair(spark):
+    """What enters the comparison of a group of unlinked copies grows with the group."""
+    from martkit.llm.jaccard_join import met_in_blocks, parity
+
+    r = np.random.default_rng(3)
+    sets = [np.unique(r.integers(0, 1 << 63, 30, dtype=np.uint64)) for _ in range(600)]
+    open_ = spark.createDataFrame([(1, i, 30, 600, i, i) for i in range(600)], "m long, c long, n long, k long, root long, turn long")
+    classes = spark.createDataFrame([(i, 30, parity(s)) for i, s in enumerate(sets)], "c long, n long, bits array<long>")
+    assert met_in_blocks(open_, classes, 600, 0.9).count() == 0
+
+
+def test_near_duplicates_of_null_keys_and_rewritten_copies(spark):
+    """Other case and spaces give the same set, also for a row without a key."""
+    rows = [(4, "a b c d"), (2, "A  B c\nd"), (None, "a b\tc D"), (None, "z"), (9, None), (2, "other words in here"), (2, "A  B c\nd")]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(4, 2, 2), (2, 2, 2), (None, 2, 2), (None, 1, None), (9, 0, 9), (2, 2, 2), (2, 2, 2)], key=str)
