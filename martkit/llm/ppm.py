@@ -7,12 +7,16 @@ of distinct followers over occurrences plus followers), after which the next
 shorter context is used without the symbols just ruled out, down to a uniform
 choice.  A score is the log10 probability of the whole text and its end.
 
-* The trie covers all training texts and lives in a table: rows (context,
-  followers), at most 257 followers each, a count and a symbol in one long.
-* Texts are cut into blocks of bounded bytes.  Each block asks the table for the
-  contexts it visits, by an equi-join, and is scored beside its answer in one
-  cogroup: memory follows the block, not the corpus; nothing is broadcast and
-  only two sums reach the driver.
+* The trie covers all training texts and lives in a table: a row for each
+  context and symbol that followed it, with the count and what the context holds
+  in all.  Shorter contexts are summed from the longest.
+* A symbol costs the same wherever its longest context precedes it.  So each
+  different gram (that context and the symbol) is priced once for the corpus, by
+  equi-joins with the trie, from the longest context down.
+* Texts are cut into blocks of bounded bytes.  Each block asks for the prices of
+  its grams, by an equi-join, and is scored beside its answer in one cogroup:
+  memory follows the block, not the corpus; nothing is broadcast and only two
+  sums reach the driver.
 * Word counts for the unigram base travel the same way.
 
 Defined cases: null text is empty (one end); a null key is kept, and is
@@ -108,13 +112,13 @@ def word_key(word: bytes) -> bytes:
     return word if len(word) < 32 else hashlib.sha256(word).digest()
 
 
-GRAM, NODE, WORD = 0, 1, 2
+GRAM, WORD = 0, 1
 SEEN = "kind int, block long, code long, w binary, n long"
 
 
 def gather(order: int):
-    """Rows of a batch: follower counts of its training texts, and for each
-    block the contexts it visits and its words with their training counts."""
+    """Rows of a batch: for each block its grams and its words, with the counts
+    of them in its training texts, 0 for others."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -127,12 +131,7 @@ def gather(order: int):
                 use = np.repeat(np.array(trained, dtype=bool), [len(t) + 1 for t in texts])
                 times = np.bincount(ids[use], minlength=len(visited))
                 del ids, use
-                for length in range(order + 1):
-                    short, where = np.unique(shortened(visited, length, order), return_inverse=True)
-                    n = np.bincount(where, times, len(short)).astype(np.int64)
-                    yield _rows(GRAM, block, short[n > 0], n[n > 0])
-                    nodes = np.unique(short >> SYMBOL_BITS)
-                    yield _rows(NODE, block, nodes, np.zeros(len(nodes), np.int64))
+                yield _rows(GRAM, block, visited, times.astype(np.int64))
                 words = Counter(b" ".join(t for t, yes in zip(texts, trained, strict=True) if yes).split())
                 for w in set(b" ".join(t for t, yes in zip(texts, trained, strict=True) if not yes).split()):
                     words.setdefault(w, 0)
@@ -158,69 +157,74 @@ def _rows(kind: int, block: int, codes: np.ndarray, n: np.ndarray) -> pa.RecordB
     )
 
 
-def find(values: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(place, whether there) of each wanted value in the sorted values."""
-    if not len(values):
-        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
-    at = np.minimum(np.searchsorted(values, wanted), len(values) - 1)
-    return at, values[at] == wanted
-
-
-def log_probabilities(grams: np.ndarray, rows: np.ndarray, counts: np.ndarray, order: int) -> np.ndarray:
-    """log10 probability of each distinct longest gram, given the trie rows
-    (context and symbol, sorted) of all contexts that the grams visit."""
-    nodes, first = np.unique(rows >> SYMBOL_BITS, return_index=True)
-    total = np.add.reduceat(counts, first) if len(rows) else np.zeros(0, np.int64)
-    kinds = np.diff(np.append(first, len(rows)))
-    # occurrences, in the context one byte shorter, of the symbols of a context
-    shorter = np.zeros(len(rows), dtype=np.int64)
-    for length in range(1, order + 1):
-        mine = np.flatnonzero(rows >> (SYMBOL_BITS + 8 * order) == length)
-        cut = shortened(rows[mine], length - 1, order)
-        at, there = find(rows, cut)
-        shorter[mine[there]] = counts[at[there]]
-    excluded = np.add.reduceat(shorter, first) if len(rows) else total
-
-    out = np.zeros(len(grams))
-    open_ = np.ones(len(grams), dtype=bool)  # still to be coded
-    less = np.zeros(len(grams), dtype=np.int64)  # occurrences ruled out
-    less_kinds = np.zeros(len(grams), dtype=np.int64)
+def row_of(gram: Column, length: int, order: int) -> Column:
+    """``shortened`` of a column of grams."""
+    context = F.shiftright(gram, SYMBOL_BITS).bitwiseAND((1 << (8 * length)) - 1)
+    symbol = gram.bitwiseAND((1 << SYMBOL_BITS) - 1)
+    return F.shiftleft(context.bitwiseOR(F.lit(length << (8 * order)).cast("long")), SYMBOL_BITS).bitwiseOR(symbol)
+
+
+def trie_levels(grams: DataFrame, order: int) -> tuple[list[DataFrame], list[DataFrame]]:
+    """By context length: rows (row, count) of the symbols that followed contexts,
+    and contexts (node, total, kinds, excluded), the last the occurrences, in the
+    context one byte shorter, of the symbols that followed it."""
+    longest = grams.where("n > 0").select(row_of(F.col("code"), order, order).alias("row"), F.col("n").alias("count"))
+    rows = [stage(longest, "trie")]
+    symbol = F.col("row").bitwiseAND((1 << SYMBOL_BITS) - 1)
+    gram = lambda length: F.shiftleft(F.shiftright("row", SYMBOL_BITS).bitwiseAND((1 << (8 * length)) - 1), SYMBOL_BITS).bitwiseOR(symbol)
+    for length in range(order - 1, -1, -1):
+        cut = rows[0].select(row_of(gram(length), length, order).alias("row"), "count")
+        rows.insert(0, stage(cut.groupBy("row").agg(F.sum("count").alias("count")), "trie"))
+    nodes = []
+    for length in range(order + 1):
+        shorter = F.lit(0).cast("long")
+        known = rows[length]
+        if length:
+            below = rows[length - 1].select(F.col("row").alias("below"), F.col("count").alias("shorter"))
+            known = known.withColumn("below", row_of(gram(length - 1), length - 1, order)).join(below, "below")
+            shorter = F.col("shorter")
+        node = F.shiftright("row", SYMBOL_BITS).alias("node")
+        nodes.append(known.groupBy(node).agg(F.sum("count").alias("total"), F.count("*").alias("kinds"), F.sum(shorter).alias("excluded")))
+    return rows, nodes
+
+
+def gram_prices(grams: DataFrame, order: int) -> DataFrame:
+    """(code, price): log10 probability of each different gram (code, n), n its
+    occurrences in training texts."""
+    rows, nodes = trie_levels(grams, order)
+    zero = F.lit(0).cast("long")
+    left = grams.select("code", F.lit(0.0).alias("price"), zero.alias("less"), zero.alias("less_kinds"))
+    done = None
     for length in range(order, -1, -1):
-        cut = shortened(grams, length, order)
-        node, known = find(nodes, cut >> SYMBOL_BITS)
-        ask = np.flatnonzero(open_ & known)
-        at, there = find(rows, cut[ask])
-        node = node[ask]
-        free_kinds = kinds[node] - less_kinds[ask]
-        space = total[node] - less[ask] + free_kinds
-        hit = ask[there]
-        out[hit] += np.log10(counts[at[there]] / space[there])
-        open_[hit] = False
-        gone = ~there & (free_kinds > 0)
-        out[ask[gone]] += np.log10(free_kinds[gone] / space[gone])
-        miss = ask[~there]
-        less[miss] = excluded[node[~there]]
-        less_kinds[miss] = kinds[node[~there]]
-    out[open_] -= np.log10(END + 1 - less_kinds[open_])
-    return out
+        row = row_of(F.col("code"), length, order)
+        asked = left.withColumn("row", row).withColumn("node", F.shiftright("row", SYMBOL_BITS))
+        asked = asked.join(rows[length], "row", "left").join(nodes[length], "node", "left")
+        free = F.col("kinds") - F.col("less_kinds")
+        space = F.col("total") - F.col("less") + free
+        escape = F.when(F.col("kinds").isNotNull() & (free > 0), F.log10(free / space)).otherwise(0.0)
+        coded = F.col("count").isNotNull()
+        asked = stage(asked.select(
+            "code", (F.col("price") + F.when(coded, F.log10(F.col("count") / space)).otherwise(escape)).alias("price"), coded.alias("coded"),
+            F.coalesce("excluded", "less").alias("less"), F.coalesce("kinds", "less_kinds").alias("less_kinds"),
+        ), "prices")
+        found = asked.where("coded").select("code", "price")
+        done = found if done is None else done.unionByName(found)
+        left = asked.where("NOT coded").drop("coded")
+    never = left.select("code", (F.col("price") - F.log10(F.lit(END + 1) - F.col("less_kinds"))).alias("price"))
+    return done.unionByName(never)
 
 
 def score_block(order: int, n: int, v: int):
-    """Scores of a block's texts from the trie rows and word counts it asked for."""
+    """Scores of a block's texts from the prices and word counts it asked for."""
     floor = n + (v + 1)
 
     def score(texts: pa.Table, answers: pa.Table) -> pa.Table:
         raws = [raw.lower() for raw in byte_values(texts.column("x"))]
-        asked = answers.filter(pa.compute.is_valid(answers.column("node")))
-        lists = asked.column("children").combine_chunks()
-        sizes = pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
-        flat = lists.flatten()
-        node = np.repeat(asked.column("node").to_numpy().astype(np.int64), sizes)
-        follow = flat.to_numpy(zero_copy_only=False).astype(np.int64)
-        rows, keep = np.unique((node << SYMBOL_BITS) | (follow & ((1 << SYMBOL_BITS) - 1)), return_index=True)
-        counts = follow[keep] >> SYMBOL_BITS
+        asked = answers.filter(pa.compute.is_valid(answers.column("code")))
+        codes, prices = asked.column("code").to_numpy(), asked.column("price").to_numpy()
+        by = np.argsort(codes)
         grams, where = longest_grams(raws, order)
-        each = log_probabilities(grams, rows, counts, order)[where]
+        each = prices[by][np.searchsorted(codes[by], grams)][where]
         starts = np.cumsum([0, *(len(t) + 1 for t in raws[:-1])])
         total = np.add.reduceat(each, starts)
         told = answers.filter(pa.compute.is_valid(answers.column("w")))
@@ -246,17 +250,15 @@ def ppm_scores(docs: DataFrame, train: Column, key: str = "doc_id", text: str =
     base_score, score."""
     held = blocks(docs, key, text, train, block_bytes)
     seen = stage(held.select("x", "trained", "block").mapInArrow(gather(order), SEEN), "seen")
-    follow = seen.where(F.col("kind") == GRAM).groupBy("code").agg(F.sum("n").alias("n"))
-    symbol = F.shiftleft("n", SYMBOL_BITS).bitwiseOR(F.col("code").bitwiseAND((1 << SYMBOL_BITS) - 1))
-    trie = follow.groupBy(F.shiftright("code", SYMBOL_BITS).alias("node")).agg(F.collect_list(symbol).alias("children"))
-    visits = seen.where(F.col("kind") == NODE).select("block", F.col("code").alias("node"))
+    visits = seen.where(F.col("kind") == GRAM).select("block", "code", "n")
+    prices = gram_prices(stage(visits.groupBy("code").agg(F.sum("n").alias("n")), "grams"), order)
     word = seen.where(F.col("kind") == WORD).select("block", "w", "n")
     counted = stage(word.groupBy("w").agg(F.sum("n").alias("c")).where("c > 0"), "words")
     n, v = counted.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     nothing = F.lit(None)
-    answers = visits.join(trie, "node").select("block", "node", "children", nothing.cast("binary").alias("w"), nothing.cast("long").alias("c"))
+    answers = visits.join(prices, "code").select("block", "code", "price", nothing.cast("binary").alias("w"), nothing.cast("long").alias("c"))
     answers = answers.unionByName(word.join(counted, "w").select(
-        "block", nothing.cast("long").alias("node"), nothing.cast(trie.schema["children"].dataType).alias("children"), "w", "c"))
+        "block", nothing.cast("long").alias("code"), nothing.cast("double").alias("price"), "w", "c"))
     schema = StructType([held.schema["k"], held.schema["trained"]] + StructType.fromDDL(
         "n_tokens long, n_known long, base_score double, score double").fields)
     scored = held.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(score_block(order, n, v), schema)

@@ -70,3 +70,42 @@ def test_empty_and_untrained(spark):
     assert ppm_scores(none, F.lit(True)).collect() == []
     one = ppm_scores(spark.createDataFrame([(1, "a")], "doc_id long, text string"), F.lit(False)).collect()
     assert math.isclose(one[0].score, -2 * math.log10(257)) and one[0].base_score == 0
+
+
+def test_blocks_ask_once_for_each_gram(spark):
+    """A block's rows are its different grams and words, none for shorter contexts."""
+    import pyarrow as pa
+
+    from martkit.llm.ppm import gather, longest_grams
+
+    raws = ["abcabc", "abd", "abcabc"]
+    batch = pa.RecordBatch.from_pydict({"x": [t.encode() for t in raws], "trained": [True, False, True], "block": [1, 1, 1]})
+    rows = [r for part in gather(4)([batch]) for r in part.to_pylist()]
+    grams, _ = longest_grams([t.encode() for t in raws], 4)
+    assert sorted(r["code"] for r in rows if r["w"] is None) == sorted(grams.tolist())
+    assert sum(r["n"] for r in rows if r["w"] is None) == 14
+
+
+def test_each_gram_has_one_price(spark):
+    from martkit.llm.ppm import gram_prices, longest_grams
+
+    import numpy as np
+
+    trained, others = [b"abracadabra", b"abra", b""], [b"abrx", b"zz"]
+    grams, where = longest_grams(trained + others, 4)
+    times = np.bincount(where[: sum(len(t) + 1 for t in trained)], minlength=len(grams))
+    table = spark.createDataFrame(list(zip(grams.tolist(), times.tolist(), strict=True)), "code long, n long")
+    got = {x.code: x.price for x in gram_prices(table, 4).collect()}
+    assert sorted(got) == sorted(grams.tolist())
+    trie = defaultdict(Counter)
+    for t in trained:
+        past = bytes(4)
+        for s in [*t, 256]:
+            for length in range(5):
+                trie[past[len(past) - length :]][s] += 1
+            past += bytes([s]) if s < 256 else b""
+    at = 0
+    for t in trained + others:
+        own = sum(got[g] for g in grams[where[at : at + len(t) + 1]].tolist())
+        assert math.isclose(own, plain_score(trie, t.decode(), 4), rel_tol=1e-9)
+        at += len(t) + 1
