@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
@@ -91,17 +92,20 @@ def segments(raw: bytes, length: int, gram: int) -> tuple[np.ndarray, ...]:
 def suffix_order(codes: np.ndarray, depth: int) -> np.ndarray:
     """Order of the cyclic suffixes, by ``depth`` or more symbols."""
     rank, reach = codes.astype(np.int64), 1
-    order = np.argsort(rank, kind="stable")
+    width = int(codes.max()).bit_length()
+    while 2 * reach * width <= 62:  # as many symbols as a number holds need no sort
+        rank = (rank << (reach * width)) | np.roll(rank, -reach)
+        reach *= 2
     while True:
-        both = rank * (int(rank.max()) + 1) + np.roll(rank, -reach)
-        order = np.argsort(both, kind="stable")
-        step = both[order]
+        order = np.argsort(rank)  # of equal ones in any order: they agree on all that is asked
+        step = rank[order]
         names = np.cumsum(np.append(False, step[1:] != step[:-1]))
+        if reach >= depth or names[-1] == len(names) - 1:
+            return order
         rank = np.empty_like(names)
         rank[order] = names
+        rank = rank * (int(names[-1]) + 1) + np.roll(rank, -reach)
         reach *= 2
-        if reach >= depth or names[-1] == len(names) - 1:
-            return order
 
 
 def repeated_starts(pieces: list[bytes], length: int) -> list[np.ndarray]:
@@ -126,9 +130,10 @@ def repeated_starts(pieces: list[bytes], length: int) -> list[np.ndarray]:
         owner = np.repeat(np.arange(len(low)), size)
         place = np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size) + low[owner]
         symbol = transform[place]
-        if int(size.max()) > 1:
-            by = np.argsort(owner * (len(pieces) + 256) + symbol, kind="stable")
-            owner, place, symbol = owner[by], place[by], symbol[by]
+        several = np.flatnonzero(np.repeat(size > 1, size))  # a single place is in order
+        if len(several):
+            by = several[np.argsort(owner[several] * (len(pieces) + 256) + symbol[several], kind="stable")]
+            place[several], symbol[several] = place[by], symbol[by]
         new = np.append(True, (owner[1:] != owner[:-1]) | (symbol[1:] != symbol[:-1]))
         to = last_first[place]
         first = np.flatnonzero(new)
@@ -246,17 +251,23 @@ SPANS = "array<struct<start:int,stop:int>>"
 
 
 def merged(found: pa.Array) -> pa.Array:
-    """Ranges of a text as its maximal runs."""
-    out = []
-    for spans in found.to_pylist():
-        runs: list[dict] = []
-        for s in sorted(spans or [], key=lambda s: s["lo"]):
-            if runs and s["lo"] <= runs[-1]["stop"]:
-                runs[-1]["stop"] = max(runs[-1]["stop"], s["hi"])
-            else:
-                runs.append({"start": s["lo"], "stop": s["hi"]})
-        out.append(runs)
-    return pa.array(out, pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())])))
+    """Ranges of each text as its maximal runs."""
+    if isinstance(found, pa.ChunkedArray):
+        found = found.combine_chunks()
+    sizes = pa.compute.list_value_length(found).fill_null(0).to_numpy(zero_copy_only=False)
+    flat = found.flatten()
+    text = np.repeat(np.arange(len(found), dtype=np.int64), sizes) << 32  # places of one text after those of another
+    low, high = (text + pa.compute.struct_field(flat, side).to_numpy(zero_copy_only=False) for side in ("lo", "hi"))
+    by = np.argsort(low)
+    low, high = low[by], np.maximum.accumulate(high[by])
+    first = np.flatnonzero(np.append(True, low[1:] > high[:-1])[: len(low)])
+    last = np.append(first[1:], len(low))[: len(first)] - 1
+    runs = pa.StructArray.from_arrays(
+        [pa.array((x & 0xFFFFFFFF).astype(np.int32)) for x in (low[first], high[last])],
+        fields=[pa.field("start", pa.int32()), pa.field("stop", pa.int32())],
+    )
+    counts = np.bincount(low[first] >> 32, minlength=len(found))
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)).astype(np.int32)), runs)
 
 
 def kept_bytes(x, spans):

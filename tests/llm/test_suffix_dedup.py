@@ -2,12 +2,14 @@
 
 import hashlib
 import random
+import time
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from martkit.llm.suffix_dedup import digests, repeated_starts
+from martkit.llm.suffix_dedup import digests, merged, repeated_starts, suffix_order
 
 
 def plain(rows, length):
@@ -58,3 +60,47 @@ def test_digests_against_brute_force(spark, length, most):
 
 def test_empty_table(spark):
     assert digests(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_suffixes_are_in_order_with_few_sorts(monkeypatch):
+    """Symbols are packed before the first sort, so fewer than one a doubling is needed."""
+    r = np.random.default_rng(4)
+    for symbols, depth in ((3, 200), (5000, 200), (1 << 20, 8), (1 << 40, 8)):
+        codes = np.append(r.integers(0, symbols, 300), [symbols])
+        codes = np.concatenate([codes, codes[:150], [symbols + 1]])  # a long repeat
+        sorts = []
+        real = np.argsort
+        monkeypatch.setattr(np, "argsort", lambda *a, _real=real, _sorts=sorts, **k: _sorts.append(1) or _real(*a, **k))
+        order = suffix_order(codes, depth)
+        monkeypatch.setattr(np, "argsort", real)
+        turned = [tuple(np.roll(codes, -i)[:depth].tolist()) for i in order.tolist()]
+        assert turned == sorted(turned) and sorted(order.tolist()) == list(range(len(codes)))
+        if depth == 200:
+            assert len(sorts) <= 8  # before: 9 and one more whose result was not used
+
+
+def test_runs_of_many_ranges():
+    """Overlapping, touching and nested ranges are one run, those of other texts not;
+    half a million ranges take no Python step each."""
+    r = random.Random(6)
+    lists = [[], [(5, 9), (0, 3), (3, 4)], [(0, 2**31 - 1)], [(0, 1)], [], [(1, 20), (2, 3), (21, 22), (20, 21)], []]
+    lists += [[(a, a + r.randrange(1, 30)) for a in (r.randrange(300) for _ in range(r.randrange(12)))] for _ in range(200)]
+    kind = pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32())]))
+    want = []
+    for ranges in lists:
+        runs: list[list[int]] = []
+        for a, b in sorted(ranges):
+            if runs and a <= runs[-1][1]:
+                runs[-1][1] = max(runs[-1][1], b)
+            else:
+                runs.append([a, b])
+        want.append([{"start": a, "stop": b} for a, b in runs])
+    rows = pa.array([[{"lo": a, "hi": b} for a, b in x] for x in lists], kind)
+    assert merged(rows).to_pylist() == want
+    assert merged(rows[3:20]).to_pylist() == want[3:20] and merged(rows[:0]).to_pylist() == []
+    assert merged(pa.array([[]], kind)).to_pylist() == [[]]
+    offsets = np.arange(0, 600_001, 3, dtype=np.int32)
+    many = pa.StructArray.from_arrays([pa.array(np.arange(600_000, dtype=np.int32)), pa.array(np.arange(2, 600_002, dtype=np.int32))], names=["lo", "hi"])
+    begun = time.process_time()
+    assert len(merged(pa.ListArray.from_arrays(pa.array(offsets), many))) == 200_000
+    assert time.process_time() - begun < 0.5
