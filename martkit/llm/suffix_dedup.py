@@ -13,9 +13,14 @@ else, same document included, goes; strings are judged on the input.
   pieces' Burrows-Wheeler transform, backward extension breadth first derives
   the boundaries whose common prefix is 0, 1, 2, ... bytes and stops at
   ``length``; neighbours without a boundary by then share a whole string.
-* An anchor with more than ``MOST_PIECES`` different pieces is handled by
-  counting the 128-bit hashes of its pieces' strings over the cluster, so no
-  task ever holds an unbounded group.
+* An anchor with more than ``MOST_PIECES`` different pieces is split, so no task
+  holds an unbounded group: equal strings have as many bytes before the anchor,
+  and those with ``low`` to ``high`` bytes before it share the bytes that all of
+  them cover.  Each piece is cut into the strings of the lower and of the upper
+  half of that interval, and the parts that agree in those bytes are the pieces
+  of a longer anchor.  Parts found nowhere else end here, equal parts are one,
+  and what is still too large is split again, at most once a halving: two rows
+  a piece and round, not one a string.
 
 Defined cases: null text is empty (0 bytes, nothing removed); null keys are
 kept; repeated rows are copies of each other; empty tables give no rows; extra
@@ -69,18 +74,23 @@ def window_minima(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(after[: n - width + 1], before[width - 1 : n])
 
 
-def segments(raw: bytes, length: int, gram: int) -> tuple[np.ndarray, ...]:
-    """(start, size, anchor hash, segment hash) of a text's segments."""
+def gram_hashes(raw: bytes, gram: int) -> tuple[np.ndarray, ...]:
+    """(prefix sums, inverse powers, hash of the gram at each place, its order)."""
     n = len(raw)
-    if n < length:
-        return (np.zeros(0, np.int64),) * 4
     codes = BYTES[np.frombuffer(raw, dtype=np.uint8)]
     back = powers(INVERSE, n)
     sums = np.zeros(n + 1, dtype=np.uint64)
     np.cumsum(codes * powers(BASE, n), out=sums[1:])
     grams = mixed((sums[gram:] - sums[:-gram]) * back[: n - gram + 1])
     # order by half of the hash, then by place
-    order = (grams & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(grams), dtype=np.uint64)
+    return sums, back, grams, (grams & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(grams), dtype=np.uint64)
+
+
+def segments(raw: bytes, length: int, gram: int) -> tuple[np.ndarray, ...]:
+    """(start, size, anchor hash, segment hash) of a text's segments."""
+    if len(raw) < length:
+        return (np.zeros(0, np.int64),) * 4
+    sums, back, grams, order = gram_hashes(raw, gram)
     anchor = (window_minima(order, length - gram + 1) & np.uint64(0xFFFFFFFF)).astype(np.int64)
     start = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
     stop = np.append(start[1:], len(anchor)) - 1 + length
@@ -190,26 +200,58 @@ def compare(length: int):
     return run
 
 
-def string_hashes(length: int):
-    """(w1, w2, h, f, lo): the 128-bit hash of each string of a piece."""
+PARTS = "h long, f long, at int, u long, v long, low int, high int, p binary"
+
+
+def key64(raw: bytes, *numbers: int) -> int:
+    told = b"".join(x.to_bytes(8, "little", signed=True) for x in numbers)
+    return int.from_bytes(hashlib.blake2b(raw, digest_size=8, key=told).digest(), "little", signed=True)
+
+
+def halves(length: int, gram: int):
+    """(h, f, at, u, v, low, high, p): the parts of each piece (h, f, p, low, high) whose
+    strings have so many bytes before the anchor as one half of its interval says;
+    u is the hash of the bytes that all such strings cover, v that of the part."""
+
+    def parts(h: int, f: int, p: bytes, low: int, high: int) -> Iterator[tuple]:
+        anchor = int(np.argmin(gram_hashes(p, gram)[3][: length - gram + 1]))
+        middle = (low + high) // 2
+        for lo, hi in ((low, middle), (middle + 1, high)):
+            first, last = max(0, anchor - hi), min(len(p) - length, anchor - lo)
+            if first <= last:
+                part = p[first : last + length]
+                yield h, f, first, key64(p[anchor - lo : anchor - hi + length], h, lo, hi), key64(part), lo, hi, part
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+        names = ["h", "f", "at", "u", "v", "low", "high", "p"]
         for batch in batches:
-            for h, f, p in zip(batch.column("h").to_pylist(), batch.column("f").to_pylist(), byte_values(batch.column("p")), strict=True):
-                n = len(p) - length + 1
-                codes = np.frombuffer(p, dtype=np.uint8)
-                both = []
-                for values in (BYTES, mixed(BYTES)):
-                    sums = np.append(np.zeros(1, np.uint64), np.cumsum(values[codes] * powers(BASE, len(p)), dtype=np.uint64))
-                    both.append(mixed((sums[length:] - sums[:-length]) * powers(INVERSE, n)).view(np.int64))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(both[0]), pa.array(both[1]), pa.array(np.full(n, h, np.int64)), pa.array(np.full(n, f, np.int64)), pa.array(np.arange(n, dtype=np.int32))],
-                    names=["w1", "w2", "h", "f", "lo"],
-                )
+            given = [batch.column(c).to_pylist() for c in ("h", "f", "p", "low", "high")]
+            rows = [part for piece in zip(*given, strict=True) for part in parts(*piece)]
+            columns = list(zip(*rows, strict=True)) or [[] for _ in names]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
     return run
 
 
+def piece_marks(pieces: DataFrame, length: int, gram: int, most_pieces: int) -> DataFrame:
+    """Marks (h, f, lo, hi) from the different pieces (h, f, p, c, n, low, high), c how
+    often each was found and n how many its anchor has."""
+    twice = pieces.where("c > 1").select("h", "f", F.lit(0).alias("lo"), F.octet_length("p").alias("hi"))
+    few = pieces.where((F.col("n") > 1) & (F.col("n") <= most_pieces)).select("h", "f", "p")
+    marks = twice.unionByName(few.repartition("h").sortWithinPartitions("h").mapInArrow(compare(length), MARKS))
+    large = pieces.where((F.col("n") > 1) & (F.col("n") > most_pieces))
+    if large.isEmpty():
+        return marks
+    parts = stage(large.select("h", "f", "p", "low", "high").mapInArrow(halves(length, gram), PARTS), "parts")
+    kinds = parts.groupBy("u", "v").agg(F.count("*").alias("c"), *[F.first(x).alias(x) for x in ("p", "low", "high")])
+    met = parts.groupBy("u").agg(F.count("*").alias("k"), F.countDistinct("v").alias("n")).where("k > 1").select("u", "n")
+    below = stage(kinds.join(met, "u").select(F.col("u").alias("h"), F.col("v").alias("f"), "p", "c", "n", "low", "high"), "pieces")
+    found = piece_marks(below, length, gram, most_pieces).select(F.col("h").alias("u"), F.col("f").alias("v"), "lo", "hi")
+    own = parts.select("h", "f", "at", "u", "v").join(found, ["u", "v"])
+    return marks.unionByName(own.select("h", "f", (F.col("at") + F.col("lo")).alias("lo"), (F.col("at") + F.col("hi")).alias("hi")))
+
+
 def repeated_ranges(texts: DataFrame, length: int, most_pieces: int) -> DataFrame:
     """(t, lo, hi) from different texts (t, x): ranges made of strings that
     start anywhere else in the table; they may overlap."""
@@ -233,16 +275,12 @@ def repeated_ranges(texts: DataFrame, length: int, most_pieces: int) -> DataFram
     mixed_ = held.where("low < high").select("t", "start", "size", "h", "f")
     place = F.struct("t", "start", "size")
     kinds = mixed_.groupBy("h", "f").agg(F.count("*").alias("c"), F.min(place).alias("r")).select("h", "f", "c", "r.*")
-    many = kinds.groupBy("h").agg((F.count("*") > most_pieces).alias("many"))
-    wanted = kinds.join(many, "h")
+    several = kinds.groupBy("h").agg(F.count("*").alias("n"))
+    wanted = kinds.join(several, "h")
     piece = F.expr("substring(x, start + 1, size)")
-    pieces = stage(wanted.join(texts.select("t", "x"), "t").select("h", "f", "c", "size", "many", piece.alias("p")), "pieces")
-    twice = pieces.where("c > 1").select("h", "f", F.lit(0).alias("lo"), F.col("size").alias("hi"))
-    near = pieces.where("NOT many").select("h", "f", "p").repartition("h").sortWithinPartitions("h").mapInArrow(compare(length), MARKS)
-    strings = pieces.where("many").select("h", "f", "p").mapInArrow(string_hashes(length), "w1 long, w2 long, h long, f long, lo int")
-    often = strings.groupBy("w1", "w2").count().where("count > 1").select("w1", "w2")
-    far = strings.join(often, ["w1", "w2"]).select("h", "f", "lo", (F.col("lo") + length).alias("hi"))
-    marks = stage(twice.unionByName(near).unionByName(far), "marks")
+    whole = (F.lit(0).alias("low"), F.lit(length - gram).alias("high"))
+    pieces = stage(wanted.join(texts.select("t", "x"), "t").select("h", "f", "c", "n", piece.alias("p"), *whole), "pieces")
+    marks = stage(piece_marks(pieces, length, gram, most_pieces), "marks")
     found = mixed_.join(marks, ["h", "f"]).select("t", (F.col("start") + F.col("lo")).alias("lo"), (F.col("start") + F.col("hi")).alias("hi"))
     return alike.unionByName(found)
 

@@ -1,6 +1,7 @@
 """Repeated byte strings against brute force."""
 
 import hashlib
+import itertools
 import random
 import time
 from collections import Counter
@@ -9,7 +10,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from martkit.llm.suffix_dedup import digests, merged, repeated_starts, suffix_order
+from martkit.llm import suffix_dedup
+from martkit.llm.suffix_dedup import GRAM, digests, halves, merged, repeated_starts, segments, suffix_order
 
 
 def plain(rows, length):
@@ -58,6 +60,43 @@ def test_digests_against_brute_force(spark, length, most):
     assert got == plain(rows, length)
 
 
+def test_large_anchors_make_two_rows_a_piece(spark, monkeypatch):
+    """A line of 260 bytes in 60 different texts, also copied with some bytes around it: an anchor
+    with more pieces than a task compares is split into two parts a piece and round."""
+    r = random.Random(9)
+    noise = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    line, inner = noise(260), noise(120)
+    texts = [noise(250) + line + noise(250) for _ in range(60)]
+    texts += [noise(90) + inner + noise(90) for _ in range(40)]  # shared, but too short
+    texts += [t[180:430] + noise(40) for t in texts[:20]] + [noise(30) + line[60:] + t[510:600] for t in texts[:20]]
+    texts += ["z" * 400, "zy" * 190, "z" * 230 + line[:100]]
+    rows = [*enumerate(texts)]
+    raws = [t.encode() for t in texts]
+    cuts = [(h, f, raw[s : s + n]) for raw in raws for s, n, h, f in zip(*(x.tolist() for x in segments(raw, 200, GRAM)), strict=True)]
+    made = []
+    real = suffix_dedup.stage
+
+    def counted(df, name):
+        out = real(df, name)
+        if name == "parts":
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(suffix_dedup, "stage", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted((tuple(x) for x in digests(docs, 200, 3).collect()), key=str)
+    assert got == plain(rows, 200)
+    assert 1 < len(made) <= 8 and max(made) <= 2 * len({c[:2] for c in cuts})
+    # before: a row for each string of the pieces
+    assert made[0] < sum(len(p) - 199 for p in {c[2] for c in cuts}) / 4
+    # parts of one piece hold each of its strings once
+    piece = max((c[2] for c in cuts), key=len)
+    batch = pa.RecordBatch.from_pydict({"h": [1], "f": [2], "p": [piece], "low": [0], "high": [200 - GRAM]})
+    parts = list(itertools.chain(*(b.to_pylist() for b in halves(200, GRAM)([batch]))))
+    starts = sorted(p["at"] + i for p in parts for i in range(len(p["p"]) - 199))
+    assert starts == list(range(len(piece) - 199))
+
+
 def test_empty_table(spark):
     assert digests(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
