@@ -65,3 +65,13 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     gc.collect()
     return df.sparkSession.read.parquet(path)
+
+
+def settled(df: DataFrame, name: str) -> DataFrame:
+    """``stage``, after which the driver drops what it no longer refers to, so that
+    the shuffle files of finished rounds go before the next round writes its own."""
+    out = stage(df, name)
+    jvm = getattr(df.sparkSession, "_jvm", None)
+    if jvm is not None:
+        jvm.System.gc()
+    return out

@@ -13,11 +13,13 @@ choice.  A score is the log10 probability of the whole text and its end.
 * A symbol costs the same wherever its longest context precedes it.  So each
   different gram (that context and the symbol) is priced once for the corpus, by
   equi-joins with the trie, from the longest context down.
-* Texts are cut into blocks of bounded bytes.  Each block asks for the prices of
-  its grams, by an equi-join, and is scored beside its answer in one cogroup:
-  memory follows the block, not the corpus; nothing is broadcast and only two
-  sums reach the driver.
-* Word counts for the unigram base travel the same way.
+* Texts are cut into blocks of bounded bytes, grams into parts by their context,
+  one for each ``PART_BYTES`` of text.  The grams of a block and part travel as
+  one row of packed numbers; they are counted by part, and meet their prices by
+  part, which go back in the order of the grams.  Each block is scored beside its
+  answer in one cogroup: memory follows the block and the part, not the corpus;
+  nothing is broadcast and only three sums reach the driver.
+* Word counts for the unigram base are joined by word.
 
 Defined cases: null text is empty (one end); a null key is kept, and is
 training (its remainder is unknown); repeated rows count and are scored each;
@@ -39,10 +41,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from martkit.llm.common import byte_values, held_out, stage, table
+from martkit.llm.common import byte_values, held_out, settled, table
 
 ORDER = 4
 BLOCK_BYTES = 8 << 20
+PART_BYTES = 16 << 20  # bytes of texts whose grams make one part
 END = 256
 SYMBOL_BITS = 9
 
@@ -64,7 +67,7 @@ def blocks(docs: DataFrame, key: str, text: str, train: Column, block_bytes: int
                 ids.append(number)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.int64())], names=[*batch.schema.names, "block"])
 
-    return stage(plain.mapInArrow(cut, schema), "blocks")
+    return settled(plain.mapInArrow(cut, schema), "blocks")
 
 
 def compact(codes: np.ndarray, bound: int) -> tuple[np.ndarray, np.ndarray]:
@@ -112,8 +115,29 @@ def word_key(word: bytes) -> bytes:
     return word if len(word) < 32 else hashlib.sha256(word).digest()
 
 
+def packed(values: np.ndarray) -> bytes:
+    """8-byte numbers with their first bytes together, then the second and so on;
+    of whole numbers the steps, which are small where numbers ascend."""
+    if values.dtype != np.float64:
+        values = np.diff(values.astype(np.int64), prepend=np.int64(0))
+    return np.ascontiguousarray(values).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def unpacked(raw: bytes, kind: type = np.int64) -> np.ndarray:
+    values = np.frombuffer(raw, dtype=np.uint8).reshape(8, -1).T.copy().view(kind).ravel()
+    return values if kind is np.float64 else np.cumsum(values)
+
+
+def by_part(grams: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(parts that grams fall into, where each starts, order by part and gram)."""
+    part = (grams >> SYMBOL_BITS) % parts
+    order = np.lexsort((grams, part))
+    held, starts = np.unique(part[order], return_index=True)
+    return held, starts, order
+
+
 GRAM, WORD = 0, 1
-SEEN = "kind int, block long, code long, w binary, n long"
+SEEN = "block long, part long, codes binary, counts binary, w binary, n long"
 
 
 def gather(order: int):
@@ -157,6 +181,48 @@ def _rows(kind: int, block: int, codes: np.ndarray, n: np.ndarray) -> pa.RecordB
     )
 
 
+def gather_parts(order: int, parts: int):
+    """The rows of ``gather``, with the grams of a block and part in one."""
+    seen = gather(order)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in seen(batches):
+            if batch.column("kind")[0].as_py() == WORD:
+                none, nulls = pa.nulls(len(batch), pa.binary()), pa.nulls(len(batch), pa.int64())
+                columns = [batch.column("block"), nulls, none, none, batch.column("w"), batch.column("n")]
+            else:
+                grams, times = batch.column("code").to_numpy(), batch.column("n").to_numpy()
+                found, starts, by = by_part(grams, parts)
+                codes, counts = (pa.array([packed(y) for y in np.split(x[by], starts[1:])], pa.binary()) for x in (grams, times))
+                block = pa.array(np.full(len(found), batch.column("block")[0].as_py(), np.int64))
+                columns = [block, pa.array(found, pa.int64()), codes, counts, pa.nulls(len(found), pa.binary()), pa.nulls(len(found), pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["block", "part", "codes", "counts", "w", "n"])
+
+    return rows
+
+
+def counted_grams(rows: pa.Table) -> pa.Table:
+    """(code, n) of the different grams of a part."""
+    codes = np.concatenate([unpacked(x) for x in rows.column("codes").to_pylist()])
+    counts = np.concatenate([unpacked(x) for x in rows.column("counts").to_pylist()])
+    values, at = np.unique(codes, return_inverse=True)
+    return pa.table({"code": pa.array(values), "n": pa.array(np.bincount(at, counts).astype(np.int64))})
+
+
+def part_prices(priced: pa.Table, asked: pa.Table) -> pa.Table:
+    """(block, part, prices): for each block that asks, the prices of its grams of
+    this part, in the order of the grams."""
+    codes, prices = priced.column("code").to_numpy(), priced.column("price").to_numpy()
+    by = np.argsort(codes)
+    codes, prices = codes[by], prices[by]
+    wanted: dict[int, list[np.ndarray]] = {}  # a block whose texts came in several batches has several rows
+    for block, raw in zip(asked.column("block").to_pylist(), asked.column("codes").to_pylist(), strict=True):
+        wanted.setdefault(block, []).append(unpacked(raw))
+    out = [packed(prices[np.searchsorted(codes, np.unique(np.concatenate(x)))]) for x in wanted.values()]
+    part = asked.column("part")[: 1].to_pylist() * len(out)
+    return pa.table({"block": pa.array(list(wanted), pa.int64()), "part": pa.array(part, pa.int64()), "prices": pa.array(out, pa.binary())})
+
+
 def row_of(gram: Column, length: int, order: int) -> Column:
     """``shortened`` of a column of grams."""
     context = F.shiftright(gram, SYMBOL_BITS).bitwiseAND((1 << (8 * length)) - 1)
@@ -169,12 +235,12 @@ def trie_levels(grams: DataFrame, order: int) -> tuple[list[DataFrame], list[Dat
     and contexts (node, total, kinds, excluded), the last the occurrences, in the
     context one byte shorter, of the symbols that followed it."""
     longest = grams.where("n > 0").select(row_of(F.col("code"), order, order).alias("row"), F.col("n").alias("count"))
-    rows = [stage(longest, "trie")]
+    rows = [settled(longest, "trie")]
     symbol = F.col("row").bitwiseAND((1 << SYMBOL_BITS) - 1)
     gram = lambda length: F.shiftleft(F.shiftright("row", SYMBOL_BITS).bitwiseAND((1 << (8 * length)) - 1), SYMBOL_BITS).bitwiseOR(symbol)
     for length in range(order - 1, -1, -1):
         cut = rows[0].select(row_of(gram(length), length, order).alias("row"), "count")
-        rows.insert(0, stage(cut.groupBy("row").agg(F.sum("count").alias("count")), "trie"))
+        rows.insert(0, settled(cut.groupBy("row").agg(F.sum("count").alias("count")), "trie"))
     nodes = []
     for length in range(order + 1):
         shorter = F.lit(0).cast("long")
@@ -203,7 +269,7 @@ def gram_prices(grams: DataFrame, order: int) -> DataFrame:
         space = F.col("total") - F.col("less") + free
         escape = F.when(F.col("kinds").isNotNull() & (free > 0), F.log10(free / space)).otherwise(0.0)
         coded = F.col("count").isNotNull()
-        asked = stage(asked.select(
+        asked = settled(asked.select(
             "code", (F.col("price") + F.when(coded, F.log10(F.col("count") / space)).otherwise(escape)).alias("price"), coded.alias("coded"),
             F.coalesce("excluded", "less").alias("less"), F.coalesce("kinds", "less_kinds").alias("less_kinds"),
         ), "prices")
@@ -214,17 +280,17 @@ def gram_prices(grams: DataFrame, order: int) -> DataFrame:
     return done.unionByName(never)
 
 
-def score_block(order: int, n: int, v: int):
+def score_block(order: int, parts: int, n: int, v: int):
     """Scores of a block's texts from the prices and word counts it asked for."""
     floor = n + (v + 1)
 
     def score(texts: pa.Table, answers: pa.Table) -> pa.Table:
         raws = [raw.lower() for raw in byte_values(texts.column("x"))]
-        asked = answers.filter(pa.compute.is_valid(answers.column("code")))
-        codes, prices = asked.column("code").to_numpy(), asked.column("price").to_numpy()
-        by = np.argsort(codes)
+        asked = answers.filter(pa.compute.is_valid(answers.column("part"))).sort_by("part")
         grams, where = longest_grams(raws, order)
-        each = prices[by][np.searchsorted(codes[by], grams)][where]
+        prices = np.empty(len(grams))
+        prices[by_part(grams, parts)[2]] = np.concatenate([unpacked(x, np.float64) for x in asked.column("prices").to_pylist()])
+        each = prices[where]
         starts = np.cumsum([0, *(len(t) + 1 for t in raws[:-1])])
         total = np.add.reduceat(each, starts)
         told = answers.filter(pa.compute.is_valid(answers.column("w")))
@@ -249,19 +315,26 @@ def ppm_scores(docs: DataFrame, train: Column, key: str = "doc_id", text: str =
     """One row per document: key, trained, n_tokens, n_known, train_tokens,
     base_score, score."""
     held = blocks(docs, key, text, train, block_bytes)
-    seen = stage(held.select("x", "trained", "block").mapInArrow(gather(order), SEEN), "seen")
-    visits = seen.where(F.col("kind") == GRAM).select("block", "code", "n")
-    prices = gram_prices(stage(visits.groupBy("code").agg(F.sum("n").alias("n")), "grams"), order)
-    word = seen.where(F.col("kind") == WORD).select("block", "w", "n")
-    counted = stage(word.groupBy("w").agg(F.sum("n").alias("c")).where("c > 0"), "words")
+    size = held.agg(F.sum(F.octet_length("x"))).first()[0] or 0
+    parts = size // PART_BYTES | 1
+    seen = settled(held.select("x", "trained", "block").mapInArrow(gather_parts(order, parts), SEEN), "seen")
+    visits = seen.where("part IS NOT NULL")
+    grams = settled(visits.select("part", "codes", "counts").groupBy("part").applyInArrow(counted_grams, "code long, n long"), "grams")
+    part = F.pmod(F.shiftright("code", SYMBOL_BITS), F.lit(parts)).alias("part")
+    prices = gram_prices(grams, order).select(part, "code", "price")
+    asked = visits.select("part", "block", "codes")
+    told = prices.groupBy("part").cogroup(asked.groupBy("part")).applyInArrow(part_prices, "block long, part long, prices binary")
+    told = settled(told, "answers")
+    word = seen.where("part IS NULL").select("block", "w", "n")
+    counted = settled(word.groupBy("w").agg(F.sum("n").alias("c")).where("c > 0"), "words")
     n, v = counted.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     nothing = F.lit(None)
-    answers = visits.join(prices, "code").select("block", "code", "price", nothing.cast("binary").alias("w"), nothing.cast("long").alias("c"))
-    answers = answers.unionByName(word.join(counted, "w").select(
-        "block", nothing.cast("long").alias("code"), nothing.cast("double").alias("price"), "w", "c"))
+    answers = told.select("block", "part", "prices", nothing.cast("binary").alias("w"), nothing.cast("long").alias("c"))
+    known = settled(word.join(counted, "w").select("block", "w", "c"), "known")
+    answers = answers.unionByName(known.select("block", nothing.cast("long").alias("part"), nothing.cast("binary").alias("prices"), "w", "c"))
     schema = StructType([held.schema["k"], held.schema["trained"]] + StructType.fromDDL(
         "n_tokens long, n_known long, base_score double, score double").fields)
-    scored = held.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(score_block(order, n, v), schema)
+    scored = held.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(score_block(order, parts, n, v), schema)
     return scored.select(F.col("k").alias(key), "trained", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
 
 

@@ -109,3 +109,34 @@ def test_each_gram_has_one_price(spark):
         own = sum(got[g] for g in grams[where[at : at + len(t) + 1]].tolist())
         assert math.isclose(own, plain_score(trie, t.decode(), 4), rel_tol=1e-9)
         at += len(t) + 1
+
+
+def test_grams_travel_by_part(spark, monkeypatch):
+    """One row a block and part, whatever the number of grams; with many parts, and
+    blocks whose texts come in several batches, the scores stay."""
+    import numpy as np
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+
+    from martkit.llm import ppm
+
+    raws = [bytes(random.Random(i).choices(range(97, 110), k=300)) for i in range(6)]
+    batch = pa.RecordBatch.from_pydict({"x": raws, "trained": [True] * 3 + [False] * 3, "block": [1] * 6})
+    grams, _ = ppm.longest_grams(raws, 4)
+    rows = [r for b in ppm.gather_parts(4, 5)([batch]) for r in b.to_pylist() if r["part"] is not None]
+    assert [r["part"] for r in rows] == [0, 1, 2, 3, 4]
+    assert sorted(np.concatenate([ppm.unpacked(r["codes"]) for r in rows]).tolist()) == sorted(grams.tolist())
+    assert sum(int(ppm.unpacked(r["counts"]).sum()) for r in rows) == 903
+    assert sum(len(r["codes"]) for r in rows) == 8 * len(grams)
+    prices = np.array([-0.5, -2.25, 0.0])
+    assert ppm.unpacked(ppm.packed(prices), np.float64).tolist() == prices.tolist()
+    docs = spark.createDataFrame([(i, t.decode()) for i, t in enumerate(raws)] + [(9, None), (10, "")], "doc_id long, text string").coalesce(1)
+    trained = F.col("doc_id") % 2 == 0
+    want = {x.doc_id: x.score for x in ppm_scores(docs, trained).collect()}
+    monkeypatch.setattr(ppm, "PART_BYTES", 100)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 2)
+    try:
+        got = {x.doc_id: x.score for x in ppm_scores(docs, trained).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got.keys() == want.keys() and all(math.isclose(got[k], want[k], rel_tol=1e-12) for k in want)
