@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import StructField, StructType
 
-from martkit.llm.common import byte_values, space_words, stage, table
+from martkit.llm.common import byte_values, settled, space_words, stage, table
 
 FRAGMENTS = 8
 EDGES = np.arange(FRAGMENTS, dtype=np.uint64) << np.uint64(61)  # starts in the order of hashes
@@ -127,16 +127,6 @@ def may_link(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFram
     return met.where(near & (apart <= most)).select("a", "b")
 
 
-def settled(df: DataFrame, name: str) -> DataFrame:
-    """``stage``, after which the driver drops what it no longer refers to, so that
-    the shuffle files of finished rounds go before the next round writes its own."""
-    out = stage(df, name)
-    jvm = getattr(df.sparkSession, "_jvm", None)
-    if jvm is not None:
-        jvm.System.gc()
-    return out
-
-
 def links(classes: DataFrame, texts: DataFrame, words: int, threshold: float) -> DataFrame:
     """Pairs (a, b) of classes (c, n, marks) that reach the threshold; texts: (c, x)."""
     held = None
@@ -249,9 +239,9 @@ def overlap(s: np.ndarray, t: np.ndarray, needed: int) -> int:
 
 
 def verified(pairs: DataFrame, texts: DataFrame, words: int, threshold: float) -> DataFrame:
-    """The pairs (a, b) that reach the threshold.  The second text of a pair is
-    fetched once and travels to the first, which several pairs share; the sets are
-    made where both meet, so no set is written or shuffled."""
+    """The pairs (a, b) that reach the threshold.  The texts of all pairs are picked
+    once, then the second text of a pair travels to the first, which several pairs
+    share; the sets are made where both meet, so no set is written or shuffled."""
     percent = round(100 * threshold)
 
     def reach(x: pa.Array, y: pa.Array) -> pa.Array:
@@ -267,8 +257,10 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, threshold: float) -
 
     near = arrow_udf(reach, "boolean")
     pairs = stage(pairs, "pairs")
-    second = pairs.join(texts.select(F.col("c").alias("b"), F.col("x").alias("y")), "b")
-    both = second.join(texts.select(F.col("c").alias("a"), "x"), "a")
+    wanted = pairs.select(F.col("a").alias("c")).unionByName(pairs.select(F.col("b").alias("c"))).distinct()
+    picked = settled(texts.join(wanted, "c", "left_semi"), "picked")
+    second = settled(pairs.join(picked.select(F.col("c").alias("b"), F.col("x").alias("y")), "b"), "second")
+    both = second.join(picked.select(F.col("c").alias("a"), "x"), "a")
     return both.where(near("x", "y")).select("a", "b").distinct()
 
 

@@ -204,3 +204,24 @@ def test_near_duplicates_of_null_keys_and_rewritten_copies(spark):
     rows = [(4, "a b c d"), (2, "A  B c\nd"), (None, "a b\tc D"), (None, "z"), (9, None), (2, "other words in here"), (2, "A  B c\nd")]
     got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(map(tuple, got), key=str) == sorted([(4, 2, 2), (2, 2, 2), (None, 2, 2), (None, 1, None), (9, 0, 9), (2, 2, 2), (2, 2, 2)], key=str)
+
+
+def test_only_texts_of_pairs_are_fetched(spark, monkeypatch):
+    """The joins of a round hold the texts of its pairs, with repeated keys, and no others."""
+    from martkit.llm import jaccard_join
+
+    held = {}
+    real = jaccard_join.settled
+
+    def kept(df, name):
+        held[name] = out = real(df, name)
+        return out
+
+    monkeypatch.setattr(jaccard_join, "settled", kept)
+    base = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, base), (2, base + " end"), (3, "another text of few words"), (3, base + " last"), (4, base), (None, base)]
+    texts = spark.createDataFrame(rows + [(i, f"text {i} of some words") for i in range(10, 60)], "c long, x string")
+    pairs = spark.createDataFrame([(1, 2), (1, 3), (2, 10)], "a long, b long")
+    got = {tuple(x) for x in jaccard_join.verified(pairs, texts, 3, 0.9).collect()}
+    assert got == {(1, 2), (1, 3)}
+    assert sorted(x.c for x in held["picked"].collect()) == [1, 2, 3, 3, 10]
