@@ -23,7 +23,7 @@ from martkit.operators.sizing import BroadcastPolicy, decide_many
 from martkit.plans.ledger import Ledger
 from martkit.session import materialize
 from martkit.sources.contracts import MART_SCHEMAS, conform
-from martkit.sources.files import read_csv, write_parquet
+from martkit.sources.files import csv_to_parquet, write_parquet
 from martkit.sources.jdbc import read_jdbc, write_jdbc
 from martkit.sources.records import Intake, ingest_csv
 from martkit.sources.snapshots import read_snapshot, write_snapshot
@@ -81,7 +81,7 @@ def extract(
             if report is not None:
                 report[name] = found
             return
-        write_parquet(read_csv(spark, sources[name], schema=schemas.get(name)), targets[name])
+        csv_to_parquet(spark, sources[name], targets[name], schema=schemas.get(name))
 
     run_all({name: partial(one, name) for name in sources}, parallel)
     return {name: targets[name] for name in sources}

@@ -7,9 +7,13 @@ import json
 from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StringType, StructField, StructType
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
+from martkit.functions.keys import column
 from martkit.sources.smallfiles import Folder
 
 
@@ -25,6 +29,7 @@ def read_csv(
     Without ``schema`` the types are inferred, which costs one extra pass over
     the input; on large inputs pass ``schema`` so the scan is
     read once; a value that does not fit its declared type then raises.
+    (``csv_to_parquet`` infers the same types, as a rule in the pass that copies.)
     """
     reader = spark.read.option("header", header)
     if schema is not None:
@@ -55,6 +60,64 @@ def write_parquet(
     writer.parquet(path)
 
 
+# Texts that alone are inferred as the type.  A column that holds one of them and
+# whose values all parse as the type is inferred as that type.
+SURE = (
+    ("double", r"^-?[0-9]{1,15}\.[0-9]{1,15}\z"),
+    ("bigint", r"^-?[1-9][0-9]{10,17}\z"),
+    ("int", r"^-?[0-9]{1,9}\z"),
+)
+# widest first
+TYPES = {"string": StringType(), "double": DoubleType(), "bigint": LongType(), "int": IntegerType()}
+HEAD = 100
+
+
+def _sure(name: str) -> Column:
+    """The type of ``TYPES`` that the text of a column settles, or NULL."""
+    text = column(name)
+    word = text.rlike("^[A-Za-z]")
+    for other in ("double", "boolean", "date", "timestamp"):
+        word = word & text.try_cast(other).isNull()
+    kind = F.when(word, F.lit("string"))
+    for name, pattern in SURE:
+        kind = kind.when(text.rlike(pattern), F.lit(name))
+    return kind
+
+
+def _settled(spark: SparkSession, path: str | Sequence[str], header: bool) -> StructType | None:
+    """The types that the first ``HEAD`` rows settle, if the other rows fit them; None
+    where they leave a column open, or folder names add columns."""
+    raw = spark.read.option("header", header).csv(path)
+    reserved = spark.conf.get("spark.sql.columnNameOfCorruptRecord").lower()
+    if reserved in {c.lower() for c in raw.columns} or any("=" in f for f in raw.inputFiles()):
+        return None
+    rows = raw.select(*[_sure(c).alias(f"k{i}") for i, c in enumerate(raw.columns)]).take(HEAD)
+    found = [{r[i] for r in rows} for i in range(len(raw.columns))]
+    kinds = [next((k for k in TYPES if k in held), None) for held in found]
+    if not kinds or None in kinds:
+        return None
+    return StructType([StructField(name, TYPES[kind]) for name, kind in zip(raw.columns, kinds, strict=True)])
+
+
+def csv_to_parquet(
+    spark: SparkSession, path: str | Sequence[str], target: str, schema: StructType | str | None = None, header: bool = True
+) -> None:
+    """``read_csv`` written by ``write_parquet``.
+
+    Without ``schema`` the types are those inferred from all rows, as a rule without
+    a pass of their own: the first rows settle what the types are if every other row
+    fits them, and the copy stops at a record that doesn't.  Only if it stops, or the
+    first rows leave a type open, the types are inferred before the copy."""
+    settled = _settled(spark, path, header) if schema is None else None
+    if settled is not None:
+        try:
+            write_parquet(read_csv(spark, path, settled, header), target)
+            return
+        except (PySparkException, Py4JJavaError):
+            pass  # an error of another cause comes again below
+    write_parquet(read_csv(spark, path, schema, header), target)
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool = True) -> None:
     df.write.mode(mode).option("header", header).csv(path)
 

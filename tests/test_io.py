@@ -5,7 +5,8 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from martkit.operators.sizing import BroadcastPolicy, decide, decide_many, measure
 from martkit.sources.contracts import MART_SCHEMAS, conform
-from martkit.sources.files import copy_datasets, read_csv, read_parquet, write_csv, write_parquet
+from martkit.sources import files
+from martkit.sources.files import copy_datasets, csv_to_parquet, read_csv, read_parquet, write_csv, write_parquet
 from martkit.sources.jdbc import jdbc_options
 from martkit.sources.tables import read_table, write_table
 
@@ -20,6 +21,48 @@ def test_csv_inferred_and_declared(spark, tmp_path):
     assert sorted(map(tuple, declared.collect()), key=repr) == sorted(map(tuple, df.collect()), key=repr)
 
 
+HEADS = "k,s,d\n" + "".join(f"{i},Ab,1.5\n" for i in range(300))
+
+
+@pytest.mark.parametrize(
+    "text, passes",
+    [
+        (HEADS + "7,,\n,Cd,NaN\n", 1),  # the first rows settle the types, and the others fit them
+        (HEADS + "XYZ,Ab,1.5\n", 2),
+        (HEADS + "99999999999,Ab,1.5\n", 2),
+        (HEADS + "0.5,Ab,1.5\n", 2),
+        (HEADS + " 7,Ab,1.5\n", 2),
+        (HEADS + "7\n", 2),  # too few fields
+        (HEADS + "7,Ab,1.5,9\n", 2),  # too many
+        ("k,t,e\n" + "1,2024-01-01,\n" * 300 + "2,2024-01-02,5\n", 1),  # left open: a date, and a number late
+        ("k,f\n1,true\n2,N\n", 1),
+    ],
+)
+def test_copied_csv_has_the_inferred_types_and_rows(spark, tmp_path, monkeypatch, text, passes):
+    (tmp_path / "c.csv").write_text(text)
+    path, target = str(tmp_path / "c.csv"), str(tmp_path / "p")
+    want = read_csv(spark, path)
+    tried = []
+    monkeypatch.setattr(files, "write_parquet", lambda df, at: (tried.append(df.dtypes), write_parquet(df, at)))
+    csv_to_parquet(spark, path, target)
+    got = read_parquet(spark, target)
+    assert got.dtypes == want.dtypes
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    assert len(tried) == passes
+
+
+def test_extract_reads_a_settled_csv_once(spark, tmp_path, monkeypatch):
+    from martkit.plans import jobs
+
+    write_csv(spark.range(500).selectExpr("id AS k", "concat('n', id) AS s", "id / 4 AS d"), str(tmp_path / "c"))
+    inferred, read = [], files.read_csv
+    monkeypatch.setattr(files, "read_csv", lambda spark, path, schema=None, *a: (inferred.append(schema is None), read(spark, path, schema, *a))[1])
+    monkeypatch.setattr(jobs, "read_csv", files.read_csv, raising=False)
+    out = jobs.extract(spark, {"x": str(tmp_path / "c")}, {"x": str(tmp_path / "p")})
+    assert read_parquet(spark, out["x"]).dtypes == [("k", "int"), ("s", "string"), ("d", "double")]
+    assert inferred == [False]
+
+
 def test_csv_mixed_column_is_text(spark, tmp_path):
     p = tmp_path / "mixed.csv"
     p.write_text("code\n10\nXYZ\n")
