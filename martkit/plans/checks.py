@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import threading
 from collections.abc import Callable
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -716,12 +716,14 @@ def q_load_restarted(spark, sf_dir):
         jobs.load(spark, staged, jobs.Store(stops, store.read), parallel=False, verify=True, ledger=f"{root}/ledger")
     except RuntimeError:
         jobs.load(spark, staged, store, verify=True, ledger=f"{root}/ledger")
-    each = [
-        compare_tables(read_parquet(spark, path), store.read(spark, name)).select(
+    each: dict[str, DataFrame] = {}
+
+    def check(name: str, path: str) -> None:
+        each[name] = compare_tables(read_parquet(spark, path), store.read(spark, name)).select(
             F.lit(name).alias("mart"), F.lit(len(versions(spark, f"{root}/wh/{name}"))).alias("writes"), "actual_rows", "matches")
-        for name, path in staged.items()
-    ]
-    return reduce(DataFrame.unionByName, each)
+
+    jobs.run_all({name: partial(check, name, path) for name, path in staged.items()})
+    return reduce(DataFrame.unionByName, [each[name] for name in staged])
 
 
 def q_full_run(spark, sf_dir):

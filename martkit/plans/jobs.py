@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from martkit.operators.fingerprint import compare_tables, table_digest
+from martkit.operators.fingerprint import compare_tables, prints, table_digest
 from martkit.operators.marts import dim_average, flagged_counts, orphan_counts, visit_counts
 from martkit.operators.ranking import rank_within
 from martkit.operators.rollup import Rollup, rollup
@@ -223,19 +223,21 @@ def load(
     book = Ledger(spark, ledger) if isinstance(ledger, str) else ledger
     written: list[str] = []
 
-    def matches(df: DataFrame, name: str) -> bool:
-        found = compare_tables(df, sink.read(spark, name)).first()
-        return bool(found["matches"])
-
     def one(name: str, path: str) -> None:
         df = spark.read.parquet(path)
-        digest, rows = table_digest(df) if book else ("", 0)
+        # the mart's fingerprint is taken once, for its digest and for each read-back
+        taken = prints(df)[0] if book or verify else None
+
+        def matches() -> bool:
+            return bool(compare_tables(df, sink.read(spark, name), taken=taken).first()["matches"])
+
+        digest, rows = table_digest(df, taken=taken) if book else ("", 0)
         if book:
             last = book.last(f"load/{name}")
-            if last and last["digest"] == digest and (not verify or matches(df, name)):
+            if last and last["digest"] == digest and (not verify or matches()):
                 return
         sink(df, name)
-        if verify and not matches(df, name):
+        if verify and not matches():
             raise LoadMismatch(f"{name} was read back with other rows, columns or types than were written")
         if book:
             book.record(f"load/{name}", digest=digest, rows=rows)

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from martkit.operators.fingerprint import compare_tables, fingerprint, table_digest
+from martkit.operators.fingerprint import compare_tables, fingerprint, prints, table_digest
 from martkit.operators.quality import readback_check
 from martkit.plans import cli, jobs
 from martkit.plans.ledger import Ledger
@@ -84,6 +84,37 @@ def test_equal_tables_need_no_row_level_join(spark):
     assert agg.count("Exchange") == 1 and "partial_sum" in agg
 
 
+def test_prints_at_hand_give_the_same_reports(spark):
+    r = random.Random(6)
+    _, a = table(spark, r, 80)
+    _, b = table(spark, r, 90)
+    held = prints(a)[0]
+    assert table_digest(a) == table_digest(a, taken=held)
+    others = [a.repartition(3), b, a.withColumn("more", F.lit(1)), a.drop(a.columns[0]), a.withColumn("k", F.col("k").cast("string"))]
+    for other in others:
+        assert compare_tables(a, other, taken=held).first() == compare_tables(a, other).first()
+
+
+def test_a_load_takes_each_marts_fingerprint_once(spark, tmp_path, monkeypatch):
+    import sys
+
+    from martkit.plans import jobs
+
+    module = sys.modules[fingerprint.__module__]
+
+    staged = {}
+    for name in ("one", "two"):
+        staged[name] = str(tmp_path / "staged" / name)
+        spark.range(50).selectExpr("id", f"'{name}' AS v").write.parquet(staged[name])
+    taken, plain = [], module.fingerprint
+    monkeypatch.setattr(module, "fingerprint", lambda df, *a, **k: (taken.append(sorted(df.inputFiles())[0]), plain(df, *a, **k))[1])
+    ledger = str(tmp_path / "ledger")
+    for _ in range(2):  # the second finds both loaded, and verifies them
+        jobs.load(spark, staged, jobs.parquet_sink(str(tmp_path / "wh")), parallel=False, verify=True, ledger=ledger)
+    own = [f for f in taken if "/staged/" in f]
+    assert len(own) == 4 and len(taken) == 8
+
+
 def flaky(store, at, seen):
     def write(df, name):
         seen.append(name)
