@@ -19,9 +19,16 @@ are cut into blocks that meet two by two in the tasks, where sizes and parities
 are compared: a pair becomes a row only if these allow the threshold.  A fragment that
 is empty in both sets tells nothing, so there are some fragments to spare; a set
 with as many empty ones as fragments that must be equal also meets on the first
-shingles of the order, by the prefix length of the threshold.  Marks are
-grouped in ``PASSES`` disjoint shares, one after the other, each written before
-the next, so the disk holds the shuffle of one share only.
+shingles of the order, by the prefix length of the threshold.
+
+Every fragment that a set has beyond the differences allowed and one more is to
+spare: two sets that reach the threshold have so many equal fragments that each
+may leave out as many marks as it has to spare, if all sets leave out those
+that most sets have.  So marks of phrases that a share of all sets holds, whose
+groups would grow with the input and their pairs with its square, are left to
+the sets that have no rarer ones.  Marks travel in blobs, dealt by ``PASSES``
+disjoint shares one after the other, each written before the next, so the disk
+holds the shuffle of one share only; those of one set alone become no rows.
 
 Defined cases: null or wordless texts have empty sets and no links; null keys
 are left out of the links; repeated rows are one class; empty tables give no rows.
@@ -31,7 +38,7 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,42 +47,80 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import StructField, StructType
 
-from martkit.llm.common import byte_values, settled, space_words, stage, table
+from martkit.llm.common import byte_values, settled, stage, table
 
 FRAGMENTS = 8
 EDGES = np.arange(FRAGMENTS, dtype=np.uint64) << np.uint64(61)  # starts in the order of hashes
-PASSES = 4
+PASSES = 2
+SPARE = 0.25  # fragments to spare, as a share of the differences allowed
+DEALT = 1 << 17  # marks that a task groups at once
+PICKED = 500_000  # keys that are broadcast to pick their texts
 PARITY_BITS = 1024
 SMALL = 8  # members of a group whose pairs are listed
 BLOCK = 1024  # members of a larger group that meet as many others in a task
 ROLL = np.uint64(0x9E3779B97F4A7C15)
 
 
-class _Words(dict):
-    """Hashes of words, made when first asked for."""
+AT_ONCE = 1 << 22  # bytes of texts whose words are hashed at once
+LONG = 64  # bytes of a word that are mixed eight by eight; longer ones are hashed alone
+SEPARATORS = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)  # the first n of eight bytes
+
 
-    def __missing__(self, word: bytes) -> int:
-        self[word] = found = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-        return found
+def mix(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return h ^ (h >> np.uint64(32))
 
 
-CACHED_WORDS = 200_000  # emptied between texts, beyond that many
-_WORDS = _Words()
+def word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z, and where they start."""
+    low = raw.lower()
+    gap = SEPARATORS[np.frombuffer(low, np.uint8)]
+    edge = np.diff(gap, prepend=True, append=True)
+    starts, ends = np.flatnonzero(edge)[::2], np.flatnonzero(edge)[1::2]
+    size = ends - starts
+    eight = np.ndarray(len(low) + 1, "<u8", low + bytes(8), strides=(1,))  # those from each byte on
+    h = size.astype(np.uint64) * ROLL
+    for at in range(0, min(int(size.max(initial=0)), LONG), 8):
+        here = np.flatnonzero(size > at) if at else slice(None)
+        h[here] = mix(h[here] ^ (eight[starts[here] + at] & FIRST[np.minimum(size[here] - at, 8)]))
+    for i in np.flatnonzero(size > LONG).tolist():
+        h[i] = int.from_bytes(hashlib.blake2b(low[starts[i] : ends[i]], digest_size=8).digest(), "little")
+    return h, starts
 
 
-def shingles(raw: bytes, n: int) -> np.ndarray:
-    words = space_words(raw)
-    if not words:
-        return np.zeros(0, dtype=np.uint64)
-    if len(_WORDS) > CACHED_WORDS:
-        _WORDS.clear()
-    h = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
-    size = min(n, len(h))
-    out = np.zeros(len(h) - size + 1, dtype=np.uint64)
+def rolled(h: np.ndarray, size: int) -> np.ndarray:
+    out = np.zeros(max(0, len(h) - size + 1), dtype=np.uint64)
     for i in range(size):
         out = out * ROLL + h[i : len(h) - size + 1 + i]
-    out ^= out >> np.uint64(29)
-    return np.unique(out * np.uint64(0xBF58476D1CE4E5B9))
+    return out
+
+
+def shingle_sets(raws: Iterable[bytes], n: int) -> Iterator[np.ndarray]:
+    """The sorted shingles of each text, in turn."""
+
+    def of(part: list[bytes]) -> Iterator[np.ndarray]:
+        h, starts = word_hashes(b" ".join(part))
+        at = np.searchsorted(starts, np.cumsum([0, *(len(raw) + 1 for raw in part)])).tolist()
+        full = rolled(h, n) if len(h) >= n else h[:0]
+        for one, two in zip(at[:-1], at[1:], strict=True):
+            if one == two:
+                yield np.zeros(0, dtype=np.uint64)
+                continue
+            out = full[one : two - n + 1] if two - one >= n else rolled(h[one:two], two - one)
+            out = np.sort((out ^ (out >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9))
+            yield out[np.append(True, out[1:] != out[:-1])]
+
+    part, held = [], 0
+    for raw in raws:
+        if part and held + len(raw) > AT_ONCE:
+            yield from of(part)
+            part, held = [], 0
+        part.append(raw)
+        held += len(raw)
+    if part:
+        yield from of(part)
 
 
 def interval(size: int, threshold: float) -> int:
@@ -83,28 +128,30 @@ def interval(size: int, threshold: float) -> int:
     return int(math.log(max(1, size)) / -math.log(threshold) + 1e-9)
 
 
-def signatures(s: np.ndarray, threshold: float) -> list[int]:
-    """Hashes of the set's fragments, for its size interval and the next one."""
-    out = []
+def signatures(s: np.ndarray, threshold: float) -> tuple[list[np.ndarray], list[int]]:
+    """Hashes of the set's fragments for its size interval, for the next one, and of
+    its first shingles; how many of the first two kinds the set may leave out."""
+    marks, spare = [np.zeros(0, dtype=np.int64)] * 3, [0, 0]
+    if not len(s):
+        return marks, spare
     rate = (1 - threshold) / (1 + threshold) * 2
     empty = math.exp(-threshold * threshold / rate) if rate else 0.0  # share of empty fragments in the smallest sets
-    for number in (interval(len(s), threshold), interval(len(s), threshold) + 1):
+    mixed = (s * ROLL) ^ (s >> np.uint64(31))
+    for side in range(2):
+        number = interval(len(s), threshold) + side
         largest = threshold ** -(number + 1)  # sets that meet here are smaller
         differ = int(rate * largest + 1e-6)
-        parts = differ + 1 + int(1.5 * empty * differ)
-        if not len(s):
-            continue
+        parts = differ + 1 + int((SPARE + 1.5 * empty) * differ)
         where = (s >> np.uint64(32)).astype(np.int64) * parts >> 32
-        mixed = (s * ROLL) ^ (s >> np.uint64(31))
-        sums = np.zeros(parts, dtype=np.uint64)
-        np.add.at(sums, where, mixed)
-        filled = np.flatnonzero(sums)
-        tagged = (sums[filled] ^ (filled.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))) * ROLL + np.uint64(number)
-        out += tagged.view(np.int64).tolist()
+        starts = np.flatnonzero(np.append(True, where[1:] != where[:-1]))
+        sums = np.add.reduceat(mixed, starts)
+        filled, sums = where[starts][sums != 0], sums[sums != 0]
+        tagged = (sums ^ (filled.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))) * ROLL + np.uint64(number)
+        marks[side], spare[side] = tagged.view(np.int64), max(0, len(filled) - differ - 1)
         if len(filled) <= differ:
             prefix = s[: len(s) - math.ceil(threshold * len(s) - 1e-9) + 1]
-            out += ((prefix ^ (prefix >> np.uint64(27))) * ROLL + np.uint64(1)).view(np.int64).tolist()
-    return list(dict.fromkeys(out))
+            marks[2] = ((prefix ^ (prefix >> np.uint64(27))) * ROLL + np.uint64(1)).view(np.int64)
+    return marks, spare
 
 
 def parity(s: np.ndarray) -> list[int]:
@@ -127,15 +174,62 @@ def may_link(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFram
     return met.where(near & (apart <= most)).select("a", "b")
 
 
-def links(classes: DataFrame, texts: DataFrame, words: int, threshold: float) -> DataFrame:
-    """Pairs (a, b) of classes (c, n, marks) that reach the threshold; texts: (c, x)."""
+def dealt(number: int, buckets: int):
+    """Blobs of the marks of many sets, and of the sets and kinds they are of, by bucket."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            marks = np.frombuffer(b"".join(batch.column("marks").to_pylist()), np.int64)
+            each = np.stack([batch.column(name).to_numpy() for name in ("low", "high", "front")], axis=1)
+            own = np.repeat((batch.column("i").to_numpy()[:, None] * 4 + np.arange(3)).ravel(), each.ravel())
+            bucket = (marks.view(np.uint64) % np.uint64(buckets)).astype(np.int32)
+            order = np.argsort(bucket, kind="stable")
+            order = order[bucket[order] % PASSES == number]
+            bucket, marks, own = bucket[order], marks[order], own[order]
+            starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))[: len(bucket)]
+            blobs = [pa.array([x.tobytes() for x in np.split(v, starts[1:])][: len(starts)], pa.binary()) for v in (marks, own)]
+            yield pa.RecordBatch.from_arrays([pa.array(bucket[starts]), *blobs], names=["bucket", "marks", "own"])
+
+    return deal
+
+
+def shared(rows: pa.Table) -> pa.Table:
+    """The marks of a bucket that several sets have: a row for each such set, with their number."""
+    m, own = (np.frombuffer(b"".join(rows.column(name).to_pylist()), np.int64) for name in ("marks", "own"))
+    order = np.argsort(m, kind="stable")
+    m, own = m[order], own[order]
+    starts = np.flatnonzero(np.append(True, m[1:] != m[:-1]))
+    k = np.diff(np.append(starts, len(m)))
+    k = np.repeat(k, k)
+    m, own, k = m[k > 1], own[k > 1], k[k > 1]
+    return pa.table({"m": m, "i": own >> 2, "side": (own & 3).astype(np.int32), "k": k})
+
+
+def meetings(classes: DataFrame) -> DataFrame:
+    """Rows (m, c, n, a, k): the sets that meet on a mark, its smallest class and how many there are.  A set
+    leaves out as many marks of a kind as it has to spare, those that most sets have first."""
+    total = classes.agg(F.sum(F.col("low") + F.col("high") + F.col("front"))).first()[0] or 0
+    buckets = PASSES * max(32, -(-total // (PASSES * DEALT)))
     held = None
     for number in range(PASSES):
-        own = F.expr(f"filter(marks, m -> pmod(m, {PASSES}) = {number})")
-        met = classes.select("c", "n", F.explode(own).alias("m"))
-        groups = met.groupBy("m").agg(F.min("c").alias("a"), F.count("*").alias("k")).where("k > 1")
-        part = settled(met.join(groups, "m"), "met")
+        blobs = classes.select("i", "marks", "low", "high", "front").mapInArrow(dealt(number, buckets), "bucket int, marks binary, own binary")
+        part = settled(blobs.groupBy("bucket").applyInArrow(shared, "m long, i long, side int, k long"), "met")
         held = part if held is None else held.unionByName(part)
+    place = F.row_number().over(Window.partitionBy("i", "side").orderBy(F.desc("k"), F.desc("m")))
+    own = classes.select("i", "c", "n", "spare_low", "spare_high")
+    spare = F.when(F.col("side") == 0, F.col("spare_low")).when(F.col("side") == 1, F.col("spare_high")).otherwise(0)
+    left = settled(held.withColumn("place", place).join(own, "i").where(F.col("place") > spare).select("m", "c", "n"), "left")
+    groups = left.groupBy("m").agg(F.min("c").alias("a"), F.count("*").alias("k")).where("k > 1")
+    return settled(left.join(groups, "m"), "held")
+
+
+def links(classes: DataFrame, texts: DataFrame, words: int, threshold: float) -> DataFrame:
+    """Pairs (a, b) of classes (i, c, n, marks, low, high, front, spare_low, spare_high, bits)
+    that reach the threshold; texts: (c, x)."""
+    held = meetings(classes)
+    met = stage(held.select("c").distinct(), "members")
+    texts = settled(texts.join(F.broadcast(met) if met.count() <= PICKED else met, "c", "left_semi"), "texts")
+    classes = settled(classes.select("c", "n", "bits").join(F.broadcast(met) if met.count() <= PICKED else met, "c", "left_semi"), "members")
     first = held.where("a < c").select("a", F.col("c").alias("b")).distinct()
     found = settled(verified(may_link(first, classes, threshold), texts, words, threshold), "links")
     before, share = 0, 1
@@ -245,11 +339,12 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, threshold: float) -
     percent = round(100 * threshold)
 
     def reach(x: pa.Array, y: pa.Array) -> pa.Array:
-        out, last, s = [], None, None
-        for p, q in zip(byte_values(x), byte_values(y), strict=True):
-            if p != last:  # pairs with one first text come in turn
-                last, s = p, shingles(p, words)
-            t = shingles(q, words)
+        out, s = [], None
+        first, second = byte_values(x), byte_values(y)
+        new = [i == 0 or p != first[i - 1] for i, p in enumerate(first)]  # pairs with one first text come in turn
+        own = shingle_sets((p for p, begins in zip(first, new, strict=True) if begins), words)
+        for begins, t in zip(new, shingle_sets(second, words), strict=True):
+            s = next(own) if begins else s
             both = len(s) + len(t)
             needed = -(-both * percent // (100 + percent))  # of o, where 100 o >= percent (both - o)
             out.append(min(len(s), len(t)) >= needed and overlap(s, t, needed) >= needed)
@@ -284,19 +379,22 @@ def components(pairs: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3, threshold: float = 0.9) -> DataFrame:
     """One row per document: key, n_shingles, component_id."""
 
-    @arrow_udf("struct<n:long,s:binary,marks:array<long>,bits:array<long>>")
+    @arrow_udf("struct<n:long,s:binary,marks:binary,low:int,high:int,front:int,spare_low:int,spare_high:int,bits:array<long>>")
     def code(col: pa.Array) -> pa.Array:
         out = []
-        for raw in byte_values(col):
-            found = shingles(raw, words)
-            out.append({"n": len(found), "s": hashlib.blake2b(found.tobytes(), digest_size=16).digest(), "marks": signatures(found, threshold), "bits": parity(found)})
-        longs = pa.list_(pa.int64())
-        return pa.array(out, pa.struct([("n", pa.int64()), ("s", pa.binary()), ("marks", longs), ("bits", longs)]))
+        for found in shingle_sets(byte_values(col), words):
+            marks, spare = signatures(found, threshold)
+            out.append({
+                "n": len(found), "s": hashlib.blake2b(found.tobytes(), digest_size=16).digest(), "marks": np.concatenate(marks).tobytes(),
+                "low": len(marks[0]), "high": len(marks[1]), "front": len(marks[2]), "spare_low": spare[0], "spare_high": spare[1], "bits": parity(found),
+            })
+        counts = [(name, pa.int32()) for name in ("low", "high", "front", "spare_low", "spare_high")]
+        return pa.array(out, pa.struct([("n", pa.int64()), ("s", pa.binary()), ("marks", pa.binary()), *counts, ("bits", pa.list_(pa.int64()))]))
 
     x = F.coalesce(F.col(text), F.lit(""))
     own = docs.select(F.col(key).alias("k"), x.alias("x"), F.unhex(F.sha2(x, 256)).alias("d"))
     each = own.groupBy("d").agg(F.min("k").alias("c"), F.first("x").alias("x"))
-    coded = settled(each.select("d", "c", code("x").alias("v")).select("d", "c", "v.*"), "classes")
+    coded = settled(each.select("d", "c", code("x").alias("v")).select(F.monotonically_increasing_id().alias("i"), "d", "c", "v.*"), "classes")
     texts = docs.select(F.col(key).alias("c"), F.col(text).alias("x"))
     found = components(links(coded.where("n > 0 AND c IS NOT NULL"), texts, words, threshold))
     # equal sets are linked, so they have one component; a null key has that of its set
